@@ -561,3 +561,156 @@ SELECT driver_id, count(delivery_id) AS trips,
        {_delivery_measures()},
        {pct('sum(CASE WHEN is_on_time THEN 1 ELSE 0 END)', 'count(delivery_id)', 'count(delivery_id)')} AS on_time_pct
 FROM fct_delivery GROUP BY driver_id"""
+
+
+# -------------------------------------------------------------------- silver
+
+def dirty_sql(base: str, key: str, strings, numerics, raw_customer: bool = False) -> str:
+    rep = []
+    for c in strings:
+        rep.append(f"CASE WHEN {key} % 23 = 0 THEN NULL WHEN {key} % 5 = 0 THEN '  ' || {c} || ' ' "
+                   f"WHEN {key} % 7 = 0 THEN lower({c}) ELSE {c} END AS {c}")
+    for c in numerics:
+        rep.append(f"CASE WHEN {key} % 23 = 0 THEN NULL WHEN {key} % 19 = 0 THEN -{c} ELSE {c} END AS {c}")
+    if raw_customer:
+        rep.append(f"CASE WHEN {key} % 97 = 0 THEN NULL WHEN {key} % 101 = 0 "
+                   f"THEN CAST(customer_id AS DOUBLE) + 0.5 ELSE CAST(customer_id AS DOUBLE) END AS customer_id")
+    replace = f" REPLACE ({', '.join(rep)})" if rep else ""
+    return (f"SELECT *{replace}, CASE WHEN {key} % 29 = 0 THEN 'k:' || CAST({key} AS VARCHAR) END "
+            f"AS _rescued_data FROM {base}")
+
+
+# (adapter CTE, key, dirty strings, dirty numerics) of each raw table
+RAW = {
+    "restaurants": ("restaurants_s", "restaurant_id",
+                    ["restaurant_name", "address", "postcode", "area", "phone_number"], ["seating_capacity"]),
+    "customers": ("customers_s", "customer_id",
+                  ["first_name", "last_name", "email", "phone", "postcode", "customer_segment",
+                   "preferred_category", "preferred_order_type"], ["avg_order_value"]),
+    "employees": ("employees_s", "employee_id",
+                  ["first_name", "last_name", "position", "reason_for_leaving", "employment_status"],
+                  ["salary_per_hour", "performance_rating"]),
+    "menu_items": ("menu_s", "item_id", ["item_name", "category", "sub_category"],
+                   ["preparation_time_mins", "cost_to_make", "price"]),
+    "orders": ("orders_s", "order_id",
+               ["customer_name", "delivery_postcode", "order_type", "payment_method", "order_status"],
+               ["total_amount", "delivery_time_mins", "delivery_distance_miles"]),
+    "order_details": ("details_s", "order_detail_id", ["special_instructions"], ["item_price_at_time"]),
+    "customer_reviews": ("reviews_s", "review_id", ["review_text", "category"], ["rating", "sentiment_score"]),
+    "daily_operations": ("daily_dup", "operation_id", [],
+                         ["total_customers_eat_in", "total_customers_delivery", "total_orders",
+                          "delivery_orders_count", "eat_in_orders_count", "daily_revenue", "staff_on_shift"]),
+    "delivery_performance": ("delivery_s", "delivery_id",
+                             ["traffic_condition", "weather_condition", "delivery_status"], ["distance_miles"]),
+    "inventory": ("inventory_s", "inventory_id", [], ["stock_value", "waste_value", "closing_stock",
+                                                      "opening_stock"]),
+}
+
+GOLD_CTES["daily_dup"] = """
+SELECT * FROM daily_s UNION ALL
+SELECT * REPLACE (daily_revenue + 1.0 AS daily_revenue) FROM daily_s WHERE operation_id % 10 = 0"""
+
+
+def raw_ctes(table: str) -> list[tuple[str, str]]:
+    base, key, strings, numerics = RAW[table]
+    ctes = [(base, ADAPTERS.get(base) or GOLD_CTES[base])]
+    if base == "daily_dup":
+        ctes.insert(0, ("daily_s", ADAPTERS["daily_s"]))
+    ctes.append(("raw", dirty_sql(base, key, strings, numerics,
+                                  raw_customer=table in ("orders", "customer_reviews"))))
+    return ctes
+
+
+def _with(ctes: list[tuple[str, str]]) -> str:
+    return "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in ctes) + "\n"
+
+
+def cap_sql(src: str, columns, factor: str = "1.5") -> tuple[list[tuple[str, str]], str]:
+    """CTEs computing exact-quartile bounds over ``src`` and the clamp select list."""
+    qs = ", ".join(
+        f"quantile_disc(CAST({c} AS DOUBLE), 0.25) AS q1_{c}, quantile_disc(CAST({c} AS DOUBLE), 0.75) AS q3_{c}"
+        for c in columns)
+    bs = ", ".join(
+        f"q1_{c} - CAST({factor} AS DOUBLE) * (q3_{c} - q1_{c}) AS lo_{c}, "
+        f"q3_{c} + CAST({factor} AS DOUBLE) * (q3_{c} - q1_{c}) AS hi_{c}"
+        for c in columns)
+    ctes = [("qt", f"SELECT {qs} FROM {src}"), ("bnd", f"SELECT {bs} FROM qt")]
+    rep = ", ".join(
+        f"CASE WHEN {c} < lo_{c} THEN lo_{c} WHEN {c} > hi_{c} THEN hi_{c} ELSE CAST({c} AS DOUBLE) END AS {c}"
+        for c in columns)
+    return ctes, f"SELECT {src}.* REPLACE ({rep}) FROM {src}, bnd"
+
+
+def clean_sql(table: str, trims=(), fills: dict | None = None, caps=(), cast_customer: bool = False,
+              dedup: list[str] | None = None, order: list[str] | None = None) -> str:
+    ctes = raw_ctes(table)
+    rep = [f"trim({c}) AS {c}" for c in trims]
+    if cast_customer:
+        rep.append("CAST(trunc(customer_id) AS BIGINT) AS customer_id")
+    sel = "SELECT * EXCLUDE (_rescued_data)" + (f" REPLACE ({', '.join(rep)})" if rep else "") + " FROM raw"
+    ctes.append(("t1", sel))
+    if fills:
+        ctes.append(("t2", "SELECT * REPLACE (" + ", ".join(
+            f"coalesce({c}, {v}) AS {c}" for c, v in fills.items()) + ") FROM t1"))
+    else:
+        ctes.append(("t2", "SELECT * FROM t1"))
+    if dedup:
+        ob = ", ".join(f"{c} ASC NULLS FIRST" for c in order)
+        ctes.append(("t3", f"SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER "
+                           f"(PARTITION BY {', '.join(dedup)} ORDER BY {ob}) AS _rn FROM t2) WHERE _rn = 1"))
+    else:
+        ctes.append(("t3", "SELECT * FROM t2"))
+    if not caps:
+        return _with(ctes) + "SELECT * FROM t3"
+    more, final = cap_sql("t3", caps)
+    return _with(ctes + more) + final
+
+
+ORACLE["clean_restaurants"] = clean_sql(
+    "restaurants", trims=["restaurant_name", "address", "postcode", "area", "phone_number"])
+ORACLE["clean_customers"] = clean_sql(
+    "customers", trims=["first_name", "last_name", "email", "phone", "postcode"],
+    fills={"email": "'Unknown'", "phone": "'Unknown'"}, caps=["avg_order_value"])
+ORACLE["clean_employees"] = clean_sql(
+    "employees", trims=["first_name", "last_name", "position", "reason_for_leaving"],
+    fills={"performance_rating": "0.0::DOUBLE", "reason_for_leaving": "'N/A'"},
+    caps=["salary_per_hour", "performance_rating"])
+ORACLE["clean_menu_items"] = clean_sql(
+    "menu_items", trims=["item_name", "category", "sub_category"], fills={"sub_category": "'N/A'"},
+    caps=["preparation_time_mins", "cost_to_make"])
+ORACLE["clean_orders"] = clean_sql(
+    "orders", trims=["customer_name", "delivery_postcode", "order_type", "payment_method", "order_status"],
+    fills={"customer_rating": "0", "customer_name": "'N/A'"},
+    caps=["total_amount", "delivery_time_mins", "delivery_distance_miles"], cast_customer=True)
+ORACLE["clean_order_details"] = clean_sql(
+    "order_details", trims=["special_instructions"], caps=["item_price_at_time"])
+ORACLE["clean_reviews"] = clean_sql(
+    "customer_reviews", trims=["review_text", "category"],
+    fills={"review_text": "'No review provided'", "rating": "0.0::DOUBLE", "sentiment_score": "0.0::DOUBLE"},
+    caps=["sentiment_score"], cast_customer=True)
+DAILY_ORDER = ["operation_id", "total_customers_eat_in", "total_customers_delivery", "total_orders",
+               "delivery_orders_count", "eat_in_orders_count", "average_wait_time_mins", "staff_on_shift",
+               "electricity_cost", "water_cost", "gas_cost", "maintenance_cost", "other_bills_cost",
+               "daily_revenue"]
+ORACLE["clean_daily_ops"] = clean_sql(
+    "daily_operations", dedup=["restaurant_id", "date"], order=DAILY_ORDER,
+    caps=["total_customers_eat_in", "total_customers_delivery", "total_orders",
+          "delivery_orders_count", "eat_in_orders_count"])
+ORACLE["clean_delivery"] = clean_sql(
+    "delivery_performance", trims=["traffic_condition", "weather_condition", "delivery_status"],
+    caps=["distance_miles"])
+ORACLE["clean_inventory"] = clean_sql(
+    "inventory", fills={"waste_stock": "0", "waste_value": "0.0::DOUBLE"},
+    caps=["stock_value", "waste_value", "closing_stock"])
+
+_cap1 = cap_sql("events", ["value"])
+ORACLE["cap_outliers_iqr"] = _with(_cap1[0]) + _cap1[1]
+_cap2 = cap_sql("events", ["value", "user_id"])
+ORACLE["cap_outliers_multi"] = _with(_cap2[0]) + _cap2[1]
+
+ORACLE["dedup_by_key"] = """
+SELECT * EXCLUDE (_rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                 l_returnflag, l_linestatus, l_shipdate) AS _rn
+    FROM lineitem) WHERE _rn = 1"""

@@ -230,3 +230,42 @@ def q_agg_delivery_by_condition(spark, sf_dir):
 @query("agg_driver_performance")
 def q_agg_driver_performance(spark, sf_dir):
     return marts.agg_driver_performance(facts.fct_delivery(A.delivery_performance(_t(spark, sf_dir))))
+
+
+# -------------------------------------------------------------------- silver
+
+from . import silver  # noqa: E402
+from ..operators import clean as C  # noqa: E402
+
+
+@query("cap_outliers_iqr")
+def q_cap_outliers_iqr(spark, sf_dir):
+    return C.cap_outliers(_t(spark, sf_dir).events, ["value"])
+
+
+@query("cap_outliers_multi")
+def q_cap_outliers_multi(spark, sf_dir):
+    return C.cap_outliers(_t(spark, sf_dir).events, ["value", "user_id"])
+
+
+@query("dedup_by_key")
+def q_dedup_by_key(spark, sf_dir):
+    return C.dedup_by_key(_t(spark, sf_dir).lineitem, ["l_orderkey", "l_linenumber"])
+
+
+def _clean_query(table: str):
+    def run(spark, sf_dir):
+        return silver.CLEANERS[table](A.raw(_t(spark, sf_dir), table))
+    return run
+
+
+CLEAN_QUERY_NAMES = {
+    "restaurants": "clean_restaurants", "customers": "clean_customers",
+    "employees": "clean_employees", "menu_items": "clean_menu_items", "orders": "clean_orders",
+    "order_details": "clean_order_details", "customer_reviews": "clean_reviews",
+    "daily_operations": "clean_daily_ops", "delivery_performance": "clean_delivery",
+    "inventory": "clean_inventory",
+}
+
+for _table, _name in CLEAN_QUERY_NAMES.items():
+    QUERIES[_name] = _clean_query(_table)
