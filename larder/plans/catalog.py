@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import registry
+    from . import quality, registry  # noqa: F401  (registers the audit queries)
     return dict(registry.QUERIES)
 
 
 def all_oracles() -> dict[str, str]:
-    from . import oracle
+    from . import oracle, oracle_quality  # noqa: F401
     return dict(oracle.ORACLE)

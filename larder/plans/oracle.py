@@ -612,21 +612,27 @@ SELECT * REPLACE (daily_revenue + 1.0 AS daily_revenue) FROM daily_s WHERE opera
 
 
 def raw_ctes(table: str) -> list[tuple[str, str]]:
+    """Adapter CTE(s) plus ``raw_<table>`` holding the dirty raw form."""
     base, key, strings, numerics = RAW[table]
     ctes = [(base, ADAPTERS.get(base) or GOLD_CTES[base])]
     if base == "daily_dup":
         ctes.insert(0, ("daily_s", ADAPTERS["daily_s"]))
-    ctes.append(("raw", dirty_sql(base, key, strings, numerics,
-                                  raw_customer=table in ("orders", "customer_reviews"))))
+    ctes.append((f"raw_{table}", dirty_sql(base, key, strings, numerics,
+                                           raw_customer=table in ("orders", "customer_reviews"))))
     return ctes
 
 
 def _with(ctes: list[tuple[str, str]]) -> str:
-    return "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in ctes) + "\n"
+    seen, parts = set(), []
+    for n, b in ctes:
+        if n not in seen:
+            seen.add(n)
+            parts.append(f"{n} AS ({b})")
+    return "WITH " + ",\n".join(parts) + "\n"
 
 
-def cap_sql(src: str, columns, factor: str = "1.5") -> tuple[list[tuple[str, str]], str]:
-    """CTEs computing exact-quartile bounds over ``src`` and the clamp select list."""
+def cap_sql(src: str, columns, factor: str = "1.5", prefix: str = "") -> tuple[list[tuple[str, str]], str]:
+    """CTEs computing exact-quartile bounds over ``src`` and the clamp select."""
     qs = ", ".join(
         f"quantile_disc(CAST({c} AS DOUBLE), 0.25) AS q1_{c}, quantile_disc(CAST({c} AS DOUBLE), 0.75) AS q3_{c}"
         for c in columns)
@@ -634,74 +640,82 @@ def cap_sql(src: str, columns, factor: str = "1.5") -> tuple[list[tuple[str, str
         f"q1_{c} - CAST({factor} AS DOUBLE) * (q3_{c} - q1_{c}) AS lo_{c}, "
         f"q3_{c} + CAST({factor} AS DOUBLE) * (q3_{c} - q1_{c}) AS hi_{c}"
         for c in columns)
-    ctes = [("qt", f"SELECT {qs} FROM {src}"), ("bnd", f"SELECT {bs} FROM qt")]
+    ctes = [(f"{prefix}qt", f"SELECT {qs} FROM {src}"), (f"{prefix}bnd", f"SELECT {bs} FROM {prefix}qt")]
     rep = ", ".join(
         f"CASE WHEN {c} < lo_{c} THEN lo_{c} WHEN {c} > hi_{c} THEN hi_{c} ELSE CAST({c} AS DOUBLE) END AS {c}"
         for c in columns)
-    return ctes, f"SELECT {src}.* REPLACE ({rep}) FROM {src}, bnd"
+    return ctes, f"SELECT {src}.* REPLACE ({rep}) FROM {src}, {prefix}bnd"
 
 
-def clean_sql(table: str, trims=(), fills: dict | None = None, caps=(), cast_customer: bool = False,
-              dedup: list[str] | None = None, order: list[str] | None = None) -> str:
+def clean_ctes(table: str, trims=(), fills: dict | None = None, caps=(), cast_customer: bool = False,
+               dedup: list[str] | None = None, order: list[str] | None = None) -> list[tuple[str, str]]:
+    """raw CTEs followed by the cleaning chain, ending in ``clean_<table>``."""
+    p = f"{table}_"
     ctes = raw_ctes(table)
     rep = [f"trim({c}) AS {c}" for c in trims]
     if cast_customer:
         rep.append("CAST(trunc(customer_id) AS BIGINT) AS customer_id")
-    sel = "SELECT * EXCLUDE (_rescued_data)" + (f" REPLACE ({', '.join(rep)})" if rep else "") + " FROM raw"
-    ctes.append(("t1", sel))
+    sel = ("SELECT * EXCLUDE (_rescued_data)" + (f" REPLACE ({', '.join(rep)})" if rep else "")
+           + f" FROM raw_{table}")
+    ctes.append((f"{p}t1", sel))
     if fills:
-        ctes.append(("t2", "SELECT * REPLACE (" + ", ".join(
-            f"coalesce({c}, {v}) AS {c}" for c, v in fills.items()) + ") FROM t1"))
+        ctes.append((f"{p}t2", "SELECT * REPLACE (" + ", ".join(
+            f"coalesce({c}, {v}) AS {c}" for c, v in fills.items()) + f") FROM {p}t1"))
     else:
-        ctes.append(("t2", "SELECT * FROM t1"))
+        ctes.append((f"{p}t2", f"SELECT * FROM {p}t1"))
     if dedup:
         ob = ", ".join(f"{c} ASC NULLS FIRST" for c in order)
-        ctes.append(("t3", f"SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER "
-                           f"(PARTITION BY {', '.join(dedup)} ORDER BY {ob}) AS _rn FROM t2) WHERE _rn = 1"))
+        ctes.append((f"{p}t3", f"SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER "
+                               f"(PARTITION BY {', '.join(dedup)} ORDER BY {ob}) AS _rn FROM {p}t2) WHERE _rn = 1"))
     else:
-        ctes.append(("t3", "SELECT * FROM t2"))
+        ctes.append((f"{p}t3", f"SELECT * FROM {p}t2"))
     if not caps:
-        return _with(ctes) + "SELECT * FROM t3"
-    more, final = cap_sql("t3", caps)
-    return _with(ctes + more) + final
-
-
-ORACLE["clean_restaurants"] = clean_sql(
-    "restaurants", trims=["restaurant_name", "address", "postcode", "area", "phone_number"])
-ORACLE["clean_customers"] = clean_sql(
-    "customers", trims=["first_name", "last_name", "email", "phone", "postcode"],
-    fills={"email": "'Unknown'", "phone": "'Unknown'"}, caps=["avg_order_value"])
-ORACLE["clean_employees"] = clean_sql(
-    "employees", trims=["first_name", "last_name", "position", "reason_for_leaving"],
-    fills={"performance_rating": "0.0::DOUBLE", "reason_for_leaving": "'N/A'"},
-    caps=["salary_per_hour", "performance_rating"])
-ORACLE["clean_menu_items"] = clean_sql(
-    "menu_items", trims=["item_name", "category", "sub_category"], fills={"sub_category": "'N/A'"},
-    caps=["preparation_time_mins", "cost_to_make"])
-ORACLE["clean_orders"] = clean_sql(
-    "orders", trims=["customer_name", "delivery_postcode", "order_type", "payment_method", "order_status"],
-    fills={"customer_rating": "0", "customer_name": "'N/A'"},
-    caps=["total_amount", "delivery_time_mins", "delivery_distance_miles"], cast_customer=True)
-ORACLE["clean_order_details"] = clean_sql(
-    "order_details", trims=["special_instructions"], caps=["item_price_at_time"])
-ORACLE["clean_reviews"] = clean_sql(
-    "customer_reviews", trims=["review_text", "category"],
-    fills={"review_text": "'No review provided'", "rating": "0.0::DOUBLE", "sentiment_score": "0.0::DOUBLE"},
-    caps=["sentiment_score"], cast_customer=True)
+        ctes.append((f"clean_{table}", f"SELECT * FROM {p}t3"))
+        return ctes
+    more, final = cap_sql(f"{p}t3", caps, prefix=p)
+    return ctes + more + [(f"clean_{table}", final)]
+
+
 DAILY_ORDER = ["operation_id", "total_customers_eat_in", "total_customers_delivery", "total_orders",
                "delivery_orders_count", "eat_in_orders_count", "average_wait_time_mins", "staff_on_shift",
                "electricity_cost", "water_cost", "gas_cost", "maintenance_cost", "other_bills_cost",
                "daily_revenue"]
-ORACLE["clean_daily_ops"] = clean_sql(
-    "daily_operations", dedup=["restaurant_id", "date"], order=DAILY_ORDER,
-    caps=["total_customers_eat_in", "total_customers_delivery", "total_orders",
-          "delivery_orders_count", "eat_in_orders_count"])
-ORACLE["clean_delivery"] = clean_sql(
-    "delivery_performance", trims=["traffic_condition", "weather_condition", "delivery_status"],
-    caps=["distance_miles"])
-ORACLE["clean_inventory"] = clean_sql(
-    "inventory", fills={"waste_stock": "0", "waste_value": "0.0::DOUBLE"},
-    caps=["stock_value", "waste_value", "closing_stock"])
+
+CLEAN_SPEC = {
+    "restaurants": dict(trims=["restaurant_name", "address", "postcode", "area", "phone_number"]),
+    "customers": dict(trims=["first_name", "last_name", "email", "phone", "postcode"],
+                      fills={"email": "'Unknown'", "phone": "'Unknown'"}, caps=["avg_order_value"]),
+    "employees": dict(trims=["first_name", "last_name", "position", "reason_for_leaving"],
+                      fills={"performance_rating": "0.0::DOUBLE", "reason_for_leaving": "'N/A'"},
+                      caps=["salary_per_hour", "performance_rating"]),
+    "menu_items": dict(trims=["item_name", "category", "sub_category"], fills={"sub_category": "'N/A'"},
+                       caps=["preparation_time_mins", "cost_to_make"]),
+    "orders": dict(trims=["customer_name", "delivery_postcode", "order_type", "payment_method", "order_status"],
+                   fills={"customer_rating": "0", "customer_name": "'N/A'"},
+                   caps=["total_amount", "delivery_time_mins", "delivery_distance_miles"], cast_customer=True),
+    "order_details": dict(trims=["special_instructions"], caps=["item_price_at_time"]),
+    "customer_reviews": dict(trims=["review_text", "category"],
+                             fills={"review_text": "'No review provided'", "rating": "0.0::DOUBLE",
+                                    "sentiment_score": "0.0::DOUBLE"},
+                             caps=["sentiment_score"], cast_customer=True),
+    "daily_operations": dict(dedup=["restaurant_id", "date"], order=DAILY_ORDER,
+                             caps=["total_customers_eat_in", "total_customers_delivery", "total_orders",
+                                   "delivery_orders_count", "eat_in_orders_count"]),
+    "delivery_performance": dict(trims=["traffic_condition", "weather_condition", "delivery_status"],
+                                 caps=["distance_miles"]),
+    "inventory": dict(fills={"waste_stock": "0", "waste_value": "0.0::DOUBLE"},
+                      caps=["stock_value", "waste_value", "closing_stock"]),
+}
+
+CLEAN_NAMES = {
+    "restaurants": "clean_restaurants", "customers": "clean_customers", "employees": "clean_employees",
+    "menu_items": "clean_menu_items", "orders": "clean_orders", "order_details": "clean_order_details",
+    "customer_reviews": "clean_reviews", "daily_operations": "clean_daily_ops",
+    "delivery_performance": "clean_delivery", "inventory": "clean_inventory",
+}
+
+for _t, _q in CLEAN_NAMES.items():
+    ORACLE[_q] = _with(clean_ctes(_t, **CLEAN_SPEC[_t])) + f"SELECT * FROM clean_{_t}"
 
 _cap1 = cap_sql("events", ["value"])
 ORACLE["cap_outliers_iqr"] = _with(_cap1[0]) + _cap1[1]
