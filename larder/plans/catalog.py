@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import quality, registry  # noqa: F401  (registers the audit queries)
+    from . import connectors, quality, registry  # noqa: F401  (registration side effects)
     return dict(registry.QUERIES)
 
 

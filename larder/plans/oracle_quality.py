@@ -58,7 +58,7 @@ NUMERIC = {"int", "bigint", "double"}
 PKS = {
     "restaurants": ["restaurant_id"], "customers": ["customer_id"], "employees": ["employee_id"],
     "menu_items": ["item_id", "restaurant_id"], "orders": ["order_id"], "order_details": ["order_detail_id"],
-    "customer_reviews": ["review_id"], "daily_operations": ["operation_id"], "delivery_payment": [],
+    "customer_reviews": ["review_id"], "daily_operations": ["operation_id"],
     "delivery_performance": ["delivery_id"], "inventory": ["inventory_id"],
 }
 CATEGORICAL = {
@@ -338,3 +338,24 @@ ORACLE["profile_numeric"] = union(
     + _profile_numeric("orders", ["o_orderkey", "o_custkey", "o_totalprice"]))
 
 ORACLE["sample_rows"] = "SELECT * FROM orders ORDER BY o_orderkey LIMIT 3"
+
+
+# ------------------------------------------------------- sources and sinks
+
+from .oracle import ORDER_CTES, with_  # noqa: E402
+
+ORACLE["csv_scan"] = "SELECT * FROM orders"
+ORACLE["csv_scan_files"] = "SELECT * FROM orders"
+ORACLE["ingest_stream"] = "SELECT * FROM events"
+ORACLE["ingest_rescue_total"] = """
+SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderkey % 29 = 0) AS rescued_rows,
+       count(*) FILTER (WHERE o_orderkey % 29 = 0) AS null_totals
+FROM orders"""
+ORACLE["materialize_roundtrip"] = ORACLE["agg_revenue_by_category"]
+ORACLE["materialize_partitioned"] = ORACLE["fct_orders"]
+ORACLE["usage_monthly_trend"] = (
+    "SELECT year_month, revenue, aov, gross_margin_pct FROM (" + ORACLE["agg_revenue_monthly"] + ") "
+    "ORDER BY year_month")
+ORACLE["usage_top_items"] = with_(*ORDER_CTES, "item_perf") + """
+SELECT restaurant_id, item_id, units_sold, revenue, margin_pct FROM item_perf
+ORDER BY restaurant_id, revenue DESC"""
