@@ -1,95 +1,141 @@
 """Exact money arithmetic and HALF_UP rounding as column expressions.
 
-Money is carried as ``DECIMAL(18,2)`` while it is multiplied and summed, and
-only the finished value is cast to double. Averages and percentages are rounded
-from exact integer numerators and denominators, so the result is the HALF_UP
-rounding of the true quotient, independent of binary floating point.
-All helpers return JVM-side expressions (no Python UDFs).
+Money values (doubles with at most two decimals) are converted once to exact
+integer cents (``CAST(CAST(x AS DECIMAL(18,2)) * 100 AS BIGINT)``); sums and
+products run on those longs, which Spark aggregates in its fast codegen path
+(wide DECIMAL buffers would fall back to BigDecimal objects per row). Only the
+finished per-group value is divided back to a double.
+
+Rounded means and percentages are the HALF_UP rounding of the exact quotient
+of two integers, computed per output row in DECIMAL(38,0) so large sums do not
+overflow: ``round(n / d, k) = sign * ((2|n|10^k + |d|) div 2|d|) / 10^k``.
+
+Every helper has a SQL-text form (``*_sql``) and a Column form. The text
+form lets a whole projection go to the JVM in one ``selectExpr`` call.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
-MONEY = DecimalType(18, 2)
-WIDE = DecimalType(38, 0)
 
+def _s(x) -> str:
+    return x if isinstance(x, str) else str(x)
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
+# ------------------------------------------------------------------ SQL text
 
-def money(c) -> Column:
-    """Double with at most two decimals -> exact DECIMAL(18,2)."""
-    return _c(c).cast(MONEY)
+def money_sql(x: str) -> str:
+    return f"CAST({x} AS DECIMAL(18,2))"
 
 
-def cents(c) -> Column:
-    """Money value -> exact integer number of cents (DECIMAL(38,0))."""
-    return (money(c) * F.lit(100)).cast(WIDE)
+def cents_sql(x: str) -> str:
+    """Exact integer cents of a money value."""
+    return f"CAST(CAST({x} AS DECIMAL(18,2)) * 100 AS BIGINT)"
 
 
-def as_double(c) -> Column:
-    return _c(c).cast("double")
+def from_cents_sql(x: str) -> str:
+    return f"(({x}) / 100.0D)"
 
 
-def half_up_ratio(num, den, places: int) -> Column:
-    """HALF_UP(num / den, places) as double for integer-valued num and den.
+def half_up_sql(n: str, d: str, places: int) -> str:
+    """HALF_UP(n / d, places) as double for integer-valued n, d; NULL if d is 0/NULL."""
+    nn = f"CAST({n} AS DECIMAL(38,0))"
+    dd = f"CAST({d} AS DECIMAL(38,0))"
+    scale = 10 ** places
+    q = f"((2 * abs({nn}) * {scale} + abs({dd})) div (2 * abs({dd})))"
+    return (f"(CASE WHEN {dd} IS NULL OR {dd} = 0 THEN CAST(NULL AS DOUBLE) "
+            f"WHEN ({nn} < 0) <> ({dd} < 0) THEN CAST(-{q} AS DOUBLE) / {scale}.0D "
+            f"ELSE CAST({q} AS DOUBLE) / {scale}.0D END)")
+
+
+def pct_sql(num: str, den: str, guard: str | None = None) -> str:
+    """round(num / den * 100, 2), 0.0 unless ``guard`` (default den) > 0.
 
-    NULL when den is 0 or NULL. Works on DECIMAL(38,0) so large sums do not
-    overflow; the quotient itself is small enough for a long.
+    ``num`` and ``den`` are exact integers in the same unit (cents, counts).
     """
-    n = _c(num).cast(WIDE)
-    d = _c(den).cast(WIDE)
-    scale = 10 ** places
-    two = F.lit(2).cast(WIDE)
-    a = two * F.abs(n) * F.lit(scale).cast(WIDE) + F.abs(d)
-    b = two * F.abs(d)
-    # exact integer floor division on non-negative decimals: (a - a mod b) / b
-    q = ((a - a % b) / b).cast("long")
-    signed = F.when((n < 0) != (d < 0), -q).otherwise(q)
-    return F.when(d.isNull() | (d == 0), F.lit(None).cast("double")).otherwise(
-        signed.cast("double") / F.lit(float(scale))
-    )
+    g = guard if guard is not None else den
+    return f"(CASE WHEN ({g}) > 0 THEN {half_up_sql(f'({num}) * 100', den, 2)} ELSE 0.0D END)"
 
 
-def avg_money(c, places: int = 2) -> Column:
-    """round(avg(money column), places), HALF_UP on the exact mean (aggregate)."""
-    return half_up_ratio(F.sum(cents(c)), F.count(_c(c)) * F.lit(100), places)
+def avg_money_sql(x: str, places: int = 2) -> str:
+    """round(avg(money x), places) (aggregate)."""
+    return half_up_sql(f"sum({cents_sql(x)})", f"count({x}) * 100", places)
 
 
-def avg_int(c, places: int) -> Column:
-    """round(avg(integer column), places), HALF_UP on the exact mean (aggregate)."""
-    return half_up_ratio(F.sum(_c(c).cast(WIDE)), F.count(_c(c)), places)
+def avg_int_sql(x: str, places: int) -> str:
+    """round(avg(integer x), places) (aggregate)."""
+    return half_up_sql(f"sum(CAST({x} AS BIGINT))", f"count({x})", places)
 
 
-def avg_scaled(c, decimals: int, places: int) -> Column:
+def avg_scaled_sql(x: str, decimals: int, places: int) -> str:
     """round(avg(x), places) for x holding at most ``decimals`` decimals (aggregate)."""
-    units = F.round(_c(c).cast(DecimalType(38, decimals)) * F.lit(10 ** decimals)).cast(WIDE)
-    return half_up_ratio(F.sum(units), F.count(_c(c)) * F.lit(10 ** decimals), places)
+    units = f"CAST(CAST({x} AS DECIMAL(18,{decimals})) * {10 ** decimals} AS BIGINT)"
+    return half_up_sql(f"sum({units})", f"count({x}) * {10 ** decimals}", places)
+
+
+def sum_money_sql(x: str) -> str:
+    """sum of a money column as double, summed exactly in cents (aggregate)."""
+    return from_cents_sql(f"sum({cents_sql(x)})")
+
+
+# ---------------------------------------------------------------- Column API
+
+def _c(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def money(c) -> Column:
+    """Double with at most two decimals -> exact DECIMAL(18,2)."""
+    return F.expr(money_sql(c)) if isinstance(c, str) else c.cast("decimal(18,2)")
 
 
-def sum_money(c) -> Column:
-    """round(sum(money), 2) as double, summed exactly (aggregate)."""
-    return F.sum(money(c)).cast("double")
+def cents(c) -> Column:
+    return F.expr(cents_sql(c)) if isinstance(c, str) else (c.cast("decimal(18,2)") * 100).cast("long")
+
+
+def half_up_ratio(num, den, places: int) -> Column:
+    """HALF_UP(num / den, places); num, den are SQL text or integer-valued Columns."""
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(half_up_sql(num, den, places))
+    n = _c(num).cast("decimal(38,0)") if not isinstance(num, str) else F.expr(f"CAST({num} AS DECIMAL(38,0))")
+    d = _c(den).cast("decimal(38,0)") if not isinstance(den, str) else F.expr(f"CAST({den} AS DECIMAL(38,0))")
+    scale = 10 ** places
+    a = F.lit(2) * F.abs(n) * F.lit(scale) + F.abs(d)
+    b = F.lit(2) * F.abs(d)
+    q = ((a - a % b) / b).cast("long")  # exact floor division of non-negative decimals
+    signed = F.when((n < 0) != (d < 0), -q).otherwise(q)
+    return F.when(d.isNull() | (d == 0), F.lit(None).cast("double")).otherwise(
+        signed.cast("double") / F.lit(float(scale)))
 
 
 def pct(num, den, num_scale: int = 0, den_scale: int = 0) -> Column:
-    """round(num / den * 100, 2) with the reference's guard: 0.0 unless den > 0.
+    """round(num / den * 100, 2), 0.0 unless den > 0 (SQL text or Columns).
 
-    ``num`` and ``den`` are exact values with ``num_scale`` / ``den_scale``
-    decimals (0 for counts, 2 for money).
+    ``*_scale``: decimals of a Column argument (2 for money); text arguments
+    must already be exact integers in the same unit.
     """
-    n = (_c(num) * F.lit(10 ** num_scale)).cast(WIDE) if num_scale else _c(num).cast(WIDE)
-    d = (_c(den) * F.lit(10 ** den_scale)).cast(WIDE) if den_scale else _c(den).cast(WIDE)
-    # num/den*100 = (n * 10^den_scale * 100) / (d * 10^num_scale)
-    n2 = n * F.lit(100 * 10 ** den_scale).cast(WIDE)
-    d2 = d * F.lit(10 ** num_scale).cast(WIDE)
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(pct_sql(num, den))
+    n = _c(num) * F.lit(10 ** num_scale) if num_scale else _c(num)
+    d = _c(den) * F.lit(10 ** den_scale) if den_scale else _c(den)
+    n2 = n.cast("decimal(38,0)") * F.lit(100 * 10 ** den_scale)
+    d2 = d.cast("decimal(38,0)") * F.lit(10 ** num_scale)
     return F.when(_c(den) > 0, half_up_ratio(n2, d2, 2)).otherwise(F.lit(0.0))
 
 
-def round_half_up_double(c, places: int) -> Column:
-    """Spark's own round() on doubles (HALF_UP on the shortest decimal form)."""
-    return F.round(_c(c), places)
+def avg_money(c: str, places: int = 2) -> Column:
+    return F.expr(avg_money_sql(c, places))
+
+
+def avg_int(c: str, places: int) -> Column:
+    return F.expr(avg_int_sql(c, places))
+
+
+def avg_scaled(c: str, decimals: int, places: int) -> Column:
+    return F.expr(avg_scaled_sql(c, decimals, places))
+
+
+def sum_money(c: str) -> Column:
+    return F.expr(sum_money_sql(c))

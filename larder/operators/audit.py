@@ -41,14 +41,21 @@ def _stack_values(df: DataFrame, columns: Sequence[str], cast: str | None = None
     Floating values are normalised (-0.0 -> 0.0) before a cast to text, so
     text-based distinct counts agree with numeric equality.
     """
+    types = _types(df)
+
     def expr(c):
         x = F.col(c)
-        if cast == "string" and isinstance(df.schema[c].dataType, (DoubleType, FloatType)):
+        if cast == "string" and isinstance(types[c], (DoubleType, FloatType)):
             x = x + F.lit(0.0)
         return x.cast(cast) if cast else x
     return _long(df, keep, [(c, expr(c)) for c in columns], "value")
 
 
+def _types(df: DataFrame) -> dict:
+    """Column -> data type, read once (each ``df.schema`` is a JVM round trip)."""
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
 def numeric_columns(df: DataFrame, types=(NumericType,)) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, types)]
 
@@ -70,8 +77,8 @@ def audit_overview(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 # ----------------------------------------------------------------------- nulls
 
-def _null_test(df: DataFrame, c: str) -> Column:
-    dt = df.schema[c].dataType
+def _null_test(types: dict, c: str) -> Column:
+    dt = types[c]
     if isinstance(dt, (DoubleType, FloatType)):
         return F.col(c).isNull() | F.isnan(c)
     return F.col(c).isNull()
@@ -79,9 +86,10 @@ def _null_test(df: DataFrame, c: str) -> Column:
 
 def table_nulls(df: DataFrame, name: str) -> DataFrame:
     """Columns with NULLs (NaN counts as NULL for floating columns)."""
+    types = _types(df)
     row = df.agg(F.count(F.lit(1)).alias("_total"),
-                 *[F.count_if(_null_test(df, c)).alias(c) for c in df.columns])
-    long = _long(row, ["_total"], [(c, F.col(c)) for c in df.columns], "null_count")
+                 *[F.count_if(_null_test(types, c)).alias(c) for c in types])
+    long = _long(row, ["_total"], [(c, F.col(c)) for c in types], "null_count")
     return long.where(F.col("null_count") > 0).select(
         F.lit(name).alias("table"), "column", "null_count",
         pct(F.col("null_count"), F.col("_total")).alias("null_pct"))
@@ -179,7 +187,8 @@ def audit_value_counts(tables: Mapping[str, DataFrame], columns: Mapping[str, Se
     """table, column, value, count for categorical columns (several at once)."""
     frames = []
     for name, df in tables.items():
-        cols = [c for c in columns.get(name, []) if c in df.columns]
+        present = set(df.columns)
+        cols = [c for c in columns.get(name, []) if c in present]
         if cols:
             s = _stack_values(df, cols, "string")
             frames.append(s.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
@@ -210,7 +219,8 @@ def audit_casing(tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence
     """
     frames = []
     for name, df in tables.items():
-        cols = [c for c in columns.get(name, []) if c in df.columns]
+        present = set(df.columns)
+        cols = [c for c in columns.get(name, []) if c in present]
         if not cols:
             continue
         vals = _stack_values(df, cols, "string").select("column", "value").distinct()
@@ -227,10 +237,10 @@ INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 DOUBLE_TEXT = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
-def _nonconforming(df: DataFrame, c: str, expected: str) -> Column:
+def _nonconforming(types: dict, c: str, expected: str) -> Column:
     """Rows of ``c`` whose value does not fit the ``expected`` type."""
     x = F.col(c)
-    dt = df.schema[c].dataType
+    dt = types[c]
     if isinstance(dt, StringType):
         pattern = INT_TEXT if expected in ("int", "bigint") else DOUBLE_TEXT
         return F.count_if(x.isNotNull() & ~x.rlike(pattern))
@@ -243,13 +253,14 @@ def audit_types(tables: Mapping[str, DataFrame], expected: Mapping[str, Mapping[
     """table, column, actual_type, expected_type, nonconforming_rows."""
     frames = []
     for name, df in tables.items():
-        exp = {c: t for c, t in expected.get(name, {}).items() if c in df.columns}
+        types = _types(df)
+        exp = {c: t for c, t in expected.get(name, {}).items() if c in types}
         if not exp:
             continue
-        row = df.agg(*[_nonconforming(df, c, t).alias(c) for c, t in exp.items()])
+        row = df.agg(*[_nonconforming(types, c, t).alias(c) for c, t in exp.items()])
         long = _long(row, [], [(c, F.col(c)) for c in exp], "nonconforming_rows")
         types = df.sparkSession.createDataFrame(
-            [(c, df.schema[c].dataType.simpleString(), t) for c, t in exp.items()],
+            [(c, types[c].simpleString(), t) for c, t in exp.items()],
             "column string, actual_type string, expected_type string")
         frames.append(long.join(F.broadcast(types), "column").select(
             F.lit(name).alias("table"), "column", "actual_type", "expected_type", "nonconforming_rows"))
@@ -260,7 +271,8 @@ def audit_negatives(tables: Mapping[str, DataFrame], columns: Mapping[str, Seque
     """Columns (from a list per table) holding negative values, with the count."""
     frames = []
     for name, df in tables.items():
-        cols = [c for c in columns.get(name, []) if c in df.columns]
+        present = set(df.columns)
+        cols = [c for c in columns.get(name, []) if c in present]
         if not cols:
             continue
         row = df.agg(*[F.count_if(F.col(c) < 0).alias(c) for c in cols])
@@ -297,9 +309,9 @@ def reconcile_types(pairs: Pairs) -> DataFrame:
     survive a cast to the right type (cast, then back, and compare)."""
     frames = []
     for name, (left, right) in pairs.items():
-        shared = [c for c in left.columns if c in right.columns]
-        diff = [(c, left.schema[c].dataType, right.schema[c].dataType) for c in shared
-                if left.schema[c].dataType.simpleString() != right.schema[c].dataType.simpleString()]
+        lt_, rt_ = _types(left), _types(right)
+        shared = [c for c in lt_ if c in rt_]
+        diff = [(c, lt_[c], rt_[c]) for c in shared if lt_[c].simpleString() != rt_[c].simpleString()]
         if not diff:
             continue
         aggs = []
@@ -336,9 +348,9 @@ def reconcile_profile(pairs: Pairs) -> DataFrame:
     """Shared columns whose NULL count or (numeric) min/max differ."""
     frames = []
     for name, (left, right) in pairs.items():
-        shared = [c for c in left.columns if c in right.columns]
-        numeric = {c for c in shared if isinstance(left.schema[c].dataType, NumericType)
-                   and isinstance(right.schema[c].dataType, NumericType)}
+        lt_, rt_ = _types(left), _types(right)
+        shared = [c for c in lt_ if c in rt_]
+        numeric = {c for c in shared if isinstance(lt_[c], NumericType) and isinstance(rt_[c], NumericType)}
         lp = _profile(left, shared, numeric).select(
             "column", F.col("nulls").alias("left_nulls"), F.col("lo").alias("left_min"),
             F.col("hi").alias("left_max"))
@@ -364,7 +376,8 @@ def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def reconcile_distinct(pairs: Pairs) -> DataFrame:
     frames = []
     for name, (left, right) in pairs.items():
-        shared = [c for c in left.columns if c in right.columns]
+        right_cols = set(right.columns)
+        shared = [c for c in left.columns if c in right_cols]
         ld = distinct_counts(left, shared).withColumnRenamed("distinct", "left_distinct")
         rd = distinct_counts(right, shared).withColumnRenamed("distinct", "right_distinct")
         frames.append(ld.join(rd, "column").where(F.col("left_distinct") != F.col("right_distinct"))

@@ -18,7 +18,8 @@ RESCUE_COL = "_rescued_data"
 
 def trim_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Strip leading/trailing spaces (spaces only, as SQL trim)."""
-    present = [c for c in columns if c in df.columns]
+    have = set(df.columns)
+    present = [c for c in columns if c in have]
     return df.withColumns({c: F.trim(F.col(c)) for c in present}) if present else df
 
 
@@ -74,7 +75,7 @@ def cap_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5,
         clamped[c] = F.when(x < lo, lo).when(x > hi, hi).otherwise(x.cast("double"))
     out = out.withColumns(clamped)
     if drop_underscore:
-        return out.drop(*[c for c in out.columns if c.startswith("_")])
+        return out.drop(*[c for c in out.columns if c.startswith("_")])  # one schema read
     return out.drop(*stats.columns)
 
 
@@ -86,7 +87,8 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     is reduced inside each map task instead of being sorted in one task.
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
+    all_cols = df.columns
+    rest = [c for c in all_cols if c not in keys]
     order = list(order) if order is not None else rest
     tail = [c for c in rest if c not in order]
     packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
@@ -94,4 +96,4 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     g = df.groupBy(*keys).agg(F.min(packed).alias("_best"))
     cols = {c: F.col(f"_best.o{i}") for i, c in enumerate(order)}
     cols.update({c: F.col(f"_best.t{i}") for i, c in enumerate(tail)})
-    return g.select(*[F.col(c) if c in keys else cols[c].alias(c) for c in df.columns])
+    return g.select(*[F.col(c) if c in keys else cols[c].alias(c) for c in all_cols])

@@ -9,38 +9,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import UK_HOLIDAYS, date_key, is_holiday, months_between_1dp, years_between_1dp, year_month
-from ..functions.numeric import avg_money, half_up_ratio, money, pct
+from ..functions.calendar import UK_HOLIDAYS
+from ..functions.numeric import cents_sql, from_cents_sql, half_up_sql, pct_sql
 from ..operators.rank import distributed_ntile
 
 
-def _as_of(as_of) -> Column:
-    if as_of is None:
-        return F.current_date()
-    return F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
-
-
 # ------------------------------------------------------------------ dim_date
 
 def calendar_columns(df: DataFrame, date_col: str = "date", holidays=UK_HOLIDAYS) -> DataFrame:
-    d = F.col(date_col)
-    return df.withColumns({
-        "date_key": date_key(d),
-        "year": F.year(d),
-        "quarter": F.quarter(d),
-        "month": F.month(d),
-        "month_name": F.date_format(d, "MMMM"),
-        "month_short": F.date_format(d, "MMM"),
-        "week_of_year": F.weekofyear(d),
-        "day_of_month": F.dayofmonth(d),
-        "day_of_week": F.dayofweek(d),
-        "day_name": F.date_format(d, "EEEE"),
-        "day_short": F.date_format(d, "EEE"),
-        "is_weekend": F.when(F.dayofweek(d).isin(1, 7), True).otherwise(False),
-        "is_holiday": is_holiday(d, holidays),
-        "year_month": year_month(d),
-        "year_quarter": F.concat_ws("-Q", F.year(d), F.quarter(d)),
-    })
+    d = date_col
+    by_month: dict[int, list[int]] = {}
+    for m, day in holidays:
+        by_month.setdefault(m, []).append(day)
+    holiday = " OR ".join(
+        f"(month({d}) = {m} AND dayofmonth({d}) IN ({', '.join(map(str, days))}))"
+        for m, days in by_month.items()) or "false"
+    return df.selectExpr(
+        "*",
+        f"CAST(date_format({d}, 'yyyyMMdd') AS INT) AS date_key",
+        f"year({d}) AS year", f"quarter({d}) AS quarter", f"month({d}) AS month",
+        f"date_format({d}, 'MMMM') AS month_name", f"date_format({d}, 'MMM') AS month_short",
+        f"weekofyear({d}) AS week_of_year", f"dayofmonth({d}) AS day_of_month",
+        f"dayofweek({d}) AS day_of_week", f"date_format({d}, 'EEEE') AS day_name",
+        f"date_format({d}, 'EEE') AS day_short",
+        f"dayofweek({d}) IN (1, 7) AS is_weekend",
+        f"coalesce({holiday}, false) AS is_holiday",
+        f"date_format({d}, 'yyyy-MM') AS year_month",
+        f"concat_ws('-Q', year({d}), quarter({d})) AS year_quarter")
 
 
 def dim_date(spark: SparkSession, start: str = "2023-01-01", end: str = "2026-12-31",
@@ -66,62 +61,53 @@ def dim_date_spanning(df: DataFrame, date_col: str, holidays=UK_HOLIDAYS) -> Dat
 
 # ------------------------------------------------------------ dim_restaurant
 
-def dim_restaurant(restaurants: DataFrame, as_of=None) -> DataFrame:
-    return restaurants.select(
-        F.col("restaurant_id").alias("restaurant_key"),
-        "restaurant_id", "restaurant_name", "address", "postcode",
-        F.upper("area").alias("area"),
-        "opening_date",
-        F.col("seating_capacity").cast("int").alias("seating_capacity"),
-        F.col("delivery_radius_miles").cast("int").alias("delivery_radius_miles"),
-        "phone_number",
-    ).withColumns({
-        "years_in_operation": years_between_1dp(_as_of(as_of), F.col("opening_date")),
-        "size_band": F.when(F.col("seating_capacity") < 60, "Small")
-        .when(F.col("seating_capacity") < 80, "Medium").otherwise("Large"),
-    })
+def _as_of_sql(as_of) -> str:
+    return "current_date()" if as_of is None else f"DATE'{as_of}'"
+
+
+def months_between_e8_sql(later: str, earlier: str) -> str:
+    """months_between (already rounded to 8 places) as an exact count of 1e-8 months."""
+    return f"CAST(round(months_between({later}, {earlier}) * 1e8) AS BIGINT)"
+
+
+def dim_restaurant(restaurants: DataFrame, as_of: str | None = None) -> DataFrame:
+    years = half_up_sql(months_between_e8_sql(_as_of_sql(as_of), "opening_date"), str(12 * 10 ** 8), 1)
+    return restaurants.selectExpr(
+        "restaurant_id AS restaurant_key", "restaurant_id", "restaurant_name", "address", "postcode",
+        "upper(area) AS area", "opening_date", "CAST(seating_capacity AS INT) AS seating_capacity",
+        "CAST(delivery_radius_miles AS INT) AS delivery_radius_miles", "phone_number",
+        f"{years} AS years_in_operation",
+        "CASE WHEN seating_capacity < 60 THEN 'Small' WHEN seating_capacity < 80 THEN 'Medium' "
+        "ELSE 'Large' END AS size_band")
 
 
 # -------------------------------------------------------------- dim_customer
 
 def conformed_customers(customers: DataFrame) -> DataFrame:
-    return customers.select(
-        F.col("customer_id").alias("customer_key"),
-        "customer_id", "first_name", "last_name",
-        F.concat_ws(" ", "first_name", "last_name").alias("full_name"),
-        F.lower("email").alias("email"),
-        "phone",
-        F.upper("postcode").alias("postcode"),
-        F.to_date("join_date").alias("join_date"),
-        F.initcap("customer_segment").alias("customer_segment"),
-        F.initcap("preferred_category").alias("preferred_category"),
-        F.initcap("preferred_order_type").alias("preferred_order_type"),
-        F.col("avg_order_value").cast("double").alias("avg_order_value"),
-        F.col("is_active").cast("boolean").alias("is_active"),
-    )
+    return customers.selectExpr(
+        "customer_id AS customer_key", "customer_id", "first_name", "last_name",
+        "concat_ws(' ', first_name, last_name) AS full_name", "lower(email) AS email", "phone",
+        "upper(postcode) AS postcode", "to_date(join_date) AS join_date",
+        "initcap(customer_segment) AS customer_segment", "initcap(preferred_category) AS preferred_category",
+        "initcap(preferred_order_type) AS preferred_order_type",
+        "CAST(avg_order_value AS DOUBLE) AS avg_order_value", "CAST(is_active AS BOOLEAN) AS is_active")
 
 
 def customer_order_summary(orders: DataFrame, status: str = "Completed") -> DataFrame:
-    """Per customer over orders with ``status``: count, exact spend, first/last date.
-
-    ``total_spent_dec`` / ``spent_cents`` keep the sum exact for later rounding.
-    """
+    """Per customer over orders with ``status``: count, exact spend (cents), first/last date."""
     return orders.where(F.col("order_status") == status).groupBy("customer_id").agg(
-        F.count("order_id").alias("orders_cnt"),
-        F.sum(money("total_amount")).alias("total_spent_dec"),
-        F.count("total_amount").alias("amount_cnt"),
-        F.max(F.to_date("order_date")).alias("last_order_date"),
-        F.min(F.to_date("order_date")).alias("first_order_date"),
+        F.expr("count(order_id) AS orders_cnt"),
+        F.expr(f"sum({cents_sql('total_amount')}) AS spent_c"),
+        F.expr("count(total_amount) AS amount_cnt"),
+        F.expr("max(to_date(order_date)) AS last_order_date"),
+        F.expr("min(to_date(order_date)) AS first_order_date"),
     )
 
 
-def customer_recency(customers: DataFrame, summary: DataFrame, as_of=None) -> DataFrame:
+def customer_recency(customers: DataFrame, summary: DataFrame, as_of: str | None = None) -> DataFrame:
     """Customers left-joined to their order summary, with recency in days."""
-    joined = customers.join(summary, "customer_id", "left")
-    return joined.withColumn(
-        "recency_days",
-        F.datediff(_as_of(as_of), F.coalesce(F.col("last_order_date"), F.col("join_date"))),
-    )
+    return customers.join(summary, "customer_id", "left").selectExpr(
+        "*", f"datediff({_as_of_sql(as_of)}, coalesce(last_order_date, join_date)) AS recency_days")
 
 
 RFM_DIRECTIONS = ("as_reference", "high_is_best")
@@ -143,36 +129,37 @@ def rfm_scores(df: DataFrame, key: str = "customer_id", direction: str = "as_ref
         orders = {
             "_r": [F.col("recency_days").asc(), F.col(key).asc()],
             "_f": [F.col("orders_cnt").desc_nulls_last(), F.col(key).asc()],
-            "_m": [F.col("total_spent_dec").desc_nulls_last(), F.col(key).asc()],
+            "_m": [F.col("spent_c").desc_nulls_last(), F.col(key).asc()],
         }
     else:
         orders = {
             "_r": [F.col("recency_days").desc(), F.col(key).asc()],
             "_f": [F.col("orders_cnt").asc_nulls_first(), F.col(key).asc()],
-            "_m": [F.col("total_spent_dec").asc_nulls_first(), F.col(key).asc()],
+            "_m": [F.col("spent_c").asc_nulls_first(), F.col(key).asc()],
         }
     out = df
     for name, order in orders.items():
         out = distributed_ntile(out, k, order, name, num_partitions)
-    no_orders = F.col("orders_cnt").isNull()
-    return out.withColumns({
-        "r_score": F.when(no_orders, F.lit(1)).otherwise(F.col("_r")),
-        "f_score": F.when(no_orders, F.lit(1)).otherwise(F.col("_f")),
-        "m_score": F.when(F.col("total_spent_dec").isNull(), F.lit(1)).otherwise(F.col("_m")),
-    }).drop("_r", "_f", "_m")
-
-
-def rfm_segment(r="r_score", f="f_score", m="m_score") -> Column:
-    """First matching rule wins."""
-    r, f, m = F.col(r), F.col(f), F.col(m)
-    return (
-        F.when((r >= 4) & (f >= 4) & (m >= 4), "Champion")
-        .when((r >= 3) & (f >= 4), "Loyal")
-        .when((r >= 4) & (f <= 2), "New / Promising")
-        .when((r <= 2) & (f >= 4), "At Risk")
-        .when((r <= 2) & (f <= 2), "Lost")
-        .otherwise("Need Attention")
-    )
+    return out.selectExpr(
+        "* EXCEPT (_r, _f, _m)",
+        "CASE WHEN orders_cnt IS NULL THEN 1 ELSE _r END AS r_score",
+        "CASE WHEN orders_cnt IS NULL THEN 1 ELSE _f END AS f_score",
+        "CASE WHEN spent_c IS NULL THEN 1 ELSE _m END AS m_score")
+
+
+RFM_SEGMENT_SQL = (
+    "CASE WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'Champion' "
+    "WHEN r_score >= 3 AND f_score >= 4 THEN 'Loyal' "
+    "WHEN r_score >= 4 AND f_score <= 2 THEN 'New / Promising' "
+    "WHEN r_score <= 2 AND f_score >= 4 THEN 'At Risk' "
+    "WHEN r_score <= 2 AND f_score <= 2 THEN 'Lost' "
+    "ELSE 'Need Attention' END"
+)
+
+
+def rfm_segment() -> Column:
+    """Segment from r/f/m scores; the first matching rule wins."""
+    return F.expr(RFM_SEGMENT_SQL)
 
 
 def customer_ltv_columns(df: DataFrame) -> DataFrame:
@@ -181,86 +168,57 @@ def customer_ltv_columns(df: DataFrame) -> DataFrame:
     CLV = average completed spend x completed orders, i.e. the exact completed
     spend; a customer without orders gets avg_order_value x 0 = 0.0.
     """
-    has = F.col("orders_cnt").isNotNull()
-    spent = F.col("total_spent_dec")
-    return df.withColumns({
-        "total_orders": F.coalesce(F.col("orders_cnt"), F.lit(0)).cast("int"),
-        "total_spent": F.coalesce(spent.cast("double"), F.lit(0.0)),
-        "avg_order_value_actual": F.coalesce(
-            half_up_ratio((spent * F.lit(100)).cast("decimal(38,0)"), F.col("amount_cnt") * F.lit(100), 2),
-            F.lit(0.0)),
-        "customer_lifetime_value": F.when(has, spent.cast("double")).when(
-            F.col("avg_order_value").isNotNull(), F.lit(0.0)),
-    })
-
-
-def dim_customer(customers: DataFrame, orders: DataFrame, as_of=None,
+    return df.selectExpr(
+        "*",
+        "CAST(coalesce(orders_cnt, 0) AS INT) AS total_orders",
+        f"coalesce({from_cents_sql('spent_c')}, 0.0D) AS total_spent",
+        f"coalesce({half_up_sql('spent_c', 'amount_cnt * 100', 2)}, 0.0D) AS avg_order_value_actual",
+        f"CASE WHEN orders_cnt IS NOT NULL THEN {from_cents_sql('spent_c')} "
+        f"WHEN avg_order_value IS NOT NULL THEN 0.0D END AS customer_lifetime_value")
+
+
+def dim_customer(customers: DataFrame, orders: DataFrame, as_of: str | None = None,
                  direction: str = "as_reference") -> DataFrame:
     base = conformed_customers(customers)
-    summary = customer_order_summary(orders)
-    joined = customer_recency(base, summary, as_of)
+    joined = customer_recency(base, customer_order_summary(orders), as_of)
     scored = rfm_scores(joined, "customer_id", direction)
-    scored = scored.withColumn("rfm_segment", rfm_segment())
-    out = customer_ltv_columns(scored).withColumn(
-        "rfm_score", F.concat_ws("", "r_score", "f_score", "m_score"))
-    return out.drop("orders_cnt", "total_spent_dec", "amount_cnt")
+    out = customer_ltv_columns(scored)
+    return out.selectExpr(
+        "* EXCEPT (orders_cnt, spent_c, amount_cnt)",
+        f"{RFM_SEGMENT_SQL} AS rfm_segment",
+        "concat_ws('', r_score, f_score, m_score) AS rfm_score")
 
 
 # ------------------------------------------------------------- dim_menu_item
 
 def dim_menu_item(menu_items: DataFrame) -> DataFrame:
-    base = menu_items.select(
-        F.col("item_id").alias("item_key"),
-        "item_id",
-        F.col("restaurant_id").cast("int").alias("restaurant_id"),
-        "item_name", "category", "sub_category",
-        F.col("price").cast("double").alias("price"),
-        F.col("cost_to_make").cast("double").alias("cost_to_make"),
-        F.col("preparation_time_mins").cast("int").alias("preparation_time_mins"),
-        F.col("is_vegetarian").cast("boolean").alias("is_vegetarian"),
-        F.col("is_vegan").cast("boolean").alias("is_vegan"),
-        F.col("is_gluten_free").cast("boolean").alias("is_gluten_free"),
-        F.col("calories").cast("int").alias("calories"),
-    )
-    margin = money("price") - money("cost_to_make")
-    return base.withColumns({
-        "gross_margin_gbp": margin.cast("double"),
-        "gross_margin_pct": pct(margin, money("price"), 2, 2),
-        "dietary_flags": F.concat_ws(
-            ",",
-            F.when(F.col("is_vegetarian"), F.lit("Vegetarian")),
-            F.when(F.col("is_vegan"), F.lit("Vegan")),
-            F.when(F.col("is_gluten_free"), F.lit("Gluten-Free")),
-        ),
-    })
+    margin_c = f"({cents_sql('price')} - {cents_sql('cost_to_make')})"
+    return menu_items.selectExpr(
+        "item_id AS item_key", "item_id", "CAST(restaurant_id AS INT) AS restaurant_id",
+        "item_name", "category", "sub_category", "CAST(price AS DOUBLE) AS price",
+        "CAST(cost_to_make AS DOUBLE) AS cost_to_make",
+        "CAST(preparation_time_mins AS INT) AS preparation_time_mins",
+        "CAST(is_vegetarian AS BOOLEAN) AS is_vegetarian", "CAST(is_vegan AS BOOLEAN) AS is_vegan",
+        "CAST(is_gluten_free AS BOOLEAN) AS is_gluten_free", "CAST(calories AS INT) AS calories",
+        f"{from_cents_sql(margin_c)} AS gross_margin_gbp",
+        f"{pct_sql(margin_c, cents_sql('price'), 'price')} AS gross_margin_pct",
+        "concat_ws(',', CASE WHEN is_vegetarian THEN 'Vegetarian' END, CASE WHEN is_vegan THEN 'Vegan' END, "
+        "CASE WHEN is_gluten_free THEN 'Gluten-Free' END) AS dietary_flags")
 
 
 # -------------------------------------------------------------- dim_employee
 
-def dim_employee(employees: DataFrame, as_of=None) -> DataFrame:
-    base = employees.select(
-        F.col("employee_id").alias("employee_key"),
-        "employee_id",
-        F.col("restaurant_id").cast("int").alias("restaurant_id"),
-        "first_name", "last_name",
-        F.concat_ws(" ", "first_name", "last_name").alias("full_name"),
-        F.regexp_replace(F.initcap("position"), "_", " ").alias("position"),
-        F.to_date("hire_date").alias("hire_date"),
-        F.to_date("leave_date").alias("leave_date"),
-        F.col("salary_per_hour").cast("double").alias("salary_per_hour"),
-        F.col("hours_per_week").cast("int").alias("hours_per_week"),
-        "employment_status", "reason_for_leaving",
-        F.col("performance_rating").cast("double").alias("performance_rating"),
-    )
-    return base.withColumns({
-        "tenure_months": months_between_1dp(F.coalesce(F.col("leave_date"), _as_of(as_of)), F.col("hire_date")),
-        "is_active": F.when(F.col("employment_status") == "Active", True).otherwise(False),
-        "weekly_cost_gbp": (money("salary_per_hour") * F.col("hours_per_week")).cast("double"),
-    })
-
-
-__all__ = [
-    "calendar_columns", "dim_date", "dim_date_spanning", "dim_restaurant", "conformed_customers",
-    "customer_order_summary", "customer_recency", "rfm_scores", "rfm_segment",
-    "customer_ltv_columns", "dim_customer", "dim_menu_item", "dim_employee", "avg_money",
-]
+def dim_employee(employees: DataFrame, as_of: str | None = None) -> DataFrame:
+    base = employees.selectExpr(
+        "employee_id AS employee_key", "employee_id", "CAST(restaurant_id AS INT) AS restaurant_id",
+        "first_name", "last_name", "concat_ws(' ', first_name, last_name) AS full_name",
+        "regexp_replace(initcap(position), '_', ' ') AS position",
+        "to_date(hire_date) AS hire_date", "to_date(leave_date) AS leave_date",
+        "CAST(salary_per_hour AS DOUBLE) AS salary_per_hour", "CAST(hours_per_week AS INT) AS hours_per_week",
+        "employment_status", "reason_for_leaving", "CAST(performance_rating AS DOUBLE) AS performance_rating")
+    tenure = half_up_sql(
+        months_between_e8_sql(f"coalesce(leave_date, {_as_of_sql(as_of)})", "hire_date"), str(10 ** 8), 1)
+    return base.selectExpr(
+        "*", f"{tenure} AS tenure_months",
+        "coalesce(employment_status = 'Active', false) AS is_active",
+        f"{from_cents_sql(cents_sql('salary_per_hour') + ' * hours_per_week')} AS weekly_cost_gbp")

@@ -1,8 +1,9 @@
 """Fact tables: orders, order lines, deliveries, daily inventory, daily operations.
 
-Money is derived exactly (DECIMAL(18,2)) and exposed as double, matching the
+Money is derived exactly (integer cents) and exposed as double, matching the
 reference's column types. Keys stay as they arrive (64-bit ids are not
-narrowed to int: at large scale they do not fit).
+narrowed to int: at large scale they do not fit). Each projection is one
+``selectExpr`` so a fact costs one JVM call to declare.
 """
 
 from __future__ import annotations
@@ -12,48 +13,54 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.calendar import date_key, year_month
-from ..functions.numeric import cents, half_up_ratio, money, pct
+from ..functions.numeric import cents_sql, from_cents_sql, half_up_sql, pct_sql
+
+
+def date_key_sql(x: str) -> str:
+    return f"CAST(date_format({x}, 'yyyyMMdd') AS INT)"
+
+
+def year_month_sql(x: str) -> str:
+    return f"date_format({x}, 'yyyy-MM')"
+
+
+def flag_sql(x: str, value: str) -> str:
+    """True when x equals value; NULL counts as False."""
+    return f"coalesce({x} = '{value}', false)"
+
+
+ORDER_COLUMNS = [
+    "order_id", "CAST(restaurant_id AS INT) AS restaurant_id", "customer_id",
+    "to_date(order_date) AS order_date", "order_time", "order_type", "payment_method", "order_status",
+    "delivery_postcode", "CAST(delivery_distance_miles AS DOUBLE) AS delivery_distance_miles",
+    "CAST(delivery_time_mins AS INT) AS delivery_time_mins", "CAST(total_amount AS DOUBLE) AS total_amount",
+    "CAST(customer_rating AS INT) AS customer_rating",
+]
 
 
 def order_line_summary(order_details: DataFrame) -> DataFrame:
     """Per order: number of lines and total quantity (pre-aggregated before the join)."""
     return order_details.groupBy("order_id").agg(
-        F.count("order_detail_id").alias("line_item_count"),
-        F.sum("quantity").alias("total_quantity"),
-    )
+        F.expr("count(order_detail_id) AS line_item_count"), F.expr("sum(quantity) AS total_quantity"))
 
 
 def fct_orders(orders: DataFrame, order_details: DataFrame) -> DataFrame:
-    base = orders.select(
-        "order_id",
-        F.col("restaurant_id").cast("int").alias("restaurant_id"),
-        "customer_id",
-        F.to_date("order_date").alias("order_date"),
-        F.col("order_time").alias("order_time"),
-        "order_type", "payment_method", "order_status", "delivery_postcode",
-        F.col("delivery_distance_miles").cast("double").alias("delivery_distance_miles"),
-        F.col("delivery_time_mins").cast("int").alias("delivery_time_mins"),
-        F.col("total_amount").cast("double").alias("total_amount"),
-        F.col("customer_rating").cast("int").alias("customer_rating"),
-    )
+    base = orders.selectExpr(*ORDER_COLUMNS)
     df = base.join(order_line_summary(order_details), "order_id", "left")
-    status, otype, d = F.col("order_status"), F.col("order_type"), F.col("order_date")
-    return df.withColumns({
-        "line_item_count": F.coalesce(F.col("line_item_count"), F.lit(0)).cast("int"),
-        "total_quantity": F.coalesce(F.col("total_quantity"), F.lit(0)).cast("int"),
-        "date_key": date_key(d),
-        "year": F.year(d),
-        "month": F.month(d),
-        "year_month": year_month(d),
-        "day_of_week": F.dayofweek(d),
-        "hour_of_day": F.hour("order_time"),
-        "is_completed": F.when(status == "Completed", True).otherwise(False),
-        "is_cancelled": F.when(status == "Cancelled", True).otherwise(False),
-        "is_refunded": F.when(status == "Refunded", True).otherwise(False),
-        "is_delivery": F.when(otype == "Delivery", True).otherwise(False),
-        "is_eat_in": F.when(otype == "Eat-in", True).otherwise(False),
-    })
+    return df.selectExpr(
+        *[c.split(" AS ")[-1] for c in ORDER_COLUMNS],
+        "CAST(coalesce(line_item_count, 0) AS INT) AS line_item_count",
+        "CAST(coalesce(total_quantity, 0) AS INT) AS total_quantity",
+        f"{date_key_sql('order_date')} AS date_key",
+        "year(order_date) AS year", "month(order_date) AS month",
+        f"{year_month_sql('order_date')} AS year_month",
+        "dayofweek(order_date) AS day_of_week", "hour(order_time) AS hour_of_day",
+        f"{flag_sql('order_status', 'Completed')} AS is_completed",
+        f"{flag_sql('order_status', 'Cancelled')} AS is_cancelled",
+        f"{flag_sql('order_status', 'Refunded')} AS is_refunded",
+        f"{flag_sql('order_type', 'Delivery')} AS is_delivery",
+        f"{flag_sql('order_type', 'Eat-in')} AS is_eat_in",
+    )
 
 
 def fct_order_items(order_details: DataFrame, orders: DataFrame, menu_items: DataFrame,
@@ -63,75 +70,54 @@ def fct_order_items(order_details: DataFrame, orders: DataFrame, menu_items: Dat
     ``menu_keys`` is the menu join key; the reference joins on item_id alone,
     which fans lines out if an item id repeats across restaurants (pass
     ``("item_id", "restaurant_id")`` to join on the declared key).
+    The dimension sides are not hinted: AQE broadcasts them at run time when
+    their measured size is under the threshold and shuffles otherwise.
     """
-    details = order_details.select(
-        "order_detail_id", "order_id", "item_id",
-        F.col("quantity").cast("int").alias("quantity"),
-        F.col("item_price_at_time").cast("double").alias("item_price_at_time"),
-        "special_instructions",
-    )
-    head = orders.select(
-        "order_id",
-        F.col("restaurant_id").cast("int").alias("restaurant_id"),
-        "customer_id",
-        F.to_date("order_date").alias("order_date"),
-        "order_type", "order_status",
-    )
-    menu_cols = ["item_id", "restaurant_id"] if "restaurant_id" in menu_keys else ["item_id"]
-    menu = menu_items.select(
-        *[F.col(c).cast("int").alias(c) if c == "restaurant_id" else F.col(c) for c in menu_cols],
-        F.col("cost_to_make").cast("double").alias("cost_to_make"),
-        "category", "sub_category",
-    )
+    details = order_details.selectExpr(
+        "order_detail_id", "order_id", "item_id", "CAST(quantity AS INT) AS quantity",
+        "CAST(item_price_at_time AS DOUBLE) AS item_price_at_time", "special_instructions")
+    head = orders.selectExpr(
+        "order_id", "CAST(restaurant_id AS INT) AS restaurant_id", "customer_id",
+        "to_date(order_date) AS order_date", "order_type", "order_status")
+    menu_cols = ["item_id", "CAST(restaurant_id AS INT) AS restaurant_id"] if "restaurant_id" in menu_keys \
+        else ["item_id"]
+    menu = menu_items.selectExpr(*menu_cols, "CAST(cost_to_make AS DOUBLE) AS cost_to_make",
+                                 "category", "sub_category")
     df = details.join(head, "order_id", "left").join(menu, list(menu_keys), "left")
-    q = F.col("quantity")
-    return df.withColumns({
-        "line_revenue": (money("item_price_at_time") * q).cast("double"),
-        "line_cost": (money("cost_to_make") * q).cast("double"),
-        "line_margin": ((money("item_price_at_time") - money("cost_to_make")) * q).cast("double"),
-        "date_key": date_key("order_date"),
-    })
+    price, cost = cents_sql("item_price_at_time"), cents_sql("cost_to_make")
+    return df.selectExpr(
+        "*",
+        f"{from_cents_sql(f'{price} * quantity')} AS line_revenue",
+        f"{from_cents_sql(f'{cost} * quantity')} AS line_cost",
+        f"{from_cents_sql(f'({price} - {cost}) * quantity')} AS line_margin",
+        f"{date_key_sql('order_date')} AS date_key",
+    )
 
 
 def fct_delivery(delivery_performance: DataFrame) -> DataFrame:
-    base = delivery_performance.select(
-        "delivery_id", "order_id",
-        F.col("restaurant_id").cast("int").alias("restaurant_id"),
-        "driver_id", "dispatch_time", "delivery_time",
-        F.col("distance_miles").cast("double").alias("distance_miles"),
+    return delivery_performance.selectExpr(
+        "delivery_id", "order_id", "CAST(restaurant_id AS INT) AS restaurant_id", "driver_id",
+        "dispatch_time", "delivery_time", "CAST(distance_miles AS DOUBLE) AS distance_miles",
         "traffic_condition", "weather_condition", "delivery_status",
+        f"{half_up_sql('timestampdiff(SECOND, dispatch_time, delivery_time)', '60', 2)} AS delivery_minutes",
+        "to_date(dispatch_time) AS delivery_date",
+        f"{date_key_sql('dispatch_time')} AS date_key",
+        f"{flag_sql('delivery_status', 'On_Time')} AS is_on_time",
+        f"{flag_sql('delivery_status', 'Delayed')} AS is_delayed",
+        f"{flag_sql('delivery_status', 'Cancelled')} AS is_cancelled",
     )
-    secs = F.timestamp_diff("SECOND", F.col("dispatch_time"), F.col("delivery_time"))
-    status = F.col("delivery_status")
-    return base.withColumns({
-        "delivery_minutes": half_up_ratio(secs, F.lit(60), 2),
-        "delivery_date": F.to_date("dispatch_time"),
-        "date_key": date_key("dispatch_time"),
-        "is_on_time": F.when(status == "On_Time", True).otherwise(False),
-        "is_delayed": F.when(status == "Delayed", True).otherwise(False),
-        "is_cancelled": F.when(status == "Cancelled", True).otherwise(False),
-    })
 
 
 def fct_inventory_daily(inventory: DataFrame) -> DataFrame:
-    base = inventory.select(
-        "inventory_id", "restaurant_id",
-        F.to_date("date").alias("date"),
-        "item_id",
-        F.col("opening_stock").cast("int").alias("opening_stock"),
-        F.col("received_stock").cast("int").alias("received_stock"),
-        F.col("used_stock").cast("int").alias("used_stock"),
-        F.coalesce(F.col("waste_stock"), F.lit(0)).cast("int").alias("waste_stock"),
-        F.col("closing_stock").cast("int").alias("closing_stock"),
-        F.col("stock_value").cast("double").alias("stock_value"),
-        F.coalesce(F.col("waste_value"), F.lit(0.0)).cast("double").alias("waste_value"),
-    )
-    moved = F.col("used_stock") + F.col("waste_stock")
-    return base.withColumns({
-        "date_key": date_key("date"),
-        "year_month": year_month("date"),
-        "waste_pct": pct(F.col("waste_stock"), moved),
-    })
+    base = inventory.selectExpr(
+        "inventory_id", "restaurant_id", "to_date(date) AS date", "item_id",
+        "CAST(opening_stock AS INT) AS opening_stock", "CAST(received_stock AS INT) AS received_stock",
+        "CAST(used_stock AS INT) AS used_stock", "CAST(coalesce(waste_stock, 0) AS INT) AS waste_stock",
+        "CAST(closing_stock AS INT) AS closing_stock", "CAST(stock_value AS DOUBLE) AS stock_value",
+        "CAST(coalesce(waste_value, 0.0) AS DOUBLE) AS waste_value")
+    return base.selectExpr(
+        "*", f"{date_key_sql('date')} AS date_key", f"{year_month_sql('date')} AS year_month",
+        f"{pct_sql('waste_stock', 'used_stock + waste_stock')} AS waste_pct")
 
 
 OPS_COSTS = ("electricity_cost", "water_cost", "gas_cost", "maintenance_cost", "other_bills_cost")
@@ -140,24 +126,17 @@ OPS_COUNTS = ("total_customers_eat_in", "total_customers_delivery", "total_order
 
 
 def fct_daily_ops(daily_operations: DataFrame) -> DataFrame:
-    base = daily_operations.select(
-        "operation_id",
-        F.col("restaurant_id").cast("int").alias("restaurant_id"),
-        F.to_date("date").alias("date"),
-        *[F.col(c).cast("int").alias(c) for c in OPS_COUNTS],
-        *[F.col(c).cast("double").alias(c) for c in OPS_COSTS],
-        F.col("daily_revenue").cast("double").alias("daily_revenue"),
+    base = daily_operations.selectExpr(
+        "operation_id", "CAST(restaurant_id AS INT) AS restaurant_id", "to_date(date) AS date",
+        *[f"CAST({c} AS INT) AS {c}" for c in OPS_COUNTS],
+        *[f"CAST({c} AS DOUBLE) AS {c}" for c in OPS_COSTS],
+        "CAST(daily_revenue AS DOUBLE) AS daily_revenue")
+    total_cost = " + ".join(cents_sql(c) for c in OPS_COSTS)
+    customers = "total_customers_eat_in + total_customers_delivery"
+    return base.selectExpr(
+        "*", f"{date_key_sql('date')} AS date_key", f"{year_month_sql('date')} AS year_month",
+        f"{customers} AS total_customers",
+        f"{from_cents_sql(total_cost)} AS total_operating_cost",
+        f"(CASE WHEN {customers} > 0 THEN {half_up_sql(cents_sql('daily_revenue'), f'({customers}) * 100', 2)} "
+        f"ELSE 0.0D END) AS revenue_per_customer",
     )
-    total_cost = money(OPS_COSTS[0])
-    for c in OPS_COSTS[1:]:
-        total_cost = total_cost + money(c)
-    customers = F.col("total_customers_eat_in") + F.col("total_customers_delivery")
-    return base.withColumns({
-        "date_key": date_key("date"),
-        "year_month": year_month("date"),
-        "total_customers": customers,
-        "total_operating_cost": total_cost.cast("double"),
-        "revenue_per_customer": F.when(
-            customers > 0, half_up_ratio(cents("daily_revenue"), customers * F.lit(100), 2)
-        ).otherwise(F.lit(0.0)),
-    })

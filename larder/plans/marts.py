@@ -2,8 +2,10 @@
 
 Status scope follows the reference: monthly revenue, hourly demand and cohorts
 count completed orders only; category, restaurant and item marts count every
-order status. Sums of money are exact; rounded means and percentages are
-HALF_UP of the exact quotient (functions.numeric).
+order status. Money is summed exactly as integer cents (fast long aggregation);
+rounded means and percentages are HALF_UP of the exact quotient
+(functions.numeric). Every aggregate pre-aggregates map-side (partial
+HashAggregate) before its shuffle.
 """
 
 from __future__ import annotations
@@ -11,155 +13,130 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import avg_int, avg_money, avg_scaled, money, pct
+from ..functions.numeric import (avg_int_sql, avg_money_sql, avg_scaled_sql, cents_sql, from_cents_sql,
+                                 pct_sql, sum_money_sql)
 from ..operators.rank import quantile_table
 
 
-def _flag_count(c: str):
-    return F.sum(F.when(F.col(c), 1).otherwise(0))
+def _agg(df: DataFrame, keys, *exprs: str) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(e) for e in exprs])
+
+
+def _flag_count_sql(c: str) -> str:
+    return f"sum(CASE WHEN {c} THEN 1 ELSE 0 END)"
 
 
 def agg_revenue_monthly(fct_orders: DataFrame, fct_order_items: DataFrame) -> DataFrame:
-    orders = fct_orders.where(F.col("is_completed"))
-    per_order = fct_order_items.groupBy("order_id").agg(
-        F.sum(money("line_margin")).alias("order_margin"),
-        F.sum(money("line_cost")).alias("order_cost"),
-    )
-    g = orders.join(per_order, "order_id", "left").groupBy("year", "month", "year_month").agg(
-        F.count("order_id").alias("total_orders"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.sum(money("total_amount")).alias("_rev"),
-        avg_money("total_amount").alias("aov"),
-        F.sum("order_margin").alias("_gm"),
-        F.sum("order_cost").alias("_cogs"),
-        F.sum("total_quantity").alias("items_sold"),
-    )
-    return g.select(
+    orders = fct_orders.where("is_completed")
+    per_order = _agg(fct_order_items, ["order_id"],
+                     f"sum({cents_sql('line_margin')}) AS order_margin_c",
+                     f"sum({cents_sql('line_cost')}) AS order_cost_c")
+    g = _agg(orders.join(per_order, "order_id", "left"), ["year", "month", "year_month"],
+             "count(order_id) AS total_orders",
+             "count(DISTINCT customer_id) AS unique_customers",
+             f"sum({cents_sql('total_amount')}) AS _rev",
+             f"{avg_money_sql('total_amount')} AS aov",
+             "sum(order_margin_c) AS _gm", "sum(order_cost_c) AS _cogs",
+             "sum(total_quantity) AS items_sold")
+    return g.selectExpr(
         "year", "month", "year_month", "total_orders", "unique_customers",
-        F.col("_rev").cast("double").alias("revenue"),
-        "aov",
-        F.col("_gm").cast("double").alias("gross_margin"),
-        F.col("_cogs").cast("double").alias("total_cogs"),
-        "items_sold",
-        pct(F.col("_gm"), F.col("_rev"), 2, 2).alias("gross_margin_pct"),
+        f"{from_cents_sql('_rev')} AS revenue", "aov",
+        f"{from_cents_sql('_gm')} AS gross_margin", f"{from_cents_sql('_cogs')} AS total_cogs",
+        "items_sold", f"{pct_sql('_gm', '_rev')} AS gross_margin_pct",
     ).orderBy("year", "month")
 
 
 def agg_revenue_by_category(fct_order_items: DataFrame) -> DataFrame:
-    g = fct_order_items.groupBy("category", "sub_category").agg(
-        F.sum(money("line_revenue")).alias("_rev"),
-        F.sum(money("line_cost")).alias("_cost"),
-        F.sum(money("line_margin")).alias("_margin"),
-        F.sum("quantity").alias("units_sold"),
-        F.count("order_detail_id").alias("line_items"),
-    )
-    return g.select(
-        "category", "sub_category",
-        F.col("_rev").cast("double").alias("revenue"),
-        F.col("_cost").cast("double").alias("cost"),
-        F.col("_margin").cast("double").alias("margin"),
-        "units_sold", "line_items",
-        pct(F.col("_margin"), F.col("_rev"), 2, 2).alias("margin_pct"),
-    )
+    g = _agg(fct_order_items, ["category", "sub_category"],
+             f"sum({cents_sql('line_revenue')}) AS _rev",
+             f"sum({cents_sql('line_cost')}) AS _cost",
+             f"sum({cents_sql('line_margin')}) AS _margin",
+             "sum(quantity) AS units_sold", "count(order_detail_id) AS line_items")
+    return g.selectExpr(
+        "category", "sub_category", f"{from_cents_sql('_rev')} AS revenue",
+        f"{from_cents_sql('_cost')} AS cost", f"{from_cents_sql('_margin')} AS margin",
+        "units_sold", "line_items", f"{pct_sql('_margin', '_rev')} AS margin_pct")
 
 
 def restaurant_margin(fct_order_items: DataFrame) -> DataFrame:
-    """Two-level aggregation: margin per (restaurant, order), then per restaurant."""
-    return (
-        fct_order_items.groupBy("restaurant_id", "order_id")
-        .agg(F.sum(money("line_margin")).alias("order_margin"))
-        .groupBy("restaurant_id")
-        .agg(F.sum("order_margin").alias("gross_margin_dec"))
-    )
+    """Two-level aggregation: margin per (restaurant, order), then per restaurant (cents)."""
+    per_order = _agg(fct_order_items, ["restaurant_id", "order_id"],
+                     f"sum({cents_sql('line_margin')}) AS order_margin_c")
+    return _agg(per_order, ["restaurant_id"], "sum(order_margin_c) AS gross_margin_c")
 
 
 def two_level_margin(fct_order_items: DataFrame) -> DataFrame:
-    return restaurant_margin(fct_order_items).select(
-        "restaurant_id", F.col("gross_margin_dec").cast("double").alias("gross_margin"))
+    return restaurant_margin(fct_order_items).selectExpr(
+        "restaurant_id", f"{from_cents_sql('gross_margin_c')} AS gross_margin")
 
 
 def agg_restaurant_performance(fct_orders: DataFrame, fct_order_items: DataFrame) -> DataFrame:
-    kpis = fct_orders.groupBy("restaurant_id").agg(
-        F.count("order_id").alias("total_orders"),
-        F.sum(money("total_amount")).alias("_rev"),
-        avg_money("total_amount").alias("aov"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        _flag_count("is_delivery").alias("delivery_orders"),
-        _flag_count("is_eat_in").alias("eat_in_orders"),
-        avg_int(F.when(F.col("is_completed"), F.col("customer_rating")), 2).alias("avg_rating"),
-    )
-    # per-restaurant rows only: small at any scale, AQE broadcasts it if it fits
+    kpis = _agg(fct_orders, ["restaurant_id"],
+                "count(order_id) AS total_orders",
+                f"sum({cents_sql('total_amount')}) AS _rev",
+                f"{avg_money_sql('total_amount')} AS aov",
+                "count(DISTINCT customer_id) AS unique_customers",
+                f"{_flag_count_sql('is_delivery')} AS delivery_orders",
+                f"{_flag_count_sql('is_eat_in')} AS eat_in_orders",
+                f"{avg_int_sql('CASE WHEN is_completed THEN customer_rating END', 2)} AS avg_rating")
+    # one row per restaurant on both sides: AQE broadcasts it when it is small
     df = kpis.join(restaurant_margin(fct_order_items), "restaurant_id", "left")
-    return df.select(
-        "restaurant_id", "total_orders",
-        F.col("_rev").cast("double").alias("revenue"),
-        "aov", "unique_customers", "delivery_orders", "eat_in_orders", "avg_rating",
-        F.col("gross_margin_dec").cast("double").alias("gross_margin"),
-        pct(F.col("delivery_orders"), F.col("total_orders")).alias("delivery_share_pct"),
-        pct(F.col("gross_margin_dec"), F.col("_rev"), 2, 2).alias("gross_margin_pct"),
-    )
+    return df.selectExpr(
+        "restaurant_id", "total_orders", f"{from_cents_sql('_rev')} AS revenue", "aov",
+        "unique_customers", "delivery_orders", "eat_in_orders", "avg_rating",
+        f"{from_cents_sql('gross_margin_c')} AS gross_margin",
+        f"{pct_sql('delivery_orders', 'total_orders')} AS delivery_share_pct",
+        f"{pct_sql('gross_margin_c', '_rev')} AS gross_margin_pct")
 
 
 def agg_hourly_demand(fct_orders: DataFrame) -> DataFrame:
-    return fct_orders.where(F.col("is_completed")).groupBy("day_of_week", "hour_of_day").agg(
-        F.count("order_id").alias("orders"),
-        F.sum(money("total_amount")).cast("double").alias("revenue"),
-        avg_money("total_amount").alias("aov"),
-    )
+    return _agg(fct_orders.where("is_completed"), ["day_of_week", "hour_of_day"],
+                "count(order_id) AS orders",
+                f"{sum_money_sql('total_amount')} AS revenue",
+                f"{avg_money_sql('total_amount')} AS aov")
 
 
 def hourly_activity(events: DataFrame, ts: str = "ts", value: str = "value") -> DataFrame:
     """The same day-of-week x hour demand profile over any event stream."""
-    return events.groupBy(
-        F.dayofweek(ts).alias("day_of_week"), F.hour(ts).alias("hour_of_day")
-    ).agg(
-        F.count(F.lit(1)).alias("events"),
-        F.sum(money(value)).cast("double").alias("total_value"),
-        avg_money(value).alias("avg_value"),
-    )
+    return events.groupBy(F.expr(f"dayofweek({ts}) AS day_of_week"), F.expr(f"hour({ts}) AS hour_of_day")).agg(
+        F.expr("count(1) AS events"),
+        F.expr(f"{sum_money_sql(value)} AS total_value"),
+        F.expr(f"{avg_money_sql(value)} AS avg_value"))
 
 
 def agg_customer_cohorts(customers: DataFrame, fct_orders: DataFrame) -> DataFrame:
     """Distinct active customers per (signup month, order month); completed orders."""
-    cust = customers.select("customer_id", F.date_format("join_date", "yyyy-MM").alias("cohort_month"))
-    orders = fct_orders.where(F.col("is_completed")).select(
-        "customer_id", F.date_format("order_date", "yyyy-MM").alias("order_month"))
-    g = cust.join(orders, "customer_id", "inner").groupBy("cohort_month", "order_month").agg(
-        F.countDistinct("customer_id").alias("active_customers"))
-    om = F.to_date(F.concat(F.col("order_month"), F.lit("-01")))
-    cm = F.to_date(F.concat(F.col("cohort_month"), F.lit("-01")))
-    return g.withColumn(
-        "months_since_join",
-        (F.year(om) - F.year(cm)) * 12 + (F.month(om) - F.month(cm)),
-    )
+    cust = customers.selectExpr("customer_id", "date_format(join_date, 'yyyy-MM') AS cohort_month")
+    orders = fct_orders.where("is_completed").selectExpr(
+        "customer_id", "date_format(order_date, 'yyyy-MM') AS order_month")
+    g = _agg(cust.join(orders, "customer_id", "inner"), ["cohort_month", "order_month"],
+             "count(DISTINCT customer_id) AS active_customers")
+    return g.selectExpr(
+        "*",
+        "(year(to_date(order_month || '-01')) - year(to_date(cohort_month || '-01'))) * 12 "
+        "+ (month(to_date(order_month || '-01')) - month(to_date(cohort_month || '-01'))) AS months_since_join")
 
 
 def agg_customer_lifetime(dim_customer: DataFrame) -> DataFrame:
-    return dim_customer.groupBy("customer_segment", "rfm_segment").agg(
-        F.count("customer_id").alias("customers"),
-        avg_int("total_orders", 2).alias("avg_orders"),
-        avg_money("total_spent", 2).alias("avg_spend"),
-        avg_money("customer_lifetime_value", 2).alias("avg_clv"),
-        F.sum(money("customer_lifetime_value")).cast("double").alias("total_clv"),
-        avg_int("recency_days", 1).alias("avg_recency_days"),
-    )
+    return _agg(dim_customer, ["customer_segment", "rfm_segment"],
+                "count(customer_id) AS customers",
+                f"{avg_int_sql('total_orders', 2)} AS avg_orders",
+                f"{avg_money_sql('total_spent')} AS avg_spend",
+                f"{avg_money_sql('customer_lifetime_value')} AS avg_clv",
+                f"{sum_money_sql('customer_lifetime_value')} AS total_clv",
+                f"{avg_int_sql('recency_days', 1)} AS avg_recency_days")
 
 
 def agg_item_performance(fct_order_items: DataFrame) -> DataFrame:
-    g = fct_order_items.groupBy("restaurant_id", "item_id", "category", "sub_category").agg(
-        F.sum("quantity").alias("units_sold"),
-        F.count("order_detail_id").alias("times_ordered"),
-        F.sum(money("line_revenue")).alias("_rev"),
-        F.sum(money("line_margin")).alias("_margin"),
-        avg_money("item_price_at_time").alias("avg_price"),
-    )
-    return g.select(
+    g = _agg(fct_order_items, ["restaurant_id", "item_id", "category", "sub_category"],
+             "sum(quantity) AS units_sold", "count(order_detail_id) AS times_ordered",
+             f"sum({cents_sql('line_revenue')}) AS _rev",
+             f"sum({cents_sql('line_margin')}) AS _margin",
+             f"{avg_money_sql('item_price_at_time')} AS avg_price")
+    return g.selectExpr(
         "restaurant_id", "item_id", "category", "sub_category", "units_sold", "times_ordered",
-        F.col("_rev").cast("double").alias("revenue"),
-        F.col("_margin").cast("double").alias("margin"),
-        "avg_price",
-        pct(F.col("_margin"), F.col("_rev"), 2, 2).alias("margin_pct"),
-    )
+        f"{from_cents_sql('_rev')} AS revenue", f"{from_cents_sql('_margin')} AS margin", "avg_price",
+        f"{pct_sql('_margin', '_rev')} AS margin_pct")
 
 
 def quadrant_by_group_median(df: DataFrame, group: str, x: str, y: str,
@@ -167,18 +144,18 @@ def quadrant_by_group_median(df: DataFrame, group: str, x: str, y: str,
     """Label rows High/Low against their group's median of ``x`` and of ``y``.
 
     Medians are exact (``percentile_disc(0.5)``, distributed sort) by default,
-    or ``percentile_approx`` with ``exact=False``.
+    or ``percentile_approx`` with ``exact=False``. The per-group medians are
+    one row per group, joined back without a hint (AQE picks broadcast when
+    the group count is small).
     """
     med = quantile_table(df, [x, y], [0.5], ["median"], [group], exact=exact, accuracy=accuracy)
-    wide = med.groupBy(group).agg(
-        F.max(F.when(F.col("column") == x, F.col("median"))).alias(f"med_{x}"),
-        F.max(F.when(F.col("column") == y, F.col("median"))).alias(f"med_{y}"),
-    )
-    out = df.join(wide, group, "left")
-    return out.withColumns({
-        "popularity": F.when(F.col(x) >= F.col(f"med_{x}"), "High").otherwise("Low"),
-        "profitability": F.when(F.col(y) >= F.col(f"med_{y}"), "High").otherwise("Low"),
-    })
+    wide = _agg(med, [group],
+                f"max(CASE WHEN column = '{x}' THEN median END) AS med_{x}",
+                f"max(CASE WHEN column = '{y}' THEN median END) AS med_{y}")
+    return df.join(wide, group, "left").selectExpr(
+        "*",
+        f"CASE WHEN {x} >= med_{x} THEN 'High' ELSE 'Low' END AS popularity",
+        f"CASE WHEN {y} >= med_{y} THEN 'High' ELSE 'Low' END AS profitability")
 
 
 def agg_menu_engineering(item_performance: DataFrame, dim_menu_item: DataFrame,
@@ -186,73 +163,63 @@ def agg_menu_engineering(item_performance: DataFrame, dim_menu_item: DataFrame,
     perf = item_performance.join(
         dim_menu_item.select("item_id", "restaurant_id", "item_name", "price", "cost_to_make",
                              "gross_margin_gbp", "gross_margin_pct"),
-        ["item_id", "restaurant_id"], "left",
-    )
+        ["item_id", "restaurant_id"], "left")
     df = quadrant_by_group_median(perf, "restaurant_id", "units_sold", "margin_pct", exact=exact)
-    df = df.withColumnsRenamed({"med_units_sold": "med_units", "med_margin_pct": "med_margin_pct"})
-    pop, prof = F.col("popularity"), F.col("profitability")
-    return df.withColumn(
-        "classification",
-        F.when((pop == "High") & (prof == "High"), "Star")
-        .when((pop == "Low") & (prof == "High"), "Puzzle")
-        .when((pop == "High") & (prof == "Low"), "Plowhorse")
-        .otherwise("Dog"),
-    )
+    return df.withColumnRenamed("med_units_sold", "med_units").selectExpr(
+        "*",
+        "CASE WHEN popularity = 'High' AND profitability = 'High' THEN 'Star' "
+        "WHEN popularity = 'Low' AND profitability = 'High' THEN 'Puzzle' "
+        "WHEN popularity = 'High' AND profitability = 'Low' THEN 'Plowhorse' "
+        "ELSE 'Dog' END AS classification")
 
 
 def agg_ops_costs(fct_daily_ops: DataFrame) -> DataFrame:
-    g = fct_daily_ops.groupBy("restaurant_id", "year_month").agg(
-        F.sum(money("electricity_cost")).cast("double").alias("electricity"),
-        F.sum(money("water_cost")).cast("double").alias("water"),
-        F.sum(money("gas_cost")).cast("double").alias("gas"),
-        F.sum(money("maintenance_cost")).cast("double").alias("maintenance"),
-        F.sum(money("other_bills_cost")).cast("double").alias("other"),
-        F.sum(money("total_operating_cost")).alias("_cost"),
-        F.sum(money("daily_revenue")).alias("_rev"),
-        avg_int("average_wait_time_mins", 1).alias("avg_wait_time_mins"),
-        avg_int("staff_on_shift", 1).alias("avg_staff_on_shift"),
-    )
-    return g.select(
-        "restaurant_id", "year_month", "electricity", "water", "gas", "maintenance", "other",
-        F.col("_cost").cast("double").alias("total_cost"),
-        F.col("_rev").cast("double").alias("revenue"),
+    parts = {"electricity": "electricity_cost", "water": "water_cost", "gas": "gas_cost",
+             "maintenance": "maintenance_cost", "other": "other_bills_cost"}
+    g = _agg(fct_daily_ops, ["restaurant_id", "year_month"],
+             *[f"sum({cents_sql(src)}) AS _{name}" for name, src in parts.items()],
+             f"sum({cents_sql('total_operating_cost')}) AS _cost",
+             f"sum({cents_sql('daily_revenue')}) AS _rev",
+             f"{avg_int_sql('average_wait_time_mins', 1)} AS avg_wait_time_mins",
+             f"{avg_int_sql('staff_on_shift', 1)} AS avg_staff_on_shift")
+    return g.selectExpr(
+        "restaurant_id", "year_month",
+        *[f"{from_cents_sql('_' + name)} AS {name}" for name in parts],
+        f"{from_cents_sql('_cost')} AS total_cost", f"{from_cents_sql('_rev')} AS revenue",
         "avg_wait_time_mins", "avg_staff_on_shift",
-        pct(F.col("_cost"), F.col("_rev"), 2, 2).alias("cost_to_revenue_pct"),
-    )
+        f"{pct_sql('_cost', '_rev')} AS cost_to_revenue_pct")
 
 
 def agg_staffing_efficiency(dim_employee: DataFrame) -> DataFrame:
-    g = dim_employee.groupBy("restaurant_id", "position").agg(
-        F.count("employee_id").alias("headcount"),
-        _flag_count("is_active").alias("active_headcount"),
-        F.sum(F.when(F.col("is_active") == F.lit(False), 1).otherwise(0)).alias("left_headcount"),
-        avg_money("salary_per_hour", 2).alias("avg_hourly_rate"),
-        avg_int("hours_per_week", 1).alias("avg_hours_per_week"),
-        avg_money("performance_rating", 2).alias("avg_rating"),
-        avg_scaled("tenure_months", 1, 1).alias("avg_tenure_months"),
-        F.sum(money("weekly_cost_gbp")).cast("double").alias("weekly_payroll"),
-    )
-    return g.withColumn("turnover_pct", pct(F.col("left_headcount"), F.col("headcount")))
+    g = _agg(dim_employee, ["restaurant_id", "position"],
+             "count(employee_id) AS headcount",
+             f"{_flag_count_sql('is_active')} AS active_headcount",
+             "sum(CASE WHEN is_active = false THEN 1 ELSE 0 END) AS left_headcount",
+             f"{avg_money_sql('salary_per_hour')} AS avg_hourly_rate",
+             f"{avg_int_sql('hours_per_week', 1)} AS avg_hours_per_week",
+             f"{avg_money_sql('performance_rating')} AS avg_rating",
+             f"{avg_scaled_sql('tenure_months', 1, 1)} AS avg_tenure_months",
+             f"{sum_money_sql('weekly_cost_gbp')} AS weekly_payroll")
+    return g.selectExpr("*", f"{pct_sql('left_headcount', 'headcount')} AS turnover_pct")
 
 
 def _delivery_measures():
     return [
-        avg_money("delivery_minutes", 2).alias("avg_delivery_mins"),
-        avg_money("distance_miles", 2).alias("avg_distance_miles"),
-        _flag_count("is_on_time").alias("on_time_count"),
-        _flag_count("is_delayed").alias("delayed_count"),
-        _flag_count("is_cancelled").alias("cancelled_count"),
+        f"{avg_money_sql('delivery_minutes')} AS avg_delivery_mins",
+        f"{avg_money_sql('distance_miles')} AS avg_distance_miles",
+        f"{_flag_count_sql('is_on_time')} AS on_time_count",
+        f"{_flag_count_sql('is_delayed')} AS delayed_count",
+        f"{_flag_count_sql('is_cancelled')} AS cancelled_count",
     ]
 
 
 def agg_delivery_by_condition(fct_delivery: DataFrame) -> DataFrame:
-    g = fct_delivery.groupBy("traffic_condition", "weather_condition").agg(
-        F.count("delivery_id").alias("deliveries"), *_delivery_measures())
-    return g.withColumn("on_time_pct", pct(F.col("on_time_count"), F.col("deliveries")))
+    g = _agg(fct_delivery, ["traffic_condition", "weather_condition"],
+             "count(delivery_id) AS deliveries", *_delivery_measures())
+    return g.selectExpr("*", f"{pct_sql('on_time_count', 'deliveries')} AS on_time_pct")
 
 
 def agg_driver_performance(fct_delivery: DataFrame) -> DataFrame:
     """Per-driver trips and on-time % (documented by the reference, not coded there)."""
-    g = fct_delivery.groupBy("driver_id").agg(
-        F.count("delivery_id").alias("trips"), *_delivery_measures())
-    return g.withColumn("on_time_pct", pct(F.col("on_time_count"), F.col("trips")))
+    g = _agg(fct_delivery, ["driver_id"], "count(delivery_id) AS trips", *_delivery_measures())
+    return g.selectExpr("*", f"{pct_sql('on_time_count', 'trips')} AS on_time_pct")

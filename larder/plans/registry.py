@@ -13,13 +13,9 @@ from pyspark.sql import functions as F
 
 from ..sources import adapters as A
 from ..sources.tables import Tables
-from ..functions.numeric import half_up_ratio
+from ..functions.numeric import from_cents_sql, half_up_sql
 from . import dims, facts, marts
 
-
-def cents_of_decimal(c: str):
-    return (F.col(c) * F.lit(100)).cast("decimal(38,0)")
-
 # fixed "today" so results do not depend on the wall clock
 AS_OF = "2001-12-31"
 
@@ -73,13 +69,10 @@ def q_dim_restaurant(spark, sf_dir):
 @query("customer_order_summary")
 def q_customer_order_summary(spark, sf_dir):
     s = dims.customer_order_summary(A.orders(_t(spark, sf_dir)))
-    return s.select(
-        "customer_id", "orders_cnt",
-        F.col("total_spent_dec").cast("double").alias("total_spent"),
-        half_up_ratio(cents_of_decimal("total_spent_dec"), F.col("amount_cnt") * F.lit(100), 2)
-        .alias("avg_spent"),
-        "first_order_date", "last_order_date",
-    )
+    return s.selectExpr(
+        "customer_id", "orders_cnt", f"{from_cents_sql('spent_c')} AS total_spent",
+        f"{half_up_sql('spent_c', 'amount_cnt * 100', 2)} AS avg_spent",
+        "first_order_date", "last_order_date")
 
 
 @query("customer_recency")
