@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DecimalType, DoubleType, FloatType, IntegerType, LongType, NumericType,
                                StringType)
 
-from ..functions.numeric import pct
+from ..functions.numeric import pct_sql
 from .rank import quantile_table
 
 OUTLIER_TYPES = (IntegerType, LongType, DoubleType, FloatType, DecimalType)
@@ -27,11 +27,28 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _long(row: DataFrame, keep: Sequence[str], items: Sequence[tuple[str, Column]], value_name: str,
+def q(c: str) -> str:
+    """Quote an identifier for SQL text."""
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _long(row: DataFrame, keep: Sequence[str], items: Sequence[tuple[str, str]], value_names,
           name_col: str = "column") -> DataFrame:
-    """Unpivot selected expressions of a (one-row) frame into (name, value) rows."""
-    arr = F.array(*[F.struct(F.lit(n).alias(name_col), e.alias(value_name)) for n, e in items])
-    return row.select(*keep, F.explode(arr).alias("_kv")).select(*keep, f"_kv.{name_col}", f"_kv.{value_name}")
+    """Unpivot with SQL ``stack``: each item is (name, sql_expr) or (name, [sql_exprs]).
+
+    One ``selectExpr`` call regardless of the number of columns.
+    """
+    value_names = [value_names] if isinstance(value_names, str) else list(value_names)
+    args = []
+    for name, e in items:
+        args.append(_lit(name))
+        args.extend(e if isinstance(e, (list, tuple)) else [e])
+    outs = ", ".join(q(v) for v in [name_col, *value_names])
+    return row.selectExpr(*[q(k) for k in keep], f"stack({len(items)}, {', '.join(args)}) AS ({outs})")
 
 
 def _stack_values(df: DataFrame, columns: Sequence[str], cast: str | None = None,
@@ -44,10 +61,10 @@ def _stack_values(df: DataFrame, columns: Sequence[str], cast: str | None = None
     types = _types(df)
 
     def expr(c):
-        x = F.col(c)
+        x = q(c)
         if cast == "string" and isinstance(types[c], (DoubleType, FloatType)):
-            x = x + F.lit(0.0)
-        return x.cast(cast) if cast else x
+            x = f"({x} + 0.0D)"
+        return f"CAST({x} AS {cast})" if cast else x
     return _long(df, keep, [(c, expr(c)) for c in columns], "value")
 
 
@@ -77,22 +94,25 @@ def audit_overview(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 # ----------------------------------------------------------------------- nulls
 
-def _null_test(types: dict, c: str) -> Column:
-    dt = types[c]
-    if isinstance(dt, (DoubleType, FloatType)):
-        return F.col(c).isNull() | F.isnan(c)
-    return F.col(c).isNull()
+def _aggs(df: DataFrame, *exprs: str) -> DataFrame:
+    return df.agg(*[F.expr(e) for e in exprs])
+
+
+def _null_test(types: dict, c: str) -> str:
+    if isinstance(types[c], (DoubleType, FloatType)):
+        return f"{q(c)} IS NULL OR isnan({q(c)})"
+    return f"{q(c)} IS NULL"
 
 
 def table_nulls(df: DataFrame, name: str) -> DataFrame:
     """Columns with NULLs (NaN counts as NULL for floating columns)."""
     types = _types(df)
-    row = df.agg(F.count(F.lit(1)).alias("_total"),
-                 *[F.count_if(_null_test(types, c)).alias(c) for c in types])
-    long = _long(row, ["_total"], [(c, F.col(c)) for c in types], "null_count")
-    return long.where(F.col("null_count") > 0).select(
-        F.lit(name).alias("table"), "column", "null_count",
-        pct(F.col("null_count"), F.col("_total")).alias("null_pct"))
+    cols = list(types)
+    row = _aggs(df, "count(1) AS _total",
+                *[f"count_if({_null_test(types, c)}) AS {q('n' + str(i))}" for i, c in enumerate(cols)])
+    long = _long(row, ["_total"], [(c, q(f"n{i}")) for i, c in enumerate(cols)], "null_count")
+    return long.where("null_count > 0").selectExpr(
+        f"{_lit(name)} AS table", "column", "null_count", f"{pct_sql('null_count', '_total')} AS null_pct")
 
 
 def audit_nulls(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -102,24 +122,22 @@ def audit_nulls(tables: Mapping[str, DataFrame]) -> DataFrame:
 # ------------------------------------------------------------------ duplicates
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row: total_rows, distinct_rows, dup_rows, dup_pct (NULLs compare equal)."""
-    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return g.agg(
-        F.sum("_n").alias("total_rows"), F.count(F.lit(1)).alias("distinct_rows"),
-    ).select(
-        F.coalesce(F.col("total_rows"), F.lit(0)).cast("long").alias("total_rows"),
-        "distinct_rows",
-        (F.coalesce(F.col("total_rows"), F.lit(0)) - F.col("distinct_rows")).cast("long").alias("dup_rows"),
-    ).withColumn("dup_pct", pct(F.col("dup_rows"), F.col("total_rows")))
+    """One row: total_rows, distinct_rows, dup_rows, dup_pct (NULLs compare equal).
+
+    ``groupBy(all columns)`` pre-aggregates map-side, so many copies of one
+    row are counted inside each map task before the shuffle.
+    """
+    g = df.groupBy(*df.columns).agg(F.expr("count(1) AS _n"))
+    return _aggs(g, "CAST(coalesce(sum(_n), 0) AS BIGINT) AS total_rows", "count(1) AS distinct_rows").selectExpr(
+        "total_rows", "distinct_rows", "total_rows - distinct_rows AS dup_rows",
+        f"{pct_sql('total_rows - distinct_rows', 'total_rows')} AS dup_pct")
 
 
 def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: pk_total, pk_distinct, pk_dups (rows beyond the first per key)."""
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return g.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("pk_total"),
-        F.count(F.lit(1)).alias("pk_distinct"),
-    ).withColumn("pk_dups", F.col("pk_total") - F.col("pk_distinct"))
+    g = df.groupBy(*keys).agg(F.expr("count(1) AS _n"))
+    return _aggs(g, "CAST(coalesce(sum(_n), 0) AS BIGINT) AS pk_total", "count(1) AS pk_distinct").selectExpr(
+        "pk_total", "pk_distinct", "pk_total - pk_distinct AS pk_dups")
 
 
 def audit_duplicates(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -131,9 +149,9 @@ def audit_duplicates(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequenc
         if pk:
             d = d.crossJoin(pk_violations(df, pk).select("pk_dups"))  # 1 x 1 rows
         else:
-            d = d.withColumn("pk_dups", F.lit(0).cast("long"))
-        frames.append(d.select(F.lit(name).alias("table"), "total_rows", "dup_rows", "dup_pct",
-                               F.lit(", ".join(pk)).alias("primary_key"), "pk_dups"))
+            d = d.selectExpr("*", "CAST(0 AS BIGINT) AS pk_dups")
+        frames.append(d.selectExpr(f"{_lit(name)} AS table", "total_rows", "dup_rows", "dup_pct",
+                                   f"{_lit(', '.join(pk))} AS primary_key", "pk_dups"))
     return _union(frames).orderBy(F.col("dup_rows").desc())
 
 
@@ -153,27 +171,22 @@ def table_outliers(df: DataFrame, name: str, factor: float = 1.5, exact: bool =
         return df.sparkSession.createDataFrame(
             [], "table string, column string, q1 double, q3 double, lower_bound double, "
                 "upper_bound double, outlier_count bigint, outlier_pct double")
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    total = _aggs(df, "count(1) AS _total")
     stacked = _stack_values(df, cols, "double")
-    distinct = stacked.select("column", "value").distinct().groupBy("column").agg(
-        F.count(F.lit(1)).alias("_distinct"))
-    q = quantile_table(df, cols, [0.25, 0.75], ["q1", "q3"], exact=exact)
-    k = F.lit(float(factor))
-    bounds = q.select("column", "q1", "q3",
-                      (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lo"),
-                      (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("hi"))
+    distinct = stacked.select("column", "value").distinct().groupBy("column").agg(F.expr("count(1) AS _distinct"))
+    qt = quantile_table(df, cols, [0.25, 0.75], ["q1", "q3"], exact=exact)
+    k = repr(float(factor)) + "D"
+    bounds = qt.selectExpr("column", "q1", "q3", f"q1 - {k} * (q3 - q1) AS lo", f"q3 + {k} * (q3 - q1) AS hi")
     # one row per numeric column: bounded by the schema width
     counts = stacked.join(F.broadcast(bounds), "column").groupBy("column").agg(
-        F.count_if((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))).alias("outlier_count"))
+        F.expr("count_if(value < lo OR value > hi) AS outlier_count"))
     rep = (bounds.join(counts, "column").join(distinct, "column").crossJoin(F.broadcast(total))
-           .where((F.col("_distinct") >= min_distinct)
-                  & (F.col("_distinct") <= F.col("_total") * F.lit(max_distinct_share))
-                  & (F.col("outlier_count") > 0)))
-    return rep.select(
-        F.lit(name).alias("table"), "column",
-        F.round("q1", 2).alias("q1"), F.round("q3", 2).alias("q3"),
-        F.round("lo", 2).alias("lower_bound"), F.round("hi", 2).alias("upper_bound"),
-        "outlier_count", pct(F.col("outlier_count"), F.col("_total")).alias("outlier_pct"))
+           .where(f"_distinct >= {int(min_distinct)} AND _distinct <= _total * {float(max_distinct_share)!r}D "
+                  f"AND outlier_count > 0"))
+    return rep.selectExpr(
+        f"{_lit(name)} AS table", "column", "round(q1, 2) AS q1", "round(q3, 2) AS q3",
+        "round(lo, 2) AS lower_bound", "round(hi, 2) AS upper_bound", "outlier_count",
+        f"{pct_sql('outlier_count', '_total')} AS outlier_pct")
 
 
 def audit_outliers(tables: Mapping[str, DataFrame], exact: bool = True) -> DataFrame:
@@ -191,23 +204,27 @@ def audit_value_counts(tables: Mapping[str, DataFrame], columns: Mapping[str, Se
         cols = [c for c in columns.get(name, []) if c in present]
         if cols:
             s = _stack_values(df, cols, "string")
-            frames.append(s.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
-                          .select(F.lit(name).alias("table"), "column", "value", "count"))
+            frames.append(s.groupBy("column", "value").agg(F.expr("count(1) AS count"))
+                          .selectExpr(f"{_lit(name)} AS table", "column", "value", "count"))
     return _union(frames).orderBy(F.col("count").desc())
 
 
+def _per_column_counts(df: DataFrame, name: str, cols: Sequence[str], cond, value_name: str) -> DataFrame:
+    """One pass: count_if(cond(c)) for each column, unpivoted, non-zero only."""
+    row = _aggs(df, *[f"count_if({cond(c)}) AS {q('n' + str(i))}" for i, c in enumerate(cols)])
+    long = _long(row, [], [(c, q(f"n{i}")) for i, c in enumerate(cols)], value_name)
+    return long.where(f"{value_name} > 0").selectExpr(f"{_lit(name)} AS table", "column", value_name)
+
+
 def audit_whitespace(tables: Mapping[str, DataFrame]) -> DataFrame:
     """String columns holding values with leading/trailing spaces."""
     frames = []
     for name, df in tables.items():
         cols = string_columns(df)
-        if not cols:
-            continue
-        row = df.agg(*[F.count_if(F.col(c).isNotNull() & (F.col(c) != F.trim(F.col(c)))).alias(c)
-                       for c in cols])
-        long = _long(row, [], [(c, F.col(c)) for c in cols], "ws_count")
-        frames.append(long.where(F.col("ws_count") > 0).select(
-            F.lit(name).alias("table"), "column", F.lit("Whitespace").alias("issue"), "ws_count"))
+        if cols:
+            f = _per_column_counts(df, name, cols, lambda c: f"{q(c)} IS NOT NULL AND {q(c)} <> trim({q(c)})",
+                                   "ws_count")
+            frames.append(f.selectExpr("table", "column", "'Whitespace' AS issue", "ws_count"))
     return _union(frames)
 
 
@@ -224,12 +241,12 @@ def audit_casing(tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence
         if not cols:
             continue
         vals = _stack_values(df, cols, "string").select("column", "value").distinct()
-        n_vals = vals.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
-        n_low = vals.select("column", F.lower("value").alias("v")).distinct() \
-            .groupBy("column").agg(F.count(F.lit(1)).alias("distinct_lower"))
-        frames.append(n_vals.join(n_low, "column").select(
-            F.lit(name).alias("table"), "column", "distinct_values", "distinct_lower",
-            (F.col("distinct_values") > F.col("distinct_lower")).alias("inconsistent")))
+        n_vals = vals.groupBy("column").agg(F.expr("count(1) AS distinct_values"))
+        n_low = vals.selectExpr("column", "lower(value) AS v").distinct() \
+            .groupBy("column").agg(F.expr("count(1) AS distinct_lower"))
+        frames.append(n_vals.join(n_low, "column").selectExpr(
+            f"{_lit(name)} AS table", "column", "distinct_values", "distinct_lower",
+            "distinct_values > distinct_lower AS inconsistent"))
     return _union(frames)
 
 
@@ -237,16 +254,15 @@ INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 DOUBLE_TEXT = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
-def _nonconforming(types: dict, c: str, expected: str) -> Column:
-    """Rows of ``c`` whose value does not fit the ``expected`` type."""
-    x = F.col(c)
+def _nonconforming_sql(types: dict, c: str, expected: str) -> str:
+    """Condition: the value of ``c`` does not fit the ``expected`` type."""
     dt = types[c]
     if isinstance(dt, StringType):
         pattern = INT_TEXT if expected in ("int", "bigint") else DOUBLE_TEXT
-        return F.count_if(x.isNotNull() & ~x.rlike(pattern))
+        return f"{q(c)} IS NOT NULL AND NOT {q(c)} RLIKE {_lit(pattern)}"
     if isinstance(dt, (DoubleType, FloatType, DecimalType)) and expected in ("int", "bigint"):
-        return F.count_if(x.isNotNull() & (x != F.floor(x)))
-    return F.count_if(F.lit(False))
+        return f"{q(c)} IS NOT NULL AND {q(c)} <> floor({q(c)})"
+    return "false"
 
 
 def audit_types(tables: Mapping[str, DataFrame], expected: Mapping[str, Mapping[str, str]]) -> DataFrame:
@@ -257,13 +273,14 @@ def audit_types(tables: Mapping[str, DataFrame], expected: Mapping[str, Mapping[
         exp = {c: t for c, t in expected.get(name, {}).items() if c in types}
         if not exp:
             continue
-        row = df.agg(*[_nonconforming(types, c, t).alias(c) for c, t in exp.items()])
-        long = _long(row, [], [(c, F.col(c)) for c in exp], "nonconforming_rows")
-        types = df.sparkSession.createDataFrame(
-            [(c, types[c].simpleString(), t) for c, t in exp.items()],
-            "column string, actual_type string, expected_type string")
-        frames.append(long.join(F.broadcast(types), "column").select(
-            F.lit(name).alias("table"), "column", "actual_type", "expected_type", "nonconforming_rows"))
+        cols = list(exp)
+        row = _aggs(df, *[f"count_if({_nonconforming_sql(types, c, exp[c])}) AS {q('n' + str(i))}"
+                          for i, c in enumerate(cols)])
+        long = _long(row, [], [(c, [q(f"n{i}"), _lit(types[c].simpleString()), _lit(exp[c])])
+                               for i, c in enumerate(cols)],
+                     ["nonconforming_rows", "actual_type", "expected_type"])
+        frames.append(long.selectExpr(f"{_lit(name)} AS table", "column", "actual_type", "expected_type",
+                                      "nonconforming_rows"))
     return _union(frames)
 
 
@@ -273,12 +290,8 @@ def audit_negatives(tables: Mapping[str, DataFrame], columns: Mapping[str, Seque
     for name, df in tables.items():
         present = set(df.columns)
         cols = [c for c in columns.get(name, []) if c in present]
-        if not cols:
-            continue
-        row = df.agg(*[F.count_if(F.col(c) < 0).alias(c) for c in cols])
-        long = _long(row, [], [(c, F.col(c)) for c in cols], "negative_count")
-        frames.append(long.where(F.col("negative_count") > 0).select(
-            F.lit(name).alias("table"), "column", "negative_count"))
+        if cols:
+            frames.append(_per_column_counts(df, name, cols, lambda c: f"{q(c)} < 0", "negative_count"))
     return _union(frames)
 
 
@@ -287,6 +300,10 @@ def audit_negatives(tables: Mapping[str, DataFrame], columns: Mapping[str, Seque
 Pairs = Mapping[str, tuple[DataFrame, DataFrame]]
 
 
+def _count(df: DataFrame, alias: str) -> DataFrame:
+    return _aggs(df, f"count(1) AS {alias}")
+
+
 def reconcile_rows(pairs: Pairs) -> DataFrame:
     """Row counts and column sets of two versions of each table (left = source)."""
     frames = []
@@ -294,13 +311,10 @@ def reconcile_rows(pairs: Pairs) -> DataFrame:
         lc, rc = set(left.columns), set(right.columns)
         extra = ", ".join(sorted(rc - lc)) or "none"
         missing = ", ".join(sorted(lc - rc)) or "none"
-        l_n = left.agg(F.count(F.lit(1)).alias("left_rows"))
-        r_n = right.agg(F.count(F.lit(1)).alias("right_rows"))
-        frames.append(l_n.crossJoin(r_n).select(
-            F.lit(name).alias("table"), "left_rows", "right_rows",
-            (F.col("right_rows") - F.col("left_rows")).alias("row_diff"),
-            F.lit(len(lc)).alias("left_cols"), F.lit(len(rc)).alias("right_cols"),
-            F.lit(extra).alias("extra_cols"), F.lit(missing).alias("missing_cols")))
+        frames.append(_count(left, "left_rows").crossJoin(_count(right, "right_rows")).selectExpr(
+            f"{_lit(name)} AS table", "left_rows", "right_rows", "right_rows - left_rows AS row_diff",
+            f"{len(lc)} AS left_cols", f"{len(rc)} AS right_cols",
+            f"{_lit(extra)} AS extra_cols", f"{_lit(missing)} AS missing_cols"))
     return _union(frames)
 
 
@@ -310,38 +324,34 @@ def reconcile_types(pairs: Pairs) -> DataFrame:
     frames = []
     for name, (left, right) in pairs.items():
         lt_, rt_ = _types(left), _types(right)
-        shared = [c for c in lt_ if c in rt_]
-        diff = [(c, lt_[c], rt_[c]) for c in shared if lt_[c].simpleString() != rt_[c].simpleString()]
+        diff = [(c, lt_[c].simpleString(), rt_[c].simpleString()) for c in lt_
+                if c in rt_ and lt_[c].simpleString() != rt_[c].simpleString()]
         if not diff:
             continue
-        aggs = []
-        for c, lt, rt in diff:
-            x = F.col(c)
-            back = x.try_cast(rt).cast(lt)
-            aggs.append(F.count_if(x.isNotNull() & (back.isNull() | (back != x))).alias(c))
-        row = left.agg(*aggs)
-        long = _long(row, [], [(c, F.col(c)) for c, _, _ in diff], "nonconforming_rows")
-        types = left.sparkSession.createDataFrame(
-            [(c, lt.simpleString(), rt.simpleString()) for c, lt, rt in diff],
-            "column string, left_type string, right_type string")
-        frames.append(long.join(F.broadcast(types), "column").select(
-            F.lit(name).alias("table"), "column", "left_type", "right_type", "nonconforming_rows"))
+
+        def bad(c, lt, rt):
+            back = f"CAST(try_cast({q(c)} AS {rt}) AS {lt})"
+            return f"{q(c)} IS NOT NULL AND ({back} IS NULL OR {back} <> {q(c)})"
+        row = _aggs(left, *[f"count_if({bad(c, lt, rt)}) AS {q('n' + str(i))}"
+                            for i, (c, lt, rt) in enumerate(diff)])
+        long = _long(row, [], [(c, [q(f"n{i}"), _lit(lt), _lit(rt)]) for i, (c, lt, rt) in enumerate(diff)],
+                     ["nonconforming_rows", "left_type", "right_type"])
+        frames.append(long.selectExpr(f"{_lit(name)} AS table", "column", "left_type", "right_type",
+                                      "nonconforming_rows"))
     return _union(frames)
 
 
 def _profile(df: DataFrame, cols: Sequence[str], numeric: set[str]) -> DataFrame:
     aggs = []
-    for c in cols:
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"n_{c}"))
+    for i, c in enumerate(cols):
+        aggs.append(f"count_if({q(c)} IS NULL) AS n{i}")
         if c in numeric:
-            aggs += [F.min(F.col(c).cast("double")).alias(f"lo_{c}"),
-                     F.max(F.col(c).cast("double")).alias(f"hi_{c}")]
-    row = df.agg(*aggs)
-    items = [(c, F.struct(
-        F.col(f"n_{c}").alias("nulls"),
-        (F.col(f"lo_{c}") if c in numeric else F.lit(None).cast("double")).alias("lo"),
-        (F.col(f"hi_{c}") if c in numeric else F.lit(None).cast("double")).alias("hi"))) for c in cols]
-    return _long(row, [], items, "p").select("column", "p.nulls", "p.lo", "p.hi")
+            aggs += [f"min(CAST({q(c)} AS DOUBLE)) AS lo{i}", f"max(CAST({q(c)} AS DOUBLE)) AS hi{i}"]
+    row = _aggs(df, *aggs)
+    none = "CAST(NULL AS DOUBLE)"
+    items = [(c, [f"n{i}", f"lo{i}" if c in numeric else none, f"hi{i}" if c in numeric else none])
+             for i, c in enumerate(cols)]
+    return _long(row, [], items, ["nulls", "lo", "hi"])
 
 
 def reconcile_profile(pairs: Pairs) -> DataFrame:
@@ -351,26 +361,21 @@ def reconcile_profile(pairs: Pairs) -> DataFrame:
         lt_, rt_ = _types(left), _types(right)
         shared = [c for c in lt_ if c in rt_]
         numeric = {c for c in shared if isinstance(lt_[c], NumericType) and isinstance(rt_[c], NumericType)}
-        lp = _profile(left, shared, numeric).select(
-            "column", F.col("nulls").alias("left_nulls"), F.col("lo").alias("left_min"),
-            F.col("hi").alias("left_max"))
-        rp = _profile(right, shared, numeric).select(
-            "column", F.col("nulls").alias("right_nulls"), F.col("lo").alias("right_min"),
-            F.col("hi").alias("right_max"))
-        j = lp.join(rp, "column")
-        mism = ((F.col("left_nulls") != F.col("right_nulls"))
-                | ~F.col("left_min").eqNullSafe(F.col("right_min"))
-                | ~F.col("left_max").eqNullSafe(F.col("right_max")))
-        frames.append(j.where(mism).select(
-            F.lit(name).alias("table"), "column", "left_nulls", "right_nulls",
-            "left_min", "right_min", "left_max", "right_max"))
+        lp = _profile(left, shared, numeric).selectExpr(
+            "column", "nulls AS left_nulls", "lo AS left_min", "hi AS left_max")
+        rp = _profile(right, shared, numeric).selectExpr(
+            "column", "nulls AS right_nulls", "lo AS right_min", "hi AS right_max")
+        frames.append(lp.join(rp, "column").where(
+            "left_nulls <> right_nulls OR NOT (left_min <=> right_min) OR NOT (left_max <=> right_max)"
+        ).selectExpr(f"{_lit(name)} AS table", "column", "left_nulls", "right_nulls",
+                     "left_min", "right_min", "left_max", "right_max"))
     return _union(frames)
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """column -> distinct values (NULL counted once), by unpivot + two-step group."""
     return _stack_values(df, cols, "string").select("column", "value").distinct() \
-        .groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
+        .groupBy("column").agg(F.expr("count(1) AS distinct"))
 
 
 def reconcile_distinct(pairs: Pairs) -> DataFrame:
@@ -380,8 +385,8 @@ def reconcile_distinct(pairs: Pairs) -> DataFrame:
         shared = [c for c in left.columns if c in right_cols]
         ld = distinct_counts(left, shared).withColumnRenamed("distinct", "left_distinct")
         rd = distinct_counts(right, shared).withColumnRenamed("distinct", "right_distinct")
-        frames.append(ld.join(rd, "column").where(F.col("left_distinct") != F.col("right_distinct"))
-                      .select(F.lit(name).alias("table"), "column", "left_distinct", "right_distinct"))
+        frames.append(ld.join(rd, "column").where("left_distinct <> right_distinct")
+                      .selectExpr(f"{_lit(name)} AS table", "column", "left_distinct", "right_distinct"))
     return _union(frames)
 
 
@@ -389,13 +394,9 @@ def layer_row_delta(pairs: Pairs) -> DataFrame:
     """table, bronze_rows, silver_rows, rows_removed, removed_pct."""
     frames = []
     for name, (bronze, silver) in pairs.items():
-        b = bronze.agg(F.count(F.lit(1)).alias("bronze_rows"))
-        s = silver.agg(F.count(F.lit(1)).alias("silver_rows"))
-        frames.append(b.crossJoin(s).select(
-            F.lit(name).alias("table"), "bronze_rows", "silver_rows",
-            (F.col("bronze_rows") - F.col("silver_rows")).alias("rows_removed")))
-    out = _union(frames)
-    return out.withColumn("removed_pct", pct(F.col("rows_removed"), F.col("bronze_rows"))) \
+        frames.append(_count(bronze, "bronze_rows").crossJoin(_count(silver, "silver_rows")).selectExpr(
+            f"{_lit(name)} AS table", "bronze_rows", "silver_rows", "bronze_rows - silver_rows AS rows_removed"))
+    return _union(frames).selectExpr("*", f"{pct_sql('rows_removed', 'bronze_rows')} AS removed_pct") \
         .orderBy(F.col("rows_removed").desc())
 
 
@@ -405,19 +406,16 @@ def profile_numeric(df: DataFrame, name: str, places: int = 6) -> DataFrame:
     """count, mean, stddev (sample), min, max of every numeric column, long form."""
     cols = numeric_columns(df)
     aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"c_{c}"), F.avg(x).alias(f"m_{c}"), F.stddev_samp(x).alias(f"s_{c}"),
-                 F.min(x).alias(f"lo_{c}"), F.max(x).alias(f"hi_{c}")]
-    row = df.agg(*aggs)
-    items = [(c, F.struct(F.col(f"c_{c}").alias("count"),
-                          F.round(F.col(f"m_{c}"), places).alias("mean"),
-                          F.round(F.col(f"s_{c}"), places).alias("stddev"),
-                          F.col(f"lo_{c}").alias("min"), F.col(f"hi_{c}").alias("max"))) for c in cols]
-    return _long(row, [], items, "p").select(
-        F.lit(name).alias("table"), "column", "p.count", "p.mean", "p.stddev", "p.min", "p.max")
-
-
-def sample_rows(df: DataFrame, key: Sequence[str], n: int = 3) -> DataFrame:
-    """The first ``n`` rows by ``key`` (a top-n: one small sort per task)."""
+    for i, c in enumerate(cols):
+        x = f"CAST({q(c)} AS DOUBLE)"
+        aggs += [f"count({x}) AS c{i}", f"round(avg({x}), {places}) AS m{i}",
+                 f"round(stddev_samp({x}), {places}) AS s{i}", f"min({x}) AS lo{i}", f"max({x}) AS hi{i}"]
+    row = _aggs(df, *aggs)
+    items = [(c, [f"c{i}", f"m{i}", f"s{i}", f"lo{i}", f"hi{i}"]) for i, c in enumerate(cols)]
+    return _long(row, [], items, ["count", "mean", "stddev", "min", "max"]).selectExpr(
+        f"{_lit(name)} AS table", "column", "count", "mean", "stddev", "min", "max")
+
+
+def sample_rows(df: DataFrame, key: Sequence, n: int = 3) -> DataFrame:
+    """The first ``n`` rows by ``key`` (a top-n: each task keeps n rows, then one merge)."""
     return df.orderBy(*key).limit(n)

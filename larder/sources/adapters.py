@@ -21,195 +21,139 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import money
 from .tables import Tables
 
 
-def _date(s: str):
-    return F.lit(s).cast("date")
-
-
 def restaurants(t: Tables) -> DataFrame:
     n, r = t.nation, t.region
     # nation/region have a fixed size (25/5 rows) at every scale factor
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
-        F.col("n_nationkey").alias("restaurant_id"),
-        F.col("n_name").alias("restaurant_name"),
-        F.concat(F.col("n_name"), F.lit(" High Street")).alias("address"),
-        F.concat(F.lit("W"), F.col("n_regionkey").cast("string"), F.lit(" "),
-                 F.col("n_nationkey").cast("string")).alias("postcode"),
-        F.col("r_name").alias("area"),
-        F.date_add(_date("1990-01-31"), F.col("n_nationkey") * 37).alias("opening_date"),
-        F.when(F.col("n_nationkey") % 11 == 10, F.lit(None).cast("int"))
-        .otherwise(F.col("n_nationkey") * 3 + 40).alias("seating_capacity"),
-        (F.col("n_nationkey") % 5 + 1).alias("delivery_radius_miles"),
-        F.concat(F.lit("020"), F.lpad(F.col("n_nationkey").cast("string"), 8, "0")).alias("phone_number"),
-    )
+    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).selectExpr(
+        "n_nationkey AS restaurant_id", "n_name AS restaurant_name",
+        "concat(n_name, ' High Street') AS address",
+        "concat('W', CAST(n_regionkey AS STRING), ' ', CAST(n_nationkey AS STRING)) AS postcode",
+        "r_name AS area",
+        "date_add(DATE'1990-01-31', n_nationkey * 37) AS opening_date",
+        "CASE WHEN n_nationkey % 11 = 10 THEN CAST(NULL AS INT) ELSE n_nationkey * 3 + 40 END AS seating_capacity",
+        "n_nationkey % 5 + 1 AS delivery_radius_miles",
+        "concat('020', lpad(CAST(n_nationkey AS STRING), 8, '0')) AS phone_number")
 
 
 def customers(t: Tables) -> DataFrame:
-    c = t.customer
-    k = F.col("c_custkey")
-    return c.select(
-        k.alias("customer_id"),
-        F.substring_index("c_name", "#", 1).alias("first_name"),
-        F.substring_index("c_name", "#", -1).alias("last_name"),
-        F.when(k % 13 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.col("c_name"), F.lit("@X.COM"))).alias("email"),
-        F.concat(F.lit("07"), F.lpad(k.cast("string"), 9, "0")).alias("phone"),
-        F.concat(F.lit("e"), F.col("c_nationkey").cast("string"), F.lit(" 1aa")).alias("postcode"),
-        F.date_add(_date("1995-01-01"), (k % 1000).cast("int")).alias("join_date"),
-        F.col("c_mktsegment").alias("customer_segment"),
-        F.col("c_mktsegment").alias("preferred_category"),
-        F.when(k % 2 == 0, F.lit("delivery")).otherwise(F.lit("collection")).alias("preferred_order_type"),
-        F.col("c_acctbal").alias("avg_order_value"),
-        (F.col("c_acctbal") > 0).alias("is_active"),
-    )
+    return t.customer.selectExpr(
+        "c_custkey AS customer_id",
+        "substring_index(c_name, '#', 1) AS first_name", "substring_index(c_name, '#', -1) AS last_name",
+        "CASE WHEN c_custkey % 13 = 0 THEN CAST(NULL AS STRING) ELSE concat(c_name, '@X.COM') END AS email",
+        "concat('07', lpad(CAST(c_custkey AS STRING), 9, '0')) AS phone",
+        "concat('e', CAST(c_nationkey AS STRING), ' 1aa') AS postcode",
+        "date_add(DATE'1995-01-01', CAST(c_custkey % 1000 AS INT)) AS join_date",
+        "c_mktsegment AS customer_segment", "c_mktsegment AS preferred_category",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'delivery' ELSE 'collection' END AS preferred_order_type",
+        "c_acctbal AS avg_order_value", "c_acctbal > 0 AS is_active")
 
 
 def employees(t: Tables) -> DataFrame:
-    s = t.supplier
-    k = F.col("s_suppkey")
-    hire = F.date_add(_date("1995-01-31"), ((k % 140) * 17).cast("int"))
-    left = k % 4 == 0
-    return s.select(
-        k.alias("employee_id"),
-        F.col("s_nationkey").alias("restaurant_id"),
-        F.substring_index("s_name", "#", 1).alias("first_name"),
-        F.substring_index("s_name", "#", -1).alias("last_name"),
-        F.when(k % 3 == 0, F.lit("kitchen_staff")).when(k % 3 == 1, F.lit("delivery_driver"))
-        .otherwise(F.lit("manager")).alias("position"),
-        hire.alias("hire_date"),
-        F.when(left, F.date_add(hire, 400)).alias("leave_date"),
-        F.when(left, F.lit("Left")).otherwise(F.lit("Active")).alias("employment_status"),
-        (k % 15 + 10).cast("double").alias("salary_per_hour"),
-        (k % 21 + 20).cast("int").alias("hours_per_week"),
-        F.when(left, F.lit("Relocation")).alias("reason_for_leaving"),
-        F.when(k % 7 == 0, F.lit(None).cast("double"))
-        .otherwise((k % 5 + 1).cast("double")).alias("performance_rating"),
-    )
+    hire = "date_add(DATE'1995-01-31', CAST((s_suppkey % 140) * 17 AS INT))"
+    return t.supplier.selectExpr(
+        "s_suppkey AS employee_id", "s_nationkey AS restaurant_id",
+        "substring_index(s_name, '#', 1) AS first_name", "substring_index(s_name, '#', -1) AS last_name",
+        "CASE s_suppkey % 3 WHEN 0 THEN 'kitchen_staff' WHEN 1 THEN 'delivery_driver' ELSE 'manager' END "
+        "AS position",
+        f"{hire} AS hire_date",
+        f"CASE WHEN s_suppkey % 4 = 0 THEN date_add({hire}, 400) END AS leave_date",
+        "CASE WHEN s_suppkey % 4 = 0 THEN 'Left' ELSE 'Active' END AS employment_status",
+        "CAST(s_suppkey % 15 + 10 AS DOUBLE) AS salary_per_hour",
+        "CAST(s_suppkey % 21 + 20 AS INT) AS hours_per_week",
+        "CASE WHEN s_suppkey % 4 = 0 THEN 'Relocation' END AS reason_for_leaving",
+        "CASE WHEN s_suppkey % 7 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(s_suppkey % 5 + 1 AS DOUBLE) END "
+        "AS performance_rating")
 
 
 def menu_items(t: Tables) -> DataFrame:
-    p = t.part
-    k = F.col("p_partkey")
-    size = F.col("p_size")
-    return p.select(
-        k.alias("item_id"),
-        (k % 10).cast("int").alias("restaurant_id"),
-        F.col("p_name").alias("item_name"),
-        F.col("p_type").alias("category"),
-        F.when(k % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("sub_category"),
-        F.col("p_retailprice").alias("price"),
-        F.round(money("p_retailprice") * F.lit(0.6).cast("decimal(2,1)"), 2).cast("double").alias("cost_to_make"),
-        size.alias("preparation_time_mins"),
-        (size % 2 == 0).alias("is_vegetarian"),
-        (size % 3 == 0).alias("is_vegan"),
-        (size % 5 == 0).alias("is_gluten_free"),
-        (size * 10).alias("calories"),
-    )
-
-
+    return t.part.selectExpr(
+        "p_partkey AS item_id", "CAST(p_partkey % 10 AS INT) AS restaurant_id", "p_name AS item_name",
+        "p_type AS category",
+        "CASE WHEN p_partkey % 17 = 0 THEN CAST(NULL AS STRING) ELSE p_brand END AS sub_category",
+        "p_retailprice AS price",
+        "CAST(round(CAST(p_retailprice AS DECIMAL(18,2)) * CAST(0.6 AS DECIMAL(2,1)), 2) AS DOUBLE) "
+        "AS cost_to_make",
+        "p_size AS preparation_time_mins", "p_size % 2 = 0 AS is_vegetarian", "p_size % 3 = 0 AS is_vegan",
+        "p_size % 5 = 0 AS is_gluten_free", "p_size * 10 AS calories")
+
+
+# TPC-H order status letters -> order status names.
 ORDER_STATUS = {"F": "Completed", "O": "Cancelled", "P": "Refunded"}
 
 
 def orders(t: Tables) -> DataFrame:
-    o = t.orders
-    k = F.col("o_orderkey")
-    status = F.when(F.col("o_orderstatus") == "F", F.lit("Completed")) \
-        .when(F.col("o_orderstatus") == "O", F.lit("Cancelled")) \
-        .when(F.col("o_orderstatus") == "P", F.lit("Refunded"))
-    return o.select(
-        k.alias("order_id"),
-        (k % 10).cast("int").alias("restaurant_id"),
-        F.when(k % 97 == 0, F.lit(None).cast("long")).otherwise(F.col("o_custkey")).alias("customer_id"),
-        F.when(k % 11 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("cust "), F.col("o_custkey").cast("string"))).alias("customer_name"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        F.timestamp_add("HOUR", (k % 24).cast("int"), F.col("o_orderdate")).alias("order_time"),
-        F.when(k % 2 == 0, F.lit("Delivery")).otherwise(F.lit("Eat-in")).alias("order_type"),
-        F.col("o_orderpriority").alias("payment_method"),
-        status.alias("order_status"),
-        F.concat(F.lit("SW"), (F.col("o_custkey") % 20).cast("string")).alias("delivery_postcode"),
-        ((k % 80).cast("double") / F.lit(10.0)).alias("delivery_distance_miles"),
-        (k % 50 + 10).cast("int").alias("delivery_time_mins"),
-        F.col("o_totalprice").alias("total_amount"),
-        F.when(k % 11 == 0, F.lit(None).cast("int")).otherwise((k % 5 + 1).cast("int")).alias("customer_rating"),
-    )
+    status = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ORDER_STATUS.items())
+    return t.orders.selectExpr(
+        "o_orderkey AS order_id", "CAST(o_orderkey % 10 AS INT) AS restaurant_id",
+        "CASE WHEN o_orderkey % 97 = 0 THEN CAST(NULL AS BIGINT) ELSE o_custkey END AS customer_id",
+        "CASE WHEN o_orderkey % 11 = 0 THEN CAST(NULL AS STRING) ELSE concat('cust ', CAST(o_custkey AS STRING)) "
+        "END AS customer_name",
+        "CAST(o_orderdate AS DATE) AS order_date",
+        "timestampadd(HOUR, CAST(o_orderkey % 24 AS INT), o_orderdate) AS order_time",
+        "CASE WHEN o_orderkey % 2 = 0 THEN 'Delivery' ELSE 'Eat-in' END AS order_type",
+        "o_orderpriority AS payment_method",
+        f"CASE o_orderstatus {status} END AS order_status",
+        "concat('SW', CAST(o_custkey % 20 AS STRING)) AS delivery_postcode",
+        "CAST(o_orderkey % 80 AS DOUBLE) / 10.0D AS delivery_distance_miles",
+        "CAST(o_orderkey % 50 + 10 AS INT) AS delivery_time_mins",
+        "o_totalprice AS total_amount",
+        "CASE WHEN o_orderkey % 11 = 0 THEN CAST(NULL AS INT) ELSE CAST(o_orderkey % 5 + 1 AS INT) END "
+        "AS customer_rating")
 
 
 def order_details(t: Tables) -> DataFrame:
-    li = t.lineitem
-    return li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_detail_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("item_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").alias("item_price_at_time"),
-        F.lit(None).cast("string").alias("special_instructions"),
-    )
+    return t.lineitem.selectExpr(
+        "l_orderkey * 10 + l_linenumber AS order_detail_id", "l_orderkey AS order_id", "l_partkey AS item_id",
+        "CAST(l_quantity AS INT) AS quantity", "l_extendedprice AS item_price_at_time",
+        "CAST(NULL AS STRING) AS special_instructions")
 
 
 def customer_reviews(t: Tables) -> DataFrame:
     d, lab = t.documents, t.labels
-    return d.join(lab.select("doc_id", "quality"), "doc_id", "left").select(
-        F.col("doc_id").alias("review_id"),
-        (F.col("doc_id") % 1500).alias("customer_id"),
-        F.col("text").alias("review_text"),
-        F.col("lang").alias("category"),
-        F.col("quality").cast("double").alias("rating"),
-        F.col("n_chars").cast("double").alias("sentiment_score"),
-    )
+    return d.join(lab.select("doc_id", "quality"), "doc_id", "left").selectExpr(
+        "doc_id AS review_id", "doc_id % 1500 AS customer_id", "text AS review_text", "lang AS category",
+        "CAST(quality AS DOUBLE) AS rating", "CAST(n_chars AS DOUBLE) AS sentiment_score")
 
 
-def _delivery_minutes():
-    return (F.col("l_orderkey") * 7 + F.col("l_partkey")) % 50 + 10
+_MINUTES = "((l_orderkey * 7 + l_partkey) % 50 + 10)"
 
 
 def delivery_performance(t: Tables) -> DataFrame:
-    li = t.lineitem
-    m = _delivery_minutes()
-    return li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("delivery_id"),
-        F.col("l_orderkey").alias("order_id"),
-        (F.col("l_orderkey") % 10).cast("int").alias("restaurant_id"),
-        F.col("l_suppkey").alias("driver_id"),
-        F.col("l_shipdate").alias("dispatch_time"),
-        F.timestamp_add("MINUTE", m.cast("int"), F.col("l_shipdate")).alias("delivery_time"),
-        (F.col("l_quantity") / F.lit(10.0)).alias("distance_miles"),
-        F.col("l_returnflag").alias("traffic_condition"),
-        F.col("l_linestatus").alias("weather_condition"),
-        F.when(m <= 30, F.lit("On_Time")).when(m <= 50, F.lit("Delayed"))
-        .otherwise(F.lit("Cancelled")).alias("delivery_status"),
-    )
+    return t.lineitem.selectExpr(
+        "l_orderkey * 10 + l_linenumber AS delivery_id", "l_orderkey AS order_id",
+        "CAST(l_orderkey % 10 AS INT) AS restaurant_id", "l_suppkey AS driver_id",
+        "l_shipdate AS dispatch_time",
+        f"timestampadd(MINUTE, CAST({_MINUTES} AS INT), l_shipdate) AS delivery_time",
+        "l_quantity / 10.0D AS distance_miles",
+        "l_returnflag AS traffic_condition", "l_linestatus AS weather_condition",
+        f"CASE WHEN {_MINUTES} <= 30 THEN 'On_Time' WHEN {_MINUTES} <= 50 THEN 'Delayed' ELSE 'Cancelled' END "
+        "AS delivery_status")
 
 
 def inventory(t: Tables) -> DataFrame:
-    li = t.lineitem
-    q = F.col("l_quantity").cast("int")
-    waste = F.col("l_returnflag") == "R"
-    g = li.groupBy(
-        F.col("l_suppkey").alias("restaurant_id"),
-        F.col("l_partkey").alias("item_id"),
-        F.col("l_shipdate").cast("date").alias("date"),
+    """Daily stock per (supplier as restaurant, part as item, ship date): one aggregate over lineitem."""
+    q = "CAST(l_quantity AS INT)"
+    price_c = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)"
+    g = t.lineitem.groupBy(
+        F.col("l_suppkey").alias("restaurant_id"), F.col("l_partkey").alias("item_id"),
+        F.expr("CAST(l_shipdate AS DATE) AS date"),
     ).agg(
-        F.min("l_orderkey").alias("inventory_id"),
-        F.coalesce(F.sum(F.when(~waste, q)), F.lit(0).cast("long")).alias("used_stock"),
-        F.sum(F.when(waste, q)).alias("waste_stock"),
-        F.sum(money("l_extendedprice")).cast("double").alias("stock_value"),
-        F.sum(F.when(waste, money("l_extendedprice"))).cast("double").alias("waste_value"),
-    )
-    return g.select(
-        "inventory_id", "restaurant_id", "date", "item_id",
-        F.lit(100).alias("opening_stock"),
-        (F.col("used_stock") + F.coalesce(F.col("waste_stock"), F.lit(0))).alias("received_stock"),
-        "used_stock", "waste_stock",
-        F.lit(100).alias("closing_stock"),
-        "stock_value", "waste_value",
+        F.expr("min(l_orderkey) AS inventory_id"),
+        F.expr(f"coalesce(sum(CASE WHEN l_returnflag <> 'R' THEN {q} END), 0L) AS used_stock"),
+        F.expr(f"sum(CASE WHEN l_returnflag = 'R' THEN {q} END) AS waste_stock"),
+        F.expr(f"sum({price_c}) / 100.0D AS stock_value"),
+        F.expr(f"sum(CASE WHEN l_returnflag = 'R' THEN {price_c} END) / 100.0D AS waste_value"),
     )
+    return g.selectExpr(
+        "inventory_id", "restaurant_id", "date", "item_id", "100 AS opening_stock",
+        "used_stock + coalesce(waste_stock, 0) AS received_stock", "used_stock", "waste_stock",
+        "100 AS closing_stock", "stock_value", "waste_value")
 
 
-# fixed per-order cost rates of the daily operations adapter
+# Fixed per-order cost rates of the daily operations adapter.
 UTILITY_RATES = {
     "electricity_cost": "1.10",
     "water_cost": "0.35",
@@ -220,31 +164,25 @@ UTILITY_RATES = {
 
 
 def daily_operations(t: Tables) -> DataFrame:
-    li = t.lineitem
-    g = li.groupBy(
-        (F.col("l_suppkey") % 10).cast("int").alias("restaurant_id"),
-        F.col("l_shipdate").cast("date").alias("date"),
+    """Per (supplier mod 10 as restaurant, ship date): one aggregate over lineitem."""
+    price_c = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)"
+    g = t.lineitem.groupBy(
+        F.expr("CAST(l_suppkey % 10 AS INT) AS restaurant_id"), F.expr("CAST(l_shipdate AS DATE) AS date"),
     ).agg(
-        F.min("l_orderkey").alias("operation_id"),
-        F.count_if(F.col("l_linestatus") == "F").alias("eat_in"),
-        F.count_if(F.col("l_linestatus") == "O").alias("delivery"),
-        F.count(F.lit(1)).alias("total_orders"),
-        F.sum(money("l_extendedprice")).cast("double").alias("daily_revenue"),
+        F.expr("min(l_orderkey) AS operation_id"),
+        F.expr("count_if(l_linestatus = 'F') AS eat_in"),
+        F.expr("count_if(l_linestatus = 'O') AS delivery"),
+        F.expr("count(1) AS total_orders"),
+        F.expr(f"sum({price_c}) / 100.0D AS daily_revenue"),
     )
-    tot = F.col("total_orders")
-    return g.select(
+    return g.selectExpr(
         "operation_id", "restaurant_id", "date",
-        F.col("eat_in").alias("total_customers_eat_in"),
-        F.col("delivery").alias("total_customers_delivery"),
-        "total_orders",
-        F.col("delivery").alias("delivery_orders_count"),
-        F.col("eat_in").alias("eat_in_orders_count"),
-        (tot % 20 + 5).alias("average_wait_time_mins"),
-        (tot % 9 + 1).alias("staff_on_shift"),
-        *[(tot * F.lit(rate).cast("decimal(4,2)")).cast("double").alias(name)
+        "eat_in AS total_customers_eat_in", "delivery AS total_customers_delivery", "total_orders",
+        "delivery AS delivery_orders_count", "eat_in AS eat_in_orders_count",
+        "total_orders % 20 + 5 AS average_wait_time_mins", "total_orders % 9 + 1 AS staff_on_shift",
+        *[f"CAST(total_orders * CAST({rate} AS DECIMAL(4,2)) AS DOUBLE) AS {name}"
           for name, rate in UTILITY_RATES.items()],
-        "daily_revenue",
-    )
+        "daily_revenue")
 
 
 SOURCES = {
@@ -284,36 +222,26 @@ def source(t: Tables, name: str) -> DataFrame:
 def dirty(df: DataFrame, key: str, string_cols: Sequence[str] = (),
           numeric_cols: Sequence[str] = (), rescue: bool = True) -> DataFrame:
     """Inject raw-file defects by key modulus (see FIXTURES.md §3.1)."""
-    k = F.col(key)
-    exprs = {}
+    k = key
+    rep = {}
     for c in string_cols:
-        x = F.col(c)
-        exprs[c] = (
-            F.when(k % 23 == 0, F.lit(None).cast("string"))
-            .when(k % 5 == 0, F.concat(F.lit("  "), x, F.lit(" ")))
-            .when(k % 7 == 0, F.lower(x))
-            .otherwise(x)
-        )
+        rep[c] = (f"CASE WHEN {k} % 23 = 0 THEN CAST(NULL AS STRING) WHEN {k} % 5 = 0 THEN concat('  ', {c}, ' ') "
+                  f"WHEN {k} % 7 = 0 THEN lower({c}) ELSE {c} END")
     for c in numeric_cols:
-        x = F.col(c)
-        exprs[c] = F.when(k % 23 == 0, F.lit(None)).when(k % 19 == 0, -x).otherwise(x)
-    out = df.withColumns(exprs) if exprs else df
+        rep[c] = f"CASE WHEN {k} % 23 = 0 THEN NULL WHEN {k} % 19 = 0 THEN -{c} ELSE {c} END"
+    cols = df.columns
+    exprs = [f"{rep[c]} AS {c}" if c in rep else c for c in cols]
     if rescue:
-        out = out.withColumn(
-            "_rescued_data",
-            F.when(k % 29 == 0, F.concat(F.lit("k:"), k.cast("string"))),
-        )
-    return out
+        exprs.append(f"CASE WHEN {k} % 29 = 0 THEN concat('k:', CAST({k} AS STRING)) END AS _rescued_data")
+    return df.selectExpr(*exprs)
 
 
 def raw_customer_id(df: DataFrame, key: str) -> DataFrame:
     """customer_id as a raw CSV read infers it: double, some fractional."""
-    k = F.col(key)
-    x = F.col("customer_id").cast("double")
-    return df.withColumn(
-        "customer_id",
-        F.when(k % 97 == 0, F.lit(None).cast("double")).when(k % 101 == 0, x + F.lit(0.5)).otherwise(x),
-    )
+    return df.selectExpr(*[
+        (f"CASE WHEN {key} % 97 = 0 THEN CAST(NULL AS DOUBLE) WHEN {key} % 101 = 0 "
+         f"THEN CAST(customer_id AS DOUBLE) + 0.5D ELSE CAST(customer_id AS DOUBLE) END AS customer_id")
+        if c == "customer_id" else c for c in df.columns])
 
 
 # which columns each raw table gets dirt in
@@ -345,8 +273,7 @@ def raw(t: Tables, name: str) -> DataFrame:
     strings, numbers = DIRT[name]
     if name == "daily_operations":
         # repeated (restaurant_id, date) rows with a changed measure
-        extra = df.where(F.col("operation_id") % 10 == 0).withColumn(
-            "daily_revenue", F.col("daily_revenue") + F.lit(1.0))
+        extra = df.where("operation_id % 10 = 0").withColumn("daily_revenue", F.expr("daily_revenue + 1.0D"))
         df = df.unionByName(extra)
     out = dirty(df, key, strings, numbers)
     if name in ("orders", "customer_reviews"):
