@@ -36,20 +36,17 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = 1.5,
     unpivoted values; approximate: one ``percentile_approx`` aggregate).
     """
     q = quantile_table(df, columns, [0.25, 0.75], ["q1", "q3"], exact=exact, accuracy=accuracy)
-    aggs = []
+    picks = []
     for c in columns:
-        aggs += [
-            F.max(F.when(F.col("column") == c, F.col("q1"))).alias(f"_q1_{c}"),
-            F.max(F.when(F.col("column") == c, F.col("q3"))).alias(f"_q3_{c}"),
-        ]
-    row = q.agg(*aggs)
-    k = F.lit(float(factor))
-    bounds = {}
+        picks += [f"max(CASE WHEN column = '{c}' THEN q1 END) AS `_q1_{c}`",
+                  f"max(CASE WHEN column = '{c}' THEN q3 END) AS `_q3_{c}`"]
+    row = q.agg(*[F.expr(e) for e in picks])
+    k = f"{float(factor)!r}D"
+    bounds = []
     for c in columns:
-        q1, q3 = F.col(f"_q1_{c}"), F.col(f"_q3_{c}")
-        bounds[f"_lower_{c}"] = q1 - k * (q3 - q1)
-        bounds[f"_upper_{c}"] = q3 + k * (q3 - q1)
-    return row.withColumns(bounds)
+        q1, q3 = f"`_q1_{c}`", f"`_q3_{c}`"
+        bounds += [f"{q1} - {k} * ({q3} - {q1}) AS `_lower_{c}`", f"{q3} + {k} * ({q3} - {q1}) AS `_upper_{c}`"]
+    return row.selectExpr("*", *bounds)
 
 
 def cap_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5,
@@ -68,15 +65,17 @@ def cap_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5,
     if not columns:
         return df
     stats = iqr_bounds(df, columns, factor, exact, accuracy)
-    out = df.crossJoin(F.broadcast(stats))
-    clamped = {}
-    for c in columns:
-        x, lo, hi = F.col(c), F.col(f"_lower_{c}"), F.col(f"_upper_{c}")
-        clamped[c] = F.when(x < lo, lo).when(x > hi, hi).otherwise(x.cast("double"))
-    out = out.withColumns(clamped)
-    if drop_underscore:
-        return out.drop(*[c for c in out.columns if c.startswith("_")])  # one schema read
-    return out.drop(*stats.columns)
+    out = df.crossJoin(F.broadcast(stats))  # one row of bounds
+    capped = set(columns)
+    exprs = []
+    for c in df.columns:
+        if c in capped:
+            x, lo, hi = f"`{c}`", f"`_lower_{c}`", f"`_upper_{c}`"
+            exprs.append(f"CASE WHEN {x} < {lo} THEN {lo} WHEN {x} > {hi} THEN {hi} "
+                         f"ELSE CAST({x} AS DOUBLE) END AS `{c}`")
+        elif not (drop_underscore and c.startswith("_")):
+            exprs.append(f"`{c}`")
+    return out.selectExpr(*exprs)
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:

@@ -93,6 +93,12 @@ def distributed_ntile(df: DataFrame, k: int, order: Sequence, out_col: str,
     )
 
 
+def _stacked(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
+    """(group..., column, value double) rows: one SQL ``stack`` over the listed columns."""
+    args = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
+    return df.selectExpr(*[f"`{g}`" for g in group_cols], f"stack({len(columns)}, {args}) AS (column, value)")
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = (), num_partitions: int | None = None,
                     ) -> DataFrame:
@@ -104,13 +110,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     stream and ordered together, so any number of columns costs one sort.
     """
     group_cols = list(group_cols)
-    stacked = df.select(
-        *group_cols,
-        F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-            for c in columns
-        ])).alias("_kv"),
-    ).select(*group_cols, "_kv.column", "_kv.value").where(F.col("value").isNotNull())
+    stacked = _stacked(df, columns, group_cols).where("value IS NOT NULL")
     keys = [*group_cols, "column"]
     ranked = global_positions(stacked, [*keys, "value"], num_partitions)
     stats = ranked.groupBy(*keys).agg(
@@ -146,13 +146,7 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
             F.max(F.when(F.col("p") == F.lit(float(p)), F.col("value"))).alias(nm)
             for p, nm in zip(probs, names)
         ])
-    stacked = df.select(
-        *group_cols,
-        F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-            for c in columns
-        ])).alias("_kv"),
-    ).select(*group_cols, "_kv.column", "_kv.value")
+    stacked = _stacked(df, columns, group_cols)
     agg = stacked.groupBy(*group_cols, "column").agg(
         F.percentile_approx("value", [float(p) for p in probs], accuracy).alias("_q"))
     return agg.select(*group_cols, "column", *[
