@@ -26,12 +26,21 @@ def _flag_count_sql(c: str) -> str:
     return f"sum(CASE WHEN {c} THEN 1 ELSE 0 END)"
 
 
-def agg_revenue_monthly(fct_orders: DataFrame, fct_order_items: DataFrame) -> DataFrame:
+def agg_revenue_monthly(fct_orders: DataFrame, fct_order_items: DataFrame | None = None) -> DataFrame:
+    """Completed orders per month: orders, customers, revenue, AOV, margin, COGS, items.
+
+    If ``fct_orders`` already carries per-order margin/cost cents (built with
+    ``facts.order_line_summary(details, menu)``) the lines are not read again;
+    otherwise margin and cost are pre-aggregated per order from
+    ``fct_order_items`` and joined, as the reference does.
+    """
     orders = fct_orders.where("is_completed")
-    per_order = _agg(fct_order_items, ["order_id"],
-                     f"sum({cents_sql('line_margin')}) AS order_margin_c",
-                     f"sum({cents_sql('line_cost')}) AS order_cost_c")
-    g = _agg(orders.join(per_order, "order_id", "left"), ["year", "month", "year_month"],
+    if "order_margin_c" not in fct_orders.columns:
+        per_order = _agg(fct_order_items, ["order_id"],
+                         f"sum({cents_sql('line_margin')}) AS order_margin_c",
+                         f"sum({cents_sql('line_cost')}) AS order_cost_c")
+        orders = orders.join(per_order, "order_id", "left")
+    g = _agg(orders, ["year", "month", "year_month"],
              "count(order_id) AS total_orders",
              "count(DISTINCT customer_id) AS unique_customers",
              f"sum({cents_sql('total_amount')}) AS _rev",
@@ -70,7 +79,16 @@ def two_level_margin(fct_order_items: DataFrame) -> DataFrame:
         "restaurant_id", f"{from_cents_sql('gross_margin_c')} AS gross_margin")
 
 
-def agg_restaurant_performance(fct_orders: DataFrame, fct_order_items: DataFrame) -> DataFrame:
+def agg_restaurant_performance(fct_orders: DataFrame, fct_order_items: DataFrame | None = None) -> DataFrame:
+    """Per restaurant over all orders: volume, revenue, AOV, customers, channel mix,
+    completed-order rating and gross margin.
+
+    With per-order margin cents on ``fct_orders`` the margin is summed in the
+    same aggregate (each order belongs to one restaurant, so this equals the
+    two-level order -> restaurant sum); otherwise it is the reference's
+    two-level aggregation over ``fct_order_items`` joined back.
+    """
+    merged = "order_margin_c" in fct_orders.columns
     kpis = _agg(fct_orders, ["restaurant_id"],
                 "count(order_id) AS total_orders",
                 f"sum({cents_sql('total_amount')}) AS _rev",
@@ -78,9 +96,10 @@ def agg_restaurant_performance(fct_orders: DataFrame, fct_order_items: DataFrame
                 "count(DISTINCT customer_id) AS unique_customers",
                 f"{_flag_count_sql('is_delivery')} AS delivery_orders",
                 f"{_flag_count_sql('is_eat_in')} AS eat_in_orders",
-                f"{avg_int_sql('CASE WHEN is_completed THEN customer_rating END', 2)} AS avg_rating")
-    # one row per restaurant on both sides: AQE broadcasts it when it is small
-    df = kpis.join(restaurant_margin(fct_order_items), "restaurant_id", "left")
+                f"{avg_int_sql('CASE WHEN is_completed THEN customer_rating END', 2)} AS avg_rating",
+                *(["sum(order_margin_c) AS gross_margin_c"] if merged else []))
+    # otherwise: one row per restaurant on both sides, AQE broadcasts it when small
+    df = kpis if merged else kpis.join(restaurant_margin(fct_order_items), "restaurant_id", "left")
     return df.selectExpr(
         "restaurant_id", "total_orders", f"{from_cents_sql('_rev')} AS revenue", "aov",
         "unique_customers", "delivery_orders", "eat_in_orders", "avg_rating",

@@ -39,6 +39,13 @@ def fct_orders_of(t: Tables) -> DataFrame:
     return facts.fct_orders(A.orders(t), A.order_details(t))
 
 
+def fct_orders_priced_of(t: Tables) -> DataFrame:
+    """fct_orders whose single per-order pass over the lines also carries margin and cost."""
+    details = A.order_details(t)
+    summary = facts.order_line_summary(details, A.menu_items(t))
+    return facts.fct_orders(A.orders(t), details, summary)
+
+
 def fct_order_items_of(t: Tables) -> DataFrame:
     return facts.fct_order_items(A.order_details(t), A.orders(t), A.menu_items(t))
 
@@ -152,8 +159,7 @@ def q_fct_daily_ops(spark, sf_dir):
 
 @query("agg_revenue_monthly")
 def q_agg_revenue_monthly(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    return marts.agg_revenue_monthly(fct_orders_of(t), fct_order_items_of(t))
+    return marts.agg_revenue_monthly(fct_orders_priced_of(_t(spark, sf_dir)))
 
 
 @query("agg_revenue_by_category")
@@ -163,8 +169,7 @@ def q_agg_revenue_by_category(spark, sf_dir):
 
 @query("agg_restaurant_performance")
 def q_agg_restaurant_performance(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    return marts.agg_restaurant_performance(fct_orders_of(t), fct_order_items_of(t))
+    return marts.agg_restaurant_performance(fct_orders_priced_of(_t(spark, sf_dir)))
 
 
 @query("two_level_margin")
