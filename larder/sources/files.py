@@ -104,12 +104,14 @@ def classify_files(files: DataFrame, rules=REFERENCE_FILE_RULES) -> DataFrame:
 
 
 def file_groups(files: DataFrame, rules=REFERENCE_FILE_RULES) -> DataFrame:
-    """dataset -> number of files, total bytes, sorted file paths."""
+    """dataset -> number of files, total bytes, first and last path (sorted).
+
+    The per-dataset path list itself stays distributed (``classify_files``);
+    a dataset can hold millions of files, so it is not collected into one row.
+    """
     return classify_files(files, rules).where(F.col("dataset").isNotNull()).groupBy("dataset").agg(
-        F.count(F.lit(1)).alias("files"),
-        F.sum("size").alias("total_bytes"),
-        F.array_sort(F.collect_list("path")).alias("paths"),
-    )
+        F.expr("count(1) AS files"), F.expr("sum(size) AS total_bytes"),
+        F.expr("min(path) AS first_path"), F.expr("max(path) AS last_path"))
 
 
 # ------------------------------------------------------------ materialising
