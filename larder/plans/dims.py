@@ -120,8 +120,9 @@ def rfm_scores(df: DataFrame, key: str = "customer_id", direction: str = "as_ref
     ``as_reference``: tile 1 = most recent / most orders / biggest spend.
     ``high_is_best``: the three orders are reversed, so 5 is best.
     Customers without orders score 1 on all three but keep their slot in the
-    tiles. Ties are broken by ``key`` so the result is deterministic. Each
-    ntile is computed without a single-partition window (see operators.rank).
+    tiles. Ties are broken by ``key`` (which must be unique) so the result is
+    deterministic. Each ntile is computed without a single-partition window
+    (see operators.rank).
     """
     if direction not in RFM_DIRECTIONS:
         raise ValueError(f"direction must be one of {RFM_DIRECTIONS}")
@@ -137,14 +138,18 @@ def rfm_scores(df: DataFrame, key: str = "customer_id", direction: str = "as_ref
             "_f": [F.col("orders_cnt").asc_nulls_first(), F.col(key).asc()],
             "_m": [F.col("spent_c").asc_nulls_first(), F.col(key).asc()],
         }
-    out = df
+    # rank a narrow projection (key + the three measures), then join the scores
+    # back once on the unique key: the three range-partition + checkpoint
+    # passes move four columns instead of the whole customer row
+    narrow = df.select(key, "recency_days", "orders_cnt", "spent_c")
     for name, order in orders.items():
-        out = distributed_ntile(out, k, order, name, num_partitions)
-    return out.selectExpr(
-        "* EXCEPT (_r, _f, _m)",
+        narrow = distributed_ntile(narrow, k, order, name, num_partitions)
+    scores = narrow.selectExpr(
+        key,
         "CASE WHEN orders_cnt IS NULL THEN 1 ELSE _r END AS r_score",
         "CASE WHEN orders_cnt IS NULL THEN 1 ELSE _f END AS f_score",
         "CASE WHEN spent_c IS NULL THEN 1 ELSE _m END AS m_score")
+    return df.join(scores, key, "left")
 
 
 RFM_SEGMENT_SQL = (
