@@ -35,12 +35,13 @@ def _num_partitions(df: DataFrame, requested: int | None) -> int:
 
 
 def global_positions(df: DataFrame, order: Sequence, num_partitions: int | None = None,
-                     pos_col: str = POS) -> DataFrame:
+                     pos_col: str = POS, total_col: str | None = None) -> DataFrame:
     """Add ``pos_col``: 1-based position of each row in the total ``order``.
 
     ``order`` must make the order total (end it with a key) for positions to be
     reproducible; with ties left in, positions among tied rows are still
-    fixed by the checkpoint, only not predictable.
+    fixed by the checkpoint, only not predictable. ``total_col`` also adds
+    the total row count (taken from the same per-partition table, no extra job).
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -48,23 +49,22 @@ def global_positions(df: DataFrame, order: Sequence, num_partitions: int | None
     n = _num_partitions(df, num_partitions)
     ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     ranged = ranged.checkpoint(eager=True)
-    ranged = ranged.withColumn("_mid", F.monotonically_increasing_id())
-    ranged = ranged.withColumns({
-        "_pid": F.shiftright(F.col("_mid"), _IDX_BITS).cast("int"),
-        "_idx": F.col("_mid").bitwiseAND(F.lit((1 << _IDX_BITS) - 1)),
-    }).drop("_mid")
-    per_part = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
+    # partition index and row index inside it, from one id per row
+    ranged = ranged.selectExpr("*", "monotonically_increasing_id() AS _mid").selectExpr(
+        "* EXCEPT (_mid)", f"CAST(shiftright(_mid, {_IDX_BITS}) AS INT) AS _pid",
+        f"_mid & {(1 << _IDX_BITS) - 1} AS _idx")
+    per_part = ranged.groupBy("_pid").agg(F.expr("count(1) AS _cnt"))
+    # one row per range partition: size bounded by ``n`` -> the unpartitioned
+    # window and the broadcast below are both bounded by the partition count
+    offsets = per_part.selectExpr(
         "_pid",
-        F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_offset"),
-    )
-    # one row per range partition: size bounded by ``n`` -> safe to broadcast
-    return (
-        ranged.join(F.broadcast(offsets), "_pid")
-        .withColumn(pos_col, F.col("_offset") + F.col("_idx") + F.lit(1))
-        .drop("_pid", "_idx", "_offset")
-    )
+        "coalesce(sum(_cnt) OVER (ORDER BY _pid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
+        "AS _offset",
+        "sum(_cnt) OVER () AS _total")
+    out = ranged.join(F.broadcast(offsets), "_pid").selectExpr(
+        "*", f"_offset + _idx + 1 AS `{pos_col}`",
+        *([f"_total AS `{total_col}`"] if total_col else []))
+    return out.drop("_pid", "_idx", "_offset", "_total")
 
 
 def ntile_from_position(pos, total, k: int) -> Column:
@@ -84,11 +84,9 @@ def ntile_from_position(pos, total, k: int) -> Column:
 def distributed_ntile(df: DataFrame, k: int, order: Sequence, out_col: str,
                       num_partitions: int | None = None) -> DataFrame:
     """``ntile(k) OVER (ORDER BY order)`` without a single-partition window."""
-    ranked = global_positions(df, order, num_partitions, pos_col="_ntile_pos")
-    total = ranked.agg(F.count(F.lit(1)).alias("_ntile_total"))  # one row
+    ranked = global_positions(df, order, num_partitions, pos_col="_ntile_pos", total_col="_ntile_total")
     return (
-        ranked.crossJoin(F.broadcast(total))
-        .withColumn(out_col, ntile_from_position("_ntile_pos", "_ntile_total", k))
+        ranked.withColumn(out_col, ntile_from_position("_ntile_pos", "_ntile_total", k))
         .drop("_ntile_pos", "_ntile_total")
     )
 
