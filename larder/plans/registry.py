@@ -210,6 +210,14 @@ def q_agg_menu_engineering(spark, sf_dir):
     return marts.agg_menu_engineering(perf, dims.dim_menu_item(A.menu_items(t)))
 
 
+@query("agg_menu_engineering_approx")
+def q_agg_menu_engineering_approx(spark, sf_dir):
+    """Medians by percentile_approx, as the reference computes them (no exact oracle)."""
+    t = _t(spark, sf_dir)
+    perf = marts.agg_item_performance(fct_order_items_of(t))
+    return marts.agg_menu_engineering(perf, dims.dim_menu_item(A.menu_items(t)), exact=False)
+
+
 @query("agg_ops_costs")
 def q_agg_ops_costs(spark, sf_dir):
     return marts.agg_ops_costs(facts.fct_daily_ops(A.daily_operations(_t(spark, sf_dir))))
@@ -246,6 +254,12 @@ def q_cap_outliers_multi(spark, sf_dir):
     return C.cap_outliers(_t(spark, sf_dir).events, ["value", "user_id"])
 
 
+@query("cap_outliers_approx")
+def q_cap_outliers_approx(spark, sf_dir):
+    """The reference's estimator: percentile_approx quartiles (no exact oracle)."""
+    return C.cap_outliers(_t(spark, sf_dir).events, ["value", "user_id"], exact=False)
+
+
 @query("dedup_by_key")
 def q_dedup_by_key(spark, sf_dir):
     return C.dedup_by_key(_t(spark, sf_dir).lineitem, ["l_orderkey", "l_linenumber"])

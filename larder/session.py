@@ -33,14 +33,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions expose no SparkContext
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset."""
-    sc = getattr(spark, "sparkContext", None)
+    sc = _context(spark)
     current = None
     if sc is not None:
         try:
             current = sc.getCheckpointDir()
-        except Exception:  # pragma: no cover - Connect sessions have no context
+        except Exception:
             current = None
     if current:
         return current
