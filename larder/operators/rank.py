@@ -108,9 +108,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     stream and ordered together, so any number of columns costs one sort.
     """
     group_cols = list(group_cols)
-    stacked = _stacked(df, columns, group_cols).where("value IS NOT NULL")
+    # a per-row id as the last sort key lets the range partitioner split a
+    # value that holds a large share of the rows over many tasks; tied rows
+    # carry equal values, so which of them gets which position is irrelevant
+    with_id = df.selectExpr("*", "monotonically_increasing_id() AS _rid")
+    stacked = _stacked(with_id, columns, [*group_cols, "_rid"]).where("value IS NOT NULL")
     keys = [*group_cols, "column"]
-    ranked = global_positions(stacked, [*keys, "value"], num_partitions)
+    ranked = global_positions(stacked, [*keys, "value", "_rid"], num_partitions)
     stats = ranked.groupBy(*keys).agg(
         F.min(POS).alias("_start"), F.count(F.lit(1)).alias("_n"))
     targets = stats.select(

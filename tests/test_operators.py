@@ -261,3 +261,17 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint" in plan
     for unused in ("l_tax", "l_discount", "l_extendedprice"):   # pruned from the scan
         assert unused not in plan
+
+
+def test_exact_quantiles_hot_value_spreads_over_partitions(spark):
+    # 60% of the rows share one value; the range partitions must still be balanced
+    df = spark.range(0, 6000).selectExpr("CASE WHEN id % 10 < 6 THEN 0.0D ELSE CAST(id AS DOUBLE) END AS x")
+    q = {r.p: r.value for r in exact_quantiles(df, ["x"], [0.25, 0.5, 0.75], num_partitions=8).collect()}
+    ordered = sorted(r.x for r in df.collect())
+    for p in (0.25, 0.5, 0.75):
+        import math
+        assert q[p] == ordered[max(1, math.ceil(p * len(ordered))) - 1]
+    ranked = global_positions(
+        df.selectExpr("x", "monotonically_increasing_id() AS _rid"), ["x", "_rid"], num_partitions=8)
+    sizes = [r[1] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 0.3 * 6000
