@@ -118,3 +118,25 @@ def q_usage_top_items(spark, sf_dir):
     return spark.sql(
         "SELECT restaurant_id, item_id, units_sold, revenue, margin_pct FROM {p} "
         "ORDER BY restaurant_id, revenue DESC", p=mart)
+
+
+@query("gold_refresh")
+def q_gold_refresh(spark, sf_dir):
+    """All 22 gold tables written in dependency order; rows per written table."""
+    from ..sources import adapters as A
+    from .refresh import refresh_gold, table_row_counts
+    from .registry import AS_OF
+    t = Tables(spark, sf_dir)
+    silver = {name: A.source(t, name) for name in A.SOURCES}
+    written = refresh_gold(silver, io.scratch_path(spark, "gold"), AS_OF)
+    return table_row_counts(written)
+
+
+@query("gold_refresh_monthly")
+def q_gold_refresh_monthly(spark, sf_dir):
+    """fct_orders (with per-order margin) written partitioned by month, and the
+    monthly mart computed from the written table, as a refresh does it."""
+    from .registry import fct_orders_priced_of
+    fct = io.materialize(fct_orders_priced_of(Tables(spark, sf_dir)), io.scratch_path(spark, "gold"),
+                         partition_by=["year_month"])
+    return marts.agg_revenue_monthly(fct)

@@ -359,3 +359,12 @@ ORACLE["usage_monthly_trend"] = (
 ORACLE["usage_top_items"] = with_(*ORDER_CTES, "item_perf") + """
 SELECT restaurant_id, item_id, units_sold, revenue, margin_pct FROM item_perf
 ORDER BY restaurant_id, revenue DESC"""
+
+_GOLD = ["dim_date", "dim_restaurant", "dim_customer", "dim_menu_item", "dim_employee",
+         "fct_orders", "fct_order_items", "fct_delivery", "fct_inventory_daily", "fct_daily_ops",
+         "agg_revenue_monthly", "agg_revenue_by_category", "agg_restaurant_performance", "agg_hourly_demand",
+         "agg_customer_cohorts", "agg_customer_lifetime", "agg_item_performance", "agg_menu_engineering",
+         "agg_ops_costs", "agg_staffing_efficiency", "agg_delivery_by_condition", "agg_driver_performance"]
+ORACLE["gold_refresh"] = union(
+    [f"SELECT '{t}' AS {q('table')}, count(*) AS rows FROM ({ORACLE[t]})" for t in _GOLD])
+ORACLE["gold_refresh_monthly"] = ORACLE["agg_revenue_monthly"]

@@ -122,6 +122,11 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
     Reading back cuts the lineage: later jobs start from the written files.
     An ordering of ``df`` is not kept by storage; sort where it is consumed.
     """
+    if partition_by:
+        # REBALANCE lets AQE size the output files: rows of one partition value
+        # are gathered (few files per value instead of one per task), and a value
+        # holding a large share of the rows is split over several tasks
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
