@@ -147,7 +147,7 @@ def audit_duplicates(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequenc
         pk = list(keys.get(name, []))
         d = duplicate_rows(df)
         if pk:
-            d = d.crossJoin(pk_violations(df, pk).select("pk_dups"))  # 1 x 1 rows
+            d = d.withColumn("pk_dups", pk_violations(df, pk).select("pk_dups").scalar())
         else:
             d = d.selectExpr("*", "CAST(0 AS BIGINT) AS pk_dups")
         frames.append(d.selectExpr(f"{_lit(name)} AS table", "total_rows", "dup_rows", "dup_pct",
@@ -171,16 +171,17 @@ def table_outliers(df: DataFrame, name: str, factor: float = 1.5, exact: bool =
         return df.sparkSession.createDataFrame(
             [], "table string, column string, q1 double, q3 double, lower_bound double, "
                 "upper_bound double, outlier_count bigint, outlier_pct double")
-    total = _aggs(df, "count(1) AS _total")
     stacked = _stack_values(df, cols, "double")
     distinct = stacked.select("column", "value").distinct().groupBy("column").agg(F.expr("count(1) AS _distinct"))
     qt = quantile_table(df, cols, [0.25, 0.75], ["q1", "q3"], exact=exact)
     k = repr(float(factor)) + "D"
     bounds = qt.selectExpr("column", "q1", "q3", f"q1 - {k} * (q3 - q1) AS lo", f"q3 + {k} * (q3 - q1) AS hi")
     # one row per numeric column: bounded by the schema width
+    # every row appears once per column in ``stacked`` (NULLs included), so the
+    # same pass also yields the table's row count
     counts = stacked.join(F.broadcast(bounds), "column").groupBy("column").agg(
-        F.expr("count_if(value < lo OR value > hi) AS outlier_count"))
-    rep = (bounds.join(counts, "column").join(distinct, "column").crossJoin(F.broadcast(total))
+        F.expr("count_if(value < lo OR value > hi) AS outlier_count"), F.expr("count(1) AS _total"))
+    rep = (bounds.join(counts, "column").join(distinct, "column")
            .where(f"_distinct >= {int(min_distinct)} AND _distinct <= _total * {float(max_distinct_share)!r}D "
                   f"AND outlier_count > 0"))
     return rep.selectExpr(
@@ -311,7 +312,7 @@ def reconcile_rows(pairs: Pairs) -> DataFrame:
         lc, rc = set(left.columns), set(right.columns)
         extra = ", ".join(sorted(rc - lc)) or "none"
         missing = ", ".join(sorted(lc - rc)) or "none"
-        frames.append(_count(left, "left_rows").crossJoin(_count(right, "right_rows")).selectExpr(
+        frames.append(_count(left, "left_rows").withColumn("right_rows", _count(right, "n").scalar()).selectExpr(
             f"{_lit(name)} AS table", "left_rows", "right_rows", "right_rows - left_rows AS row_diff",
             f"{len(lc)} AS left_cols", f"{len(rc)} AS right_cols",
             f"{_lit(extra)} AS extra_cols", f"{_lit(missing)} AS missing_cols"))
@@ -394,7 +395,7 @@ def layer_row_delta(pairs: Pairs) -> DataFrame:
     """table, bronze_rows, silver_rows, rows_removed, removed_pct."""
     frames = []
     for name, (bronze, silver) in pairs.items():
-        frames.append(_count(bronze, "bronze_rows").crossJoin(_count(silver, "silver_rows")).selectExpr(
+        frames.append(_count(bronze, "bronze_rows").withColumn("silver_rows", _count(silver, "n").scalar()).selectExpr(
             f"{_lit(name)} AS table", "bronze_rows", "silver_rows", "bronze_rows - silver_rows AS rows_removed"))
     return _union(frames).selectExpr("*", f"{pct_sql('rows_removed', 'bronze_rows')} AS removed_pct") \
         .orderBy(F.col("rows_removed").desc())
