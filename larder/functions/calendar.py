@@ -1,12 +1,7 @@
-"""Calendar helpers: keys, month arithmetic and the holiday rule."""
+"""Calendar rules as SQL text: date keys, months, the holiday rule."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from .numeric import half_up_ratio
-
 # Fixed values that must equal the reference's: UK-relevant holidays as
 # (month, day-of-month) pairs, applied to every year.
 UK_HOLIDAYS = (
@@ -17,41 +12,25 @@ UK_HOLIDAYS = (
 )
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def date_key(c) -> Column:
+def date_key_sql(x: str) -> str:
     """yyyyMMdd as int."""
-    return F.date_format(_c(c), "yyyyMMdd").cast("int")
+    return f"CAST(date_format({x}, 'yyyyMMdd') AS INT)"
 
 
-def year_month(c) -> Column:
-    return F.date_format(_c(c), "yyyy-MM")
+def year_month_sql(x: str) -> str:
+    return f"date_format({x}, 'yyyy-MM')"
 
 
-def is_holiday(c, holidays=UK_HOLIDAYS) -> Column:
-    d = _c(c)
-    cond = F.lit(False)
+def holiday_sql(x: str, holidays=UK_HOLIDAYS) -> str:
+    """True when the date's (month, day) is in ``holidays`` (same list every year)."""
     by_month: dict[int, list[int]] = {}
     for m, day in holidays:
         by_month.setdefault(m, []).append(day)
-    for m, days in by_month.items():
-        cond = cond | ((F.month(d) == m) & F.dayofmonth(d).isin(*days))
-    return F.when(cond, True).otherwise(False)
-
-
-def months_between_1dp(later, earlier) -> Column:
-    """round(months_between(later, earlier), 1), rounded HALF_UP exactly.
-
-    ``months_between`` already rounds to 8 decimals; the value is taken as an
-    exact count of 1e-8 months before the final rounding.
-    """
-    mb = F.months_between(_c(later), _c(earlier))
-    return half_up_ratio(F.round(mb * F.lit(1e8)).cast("long"), F.lit(10 ** 8), 1)
+    cond = " OR ".join(f"(month({x}) = {m} AND dayofmonth({x}) IN ({', '.join(map(str, days))}))"
+                       for m, days in by_month.items()) or "false"
+    return f"coalesce({cond}, false)"
 
 
-def years_between_1dp(later, earlier) -> Column:
-    """round(months_between(later, earlier) / 12, 1), rounded HALF_UP exactly."""
-    mb = F.months_between(_c(later), _c(earlier))
-    return half_up_ratio(F.round(mb * F.lit(1e8)).cast("long"), F.lit(12 * 10 ** 8), 1)
+def months_between_e8_sql(later: str, earlier: str) -> str:
+    """months_between (already rounded to 8 places) as an exact count of 1e-8 months."""
+    return f"CAST(round(months_between({later}, {earlier}) * 1e8) AS BIGINT)"

@@ -20,10 +20,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _s(x) -> str:
-    return x if isinstance(x, str) else str(x)
-
-
 # ------------------------------------------------------------------ SQL text
 
 def money_sql(x: str) -> str:
@@ -81,61 +77,36 @@ def sum_money_sql(x: str) -> str:
 
 
 # ---------------------------------------------------------------- Column API
+# Thin Column forms of the text helpers (arguments are SQL text: column names
+# or expressions).
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def money(x: str) -> Column:
+    return F.expr(money_sql(x))
 
 
-def money(c) -> Column:
-    """Double with at most two decimals -> exact DECIMAL(18,2)."""
-    return F.expr(money_sql(c)) if isinstance(c, str) else c.cast("decimal(18,2)")
+def cents(x: str) -> Column:
+    return F.expr(cents_sql(x))
 
 
-def cents(c) -> Column:
-    return F.expr(cents_sql(c)) if isinstance(c, str) else (c.cast("decimal(18,2)") * 100).cast("long")
+def half_up_ratio(num: str, den: str, places: int) -> Column:
+    return F.expr(half_up_sql(num, den, places))
 
 
-def half_up_ratio(num, den, places: int) -> Column:
-    """HALF_UP(num / den, places); num, den are SQL text or integer-valued Columns."""
-    if isinstance(num, str) and isinstance(den, str):
-        return F.expr(half_up_sql(num, den, places))
-    n = _c(num).cast("decimal(38,0)") if not isinstance(num, str) else F.expr(f"CAST({num} AS DECIMAL(38,0))")
-    d = _c(den).cast("decimal(38,0)") if not isinstance(den, str) else F.expr(f"CAST({den} AS DECIMAL(38,0))")
-    scale = 10 ** places
-    a = F.lit(2) * F.abs(n) * F.lit(scale) + F.abs(d)
-    b = F.lit(2) * F.abs(d)
-    q = ((a - a % b) / b).cast("long")  # exact floor division of non-negative decimals
-    signed = F.when((n < 0) != (d < 0), -q).otherwise(q)
-    return F.when(d.isNull() | (d == 0), F.lit(None).cast("double")).otherwise(
-        signed.cast("double") / F.lit(float(scale)))
-
-
-def pct(num, den, num_scale: int = 0, den_scale: int = 0) -> Column:
-    """round(num / den * 100, 2), 0.0 unless den > 0 (SQL text or Columns).
-
-    ``*_scale``: decimals of a Column argument (2 for money); text arguments
-    must already be exact integers in the same unit.
-    """
-    if isinstance(num, str) and isinstance(den, str):
-        return F.expr(pct_sql(num, den))
-    n = _c(num) * F.lit(10 ** num_scale) if num_scale else _c(num)
-    d = _c(den) * F.lit(10 ** den_scale) if den_scale else _c(den)
-    n2 = n.cast("decimal(38,0)") * F.lit(100 * 10 ** den_scale)
-    d2 = d.cast("decimal(38,0)") * F.lit(10 ** num_scale)
-    return F.when(_c(den) > 0, half_up_ratio(n2, d2, 2)).otherwise(F.lit(0.0))
+def pct(num: str, den: str, guard: str | None = None) -> Column:
+    return F.expr(pct_sql(num, den, guard))
 
 
-def avg_money(c: str, places: int = 2) -> Column:
-    return F.expr(avg_money_sql(c, places))
+def avg_money(x: str, places: int = 2) -> Column:
+    return F.expr(avg_money_sql(x, places))
 
 
-def avg_int(c: str, places: int) -> Column:
-    return F.expr(avg_int_sql(c, places))
+def avg_int(x: str, places: int) -> Column:
+    return F.expr(avg_int_sql(x, places))
 
 
-def avg_scaled(c: str, decimals: int, places: int) -> Column:
-    return F.expr(avg_scaled_sql(c, decimals, places))
+def avg_scaled(x: str, decimals: int, places: int) -> Column:
+    return F.expr(avg_scaled_sql(x, decimals, places))
 
 
-def sum_money(c: str) -> Column:
-    return F.expr(sum_money_sql(c))
+def sum_money(x: str) -> Column:
+    return F.expr(sum_money_sql(x))

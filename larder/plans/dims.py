@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import UK_HOLIDAYS
+from ..functions.calendar import (UK_HOLIDAYS, date_key_sql, holiday_sql, months_between_e8_sql,
+                                  year_month_sql)
 from ..functions.numeric import cents_sql, from_cents_sql, half_up_sql, pct_sql
 from ..operators.rank import distributed_ntile
 
@@ -18,23 +19,17 @@ from ..operators.rank import distributed_ntile
 
 def calendar_columns(df: DataFrame, date_col: str = "date", holidays=UK_HOLIDAYS) -> DataFrame:
     d = date_col
-    by_month: dict[int, list[int]] = {}
-    for m, day in holidays:
-        by_month.setdefault(m, []).append(day)
-    holiday = " OR ".join(
-        f"(month({d}) = {m} AND dayofmonth({d}) IN ({', '.join(map(str, days))}))"
-        for m, days in by_month.items()) or "false"
     return df.selectExpr(
         "*",
-        f"CAST(date_format({d}, 'yyyyMMdd') AS INT) AS date_key",
+        f"{date_key_sql(d)} AS date_key",
         f"year({d}) AS year", f"quarter({d}) AS quarter", f"month({d}) AS month",
         f"date_format({d}, 'MMMM') AS month_name", f"date_format({d}, 'MMM') AS month_short",
         f"weekofyear({d}) AS week_of_year", f"dayofmonth({d}) AS day_of_month",
         f"dayofweek({d}) AS day_of_week", f"date_format({d}, 'EEEE') AS day_name",
         f"date_format({d}, 'EEE') AS day_short",
         f"dayofweek({d}) IN (1, 7) AS is_weekend",
-        f"coalesce({holiday}, false) AS is_holiday",
-        f"date_format({d}, 'yyyy-MM') AS year_month",
+        f"{holiday_sql(d, holidays)} AS is_holiday",
+        f"{year_month_sql(d)} AS year_month",
         f"concat_ws('-Q', year({d}), quarter({d})) AS year_quarter")
 
 
@@ -65,11 +60,6 @@ def _as_of_sql(as_of) -> str:
     return "current_date()" if as_of is None else f"DATE'{as_of}'"
 
 
-def months_between_e8_sql(later: str, earlier: str) -> str:
-    """months_between (already rounded to 8 places) as an exact count of 1e-8 months."""
-    return f"CAST(round(months_between({later}, {earlier}) * 1e8) AS BIGINT)"
-
-
 def dim_restaurant(restaurants: DataFrame, as_of: str | None = None) -> DataFrame:
     years = half_up_sql(months_between_e8_sql(_as_of_sql(as_of), "opening_date"), str(12 * 10 ** 8), 1)
     return restaurants.selectExpr(

@@ -13,17 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.calendar import date_key_sql, year_month_sql
 from ..functions.numeric import cents_sql, from_cents_sql, half_up_sql, pct_sql
 
 
-def date_key_sql(x: str) -> str:
-    return f"CAST(date_format({x}, 'yyyyMMdd') AS INT)"
-
-
-def year_month_sql(x: str) -> str:
-    return f"date_format({x}, 'yyyy-MM')"
-
-
 def flag_sql(x: str, value: str) -> str:
     """True when x equals value; NULL counts as False."""
     return f"coalesce({x} = '{value}', false)"

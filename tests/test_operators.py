@@ -40,7 +40,8 @@ def test_months_between_rounding(spark):
     df = spark.createDataFrame(
         [(dt.date(2024, 3, 31), dt.date(2024, 2, 29)), (dt.date(2024, 3, 15), dt.date(2024, 2, 29)),
          (dt.date(2024, 3, 30), dt.date(2024, 2, 29))], "a date, b date")
-    e8 = dims.months_between_e8_sql("a", "b")
+    from larder.functions.calendar import months_between_e8_sql
+    e8 = months_between_e8_sql("a", "b")
     got = [r.m for r in df.selectExpr(f"{half_up_sql(e8, str(10**8), 1)} AS m").collect()]
     assert got == [1.0, 0.5, 1.0]
 
