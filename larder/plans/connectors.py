@@ -140,3 +140,17 @@ def q_gold_refresh_monthly(spark, sf_dir):
     fct = io.materialize(fct_orders_priced_of(Tables(spark, sf_dir)), io.scratch_path(spark, "gold"),
                          partition_by=["year_month"])
     return marts.agg_revenue_monthly(fct)
+
+
+@query("ingest_clean_orders")
+def q_ingest_clean_orders(spark, sf_dir):
+    """Raw orders landed as CSV files -> file stream (bronze, declared schema) -> clean_orders (silver)."""
+    from ..sources import adapters as A
+    from . import silver
+    raw = A.raw(Tables(spark, sf_dir), "orders")
+    landing = io.write_csv(raw, io.scratch_path(spark, "landing"))
+    base = io.scratch_path(spark, "stream")
+    bronze = ingest_stream(spark, landing, raw.schema, f"{base}/table", f"{base}/_checkpoint",
+                           fmt="csv", glob="*.csv",
+                           options={"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    return silver.clean_orders(bronze)

@@ -368,3 +368,4 @@ _GOLD = ["dim_date", "dim_restaurant", "dim_customer", "dim_menu_item", "dim_emp
 ORACLE["gold_refresh"] = union(
     [f"SELECT '{t}' AS {q('table')}, count(*) AS rows FROM ({ORACLE[t]})" for t in _GOLD])
 ORACLE["gold_refresh_monthly"] = ORACLE["agg_revenue_monthly"]
+ORACLE["ingest_clean_orders"] = ORACLE["clean_orders"]

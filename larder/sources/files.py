@@ -42,7 +42,10 @@ def csv_scan(spark: SparkSession, paths: str | Sequence[str], schema: StructType
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
-    df.write.mode("overwrite").option("header", header).csv(path)
+    """Write CSV files keeping values exactly (the writer trims spaces by default)."""
+    (df.write.mode("overwrite").option("header", header)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
     return path
 
 
