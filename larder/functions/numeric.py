@@ -1,8 +1,8 @@
 """Exact money arithmetic and HALF_UP rounding as column expressions.
 
 Money values (doubles with at most two decimals) are converted once to exact
-integer cents (``CAST(CAST(x AS DECIMAL(18,2)) * 100 AS BIGINT)``); sums and
-products run on those longs, which Spark aggregates in its fast codegen path
+integer cents (``CAST(rint(x * 100) AS BIGINT)``); sums and products run on
+those longs, which Spark aggregates in its fast codegen path
 (wide DECIMAL buffers would fall back to BigDecimal objects per row). Only the
 finished per-group value is divided back to a double.
 
@@ -27,8 +27,10 @@ def money_sql(x: str) -> str:
 
 
 def cents_sql(x: str) -> str:
-    """Exact integer cents of a money value."""
-    return f"CAST(CAST({x} AS DECIMAL(18,2)) * 100 AS BIGINT)"
+    """Integer cents of a money value: the double times 100, rounded to the
+    nearest integer (``rint``, a plain double operation; exact for values with
+    at most two decimals, where the product is within 1e-9 of an integer)."""
+    return f"CAST(rint({x} * 100.0D) AS BIGINT)"
 
 
 def from_cents_sql(x: str) -> str:
@@ -67,7 +69,7 @@ def avg_int_sql(x: str, places: int) -> str:
 
 def avg_scaled_sql(x: str, decimals: int, places: int) -> str:
     """round(avg(x), places) for x holding at most ``decimals`` decimals (aggregate)."""
-    units = f"CAST(CAST({x} AS DECIMAL(18,{decimals})) * {10 ** decimals} AS BIGINT)"
+    units = f"CAST(rint({x} * {10 ** decimals}.0D) AS BIGINT)"
     return half_up_sql(f"sum({units})", f"count({x}) * {10 ** decimals}", places)
 
 

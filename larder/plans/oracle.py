@@ -17,7 +17,7 @@ def money(x: str) -> str:
 
 
 def cents(x: str) -> str:
-    return f"CAST(CAST({x} AS DECIMAL(18,2)) * 100 AS HUGEINT)"
+    return f"CAST(round_even(CAST({x} AS DOUBLE) * 100, 0) AS HUGEINT)"
 
 
 def hu(n: str, d: str, k: int) -> str:
@@ -479,7 +479,7 @@ FROM fct_orders WHERE is_completed GROUP BY day_of_week, hour_of_day"""
 
 ORACLE["hourly_activity_events"] = f"""
 SELECT CAST(dayofweek(ts) + 1 AS INTEGER) AS day_of_week, CAST(hour(ts) AS INTEGER) AS hour_of_day,
-       count(*) AS events, CAST(sum({money('value')}) AS DOUBLE) AS total_value,
+       count(*) AS events, CAST(sum({cents('value')}) AS DOUBLE) / 100.0 AS total_value,
        {avg_money('value')} AS avg_value
 FROM events GROUP BY 1, 2"""
 
@@ -545,7 +545,7 @@ SELECT restaurant_id, position, count(employee_id) AS headcount,
        {avg_money('salary_per_hour')} AS avg_hourly_rate,
        {avg_int('hours_per_week', 1)} AS avg_hours_per_week,
        {avg_money('performance_rating')} AS avg_rating,
-       {hu('sum(CAST(round(tenure_months * 10) AS BIGINT))', 'count(tenure_months) * 10', 1)} AS avg_tenure_months,
+       {hu('sum(CAST(round_even(tenure_months * 10, 0) AS BIGINT))', 'count(tenure_months) * 10', 1)} AS avg_tenure_months,
        CAST(sum({money('weekly_cost_gbp')}) AS DOUBLE) AS weekly_payroll,
        {pct('sum(CASE WHEN is_active = false THEN 1 ELSE 0 END)', 'count(employee_id)', 'count(employee_id)')} AS turnover_pct
 FROM dim_employee GROUP BY restaurant_id, position"""

@@ -136,7 +136,7 @@ def delivery_performance(t: Tables) -> DataFrame:
 def inventory(t: Tables) -> DataFrame:
     """Daily stock per (supplier as restaurant, part as item, ship date): one aggregate over lineitem."""
     q = "CAST(l_quantity AS INT)"
-    price_c = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)"
+    price_c = "CAST(rint(l_extendedprice * 100.0D) AS BIGINT)"
     g = t.lineitem.groupBy(
         F.col("l_suppkey").alias("restaurant_id"), F.col("l_partkey").alias("item_id"),
         F.expr("CAST(l_shipdate AS DATE) AS date"),
@@ -165,7 +165,7 @@ UTILITY_RATES = {
 
 def daily_operations(t: Tables) -> DataFrame:
     """Per (supplier mod 10 as restaurant, ship date): one aggregate over lineitem."""
-    price_c = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)"
+    price_c = "CAST(rint(l_extendedprice * 100.0D) AS BIGINT)"
     g = t.lineitem.groupBy(
         F.expr("CAST(l_suppkey % 10 AS INT) AS restaurant_id"), F.expr("CAST(l_shipdate AS DATE) AS date"),
     ).agg(
