@@ -27,13 +27,6 @@ def _cols(order: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def _num_partitions(df: DataFrame, requested: int | None) -> int:
-    if requested:
-        return int(requested)
-    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-    return max(1, int(conf))
-
-
 def global_positions(df: DataFrame, order: Sequence, num_partitions: int | None = None,
                      pos_col: str = POS, total_col: str | None = None) -> DataFrame:
     """Add ``pos_col``: 1-based position of each row in the total ``order``.
@@ -46,8 +39,10 @@ def global_positions(df: DataFrame, order: Sequence, num_partitions: int | None
     spark = df.sparkSession
     checkpoint_dir(spark)
     cols = _cols(order)
-    n = _num_partitions(df, num_partitions)
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    # without an explicit count the range exchange uses spark.sql.shuffle.partitions
+    # and AQE may merge adjacent (small) ranges; merged ranges keep the order
+    ranged = (df.repartitionByRange(int(num_partitions), *cols) if num_partitions
+              else df.repartitionByRange(*cols)).sortWithinPartitions(*cols)
     ranged = ranged.checkpoint(eager=True)
     # partition index and row index inside it, from one id per row
     ranged = ranged.selectExpr("*", "monotonically_increasing_id() AS _mid").selectExpr(
