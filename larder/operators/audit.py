@@ -147,7 +147,11 @@ def audit_duplicates(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequenc
         pk = list(keys.get(name, []))
         d = duplicate_rows(df)
         if pk:
-            d = d.withColumn("pk_dups", pk_violations(df, pk).select("pk_dups").scalar())
+            # two one-row results combined by union + aggregate (no join): both
+            # aggregations run as parallel branches of one job
+            p = pk_violations(df, pk).select("pk_dups")
+            d = d.unionByName(p, allowMissingColumns=True).agg(
+                *[F.expr(f"max({c}) AS {c}") for c in ("total_rows", "dup_rows", "dup_pct", "pk_dups")])
         else:
             d = d.selectExpr("*", "CAST(0 AS BIGINT) AS pk_dups")
         frames.append(d.selectExpr(f"{_lit(name)} AS table", "total_rows", "dup_rows", "dup_pct",
@@ -305,6 +309,12 @@ def _count(df: DataFrame, alias: str) -> DataFrame:
     return _aggs(df, f"count(1) AS {alias}")
 
 
+def _two_counts(a: DataFrame, a_name: str, b: DataFrame, b_name: str) -> DataFrame:
+    """One row with the row counts of ``a`` and ``b`` (union + aggregate, no join)."""
+    return _count(a, a_name).unionByName(_count(b, b_name), allowMissingColumns=True).agg(
+        F.expr(f"max({a_name}) AS {a_name}"), F.expr(f"max({b_name}) AS {b_name}"))
+
+
 def reconcile_rows(pairs: Pairs) -> DataFrame:
     """Row counts and column sets of two versions of each table (left = source)."""
     frames = []
@@ -312,7 +322,7 @@ def reconcile_rows(pairs: Pairs) -> DataFrame:
         lc, rc = set(left.columns), set(right.columns)
         extra = ", ".join(sorted(rc - lc)) or "none"
         missing = ", ".join(sorted(lc - rc)) or "none"
-        frames.append(_count(left, "left_rows").withColumn("right_rows", _count(right, "n").scalar()).selectExpr(
+        frames.append(_two_counts(left, "left_rows", right, "right_rows").selectExpr(
             f"{_lit(name)} AS table", "left_rows", "right_rows", "right_rows - left_rows AS row_diff",
             f"{len(lc)} AS left_cols", f"{len(rc)} AS right_cols",
             f"{_lit(extra)} AS extra_cols", f"{_lit(missing)} AS missing_cols"))
@@ -395,7 +405,7 @@ def layer_row_delta(pairs: Pairs) -> DataFrame:
     """table, bronze_rows, silver_rows, rows_removed, removed_pct."""
     frames = []
     for name, (bronze, silver) in pairs.items():
-        frames.append(_count(bronze, "bronze_rows").withColumn("silver_rows", _count(silver, "n").scalar()).selectExpr(
+        frames.append(_two_counts(bronze, "bronze_rows", silver, "silver_rows").selectExpr(
             f"{_lit(name)} AS table", "bronze_rows", "silver_rows", "bronze_rows - silver_rows AS rows_removed"))
     return _union(frames).selectExpr("*", f"{pct_sql('rows_removed', 'bronze_rows')} AS removed_pct") \
         .orderBy(F.col("rows_removed").desc())

@@ -54,8 +54,8 @@ def cap_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5,
                  drop_underscore: bool = True) -> DataFrame:
     """Clamp each column to [q1 - factor*IQR, q3 + factor*IQR] of its own values.
 
-    Quartiles are global: one row of bounds, applied as a scalar subquery
-    (its size does not grow with the data). NULL stays NULL; capped columns come out as
+    Quartiles are global: one row of bounds, broadcast to every task (its
+    size does not grow with the data). NULL stays NULL; capped columns come out as
     double. Like the reference, every column whose name starts with ``_`` is
     dropped afterwards (``drop_underscore``); with no columns the input is
     returned unchanged. ``exact=False`` uses ``percentile_approx`` as the
@@ -65,20 +65,19 @@ def cap_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5,
     if not columns:
         return df
     stats = iqr_bounds(df, columns, factor, exact, accuracy)
-    # the bounds are one row: a scalar subquery, computed once and inlined as
-    # values into every task (no join, nothing that grows with the data)
-    bounds = stats.select(F.struct(*[F.col(f"_{side}_{c}") for c in columns for side in ("lower", "upper")])
-                          .alias("b")).scalar()
+    # the bounds are one row: attached to every row by a broadcast equi-join on
+    # a constant key (a one-row build side; computed alongside the scan of df)
+    one = F.lit(0).alias("_one")
+    joined = df.select("*", one).join(F.broadcast(stats.select("*", one)), "_one")
     capped = set(columns)
     cols = []
     for c in df.columns:
         if c in capped:
-            x, lo, hi = F.col(c), F.col(f"_b._lower_{c}"), F.col(f"_b._upper_{c}")
+            x, lo, hi = F.col(c), F.col(f"_lower_{c}"), F.col(f"_upper_{c}")
             cols.append(F.when(x < lo, lo).when(x > hi, hi).otherwise(x.cast("double")).alias(c))
         elif not (drop_underscore and c.startswith("_")):
             cols.append(F.col(c))
-    # bind the subquery once as a column, then read its fields (one execution)
-    return df.withColumn("_b", bounds).select(*cols)
+    return joined.select(*cols)
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
