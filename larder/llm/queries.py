@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, hilbert, line_dedup, token_files
+from . import bpe, hilbert, line_dedup, quality, tiling, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,3 +49,13 @@ def op5(spark, sf_dir):
 @query("op8_line_dedup", line_dedup.line_report_sql())
 def op8(spark, sf_dir):
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+@query("op7_quality_pu")
+def op7(spark, sf_dir):
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_benchmark_tiling")
+def op10(spark, sf_dir):
+    return tiling.document_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
