@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, hilbert, line_dedup, quality, tiling, token_files
+from . import bpe, hilbert, line_dedup, ngram_join, quality, tiling, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,3 +59,8 @@ def op7(spark, sf_dir):
 @query("op10_benchmark_tiling")
 def op10(spark, sf_dir):
     return tiling.document_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_ngram_jaccard")
+def op6(spark, sf_dir):
+    return ngram_join.document_classes(table(spark, sf_dir, "documents"))
