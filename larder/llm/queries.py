@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, hilbert, line_dedup, ngram_join, quality, tiling, token_files
+from . import bpe, hilbert, line_dedup, ngram_join, quality, suffix_dedup, tiling, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +64,8 @@ def op10(spark, sf_dir):
 @query("op6_ngram_jaccard")
 def op6(spark, sf_dir):
     return ngram_join.document_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op9_suffix_dedup")
+def op9(spark, sf_dir):
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
