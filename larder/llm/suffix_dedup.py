@@ -87,16 +87,25 @@ def pieces(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 # ------------------------------------------------------- column-wise construction
 
 class _File:
-    """An array in a file that is read and written as a whole, front to back."""
+    """An array in a file that is read and written as a whole, front to back, and never shrinks."""
 
     def __init__(self, folder: str, name: str, dtype):
-        self.path, self.dtype = os.path.join(folder, name), dtype
+        self.file, self.dtype = open(os.path.join(folder, name), "w+b", buffering=0), np.dtype(dtype)
 
     def read(self) -> np.ndarray:
-        return np.fromfile(self.path, self.dtype)
+        out = np.empty(os.fstat(self.file.fileno()).st_size // self.dtype.itemsize, self.dtype)
+        self.file.seek(0)
+        self.file.readinto(out)
+        return out
 
     def write(self, a: np.ndarray) -> None:
-        a.astype(self.dtype, copy=False).tofile(self.path)
+        self.file.seek(0)
+        self.file.write(a.astype(self.dtype, copy=False))
+
+    def last(self) -> np.ndarray:
+        out = self.read()
+        self.file.close()
+        return out
 
 
 def _ragged_min(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -132,6 +141,7 @@ def suffix_order(texts: list[np.ndarray], folder: str) -> tuple[np.ndarray, np.n
     bwt_file.write(np.full(m, _NONE))
     lcp_file.write(np.zeros(m))
     place = np.arange(m)  # of each text's longest suffix so far
+    count = np.zeros(256, np.int64)  # of each symbol in the transform
     for j in range(1, rows.shape[1] + 1):
         act = np.flatnonzero(size >= j)
         bwt, lcp = bwt_file.read(), lcp_file.read()
@@ -140,36 +150,32 @@ def suffix_order(texts: list[np.ndarray], folder: str) -> tuple[np.ndarray, np.n
         bwt[here] = symbol
         # the suffixes that start with a symbol are, in order, those before which it stands
         order = np.argsort(bwt, kind="stable")
-        rank = np.empty(len(bwt), np.int64)
-        rank[order] = np.arange(len(bwt))
-        k = rank[here]
-        sorted_symbols = bwt[order]
-        has_prev = (k > 0) & (sorted_symbols[k - 1] == symbol)
-        nxt = np.minimum(k + 1, len(bwt) - 1)
-        has_next = (k + 1 < len(bwt)) & (sorted_symbols[nxt] == symbol)
+        fresh = np.zeros(len(bwt), bool)
+        fresh[here] = True
+        k = np.flatnonzero(fresh[order])  # ranks of this round's suffixes, by symbol and place
+        by_rank = np.lexsort((here, symbol))
+        act, here, symbol = act[by_rank], here[by_rank], symbol[by_rank]
+        count += np.bincount(symbol, minlength=256)
+        ends = np.cumsum(count)
+        has_prev = k > (ends - count)[symbol]
+        has_next = k + 1 < ends[symbol]
         own = np.zeros(len(act), np.int64)
         own[has_prev] = 1 + _ragged_min(lcp, order[k[has_prev] - 1] + 1, here[has_prev] + 1).astype(np.int64)
-        after = 1 + _ragged_min(lcp, here[has_next] + 1, order[nxt[has_next]] + 1).astype(np.int64)
-        # where the longer suffixes go once all are in
+        after = 1 + _ragged_min(lcp, here[has_next] + 1, order[k[has_next] + 1] + 1).astype(np.int64)
+        # where the longer suffixes go once all are in; the others move up in between
         goes = m + k
-        new = np.zeros(len(bwt) + len(act), bool)
-        is_new_entry = np.zeros(len(bwt), bool)
-        is_new_entry[here] = True
-        new[m:][np.flatnonzero(is_new_entry[order])] = True
-        bwt2, lcp2 = np.full(len(new), _NONE, np.uint8), np.zeros(len(new), np.uint16)
-        bwt2[~new], lcp2[~new] = bwt, lcp
+        stay = np.ones(len(bwt) + len(act), bool)
+        stay[goes] = False
+        bwt2, lcp2 = np.full(len(stay), _NONE, np.uint8), np.zeros(len(stay), np.uint16)
+        bwt2[stay], lcp2[stay] = bwt, lcp
         lcp2[goes] = own
         lcp2[goes[has_next] + 1] = after
-        place = place.copy()
+        idle = np.flatnonzero(size < j)  # texts that ended: their longest suffix moved too
+        place[idle] += np.searchsorted(goes - np.arange(len(goes)), place[idle], side="right")
         place[act] = goes
-        # longest suffixes that are not this round's moved with the insertions
-        idle = np.flatnonzero(size < j)
-        if len(idle):
-            moved = np.flatnonzero(~new)
-            place[idle] = moved[place[idle]]
         bwt_file.write(bwt2)
         lcp_file.write(lcp2)
-    return bwt_file.read(), lcp_file.read()
+    return bwt_file.last(), lcp_file.last()
 
 
 def repeated_windows(texts: list[np.ndarray], window: int = WINDOW) -> list[np.ndarray]:
@@ -264,11 +270,12 @@ def _cut(members: DataFrame, texts: DataFrame) -> DataFrame:
         run, "gram long, doc long, spot long, multi boolean, bytes binary")
 
 
-def _compared(cut: DataFrame, max_pieces: int) -> DataFrame:
+def _compared(cut: DataFrame, batch: int, max_pieces: int) -> DataFrame:
     """(kind, doc, tag, start, length, h1, h2, multi): repeated stretches (kind 0) of pieces that occur once.
 
-    Anchors are compared in collections of up to ``max_pieces`` pieces. Pieces of
-    an anchor with more come out window by window with 128-bit hashes (kind 1), to be
+    Small anchors are compared together in collections of about ``batch`` pieces,
+    one with more in a collection of its own. Pieces of an anchor with more than
+    ``max_pieces`` come out window by window with 128-bit hashes (kind 1), to be
     counted by a shuffle on the hash.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,21 +304,21 @@ def _compared(cut: DataFrame, max_pieces: int) -> DataFrame:
         def close():
             nonlocal here, wide
             if not wide and len(here) > 1:
-                if len(held) + len(here) > max_pieces:
+                if held and len(held) + len(here) > batch:
                     build()
                 held.extend(here)
             here, wide = [], False
 
         def flush():
             types = (pa.int64(),) * 7 + (pa.bool_(),)
-            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
+            rows = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
                                                ["kind", "doc", "tag", "start", "length", "h1", "h2", "multi"])
             for c in out:
                 c.clear()
-            return batch
+            return rows
 
-        for batch in text_batches(batches):
-            for g, doc, spot, multi, raw in zip(*(batch.column(c).to_pylist() for c in ("gram", "doc", "spot", "multi", "bytes"))):
+        for part in text_batches(batches):
+            for g, doc, spot, multi, raw in zip(*(part.column(c).to_pylist() for c in ("gram", "doc", "spot", "multi", "bytes"))):
                 if (g, doc, spot) == last:
                     continue  # a repeated row
                 last = (g, doc, spot)
@@ -334,7 +341,7 @@ def _compared(cut: DataFrame, max_pieces: int) -> DataFrame:
     return ordered.mapInArrow(run, "kind long, doc long, tag long, start long, length long, h1 long, h2 long, multi boolean")
 
 
-def repeated_stretches(docs: DataFrame, max_pieces: int = 4096) -> DataFrame:
+def repeated_stretches(docs: DataFrame, batch: int = 1024, max_pieces: int = 16384) -> DataFrame:
     """(doc, tag, spans array<long>) of texts (doc_id, doc, tag, text) with repeats; a span packs start and length."""
     # anchors that occur once are told by a count with map-side sums; only rows of others move again
     occ = _occurrences(docs)
@@ -343,7 +350,7 @@ def repeated_stretches(docs: DataFrame, max_pieces: int = 4096) -> DataFrame:
     common = stored(occ.join(grams, "gram"))
     each = common.groupBy("gram", "piece", "differ").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "spot")).alias("first"))
     members = each.where("differ").select("gram", "first.doc", "first.spot", (F.col("n") > 1).alias("multi"))
-    found = stored(_compared(_cut(members, docs), max_pieces))
+    found = stored(_compared(_cut(members, docs), batch, max_pieces))
     copied = common.join(each.where("n > 1").select("gram", "piece"), ["gram", "piece"]).select(
         "doc", F.expr(_TAG).alias("tag"), F.expr("shiftright(spot, 32)").alias("start"),
         F.expr(f"(spot & 255) + {WINDOW - 1}").alias("length"))
