@@ -11,7 +11,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, hilbert, line_dedup, ngram_join, quality, suffix_dedup, tiling, token_files
+from . import (
+    bpe,
+    hilbert,
+    html_text,
+    line_dedup,
+    ngram_join,
+    nn_descent,
+    quality,
+    suffix_dedup,
+    tiling,
+    token_files,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -69,3 +80,13 @@ def op6(spark, sf_dir):
 @query("op9_suffix_dedup")
 def op9(spark, sf_dir):
     return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
+
+
+@query("op1_nn_descent")
+def op1(spark, sf_dir):
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_html_main_text")
+def op3(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
