@@ -104,14 +104,15 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     Positives are ids labelled 1 outside the held-out fold; ids with
     contradicting labels are left out. Labels of 0 serve for the class prior
     alone, estimated as the share of 1 among the learnt labels less one
-    standard error (an estimate above the truth makes the risk go negative).
+    standard error (an estimate above the truth makes the risk go negative); it is
+    a half without labels.
     """
     lab = (labels.select(F.col(doc_id).alias("id"), F.col(label).alias("y"))
            .where(F.col("id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("id")))
            .groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("y2")).where("y = y2"))
     n, ones = lab.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("y") == 1).cast("int")), F.lit(0))).first()
     share = (ones + 1) / (n + 2)
-    prior = min(0.99, max(0.01, share - (share * (1 - share) / (n + 2)) ** 0.5))
+    prior = min(0.99, max(0.01, share - (share * (1 - share) / (n + 2)) ** 0.5)) if n else 0.5
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).where("id IS NOT NULL")
     take = lambda ids, k, seed: ids.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(k)
     pos = take(lab.where("y = 1").select("id"), max_positive, 1)
