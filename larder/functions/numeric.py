@@ -1,42 +1,52 @@
-"""Exact money arithmetic and HALF_UP rounding as column expressions.
+"""Exact money arithmetic and HALF_UP rounding as SQL text.
 
-Money values (doubles with at most two decimals) are converted once to exact
-integer cents (``CAST(rint(x * 100) AS BIGINT)``); sums and products run on
-those longs, which Spark aggregates in its fast codegen path
-(wide DECIMAL buffers would fall back to BigDecimal objects per row). Only the
-finished per-group value is divided back to a double.
+Money arrives as doubles with two decimals; capping at q +/- 1.5 x IQR can leave
+three. A value is converted once to exact integer units of 1/10000
+(``CAST(rint(x * 10000) AS BIGINT)``); sums and products run on those longs,
+which Spark aggregates in its fast codegen path (wide DECIMAL buffers would fall
+back to BigDecimal objects per row). Units become cents, HALF_UP, only where the
+result is rounded: per line for line amounts, once at the end for sums and means.
+Amounts that already are rounded (line_*, results of sums) are taken as whole cents.
 
 Rounded means and percentages are the HALF_UP rounding of the exact quotient
 of two integers, computed per output row in DECIMAL(38,0) so large sums do not
-overflow: ``round(n / d, k) = sign * ((2|n|10^k + |d|) div 2|d|) / 10^k``.
+overflow: ``round(n / d, k) = sign * ((2|n|10^k + |d|) div 2|d|) / 10^k``. The
+quotient itself must fit 64 bits; beyond that the division raises.
 
-Every helper has a SQL-text form (``*_sql``) and a Column form. The text
-form lets a whole projection go to the JVM in one ``selectExpr`` call.
+The helpers return SQL text, so a whole projection goes to the JVM in one
+``selectExpr`` call.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+UNIT = 10_000  # units in one currency unit
 
 
-# ------------------------------------------------------------------ SQL text
-
-def money_sql(x: str) -> str:
-    return f"CAST({x} AS DECIMAL(18,2))"
+def units_sql(x: str) -> str:
+    """Integer units of a money value with at most four decimals."""
+    return f"CAST(rint({x} * {UNIT}.0D) AS BIGINT)"
 
 
 def cents_sql(x: str) -> str:
-    """Integer cents of a money value: the double times 100, rounded to the
-    nearest integer (``rint``, a plain double operation; exact for values with
-    at most two decimals, where the product is within 1e-9 of an integer)."""
+    """Integer cents of an amount that is already rounded to cents."""
     return f"CAST(rint({x} * 100.0D) AS BIGINT)"
 
 
+def cents_of_units_sql(u: str) -> str:
+    """Units rounded HALF_UP (away from zero) to whole cents, as a long."""
+    half = UNIT // 200
+    return f"(CASE WHEN ({u}) < 0 THEN -(({half} - ({u})) div {UNIT // 100}) ELSE (({u}) + {half}) div {UNIT // 100} END)"
+
+
 def from_cents_sql(x: str) -> str:
     return f"(({x}) / 100.0D)"
 
 
+def round_units_sql(u: str) -> str:
+    """Units rounded HALF_UP to cents, as a double."""
+    return from_cents_sql(cents_of_units_sql(u))
+
+
 def half_up_sql(n: str, d: str, places: int) -> str:
     """HALF_UP(n / d, places) as double for integer-valued n, d; NULL if d is 0/NULL."""
     nn = f"CAST({n} AS DECIMAL(38,0))"
@@ -51,7 +61,7 @@ def half_up_sql(n: str, d: str, places: int) -> str:
 def pct_sql(num: str, den: str, guard: str | None = None) -> str:
     """round(num / den * 100, 2), 0.0 unless ``guard`` (default den) > 0.
 
-    ``num`` and ``den`` are exact integers in the same unit (cents, counts).
+    ``num`` and ``den`` are exact integers in the same unit (cents, units, counts).
     """
     g = guard if guard is not None else den
     return f"(CASE WHEN ({g}) > 0 THEN {half_up_sql(f'({num}) * 100', den, 2)} ELSE 0.0D END)"
@@ -59,7 +69,7 @@ def pct_sql(num: str, den: str, guard: str | None = None) -> str:
 
 def avg_money_sql(x: str, places: int = 2) -> str:
     """round(avg(money x), places) (aggregate)."""
-    return half_up_sql(f"sum({cents_sql(x)})", f"count({x}) * 100", places)
+    return half_up_sql(f"sum({units_sql(x)})", f"count({x}) * {UNIT}", places)
 
 
 def avg_int_sql(x: str, places: int) -> str:
@@ -73,42 +83,11 @@ def avg_scaled_sql(x: str, decimals: int, places: int) -> str:
     return half_up_sql(f"sum({units})", f"count({x}) * {10 ** decimals}", places)
 
 
-def sum_money_sql(x: str) -> str:
-    """sum of a money column as double, summed exactly in cents (aggregate)."""
-    return from_cents_sql(f"sum({cents_sql(x)})")
-
-
-# ---------------------------------------------------------------- Column API
-# Thin Column forms of the text helpers (arguments are SQL text: column names
-# or expressions).
-
-def money(x: str) -> Column:
-    return F.expr(money_sql(x))
-
-
-def cents(x: str) -> Column:
-    return F.expr(cents_sql(x))
+def sum_cents_sql(x: str) -> str:
+    """round(sum(money x), 2) in whole cents, summed exactly in units (aggregate)."""
+    return cents_of_units_sql(f"sum({units_sql(x)})")
 
 
-def half_up_ratio(num: str, den: str, places: int) -> Column:
-    return F.expr(half_up_sql(num, den, places))
-
-
-def pct(num: str, den: str, guard: str | None = None) -> Column:
-    return F.expr(pct_sql(num, den, guard))
-
-
-def avg_money(x: str, places: int = 2) -> Column:
-    return F.expr(avg_money_sql(x, places))
-
-
-def avg_int(x: str, places: int) -> Column:
-    return F.expr(avg_int_sql(x, places))
-
-
-def avg_scaled(x: str, decimals: int, places: int) -> Column:
-    return F.expr(avg_scaled_sql(x, decimals, places))
-
-
-def sum_money(x: str) -> Column:
-    return F.expr(sum_money_sql(x))
+def sum_money_sql(x: str) -> str:
+    """round(sum(money x), 2) as double (aggregate)."""
+    return from_cents_sql(sum_cents_sql(x))

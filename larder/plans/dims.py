@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import (UK_HOLIDAYS, date_key_sql, holiday_sql, months_between_e8_sql,
                                   year_month_sql)
-from ..functions.numeric import cents_sql, from_cents_sql, half_up_sql, pct_sql
+from ..functions.numeric import UNIT, half_up_sql, pct_sql, round_units_sql, units_sql
 from ..operators.rank import distributed_ntile
 
 
@@ -84,10 +84,10 @@ def conformed_customers(customers: DataFrame) -> DataFrame:
 
 
 def customer_order_summary(orders: DataFrame, status: str = "Completed") -> DataFrame:
-    """Per customer over orders with ``status``: count, exact spend (cents), first/last date."""
+    """Per customer over orders with ``status``: count, exact spend (units), first/last date."""
     return orders.where(F.col("order_status") == status).groupBy("customer_id").agg(
         F.expr("count(order_id) AS orders_cnt"),
-        F.expr(f"sum({cents_sql('total_amount')}) AS spent_c"),
+        F.expr(f"sum({units_sql('total_amount')}) AS spent_u"),
         F.expr("count(total_amount) AS amount_cnt"),
         F.expr("max(to_date(order_date)) AS last_order_date"),
         F.expr("min(to_date(order_date)) AS first_order_date"),
@@ -120,28 +120,29 @@ def rfm_scores(df: DataFrame, key: str = "customer_id", direction: str = "as_ref
         orders = {
             "_r": [F.col("recency_days").asc(), F.col(key).asc()],
             "_f": [F.col("orders_cnt").desc_nulls_last(), F.col(key).asc()],
-            "_m": [F.col("spent_c").desc_nulls_last(), F.col(key).asc()],
+            "_m": [F.col("spent_u").desc_nulls_last(), F.col(key).asc()],
         }
     else:
         orders = {
             "_r": [F.col("recency_days").desc(), F.col(key).asc()],
             "_f": [F.col("orders_cnt").asc_nulls_first(), F.col(key).asc()],
-            "_m": [F.col("spent_c").asc_nulls_first(), F.col(key).asc()],
+            "_m": [F.col("spent_u").asc_nulls_first(), F.col(key).asc()],
         }
     # rank a narrow projection (key + the three measures), then join the scores
     # back once on the unique key: the three range-partition + checkpoint
     # passes move four columns instead of the whole customer row
-    narrow = df.select(key, "recency_days", "orders_cnt", "spent_c")
+    narrow = df.select(key, "recency_days", "orders_cnt", "spent_u")
     for name, order in orders.items():
         narrow = distributed_ntile(narrow, k, order, name, num_partitions)
     scores = narrow.selectExpr(
         key,
         "CASE WHEN orders_cnt IS NULL THEN 1 ELSE _r END AS r_score",
         "CASE WHEN orders_cnt IS NULL THEN 1 ELSE _f END AS f_score",
-        "CASE WHEN spent_c IS NULL THEN 1 ELSE _m END AS m_score")
+        "CASE WHEN spent_u IS NULL THEN 1 ELSE _m END AS m_score")
     return df.join(scores, key, "left")
 
 
+# Fixed values that must equal the reference's: segment rules and names.
 RFM_SEGMENT_SQL = (
     "CASE WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'Champion' "
     "WHEN r_score >= 3 AND f_score >= 4 THEN 'Loyal' "
@@ -160,16 +161,19 @@ def rfm_segment() -> Column:
 def customer_ltv_columns(df: DataFrame) -> DataFrame:
     """total_orders, total_spent, avg_order_value_actual, customer_lifetime_value.
 
-    CLV = average completed spend x completed orders, i.e. the exact completed
-    spend; a customer without orders gets avg_order_value x 0 = 0.0.
+    CLV is the mean completed spend times the completed orders. The mean skips
+    orders without an amount, the count does not. Without any amount the
+    customer's own avg_order_value stands for the mean; a customer without orders
+    has 0.0, or NULL when avg_order_value is NULL too.
     """
+    clv = (f"CASE WHEN amount_cnt > 0 THEN {half_up_sql('spent_u * orders_cnt', f'amount_cnt * {UNIT}', 2)} "
+           f"ELSE {round_units_sql(units_sql('avg_order_value') + ' * coalesce(orders_cnt, 0)')} END")
     return df.selectExpr(
         "*",
         "CAST(coalesce(orders_cnt, 0) AS INT) AS total_orders",
-        f"coalesce({from_cents_sql('spent_c')}, 0.0D) AS total_spent",
-        f"coalesce({half_up_sql('spent_c', 'amount_cnt * 100', 2)}, 0.0D) AS avg_order_value_actual",
-        f"CASE WHEN orders_cnt IS NOT NULL THEN {from_cents_sql('spent_c')} "
-        f"WHEN avg_order_value IS NOT NULL THEN 0.0D END AS customer_lifetime_value")
+        f"coalesce({round_units_sql('spent_u')}, 0.0D) AS total_spent",
+        f"coalesce({half_up_sql('spent_u', f'amount_cnt * {UNIT}', 2)}, 0.0D) AS avg_order_value_actual",
+        f"{clv} AS customer_lifetime_value")
 
 
 def dim_customer(customers: DataFrame, orders: DataFrame, as_of: str | None = None,
@@ -179,7 +183,7 @@ def dim_customer(customers: DataFrame, orders: DataFrame, as_of: str | None = No
     scored = rfm_scores(joined, "customer_id", direction)
     out = customer_ltv_columns(scored)
     return out.selectExpr(
-        "* EXCEPT (orders_cnt, spent_c, amount_cnt)",
+        "* EXCEPT (orders_cnt, spent_u, amount_cnt)",
         f"{RFM_SEGMENT_SQL} AS rfm_segment",
         "concat_ws('', r_score, f_score, m_score) AS rfm_score")
 
@@ -187,7 +191,7 @@ def dim_customer(customers: DataFrame, orders: DataFrame, as_of: str | None = No
 # ------------------------------------------------------------- dim_menu_item
 
 def dim_menu_item(menu_items: DataFrame) -> DataFrame:
-    margin_c = f"({cents_sql('price')} - {cents_sql('cost_to_make')})"
+    margin = f"({units_sql('price')} - {units_sql('cost_to_make')})"
     return menu_items.selectExpr(
         "item_id AS item_key", "item_id", "CAST(restaurant_id AS INT) AS restaurant_id",
         "item_name", "category", "sub_category", "CAST(price AS DOUBLE) AS price",
@@ -195,8 +199,8 @@ def dim_menu_item(menu_items: DataFrame) -> DataFrame:
         "CAST(preparation_time_mins AS INT) AS preparation_time_mins",
         "CAST(is_vegetarian AS BOOLEAN) AS is_vegetarian", "CAST(is_vegan AS BOOLEAN) AS is_vegan",
         "CAST(is_gluten_free AS BOOLEAN) AS is_gluten_free", "CAST(calories AS INT) AS calories",
-        f"{from_cents_sql(margin_c)} AS gross_margin_gbp",
-        f"{pct_sql(margin_c, cents_sql('price'), 'price')} AS gross_margin_pct",
+        f"{round_units_sql(margin)} AS gross_margin_gbp",
+        f"{pct_sql(margin, units_sql('price'), 'price')} AS gross_margin_pct",
         "concat_ws(',', CASE WHEN is_vegetarian THEN 'Vegetarian' END, CASE WHEN is_vegan THEN 'Vegan' END, "
         "CASE WHEN is_gluten_free THEN 'Gluten-Free' END) AS dietary_flags")
 
@@ -216,4 +220,4 @@ def dim_employee(employees: DataFrame, as_of: str | None = None) -> DataFrame:
     return base.selectExpr(
         "*", f"{tenure} AS tenure_months",
         "coalesce(employment_status = 'Active', false) AS is_active",
-        f"{from_cents_sql(cents_sql('salary_per_hour') + ' * hours_per_week')} AS weekly_cost_gbp")
+        f"{round_units_sql(units_sql('salary_per_hour') + ' * hours_per_week')} AS weekly_cost_gbp")

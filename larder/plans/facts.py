@@ -1,6 +1,6 @@
 """Fact tables: orders, order lines, deliveries, daily inventory, daily operations.
 
-Money is derived exactly (integer cents) and exposed as double, matching the
+Money is derived exactly (integer units, functions.numeric) and exposed as double, matching the
 reference's column types. Keys stay as they arrive (64-bit ids are not
 narrowed to int: at large scale they do not fit). Each projection is one
 ``selectExpr`` so a fact costs one JVM call to declare.
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import date_key_sql, year_month_sql
-from ..functions.numeric import cents_sql, from_cents_sql, half_up_sql, pct_sql
+from ..functions.numeric import UNIT, cents_of_units_sql, half_up_sql, pct_sql, round_units_sql, units_sql
 
 
 def flag_sql(x: str, value: str) -> str:
@@ -44,11 +44,12 @@ def order_line_summary(order_details: DataFrame, menu_items: DataFrame | None =
             F.expr("count(order_detail_id) AS line_item_count"), F.expr("sum(quantity) AS total_quantity"))
     menu = menu_items.selectExpr(*menu_keys, "CAST(cost_to_make AS DOUBLE) AS cost_to_make")
     lines = order_details.join(menu, list(menu_keys), "left")
-    price, cost = cents_sql("item_price_at_time"), cents_sql("cost_to_make")
+    price, cost = units_sql("item_price_at_time"), units_sql("cost_to_make")
+    # each line's amounts are rounded to cents before they are summed
     return lines.groupBy("order_id").agg(
         F.expr("count(order_detail_id) AS line_item_count"), F.expr("sum(quantity) AS total_quantity"),
-        F.expr(f"sum(({price} - {cost}) * quantity) AS order_margin_c"),
-        F.expr(f"sum({cost} * quantity) AS order_cost_c"))
+        F.expr(f"sum({cents_of_units_sql(f'({price} - {cost}) * quantity')}) AS order_margin_c"),
+        F.expr(f"sum({cents_of_units_sql(f'{cost} * quantity')}) AS order_cost_c"))
 
 
 def fct_orders(orders: DataFrame, order_details: DataFrame, line_summary: DataFrame | None = None) -> DataFrame:
@@ -59,7 +60,7 @@ def fct_orders(orders: DataFrame, order_details: DataFrame, line_summary: DataFr
     """
     summary = line_summary if line_summary is not None else order_line_summary(order_details)
     extra = [c for c in ("order_margin_c", "order_cost_c") if c in summary.columns]
-    base = orders.selectExpr(*ORDER_COLUMNS)
+    base = with_order_time(orders).selectExpr(*ORDER_COLUMNS)
     df = base.join(summary, "order_id", "left")
     return df.selectExpr(
         *[c.split(" AS ")[-1] for c in ORDER_COLUMNS],
@@ -99,22 +100,42 @@ def fct_order_items(order_details: DataFrame, orders: DataFrame, menu_items: Dat
     menu = menu_items.selectExpr(*menu_cols, "CAST(cost_to_make AS DOUBLE) AS cost_to_make",
                                  "category", "sub_category")
     df = details.join(head, "order_id", "left").join(menu, list(menu_keys), "left")
-    price, cost = cents_sql("item_price_at_time"), cents_sql("cost_to_make")
+    price, cost = units_sql("item_price_at_time"), units_sql("cost_to_make")
     return df.selectExpr(
         "*",
-        f"{from_cents_sql(f'{price} * quantity')} AS line_revenue",
-        f"{from_cents_sql(f'{cost} * quantity')} AS line_cost",
-        f"{from_cents_sql(f'({price} - {cost}) * quantity')} AS line_margin",
+        f"{round_units_sql(f'{price} * quantity')} AS line_revenue",
+        f"{round_units_sql(f'{cost} * quantity')} AS line_cost",
+        f"{round_units_sql(f'({price} - {cost}) * quantity')} AS line_margin",
         f"{date_key_sql('order_date')} AS date_key",
     )
 
 
+def with_timestamps(df: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` given as text parsed to timestamps (unreadable text: NULL); others stay as they are."""
+    text = {c: F.expr(f"try_to_timestamp({c})") for c in columns if dict(df.dtypes)[c] == "string"}
+    return df.withColumns(text) if text else df
+
+
+def with_order_time(df: DataFrame) -> DataFrame:
+    """``order_time`` given as text parsed; a time of day alone is put on the order's date."""
+    if dict(df.dtypes)["order_time"] != "string":
+        return df
+    alone = "concat_ws(' ', date_format(to_date(order_date), 'yyyy-MM-dd'), trim(order_time))"
+    return df.withColumn("order_time", F.expr(
+        f"try_to_timestamp(CASE WHEN trim(order_time) RLIKE '^[0-9]{{1,2}}:' THEN {alone} ELSE order_time END)"))
+
+
+def _seconds_sql(x: str) -> str:
+    """Whole seconds since the epoch; a fraction of a second counts for the second it is in."""
+    return f"unix_seconds(CAST({x} AS TIMESTAMP))"
+
+
 def fct_delivery(delivery_performance: DataFrame) -> DataFrame:
-    return delivery_performance.selectExpr(
+    return with_timestamps(delivery_performance, "dispatch_time", "delivery_time").selectExpr(
         "delivery_id", "order_id", "CAST(restaurant_id AS INT) AS restaurant_id", "driver_id",
         "dispatch_time", "delivery_time", "CAST(distance_miles AS DOUBLE) AS distance_miles",
         "traffic_condition", "weather_condition", "delivery_status",
-        f"{half_up_sql('timestampdiff(SECOND, dispatch_time, delivery_time)', '60', 2)} AS delivery_minutes",
+        f"{half_up_sql(f"{_seconds_sql('delivery_time')} - {_seconds_sql('dispatch_time')}", '60', 2)} AS delivery_minutes",
         "to_date(dispatch_time) AS delivery_date",
         f"{date_key_sql('dispatch_time')} AS date_key",
         f"{flag_sql('delivery_status', 'On_Time')} AS is_on_time",
@@ -146,12 +167,12 @@ def fct_daily_ops(daily_operations: DataFrame) -> DataFrame:
         *[f"CAST({c} AS INT) AS {c}" for c in OPS_COUNTS],
         *[f"CAST({c} AS DOUBLE) AS {c}" for c in OPS_COSTS],
         "CAST(daily_revenue AS DOUBLE) AS daily_revenue")
-    total_cost = " + ".join(cents_sql(c) for c in OPS_COSTS)
+    total_cost = " + ".join(units_sql(c) for c in OPS_COSTS)
     customers = "total_customers_eat_in + total_customers_delivery"
     return base.selectExpr(
         "*", f"{date_key_sql('date')} AS date_key", f"{year_month_sql('date')} AS year_month",
         f"{customers} AS total_customers",
-        f"{from_cents_sql(total_cost)} AS total_operating_cost",
-        f"(CASE WHEN {customers} > 0 THEN {half_up_sql(cents_sql('daily_revenue'), f'({customers}) * 100', 2)} "
+        f"{round_units_sql(total_cost)} AS total_operating_cost",
+        f"(CASE WHEN {customers} > 0 THEN {half_up_sql(units_sql('daily_revenue'), f'({customers}) * {UNIT}', 2)} "
         f"ELSE 0.0D END) AS revenue_per_customer",
     )

@@ -2,8 +2,8 @@
 
 Status scope follows the reference: monthly revenue, hourly demand and cohorts
 count completed orders only; category, restaurant and item marts count every
-order status. Money is summed exactly as integer cents (fast long aggregation);
-rounded means and percentages are HALF_UP of the exact quotient
+order status. Money is summed exactly in integer units and rounded to cents once;
+line amounts are already whole cents. Rounded means and percentages are HALF_UP of the exact quotient
 (functions.numeric). Every aggregate pre-aggregates map-side (partial
 HashAggregate) before its shuffle.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import (avg_int_sql, avg_money_sql, avg_scaled_sql, cents_sql, from_cents_sql,
-                                 pct_sql, sum_money_sql)
+                                 pct_sql, sum_cents_sql, sum_money_sql)
 from ..operators.rank import quantile_table
 
 
@@ -43,7 +43,7 @@ def agg_revenue_monthly(fct_orders: DataFrame, fct_order_items: DataFrame | None
     g = _agg(orders, ["year", "month", "year_month"],
              "count(order_id) AS total_orders",
              "count(DISTINCT customer_id) AS unique_customers",
-             f"sum({cents_sql('total_amount')}) AS _rev",
+             f"{sum_cents_sql('total_amount')} AS _rev",
              f"{avg_money_sql('total_amount')} AS aov",
              "sum(order_margin_c) AS _gm", "sum(order_cost_c) AS _cogs",
              "sum(total_quantity) AS items_sold")
@@ -91,7 +91,7 @@ def agg_restaurant_performance(fct_orders: DataFrame, fct_order_items: DataFrame
     merged = "order_margin_c" in fct_orders.columns
     kpis = _agg(fct_orders, ["restaurant_id"],
                 "count(order_id) AS total_orders",
-                f"sum({cents_sql('total_amount')}) AS _rev",
+                f"{sum_cents_sql('total_amount')} AS _rev",
                 f"{avg_money_sql('total_amount')} AS aov",
                 "count(DISTINCT customer_id) AS unique_customers",
                 f"{_flag_count_sql('is_delivery')} AS delivery_orders",
@@ -186,6 +186,7 @@ def agg_menu_engineering(item_performance: DataFrame, dim_menu_item: DataFrame,
     df = quadrant_by_group_median(perf, "restaurant_id", "units_sold", "margin_pct", exact=exact)
     return df.withColumnRenamed("med_units_sold", "med_units").selectExpr(
         "*",
+        # fixed values: the quadrants' names
         "CASE WHEN popularity = 'High' AND profitability = 'High' THEN 'Star' "
         "WHEN popularity = 'Low' AND profitability = 'High' THEN 'Puzzle' "
         "WHEN popularity = 'High' AND profitability = 'Low' THEN 'Plowhorse' "
@@ -196,9 +197,9 @@ def agg_ops_costs(fct_daily_ops: DataFrame) -> DataFrame:
     parts = {"electricity": "electricity_cost", "water": "water_cost", "gas": "gas_cost",
              "maintenance": "maintenance_cost", "other": "other_bills_cost"}
     g = _agg(fct_daily_ops, ["restaurant_id", "year_month"],
-             *[f"sum({cents_sql(src)}) AS _{name}" for name, src in parts.items()],
+             *[f"{sum_cents_sql(src)} AS _{name}" for name, src in parts.items()],
              f"sum({cents_sql('total_operating_cost')}) AS _cost",
-             f"sum({cents_sql('daily_revenue')}) AS _rev",
+             f"{sum_cents_sql('daily_revenue')} AS _rev",
              f"{avg_int_sql('average_wait_time_mins', 1)} AS avg_wait_time_mins",
              f"{avg_int_sql('staff_on_shift', 1)} AS avg_staff_on_shift")
     return g.selectExpr(

@@ -13,13 +13,24 @@ AS_OF = "DATE '2001-12-31'"
 # ------------------------------------------------------------- SQL snippets
 
 def money(x: str) -> str:
-    return f"CAST({x} AS DECIMAL(18,2))"
+    """Exact money with the decimals that capping can leave."""
+    return f"CAST({x} AS DECIMAL(18,4))"
 
 
 def cents(x: str) -> str:
+    """Whole cents of an amount already rounded to cents."""
     return f"CAST(round_even(CAST({x} AS DOUBLE) * 100, 0) AS HUGEINT)"
 
 
+def units(x: str) -> str:
+    return f"CAST(round_even(CAST({x} AS DOUBLE) * 10000, 0) AS HUGEINT)"
+
+
+def sum2(x: str) -> str:
+    """round(sum(money x), 2), exact."""
+    return f"round(sum({money(x)}), 2)"
+
+
 def hu(n: str, d: str, k: int) -> str:
     n = f"CAST({n} AS HUGEINT)"
     d = f"CAST({d} AS HUGEINT)"
@@ -32,7 +43,7 @@ def hu(n: str, d: str, k: int) -> str:
 
 
 def avg_money(x: str, k: int = 2) -> str:
-    return hu(f"sum({cents(x)})", f"count({x}) * 100", k)
+    return hu(f"sum({units(x)})", f"count({x}) * 10000", k)
 
 
 def avg_int(x: str, k: int) -> str:
@@ -40,7 +51,7 @@ def avg_int(x: str, k: int) -> str:
 
 
 def sum_money(x: str) -> str:
-    return f"CAST(sum({money(x)}) AS DOUBLE)"
+    return f"CAST({sum2(x)} AS DOUBLE)"
 
 
 def pct(num_units: str, den_units: str, guard: str) -> str:
@@ -50,8 +61,9 @@ def pct(num_units: str, den_units: str, guard: str) -> str:
 
 
 def initcap1(x: str) -> str:
-    """initcap of a single word."""
-    return f"(upper(substr({x}, 1, 1)) || lower(substr({x}, 2)))"
+    """initcap of a single word, spaces before it kept."""
+    pad = f"length({x}) - length(ltrim({x}))"
+    return f"(repeat(' ', {pad}) || upper(substr(ltrim({x}), 1, 1)) || lower(substr(ltrim({x}), 2)))"
 
 
 def months_between_e8(a: str, b: str) -> str:
@@ -135,7 +147,7 @@ FROM orders""",
     "details_s": """
 SELECT 10 * l_orderkey + l_linenumber AS order_detail_id, l_orderkey AS order_id,
        l_partkey AS item_id, CAST(l_quantity AS INTEGER) AS quantity,
-       l_extendedprice AS item_price_at_time, CAST(NULL AS VARCHAR) AS special_instructions
+       l_extendedprice AS item_price_at_time, CASE l_partkey % 3 WHEN 1 THEN 'no onions' WHEN 2 THEN 'extra sauce' END AS special_instructions
 FROM lineitem""",
     "delivery_s": """
 SELECT 10 * l_orderkey + l_linenumber AS delivery_id, l_orderkey AS order_id,
@@ -150,12 +162,12 @@ SELECT 10 * l_orderkey + l_linenumber AS delivery_id, l_orderkey AS order_id,
 FROM lineitem""",
     "inventory_s": """
 SELECT min(l_orderkey) AS inventory_id, l_suppkey AS restaurant_id,
-       CAST(l_shipdate AS DATE) AS date, l_partkey AS item_id, 100 AS opening_stock,
+       CAST(l_shipdate AS DATE) AS date, l_partkey AS item_id, CAST(100 + l_partkey % 37 AS INTEGER) AS opening_stock,
        CAST(coalesce(sum(CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity AS INTEGER) END), 0)
           + coalesce(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS INTEGER) END), 0) AS BIGINT) AS received_stock,
        CAST(coalesce(sum(CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity AS INTEGER) END), 0) AS BIGINT) AS used_stock,
        CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS INTEGER) END) AS BIGINT) AS waste_stock,
-       100 AS closing_stock,
+       CAST(100 + l_partkey % 37 + l_suppkey % 5 AS INTEGER) AS closing_stock,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS stock_value,
        CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DOUBLE) AS waste_value
 FROM lineitem GROUP BY l_suppkey, l_partkey, CAST(l_shipdate AS DATE)""",
@@ -177,7 +189,7 @@ SELECT min(l_orderkey) AS operation_id, CAST(l_suppkey % 10 AS INTEGER) AS resta
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS daily_revenue
 FROM lineitem GROUP BY CAST(l_suppkey % 10 AS INTEGER), CAST(l_shipdate AS DATE)""",
     "reviews_s": """
-SELECT d.doc_id AS review_id, d.doc_id % 1500 AS customer_id, d.text AS review_text,
+SELECT d.doc_id AS review_id, d.doc_id % (SELECT greatest(count(*), 1) FROM customer) + 1 AS customer_id, d.text AS review_text,
        d.lang AS category, CAST(l.quality AS DOUBLE) AS rating,
        CAST(d.n_chars AS DOUBLE) AS sentiment_score
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
@@ -195,6 +207,12 @@ def with_(*names: str, extra: dict[str, str] | None = None) -> str:
 
 # -------------------------------------------------------- gold CTE bodies
 
+def lifetime_value(r: str = "", c: str = "") -> str:
+    """round(coalesce(mean amount, avg_order_value) * coalesce(orders, 0), 2); the mean skips NULL amounts."""
+    mean = hu(f"{r}total_spent_dec * 10000 * {r}orders_cnt", f"{r}amount_cnt * 10000", 2)
+    return f"coalesce({mean}, CAST(round({money(f'{c}avg_order_value')} * coalesce({r}orders_cnt, 0), 2) AS DOUBLE))"
+
+
 GOLD_CTES = {
     "fct_orders": f"""
 SELECT o.order_id, o.restaurant_id, o.customer_id, o.order_date, o.order_time, o.order_type,
@@ -220,9 +238,9 @@ FROM orders_s o LEFT JOIN (
 SELECT d.order_detail_id, d.order_id, d.item_id, d.quantity, d.item_price_at_time,
        d.special_instructions, o.restaurant_id, o.customer_id, o.order_date, o.order_type,
        o.order_status, m.cost_to_make, m.category, m.sub_category,
-       CAST({money('d.item_price_at_time')} * d.quantity AS DOUBLE) AS line_revenue,
-       CAST({money('m.cost_to_make')} * d.quantity AS DOUBLE) AS line_cost,
-       CAST(({money('d.item_price_at_time')} - {money('m.cost_to_make')}) * d.quantity AS DOUBLE) AS line_margin,
+       CAST(round({money('d.item_price_at_time')} * d.quantity, 2) AS DOUBLE) AS line_revenue,
+       CAST(round({money('m.cost_to_make')} * d.quantity, 2) AS DOUBLE) AS line_cost,
+       CAST(round(({money('d.item_price_at_time')} - {money('m.cost_to_make')}) * d.quantity, 2) AS DOUBLE) AS line_margin,
        {date_key('o.order_date')} AS date_key
 FROM details_s d LEFT JOIN orders_s o ON d.order_id = o.order_id
 LEFT JOIN menu_s m ON d.item_id = m.item_id""",
@@ -259,10 +277,10 @@ SELECT operation_id, restaurant_id, date,
        electricity_cost, water_cost, gas_cost, maintenance_cost, other_bills_cost, daily_revenue,
        {date_key('date')} AS date_key, {ym('date')} AS year_month,
        CAST(total_customers_eat_in + total_customers_delivery AS INTEGER) AS total_customers,
-       CAST({money('electricity_cost')} + {money('water_cost')} + {money('gas_cost')}
-            + {money('maintenance_cost')} + {money('other_bills_cost')} AS DOUBLE) AS total_operating_cost,
+       CAST(round({money('electricity_cost')} + {money('water_cost')} + {money('gas_cost')}
+            + {money('maintenance_cost')} + {money('other_bills_cost')}, 2) AS DOUBLE) AS total_operating_cost,
        CASE WHEN total_customers_eat_in + total_customers_delivery > 0
-            THEN {hu(cents('daily_revenue'), '(total_customers_eat_in + total_customers_delivery) * 100', 2)}
+            THEN {hu(units('daily_revenue'), '(total_customers_eat_in + total_customers_delivery) * 10000', 2)}
             ELSE 0.0 END AS revenue_per_customer
 FROM daily_s""",
     "customer_base": f"""
@@ -303,18 +321,17 @@ SELECT c.customer_id AS customer_key, c.customer_id, c.first_name, c.last_name,
             WHEN r.r_score <= 2 AND r.f_score <= 2 THEN 'Lost'
             ELSE 'Need Attention' END AS rfm_segment,
        CAST(coalesce(r.orders_cnt, 0) AS INTEGER) AS total_orders,
-       coalesce(CAST(r.total_spent_dec AS DOUBLE), 0.0) AS total_spent,
-       coalesce({hu('r.total_spent_dec * 100', 'r.amount_cnt * 100', 2)}, 0.0) AS avg_order_value_actual,
-       CASE WHEN r.orders_cnt IS NOT NULL THEN CAST(r.total_spent_dec AS DOUBLE)
-            WHEN c.avg_order_value IS NOT NULL THEN 0.0 END AS customer_lifetime_value,
+       coalesce(CAST(round(r.total_spent_dec, 2) AS DOUBLE), 0.0) AS total_spent,
+       coalesce({hu('r.total_spent_dec * 10000', 'r.amount_cnt * 10000', 2)}, 0.0) AS avg_order_value_actual,
+       {lifetime_value('r.', 'c.')} AS customer_lifetime_value,
        CAST(r.r_score AS VARCHAR) || CAST(r.f_score AS VARCHAR) || CAST(r.m_score AS VARCHAR) AS rfm_score
 FROM customers_s c JOIN rfm r ON c.customer_id = r.customer_id""",
     "dim_menu_item": f"""
 SELECT item_id AS item_key, item_id, restaurant_id, item_name, category, sub_category,
        price, cost_to_make, CAST(preparation_time_mins AS INTEGER) AS preparation_time_mins,
        is_vegetarian, is_vegan, is_gluten_free, CAST(calories AS INTEGER) AS calories,
-       CAST({money('price')} - {money('cost_to_make')} AS DOUBLE) AS gross_margin_gbp,
-       {pct(f"{cents('price')} - {cents('cost_to_make')}", cents('price'), 'price')} AS gross_margin_pct,
+       CAST(round({money('price')} - {money('cost_to_make')}, 2) AS DOUBLE) AS gross_margin_gbp,
+       {pct(f"{units('price')} - {units('cost_to_make')}", units('price'), 'price')} AS gross_margin_pct,
        concat_ws(',', CASE WHEN is_vegetarian THEN 'Vegetarian' END,
                       CASE WHEN is_vegan THEN 'Vegan' END,
                       CASE WHEN is_gluten_free THEN 'Gluten-Free' END) AS dietary_flags
@@ -327,13 +344,13 @@ SELECT employee_id AS employee_key, employee_id, CAST(restaurant_id AS INTEGER)
        reason_for_leaving, performance_rating,
        {hu(months_between_e8(f'coalesce(leave_date, {AS_OF})', 'hire_date'), str(10 ** 8), 1)} AS tenure_months,
        coalesce(employment_status = 'Active', false) AS is_active,
-       CAST({money('salary_per_hour')} * hours_per_week AS DOUBLE) AS weekly_cost_gbp
+       CAST(round({money('salary_per_hour')} * hours_per_week, 2) AS DOUBLE) AS weekly_cost_gbp
 FROM employees_s""",
     "item_perf": f"""
 SELECT restaurant_id, item_id, category, sub_category,
        CAST(sum(quantity) AS BIGINT) AS units_sold, count(order_detail_id) AS times_ordered,
-       CAST(sum({money('line_revenue')}) AS DOUBLE) AS revenue,
-       CAST(sum({money('line_margin')}) AS DOUBLE) AS margin,
+       {sum_money('line_revenue')} AS revenue,
+       {sum_money('line_margin')} AS margin,
        {avg_money('item_price_at_time')} AS avg_price,
        {pct(f"sum({cents('line_margin')})", f"sum({cents('line_revenue')})", f"sum({money('line_revenue')})")} AS margin_pct
 FROM fct_order_items GROUP BY restaurant_id, item_id, category, sub_category""",
@@ -377,7 +394,7 @@ FROM restaurants_s"""
 
 ORACLE["customer_order_summary"] = with_("orders_s") + f"""
 SELECT customer_id, count(order_id) AS orders_cnt,
-       CAST(sum({money('total_amount')}) AS DOUBLE) AS total_spent,
+       {sum_money('total_amount')} AS total_spent,
        {avg_money('total_amount')} AS avg_spent,
        min(order_date) AS first_order_date, max(order_date) AS last_order_date
 FROM orders_s WHERE order_status = 'Completed' GROUP BY customer_id"""
@@ -403,10 +420,9 @@ FROM rfm"""
 
 ORACLE["customer_ltv"] = with_(*CUSTOMER_CTES) + f"""
 SELECT customer_id, CAST(coalesce(orders_cnt, 0) AS INTEGER) AS total_orders,
-       coalesce(CAST(total_spent_dec AS DOUBLE), 0.0) AS total_spent,
-       coalesce({hu('total_spent_dec * 100', 'amount_cnt * 100', 2)}, 0.0) AS avg_order_value_actual,
-       CASE WHEN orders_cnt IS NOT NULL THEN CAST(total_spent_dec AS DOUBLE)
-            WHEN avg_order_value IS NOT NULL THEN 0.0 END AS customer_lifetime_value
+       coalesce(CAST(round(total_spent_dec, 2) AS DOUBLE), 0.0) AS total_spent,
+       coalesce({hu('total_spent_dec * 10000', 'amount_cnt * 10000', 2)}, 0.0) AS avg_order_value_actual,
+       {lifetime_value()} AS customer_lifetime_value
 FROM customer_base"""
 
 ORACLE["dim_customer"] = with_(*CUSTOMER_CTES, "rfm", "dim_customer") + "SELECT * FROM dim_customer"
@@ -428,12 +444,12 @@ ORACLE["fct_daily_ops"] = with_("daily_s", "fct_daily_ops") + "SELECT * FROM fct
 ORACLE["agg_revenue_monthly"] = with_(*ORDER_CTES) + f"""
 SELECT o.year, o.month, o.year_month, count(o.order_id) AS total_orders,
        count(DISTINCT o.customer_id) AS unique_customers,
-       CAST(sum({money('o.total_amount')}) AS DOUBLE) AS revenue,
+       {sum_money('o.total_amount')} AS revenue,
        {avg_money('o.total_amount')} AS aov,
        CAST(sum(i.order_margin) AS DOUBLE) AS gross_margin,
        CAST(sum(i.order_cost) AS DOUBLE) AS total_cogs,
        CAST(sum(o.total_quantity) AS BIGINT) AS items_sold,
-       {pct('sum(i.order_margin) * 100', f"sum({cents('o.total_amount')})", f"sum({money('o.total_amount')})")} AS gross_margin_pct
+       {pct('sum(i.order_margin) * 100', f"{sum2('o.total_amount')} * 100", sum2('o.total_amount'))} AS gross_margin_pct
 FROM fct_orders o LEFT JOIN (
     SELECT order_id, sum({money('line_margin')}) AS order_margin, sum({money('line_cost')}) AS order_cost
     FROM fct_order_items GROUP BY order_id) i ON o.order_id = i.order_id
@@ -443,9 +459,9 @@ ORDER BY o.year, o.month"""
 
 ORACLE["agg_revenue_by_category"] = with_(*ORDER_CTES) + f"""
 SELECT category, sub_category,
-       CAST(sum({money('line_revenue')}) AS DOUBLE) AS revenue,
-       CAST(sum({money('line_cost')}) AS DOUBLE) AS cost,
-       CAST(sum({money('line_margin')}) AS DOUBLE) AS margin,
+       {sum_money('line_revenue')} AS revenue,
+       {sum_money('line_cost')} AS cost,
+       {sum_money('line_margin')} AS margin,
        CAST(sum(quantity) AS BIGINT) AS units_sold, count(order_detail_id) AS line_items,
        {pct(f"sum({cents('line_margin')})", f"sum({cents('line_revenue')})", f"sum({money('line_revenue')})")} AS margin_pct
 FROM fct_order_items GROUP BY category, sub_category"""
@@ -464,7 +480,7 @@ SELECT k.restaurant_id, k.total_orders, CAST(k.rev AS DOUBLE) AS revenue, k.aov,
        {pct('k.delivery_orders', 'k.total_orders', 'k.total_orders')} AS delivery_share_pct,
        {pct('m.gm * 100', 'k.rev * 100', 'k.rev')} AS gross_margin_pct
 FROM (
-    SELECT restaurant_id, count(order_id) AS total_orders, sum({money('total_amount')}) AS rev,
+    SELECT restaurant_id, count(order_id) AS total_orders, {sum2('total_amount')} AS rev,
            {avg_money('total_amount')} AS aov, count(DISTINCT customer_id) AS unique_customers,
            CAST(sum(CASE WHEN is_delivery THEN 1 ELSE 0 END) AS BIGINT) AS delivery_orders,
            CAST(sum(CASE WHEN is_eat_in THEN 1 ELSE 0 END) AS BIGINT) AS eat_in_orders,
@@ -474,12 +490,12 @@ LEFT JOIN ({_RESTAURANT_MARGIN}) m ON k.restaurant_id = m.restaurant_id"""
 
 ORACLE["agg_hourly_demand"] = with_("orders_s", "details_s", "fct_orders") + f"""
 SELECT day_of_week, hour_of_day, count(order_id) AS orders,
-       CAST(sum({money('total_amount')}) AS DOUBLE) AS revenue, {avg_money('total_amount')} AS aov
+       {sum_money('total_amount')} AS revenue, {avg_money('total_amount')} AS aov
 FROM fct_orders WHERE is_completed GROUP BY day_of_week, hour_of_day"""
 
 ORACLE["hourly_activity_events"] = f"""
 SELECT CAST(dayofweek(ts) + 1 AS INTEGER) AS day_of_week, CAST(hour(ts) AS INTEGER) AS hour_of_day,
-       count(*) AS events, CAST(sum({cents('value')}) AS DOUBLE) / 100.0 AS total_value,
+       count(*) AS events, {hu(f"sum({units('value')})", '10000', 2)} AS total_value,
        {avg_money('value')} AS avg_value
 FROM events GROUP BY 1, 2"""
 
@@ -498,7 +514,7 @@ SELECT customer_segment, rfm_segment, count(customer_id) AS customers,
        {avg_int('total_orders', 2)} AS avg_orders,
        {avg_money('total_spent')} AS avg_spend,
        {avg_money('customer_lifetime_value')} AS avg_clv,
-       CAST(sum({money('customer_lifetime_value')}) AS DOUBLE) AS total_clv,
+       {sum_money('customer_lifetime_value')} AS total_clv,
        {avg_int('recency_days', 1)} AS avg_recency_days
 FROM dim_customer GROUP BY customer_segment, rfm_segment"""
 
@@ -526,16 +542,16 @@ FROM lab"""
 
 ORACLE["agg_ops_costs"] = with_("daily_s", "fct_daily_ops") + f"""
 SELECT restaurant_id, year_month,
-       CAST(sum({money('electricity_cost')}) AS DOUBLE) AS electricity,
-       CAST(sum({money('water_cost')}) AS DOUBLE) AS water,
-       CAST(sum({money('gas_cost')}) AS DOUBLE) AS gas,
-       CAST(sum({money('maintenance_cost')}) AS DOUBLE) AS maintenance,
-       CAST(sum({money('other_bills_cost')}) AS DOUBLE) AS other,
-       CAST(sum({money('total_operating_cost')}) AS DOUBLE) AS total_cost,
-       CAST(sum({money('daily_revenue')}) AS DOUBLE) AS revenue,
+       {sum_money('electricity_cost')} AS electricity,
+       {sum_money('water_cost')} AS water,
+       {sum_money('gas_cost')} AS gas,
+       {sum_money('maintenance_cost')} AS maintenance,
+       {sum_money('other_bills_cost')} AS other,
+       {sum_money('total_operating_cost')} AS total_cost,
+       {sum_money('daily_revenue')} AS revenue,
        {avg_int('average_wait_time_mins', 1)} AS avg_wait_time_mins,
        {avg_int('staff_on_shift', 1)} AS avg_staff_on_shift,
-       {pct(f"sum({cents('total_operating_cost')})", f"sum({cents('daily_revenue')})", f"sum({money('daily_revenue')})")} AS cost_to_revenue_pct
+       {pct(f"sum({cents('total_operating_cost')})", f"{sum2('daily_revenue')} * 100", sum2('daily_revenue'))} AS cost_to_revenue_pct
 FROM fct_daily_ops GROUP BY restaurant_id, year_month"""
 
 ORACLE["agg_staffing_efficiency"] = with_("employees_s", "dim_employee") + f"""
@@ -546,7 +562,7 @@ SELECT restaurant_id, position, count(employee_id) AS headcount,
        {avg_int('hours_per_week', 1)} AS avg_hours_per_week,
        {avg_money('performance_rating')} AS avg_rating,
        {hu('sum(CAST(round_even(tenure_months * 10, 0) AS BIGINT))', 'count(tenure_months) * 10', 1)} AS avg_tenure_months,
-       CAST(sum({money('weekly_cost_gbp')}) AS DOUBLE) AS weekly_payroll,
+       {sum_money('weekly_cost_gbp')} AS weekly_payroll,
        {pct('sum(CASE WHEN is_active = false THEN 1 ELSE 0 END)', 'count(employee_id)', 'count(employee_id)')} AS turnover_pct
 FROM dim_employee GROUP BY restaurant_id, position"""
 
@@ -567,11 +583,13 @@ FROM fct_delivery GROUP BY driver_id"""
 
 def dirty_sql(base: str, key: str, strings, numerics, raw_customer: bool = False) -> str:
     rep = []
-    for c in strings:
-        rep.append(f"CASE WHEN {key} % 23 = 0 THEN NULL WHEN {key} % 5 = 0 THEN '  ' || {c} || ' ' "
-                   f"WHEN {key} % 7 = 0 THEN lower({c}) ELSE {c} END AS {c}")
-    for c in numerics:
-        rep.append(f"CASE WHEN {key} % 23 = 0 THEN NULL WHEN {key} % 19 = 0 THEN -{c} ELSE {c} END AS {c}")
+    for i, c in enumerate([*strings, *numerics]):
+        k = f"({key} + {3 * i})"  # each column's defects fall on other rows
+        if c in strings:
+            rep.append(f"CASE WHEN {k} % 23 = 0 THEN NULL WHEN {k} % 5 = 0 THEN '  ' || {c} || ' ' "
+                       f"WHEN {k} % 7 = 0 THEN lower({c}) ELSE {c} END AS {c}")
+        else:
+            rep.append(f"CASE WHEN {k} % 23 = 0 THEN NULL WHEN {k} % 19 = 0 THEN -{c} ELSE {c} END AS {c}")
     if raw_customer:
         rep.append(f"CASE WHEN {key} % 97 = 0 THEN NULL WHEN {key} % 101 = 0 "
                    f"THEN CAST(customer_id AS DOUBLE) + 0.5 ELSE CAST(customer_id AS DOUBLE) END AS customer_id")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..sources import adapters as A
 from ..session import checkpoint_dir
 from ..sources.tables import Tables
-from ..functions.numeric import from_cents_sql, half_up_sql
+from ..functions.numeric import UNIT, half_up_sql, round_units_sql
 from . import dims, facts, marts
 
 # fixed "today" so results do not depend on the wall clock
@@ -78,8 +78,8 @@ def q_dim_restaurant(spark, sf_dir):
 def q_customer_order_summary(spark, sf_dir):
     s = dims.customer_order_summary(A.orders(_t(spark, sf_dir)))
     return s.selectExpr(
-        "customer_id", "orders_cnt", f"{from_cents_sql('spent_c')} AS total_spent",
-        f"{half_up_sql('spent_c', 'amount_cnt * 100', 2)} AS avg_spent",
+        "customer_id", "orders_cnt", f"{round_units_sql('spent_u')} AS total_spent",
+        f"{half_up_sql('spent_u', f'amount_cnt * {UNIT}', 2)} AS avg_spent",
         "first_order_date", "last_order_date")
 
 

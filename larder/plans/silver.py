@@ -1,4 +1,7 @@
-"""Silver cleaning of the ten raw tables (trim, fill, cap, de-duplicate)."""
+"""Silver cleaning of the ten raw tables (trim, fill, cap, de-duplicate).
+
+The column lists and fill values are fixed values that must equal the reference's.
+"""
 
 from __future__ import annotations
 

@@ -108,13 +108,16 @@ def order_details(t: Tables) -> DataFrame:
     return t.lineitem.selectExpr(
         "l_orderkey * 10 + l_linenumber AS order_detail_id", "l_orderkey AS order_id", "l_partkey AS item_id",
         "CAST(l_quantity AS INT) AS quantity", "l_extendedprice AS item_price_at_time",
-        "CAST(NULL AS STRING) AS special_instructions")
+        "CASE l_partkey % 3 WHEN 1 THEN 'no onions' WHEN 2 THEN 'extra sauce' END AS special_instructions")
 
 
 def customer_reviews(t: Tables) -> DataFrame:
     d, lab = t.documents, t.labels
-    return d.join(lab.select("doc_id", "quality"), "doc_id", "left").selectExpr(
-        "doc_id AS review_id", "doc_id % 1500 AS customer_id", "text AS review_text", "lang AS category",
+    # customer keys run from 1 to the number of customers at every scale
+    last = t.customer.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+    return d.join(lab.select("doc_id", "quality"), "doc_id", "left").withColumn(
+        "customer_id", F.col("doc_id") % last + 1).selectExpr(
+        "doc_id AS review_id", "customer_id", "text AS review_text", "lang AS category",
         "CAST(quality AS DOUBLE) AS rating", "CAST(n_chars AS DOUBLE) AS sentiment_score")
 
 
@@ -148,9 +151,9 @@ def inventory(t: Tables) -> DataFrame:
         F.expr(f"sum(CASE WHEN l_returnflag = 'R' THEN {price_c} END) / 100.0D AS waste_value"),
     )
     return g.selectExpr(
-        "inventory_id", "restaurant_id", "date", "item_id", "100 AS opening_stock",
+        "inventory_id", "restaurant_id", "date", "item_id", "CAST(100 + item_id % 37 AS INT) AS opening_stock",
         "used_stock + coalesce(waste_stock, 0) AS received_stock", "used_stock", "waste_stock",
-        "100 AS closing_stock", "stock_value", "waste_value")
+        "CAST(100 + item_id % 37 + restaurant_id % 5 AS INT) AS closing_stock", "stock_value", "waste_value")
 
 
 # Fixed per-order cost rates of the daily operations adapter.
@@ -198,7 +201,7 @@ SOURCES = {
     "inventory": inventory,
 }
 
-# declared keys of the raw tables
+# Fixed values that must equal the reference's: declared keys of the raw tables.
 PRIMARY_KEYS = {
     "restaurants": ["restaurant_id"],
     "customers": ["customer_id"],
@@ -222,17 +225,18 @@ def source(t: Tables, name: str) -> DataFrame:
 def dirty(df: DataFrame, key: str, string_cols: Sequence[str] = (),
           numeric_cols: Sequence[str] = (), rescue: bool = True) -> DataFrame:
     """Inject raw-file defects by key modulus (see FIXTURES.md §3.1)."""
-    k = key
     rep = {}
-    for c in string_cols:
-        rep[c] = (f"CASE WHEN {k} % 23 = 0 THEN CAST(NULL AS STRING) WHEN {k} % 5 = 0 THEN concat('  ', {c}, ' ') "
-                  f"WHEN {k} % 7 = 0 THEN lower({c}) ELSE {c} END")
-    for c in numeric_cols:
-        rep[c] = f"CASE WHEN {k} % 23 = 0 THEN NULL WHEN {k} % 19 = 0 THEN -{c} ELSE {c} END"
+    for i, c in enumerate([*string_cols, *numeric_cols]):
+        k = f"({key} + {3 * i})"  # each column's defects fall on other rows
+        if c in string_cols:
+            rep[c] = (f"CASE WHEN {k} % 23 = 0 THEN CAST(NULL AS STRING) WHEN {k} % 5 = 0 THEN concat('  ', {c}, ' ') "
+                      f"WHEN {k} % 7 = 0 THEN lower({c}) ELSE {c} END")
+        else:
+            rep[c] = f"CASE WHEN {k} % 23 = 0 THEN NULL WHEN {k} % 19 = 0 THEN -{c} ELSE {c} END"
     cols = df.columns
     exprs = [f"{rep[c]} AS {c}" if c in rep else c for c in cols]
     if rescue:
-        exprs.append(f"CASE WHEN {k} % 29 = 0 THEN concat('k:', CAST({k} AS STRING)) END AS _rescued_data")
+        exprs.append(f"CASE WHEN {key} % 29 = 0 THEN concat('k:', CAST({key} AS STRING)) END AS _rescued_data")
     return df.selectExpr(*exprs)
 
 
