@@ -34,6 +34,7 @@ from .common import stored, text_batches
 WINDOW, GRAM = 200, 80
 _SPAN = WINDOW - GRAM + 1  # anchors a window can have, and windows an anchor can have
 _CHUNK = 1 << 17
+SECTION = 16  # windows compared together
 _NONE = 255  # no byte of UTF-8
 
 _rng = np.random.default_rng(7)
@@ -57,9 +58,9 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def pieces(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start, windows, anchor hash, piece hash) of the pieces of one text's bytes."""
-    out = [[], [], [], []]
+def pieces(raw: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(start, windows, anchor's place in the piece, anchor hash, piece hash) of the pieces of one text's bytes."""
+    out = [[], [], [], [], []]
     for at in range(0, max(0, len(raw) - WINDOW + 1), _CHUNK):
         part = raw[at:at + _CHUNK + WINDOW - 1]
         n = len(part)
@@ -79,7 +80,7 @@ def pieces(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         count = np.diff(np.r_[first, len(anchor)])
         end = first + count - 1 + WINDOW
         whole = _mixed((total[end] - total[first]) * _INV[first] + count.astype(np.uint64) * _MIX)
-        for o, v in zip(out, (first + at, count, gram[anchor[first]], whole)):
+        for o, v in zip(out, (first + at, count, anchor[first] - first, gram[anchor[first]], whole)):
             o.append(v)
     return tuple(np.concatenate(o) if o else np.zeros(0, np.int64) for o in out)
 
@@ -209,12 +210,20 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # ---------------------------------------------------------------------- Spark side
 
-def _packed(start: np.ndarray, tag: np.ndarray, count: np.ndarray) -> np.ndarray:
-    return (start.astype(np.int64) << 32) | (tag.astype(np.int64) << 8) | count.astype(np.int64)
+_TAG_BITS = 18
+
+
+def _packed(start: np.ndarray, tag: int, anchor: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Start, text's tag, anchor's place and number of windows in one long."""
+    return (start.astype(np.int64) << 32) | np.int64(tag << 14) | (anchor.astype(np.int64) << 7) | count.astype(np.int64)
+
+
+def _spot(spot: int) -> tuple[int, int, int, int]:
+    return spot >> 32, (spot >> 14) & ((1 << _TAG_BITS) - 1), (spot >> 7) & 127, spot & 127
 
 
 def _occurrences(texts: DataFrame) -> DataFrame:
-    """(gram, piece, doc, spot) of each piece; spot packs its start, the text's tag and its windows."""
+    """(gram, piece, doc, spot) of each piece; spot packs where it is."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
             raw = batch.column("text").cast(pa.large_binary())
@@ -223,10 +232,10 @@ def _occurrences(texts: DataFrame) -> DataFrame:
             doc, tag = batch.column("doc").to_numpy(), batch.column("tag").to_numpy()
             cols = [[], [], [], []]
             for i in range(len(raw)):
-                start, count, gram, piece = pieces(data[ends[i]:ends[i + 1]])
+                start, count, anchor, gram, piece = pieces(data[ends[i]:ends[i + 1]])
                 if len(start):
                     for c, v in zip(cols, (gram.view(np.int64), piece.view(np.int64), np.full(len(start), doc[i]),
-                                           _packed(start, tag[i], count))):
+                                           _packed(start, int(tag[i]), anchor, count))):
                         c.append(v)
             if cols[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["gram", "piece", "doc", "spot"])
@@ -246,7 +255,7 @@ def _packed_texts(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "doc", "tag", "text").mapInArrow(run, "doc_id long, doc long, tag long, blob binary")
 
 
-_TAG = "(shiftright(spot, 8) & 16777215)"
+_TAG = f"(shiftright(spot, 14) & {(1 << _TAG_BITS) - 1})"
 
 
 def _cut(members: DataFrame, texts: DataFrame) -> DataFrame:
@@ -260,7 +269,7 @@ def _cut(members: DataFrame, texts: DataFrame) -> DataFrame:
             for doc, blob, want in zip(*(batch.column(c).to_pylist() for c in ("doc", "blob", "want"))):
                 raw = grow(blob)
                 for w in want:
-                    start, count = w["spot"] >> 32, w["spot"] & 255
+                    start, _, _, count = _spot(w["spot"])
                     for c, v in zip(out, (w["gram"], doc, w["spot"], w["multi"], raw[start:start + count - 1 + WINDOW])):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (
@@ -270,6 +279,25 @@ def _cut(members: DataFrame, texts: DataFrame) -> DataFrame:
         run, "gram long, doc long, spot long, multi boolean, bytes binary")
 
 
+def _sections(rows: list[tuple]) -> list[dict[bytes, list[tuple]]]:
+    """The pieces of one anchor cut into sections of up to SECTION windows, grouped by what a section's windows all hold.
+
+    Sections begin at multiples of SECTION before the anchor, so equal windows
+    are in sections of one place, and all windows of a section hold the bytes in
+    its middle. A section whose middle no other piece has is left out. A group
+    maps a section's bytes to its (doc, spot, first window, multi).
+    """
+    groups: dict[tuple, dict[bytes, list[tuple]]] = {}
+    for doc, spot, multi, raw in rows:
+        _, _, anchor, count = _spot(spot)
+        for k in range((anchor - count + 1) // SECTION, anchor // SECTION + 1):
+            high = anchor - k * SECTION
+            low = max(0, high - SECTION + 1)
+            middle = raw[high:high - SECTION + 1 + WINDOW]
+            groups.setdefault((k, middle), {}).setdefault(raw[low:min(high, count - 1) + WINDOW], []).append((doc, spot, low, multi))
+    return [g for g in groups.values() if len(g) > 1 or len(next(iter(g.values()))) > 1]
+
+
 def _compared(cut: DataFrame, batch: int, max_pieces: int) -> DataFrame:
     """(kind, doc, tag, start, length, h1, h2, multi): repeated stretches (kind 0) of pieces that occur once.
 
@@ -286,27 +314,40 @@ def _compared(cut: DataFrame, batch: int, max_pieces: int) -> DataFrame:
             for c, v in zip(out, row):
                 c.append(v)
 
+        def repeated(doc, spot, first, windows):
+            start, tag, _, _ = _spot(spot)
+            put(0, doc, tag, start + first, windows - 1 + WINDOW, 0, 0, False)
+
         def build():
-            flags = repeated_windows([np.frombuffer(p[3], np.uint8) for p in held])
-            for (doc, spot, multi, _), f in zip(held, flags):
-                if not multi:
+            flags = repeated_windows([np.frombuffer(h[0], np.uint8) for h in held])
+            for (_, member), f in zip(held, flags):
+                if member is not None:
+                    doc, spot, low = member
                     for first, n in zip(*_runs(f)):
-                        put(0, doc, (spot >> 8) & 0xFFFFFF, (spot >> 32) + int(first), int(n) - 1 + WINDOW, 0, 0, False)
+                        repeated(doc, spot, low + int(first), int(n))
             held.clear()
 
         def apart(rows):
             for doc, spot, multi, raw in rows:
+                start, tag, _, _ = _spot(spot)
                 for k in range(len(raw) - WINDOW + 1):
                     h = xxhash.xxh3_128_intdigest(raw[k:k + WINDOW])
-                    put(1, doc, (spot >> 8) & 0xFFFFFF, (spot >> 32) + k, WINDOW,
-                        (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63), multi)
+                    put(1, doc, tag, start + k, WINDOW, (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63), multi)
 
         def close():
             nonlocal here, wide
             if not wide and len(here) > 1:
-                if held and len(held) + len(here) > batch:
-                    build()
-                held.extend(here)
+                for group in _sections(here):
+                    # equal sections repeat whole, and one of them stands for all
+                    many = {raw: len(m) > 1 or m[0][3] for raw, m in group.items()}
+                    for raw, m in group.items():
+                        for doc, spot, low, multi in m:
+                            if many[raw] and not multi:
+                                repeated(doc, spot, low, len(raw) - WINDOW + 1)
+                    if len(group) > 1 and not all(many.values()):
+                        if held and len(held) + len(group) > batch:
+                            build()
+                        held.extend((raw, None if many[raw] else m[0][:3]) for raw, m in group.items())
             here, wide = [], False
 
         def flush():
@@ -345,15 +386,16 @@ def repeated_stretches(docs: DataFrame, batch: int = 1024, max_pieces: int = 163
     """(doc, tag, spans array<long>) of texts (doc_id, doc, tag, text) with repeats; a span packs start and length."""
     # anchors that occur once are told by a count with map-side sums; only rows of others move again
     occ = _occurrences(docs)
-    grams = occ.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("piece").alias("lo"), F.max("piece").alias("hi")).where(
-        "n > 1").select("gram", (F.col("lo") != F.col("hi")).alias("differ"))
+    # (kept, so that the join with them can split a hot anchor)
+    grams = stored(occ.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("piece").alias("lo"), F.max("piece").alias("hi")).where(
+        "n > 1").select("gram", (F.col("lo") != F.col("hi")).alias("differ")))
     common = stored(occ.join(grams, "gram"))
     each = common.groupBy("gram", "piece", "differ").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "spot")).alias("first"))
     members = each.where("differ").select("gram", "first.doc", "first.spot", (F.col("n") > 1).alias("multi"))
     found = stored(_compared(_cut(members, docs), batch, max_pieces))
     copied = common.join(each.where("n > 1").select("gram", "piece"), ["gram", "piece"]).select(
         "doc", F.expr(_TAG).alias("tag"), F.expr("shiftright(spot, 32)").alias("start"),
-        F.expr(f"(spot & 255) + {WINDOW - 1}").alias("length"))
+        F.expr(f"(spot & 127) + {WINDOW - 1}").alias("length"))
     single = found.where("kind = 1")
     twice = single.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("multi").alias("any")).where("n > 1 OR any").select("h1", "h2")
     cols = ["doc", "tag", "start", "length"]
@@ -363,9 +405,9 @@ def repeated_stretches(docs: DataFrame, batch: int = 1024, max_pieces: int = 163
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows as (doc_id, doc, tag, text): the id, or a hash of the text for null ids, and 24 bits of the text's hash."""
+    """Rows as (doc_id, doc, tag, text): the id, or a hash of the text for null ids, and some bits of the text's hash."""
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    return rows.withColumn("doc", F.coalesce("doc_id", F.xxhash64("text"))).withColumn("tag", F.expr("xxhash64(text, 24) & 16777215").cast("long"))
+    return rows.withColumn("doc", F.coalesce("doc_id", F.xxhash64("text"))).withColumn("tag", F.expr(f"xxhash64(text, 24) & {(1 << _TAG_BITS) - 1}").cast("long"))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
