@@ -10,8 +10,7 @@ Amounts that already are rounded (line_*, results of sums) are taken as whole ce
 
 Rounded means and percentages are the HALF_UP rounding of the exact quotient
 of two integers, computed per output row in DECIMAL(38,0) so large sums do not
-overflow: ``round(n / d, k) = sign * ((2|n|10^k + |d|) div 2|d|) / 10^k``. The
-quotient itself must fit 64 bits; beyond that the division raises.
+overflow: ``round(n / d, k) = sign * ((2|n|10^k + |d|) div 2|d|) / 10^k``.
 
 The helpers return SQL text, so a whole projection goes to the JVM in one
 ``selectExpr`` call.
@@ -52,7 +51,8 @@ def half_up_sql(n: str, d: str, places: int) -> str:
     nn = f"CAST({n} AS DECIMAL(38,0))"
     dd = f"CAST({d} AS DECIMAL(38,0))"
     scale = 10 ** places
-    q = f"((2 * abs({nn}) * {scale} + abs({dd})) div (2 * abs({dd})))"
+    num, den = f"(2 * abs({nn}) * {scale} + abs({dd}))", f"(2 * abs({dd}))"
+    q = f"(({num} - {num} % {den}) / {den})"  # whole, so the decimal division is exact
     return (f"(CASE WHEN {dd} IS NULL OR {dd} = 0 THEN CAST(NULL AS DOUBLE) "
             f"WHEN ({nn} < 0) <> ({dd} < 0) THEN CAST(-{q} AS DOUBLE) / {scale}.0D "
             f"ELSE CAST({q} AS DOUBLE) / {scale}.0D END)")

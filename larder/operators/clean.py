@@ -32,8 +32,8 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = 1.5,
                exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """One row: ``_q1_<c>, _q3_<c>, _lower_<c>, _upper_<c>`` for every column.
 
-    One quantile pass covers all columns (exact: one distributed sort of the
-    unpivoted values; approximate: one ``percentile_approx`` aggregate).
+    One quantile pass covers all columns (exact: bracketing and counting, see
+    operators.rank; approximate: one ``percentile_approx`` aggregate).
     """
     q = quantile_table(df, columns, [0.25, 0.75], ["q1", "q3"], exact=exact, accuracy=accuracy)
     picks = []
@@ -54,8 +54,8 @@ def cap_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5,
                  drop_underscore: bool = True) -> DataFrame:
     """Clamp each column to [q1 - factor*IQR, q3 + factor*IQR] of its own values.
 
-    Quartiles are global: one row of bounds, broadcast to every task (its
-    size does not grow with the data). NULL stays NULL; capped columns come out as
+    Quartiles are global: the bounds are one value, a scalar subquery that runs
+    before the scan. NULL stays NULL; capped columns come out as
     double. Like the reference, every column whose name starts with ``_`` is
     dropped afterwards (``drop_underscore``); with no columns the input is
     returned unchanged. ``exact=False`` uses ``percentile_approx`` as the
@@ -65,15 +65,13 @@ def cap_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5,
     if not columns:
         return df
     stats = iqr_bounds(df, columns, factor, exact, accuracy)
-    # the bounds are one row: attached to every row by a broadcast equi-join on
-    # a constant key (a one-row build side; computed alongside the scan of df)
-    one = F.lit(0).alias("_one")
-    joined = df.select("*", one).join(F.broadcast(stats.select("*", one)), "_one")
+    bounds = stats.select(F.struct(*[f"_{side}_{c}" for c in columns for side in ("lower", "upper")])).scalar()
+    joined = df.withColumn("_bounds", bounds)
     capped = set(columns)
     cols = []
     for c in df.columns:
         if c in capped:
-            x, lo, hi = F.col(c), F.col(f"_lower_{c}"), F.col(f"_upper_{c}")
+            x, lo, hi = F.col(c), F.col(f"_bounds.`_lower_{c}`"), F.col(f"_bounds.`_upper_{c}`")
             cols.append(F.when(x < lo, lo).when(x > hi, hi).otherwise(x.cast("double")).alias(c))
         elif not (drop_underscore and c.startswith("_")):
             cols.append(F.col(c))

@@ -1,13 +1,15 @@
-"""Distributed global ordering: positions, ntile and exact quantiles.
+"""Exact order statistics without a global sort: quantiles and ntile edges.
 
 ``Window.orderBy(...)`` without ``partitionBy`` moves every row into one task
-(``Exchange SinglePartition``). Here the rows are range-partitioned on the full
-sort order (ties are split by the trailing key columns, so one hot value cannot
-pile up in one task), sorted inside each partition and checkpointed to the
-session's shared checkpoint folder, so partition contents and order are fixed
-even if executors are lost. Each row's global position is then the row count
-of all earlier partitions (a table with one row per partition, broadcast: its
-size is bounded by the partition count) plus its index inside its partition.
+(``Exchange SinglePartition``), and a distributed sort moves every row once. Here
+a first aggregate takes approximate quantiles around each wanted rank
+(``percentile_approx``, whose rank error is bounded by n / accuracy). They
+bracket the exact value, so a second aggregate needs only the number of rows
+below the bracket and the counts of the values inside it, both combined map-side.
+The exact value is the one at which the cumulated count reaches the rank; this
+last step sees the distinct values of a bracket, a few ten-thousandths of the rows.
+
+Everything is one lazy plan: no job runs, and nothing is written, before an action.
 """
 
 from __future__ import annotations
@@ -17,78 +19,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+ACCURACY = 10_000
+#: Percentages whose quantiles bracket a rank that is only known per group.
+GRID = [i / 1000 for i in range(1001)]
 
-POS = "_pos"
-_IDX_BITS = 33  # monotonically_increasing_id: partition id in the upper 31 bits
 
+def _ranked_values(rows: DataFrame, keys: Sequence[str], targets: DataFrame, broadcast: bool) -> DataFrame:
+    """The exact value at each wanted rank.
 
-def _cols(order: Sequence) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in order]
-
-
-def _num_partitions(df: DataFrame, requested: int | None) -> int:
-    if requested:
-        return int(requested)
-    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-    return max(1, int(conf))
-
-
-def global_positions(df: DataFrame, order: Sequence, num_partitions: int | None = None,
-                     pos_col: str = POS, total_col: str | None = None) -> DataFrame:
-    """Add ``pos_col``: 1-based position of each row in the total ``order``.
-
-    ``order`` must make the order total (end it with a key) for positions to be
-    reproducible; with ties left in, positions among tied rows are still
-    fixed by the checkpoint, only not predictable. ``total_col`` also adds
-    the total row count (taken from the same per-partition table, no extra job).
+    ``rows``: (keys..., value), no NULL values. ``targets``: (keys..., id, rank,
+    lo, hi), rank counted from 1 and lo <= the value at that rank <= hi. Returns
+    (keys..., id, value, before, ties): ``before`` rows are smaller, ``ties`` equal.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    cols = _cols(order)
-    n = _num_partitions(df, num_partitions)
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-    ranged = ranged.checkpoint(eager=True)
-    # partition index and row index inside it, from one id per row
-    ranged = ranged.selectExpr("*", "monotonically_increasing_id() AS _mid").selectExpr(
-        "* EXCEPT (_mid)", f"CAST(shiftright(_mid, {_IDX_BITS}) AS INT) AS _pid",
-        f"_mid & {(1 << _IDX_BITS) - 1} AS _idx")
-    per_part = ranged.groupBy("_pid").agg(F.expr("count(1) AS _cnt"))
-    # one row per range partition: size bounded by ``n`` -> the unpartitioned
-    # window and the broadcast below are both bounded by the partition count
-    offsets = per_part.selectExpr(
-        "_pid",
-        "coalesce(sum(_cnt) OVER (ORDER BY _pid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
-        "AS _offset",
-        "sum(_cnt) OVER () AS _total")
-    out = ranged.join(F.broadcast(offsets), "_pid").selectExpr(
-        "*", f"_offset + _idx + 1 AS `{pos_col}`",
-        *([f"_total AS `{total_col}`"] if total_col else []))
-    return out.drop("_pid", "_idx", "_offset", "_total")
-
-
-def ntile_from_position(pos, total, k: int) -> Column:
-    """SQL ntile(k) for 1-based position ``pos`` among ``total`` rows."""
-    pos = F.col(pos) if isinstance(pos, str) else pos
-    total = F.col(total) if isinstance(total, str) else total
-    q = F.floor(total / F.lit(k)).cast("long")
-    r = (total - q * F.lit(k)).cast("long")
-    big = r * (q + F.lit(1))  # rows held by the first r (larger) tiles
-    return (
-        F.when(pos <= big, F.floor((pos - F.lit(1)) / (q + F.lit(1))) + F.lit(1))
-        .otherwise(r + F.floor((pos - F.lit(1) - big) / q) + F.lit(1))
-        .cast("int")
-    )
-
-
-def distributed_ntile(df: DataFrame, k: int, order: Sequence, out_col: str,
-                      num_partitions: int | None = None) -> DataFrame:
-    """``ntile(k) OVER (ORDER BY order)`` without a single-partition window."""
-    ranked = global_positions(df, order, num_partitions, pos_col="_ntile_pos", total_col="_ntile_total")
-    return (
-        ranked.withColumn(out_col, ntile_from_position("_ntile_pos", "_ntile_total", k))
-        .drop("_ntile_pos", "_ntile_total")
-    )
+    keys = list(keys)
+    targets = F.broadcast(targets) if broadcast else targets
+    spot = F.when(F.col("value") < F.col("lo"), F.lit(None)).otherwise(F.col("value"))
+    inside = (rows.join(targets, keys) if keys else rows.join(targets)).where("value <= hi")
+    counts = inside.groupBy(*keys, "id", "rank", spot.alias("spot")).agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy(*keys, "id").orderBy(F.col("spot").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    summed = counts.withColumn("upto", F.sum("n").over(upto))
+    hit = summed.where("upto >= rank AND upto - n < rank")
+    # the bracket holds the rank by its construction; a value below it would be a wrong result, so it raises
+    value = F.when(F.col("spot").isNull(), F.raise_error(F.lit("rank outside its bracket"))).otherwise(F.col("spot"))
+    return hit.select(*keys, "id", value.alias("value"), (F.col("upto") - F.col("n")).alias("before"), F.col("n").alias("ties"))
 
 
 def _stacked(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]) -> DataFrame:
@@ -98,48 +51,91 @@ def _stacked(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]) -
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    group_cols: Sequence[str] = (), num_partitions: int | None = None,
-                    ) -> DataFrame:
+                    group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact discrete quantiles (``percentile_disc``) of several columns at once.
 
     Output: ``group_cols..., column, p, value`` with ``value`` the smallest
     value whose cumulative share reaches ``p`` (NULLs ignored; a column with no
     values yields no row). All columns are unpivoted into one (column, value)
-    stream and ordered together, so any number of columns costs one sort.
+    stream, so any number of columns costs the same two aggregates.
     """
-    group_cols = list(group_cols)
-    # a per-row id as the last sort key lets the range partitioner split a
-    # value that holds a large share of the rows over many tasks; tied rows
-    # carry equal values, so which of them gets which position is irrelevant
-    with_id = df.selectExpr("*", "monotonically_increasing_id() AS _rid")
-    stacked = _stacked(with_id, columns, [*group_cols, "_rid"]).where("value IS NOT NULL")
     keys = [*group_cols, "column"]
-    ranked = global_positions(stacked, [*keys, "value", "_rid"], num_partitions)
-    stats = ranked.groupBy(*keys).agg(
-        F.min(POS).alias("_start"), F.count(F.lit(1)).alias("_n"))
-    targets = stats.select(
-        *keys,
-        F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"),
-        "_start", "_n",
-    ).select(
-        *keys, "p",
-        (F.col("_start") + F.greatest(F.ceil(F.col("p") * F.col("_n")), F.lit(1)) - F.lit(1))
-        .cast("long").alias(POS),
-    )
-    if not group_cols:
-        # len(columns) x len(probs) rows: bounded, broadcast it
-        targets = F.broadcast(targets)
-    picked = ranked.select(POS, "value").join(targets, POS)
-    return picked.select(*keys, "p", "value")
+    rows = _stacked(df, columns, list(group_cols)).where("value IS NOT NULL")
+    slack = 2 / ACCURACY  # twice the error of the approximate quantiles
+    ends = [max(0.0, min(1.0, float(p) + d)) for p in probs for d in (-slack, slack)]
+    stats = rows.groupBy(*keys).agg(F.percentile_approx("value", ends, ACCURACY).alias("_e"), F.count(F.lit(1)).alias("_n"))
+    wanted = F.array(*[F.struct(
+        F.lit(float(p)).alias("id"), F.greatest(F.ceil(F.lit(float(p)) * F.col("_n")), F.lit(1)).cast("long").alias("rank"),
+        F.col("_e")[2 * i].alias("lo"), F.col("_e")[2 * i + 1].alias("hi")) for i, p in enumerate(probs)])
+    targets = stats.select(*keys, F.explode(wanted).alias("_t")).select(*keys, "_t.*")
+    # without groups there are len(columns) x len(probs) targets
+    found = _ranked_values(rows, keys, targets, broadcast=not group_cols)
+    return found.select(*keys, F.col("id").alias("p"), "value")
+
+
+def _grid_targets(rows: DataFrame, keys: Sequence[str], ids: Column) -> DataFrame:
+    """Targets for ``ids`` (an array of (id, rank) structs over the keys and ``_n``), bracketed by GRID quantiles."""
+    stats = rows.groupBy(*keys).agg(
+        F.percentile_approx("value", GRID, ACCURACY).alias("_g"), F.count(F.lit(1)).alias("_n"),
+        F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    step = F.floor(F.col("_t.rank") * F.lit(len(GRID) - 1) / F.col("_n"))
+    small = F.col("_n") < ACCURACY  # a few rows are a bracket as they are
+    at = lambda i: F.element_at("_g", F.least(F.greatest(i + 1, F.lit(1)), F.lit(len(GRID))).cast("int"))
+    return stats.select(*keys, "_g", "_n", "_lo", "_hi", F.explode(ids).alias("_t")).select(
+        *keys, "_t.id", "_t.rank", F.when(small, F.col("_lo")).otherwise(at(step - 2)).alias("lo"),
+        F.when(small, F.col("_hi")).otherwise(at(step + 3)).alias("hi"))
+
+
+def ntile_edges(df: DataFrame, k: int, measures: Sequence[str], key: str) -> DataFrame:
+    """(measure, tile, value, last): the last row of each tile but the highest, over each measure's order.
+
+    Rows are ordered by the measure (a long, no NULLs) and then by ``key`` (a
+    long, unique). A row is beyond an edge when its measure is larger than ``value``,
+    or equal and its key larger than ``last``. At most len(measures) x (k - 1) rows.
+    """
+    rows = df.select(F.col(key).alias("_key"), F.explode(F.array(*[
+        F.struct(F.lit(m).alias("measure"), F.col(m).cast("long").alias("value")) for m in measures])).alias("_m")).select(
+        "_key", "_m.measure", "_m.value")
+    # tile j ends after j * q + min(j, r) rows of n = k * q + r
+    q, r = F.floor(F.col("_n") / F.lit(k)).cast("long"), (F.col("_n") % F.lit(k)).cast("long")
+    ids = F.array(*[F.struct(F.lit(j).alias("id"), F.greatest(q * F.lit(j) + F.least(F.lit(j), r), F.lit(1)).alias("rank"))
+                    for j in range(1, k)])
+    targets = _grid_targets(rows.select("measure", "value"), ["measure"], ids)
+    found = _ranked_values(rows.select("measure", "value"), ["measure"], targets, broadcast=True)
+    edges = found.join(F.broadcast(targets.select("measure", "id", "rank")), ["measure", "id"]).select(
+        "measure", "id", F.col("value").alias("_edge"), (F.col("rank") - F.col("before")).alias("need"), "ties")
+    # within the ties of an edge the key decides: the need-th smallest key is the tile's last
+    split = edges.where("need < ties").select("measure", F.col("id").alias("tile"), "_edge", "need")
+    tied = rows.join(F.broadcast(split), "measure").where("value = _edge").select(
+        "measure", "tile", "need", F.col("_key").alias("value"))
+    keys = ["measure", "tile", "need"]
+    inner = _grid_targets(tied, keys, F.array(F.struct(F.lit(0).alias("id"), F.col("need").alias("rank"))))
+    last = _ranked_values(tied, keys, inner, broadcast=True).select("measure", F.col("tile").alias("id"), F.col("value").alias("_last"))
+    return edges.join(F.broadcast(last), ["measure", "id"], "left").select(
+        "measure", F.col("id").alias("tile"), F.col("_edge").alias("value"),
+        F.coalesce("_last", F.lit(2**63 - 1)).alias("last"))
+
+
+def ntile_columns(df: DataFrame, k: int, measures: dict[str, str], key: str) -> DataFrame:
+    """Add ``ntile(k) OVER (ORDER BY measure, key)`` for several measures: {new column: measure}.
+
+    Measures are longs without NULLs and ``key`` is a unique long. The few edges
+    come in as one value (a scalar subquery); no row is sorted or moved for it.
+    """
+    edges = ntile_edges(df, k, sorted(set(measures.values())), key)
+    one = edges.agg(F.collect_list(F.struct("measure", "value", "last"))).scalar()
+    beyond = lambda m: F.size(F.filter("_edges", lambda e: (e["measure"] == m) & (
+        (F.col(m) > e["value"]) | ((F.col(m) == e["value"]) & (F.col(key) > e["last"]))))) + 1
+    return df.withColumn("_edges", one).withColumns({c: beyond(m).cast("int") for c, m in measures.items()}).drop("_edges")
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                    names: Sequence[str], group_cols: Sequence[str] = (),
-                   exact: bool = True, accuracy: int = 10000) -> DataFrame:
+                   exact: bool = True, accuracy: int = ACCURACY) -> DataFrame:
     """One row per (group, column) with one column per requested quantile.
 
-    ``exact=False`` uses ``percentile_approx`` (the reference's estimator,
-    one aggregate pass with bounded sketch memory) instead of the exact sort.
+    ``exact=False`` uses ``percentile_approx`` alone (the reference's estimator,
+    one aggregate pass with bounded sketch memory).
     """
     group_cols = list(group_cols)
     if exact:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import (UK_HOLIDAYS, date_key_sql, holiday_sql, months_between_e8_sql,
                                   year_month_sql)
 from ..functions.numeric import UNIT, half_up_sql, pct_sql, round_units_sql, units_sql
-from ..operators.rank import distributed_ntile
+from ..operators.rank import ntile_columns
 
 
 # ------------------------------------------------------------------ dim_date
@@ -103,43 +103,34 @@ def customer_recency(customers: DataFrame, summary: DataFrame, as_of: str | None
 RFM_DIRECTIONS = ("as_reference", "high_is_best")
 
 
-def rfm_scores(df: DataFrame, key: str = "customer_id", direction: str = "as_reference",
-               k: int = 5, num_partitions: int | None = None) -> DataFrame:
+def rfm_scores(df: DataFrame, key: str = "customer_id", direction: str = "as_reference", k: int = 5) -> DataFrame:
     """Add r_score, f_score, m_score as ntile(k) over three global orderings.
 
     ``as_reference``: tile 1 = most recent / most orders / biggest spend.
     ``high_is_best``: the three orders are reversed, so 5 is best.
     Customers without orders score 1 on all three but keep their slot in the
-    tiles. Ties are broken by ``key`` (which must be unique) so the result is
-    deterministic. Each ntile is computed without a single-partition window
-    (see operators.rank).
+    tiles (last as_reference, first otherwise). Ties are broken by ``key``, a
+    unique long, so the result is deterministic. The tiles' edges are found by
+    counting (see operators.rank), without a sort of the customers.
     """
     if direction not in RFM_DIRECTIONS:
         raise ValueError(f"direction must be one of {RFM_DIRECTIONS}")
-    if direction == "as_reference":
-        orders = {
-            "_r": [F.col("recency_days").asc(), F.col(key).asc()],
-            "_f": [F.col("orders_cnt").desc_nulls_last(), F.col(key).asc()],
-            "_m": [F.col("spent_u").desc_nulls_last(), F.col(key).asc()],
-        }
-    else:
-        orders = {
-            "_r": [F.col("recency_days").desc(), F.col(key).asc()],
-            "_f": [F.col("orders_cnt").asc_nulls_first(), F.col(key).asc()],
-            "_m": [F.col("spent_u").asc_nulls_first(), F.col(key).asc()],
-        }
-    # rank a narrow projection (key + the three measures), then join the scores
-    # back once on the unique key: the three range-partition + checkpoint
-    # passes move four columns instead of the whole customer row
-    narrow = df.select(key, "recency_days", "orders_cnt", "spent_u")
-    for name, order in orders.items():
-        narrow = distributed_ntile(narrow, k, order, name, num_partitions)
-    scores = narrow.selectExpr(
-        key,
+    sign, empty = ("-", 2**63 - 1) if direction == "as_reference" else ("", -2**63)
+    recency = "recency_days" if direction == "as_reference" else "-recency_days"
+    measured = df.selectExpr(
+        "*", f"CAST(coalesce({recency}, {_long_sql(2**63 - 1)}) AS BIGINT) AS _recency",
+        f"CAST(coalesce({sign}orders_cnt, {_long_sql(empty)}) AS BIGINT) AS _orders",
+        f"CAST(coalesce({sign}spent_u, {_long_sql(empty)}) AS BIGINT) AS _spent")
+    scored = ntile_columns(measured, k, {"_r": "_recency", "_f": "_orders", "_m": "_spent"}, key)
+    return scored.selectExpr(
+        "* EXCEPT (_recency, _orders, _spent, _r, _f, _m)",
         "CASE WHEN orders_cnt IS NULL THEN 1 ELSE _r END AS r_score",
         "CASE WHEN orders_cnt IS NULL THEN 1 ELSE _f END AS f_score",
         "CASE WHEN spent_u IS NULL THEN 1 ELSE _m END AS m_score")
-    return df.join(scores, key, "left")
+
+
+def _long_sql(value: int) -> str:
+    return f"CAST('{value}' AS BIGINT)"
 
 
 # Fixed values that must equal the reference's: segment rules and names.

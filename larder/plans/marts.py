@@ -162,8 +162,7 @@ def quadrant_by_group_median(df: DataFrame, group: str, x: str, y: str,
                              exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Label rows High/Low against their group's median of ``x`` and of ``y``.
 
-    Medians are exact (``percentile_disc(0.5)``, distributed sort) by default,
-    or ``percentile_approx`` with ``exact=False``. The per-group medians are
+    Medians are exact (``percentile_disc(0.5)``, by counting) by default, or ``percentile_approx`` with ``exact=False``. The per-group medians are
     one row per group, joined back without a hint (AQE picks broadcast when
     the group count is small).
     """

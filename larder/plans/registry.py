@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import adapters as A
-from ..session import checkpoint_dir
 from ..sources.tables import Tables
 from ..functions.numeric import UNIT, half_up_sql, round_units_sql
 from . import dims, facts, marts
@@ -204,28 +203,17 @@ def q_agg_item_performance(spark, sf_dir):
     return marts.agg_item_performance(fct_order_items_of(_t(spark, sf_dir)))
 
 
-def _stored_item_performance(spark, t: Tables) -> DataFrame:
-    """agg_item_performance written once to the shared checkpoint folder.
-
-    Menu engineering reads it three times (range sampling, ranking, labelling),
-    as the reference reads the stored mart; without this each read would
-    re-join and re-aggregate all order lines.
-    """
-    checkpoint_dir(spark)
-    return marts.agg_item_performance(fct_order_items_of(t)).checkpoint(eager=True)
-
-
 @query("agg_menu_engineering")
 def q_agg_menu_engineering(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return marts.agg_menu_engineering(_stored_item_performance(spark, t), dims.dim_menu_item(A.menu_items(t)))
+    return marts.agg_menu_engineering(marts.agg_item_performance(fct_order_items_of(t)), dims.dim_menu_item(A.menu_items(t)))
 
 
 @query("agg_menu_engineering_approx")
 def q_agg_menu_engineering_approx(spark, sf_dir):
     """Medians by percentile_approx, as the reference computes them (no exact oracle)."""
     t = _t(spark, sf_dir)
-    return marts.agg_menu_engineering(_stored_item_performance(spark, t), dims.dim_menu_item(A.menu_items(t)),
+    return marts.agg_menu_engineering(marts.agg_item_performance(fct_order_items_of(t)), dims.dim_menu_item(A.menu_items(t)),
                                       exact=False)
 
 
