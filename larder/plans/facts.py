@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import date_key_sql, year_month_sql
-from ..functions.numeric import UNIT, cents_of_units_sql, half_up_sql, pct_sql, round_units_sql, units_sql
+from ..functions.numeric import UNIT, cents_of_units_sql, cents_sql, half_up_sql, pct_sql, round_units_sql, units_sql
 
 
 def flag_sql(x: str, value: str) -> str:
@@ -52,6 +52,13 @@ def order_line_summary(order_details: DataFrame, menu_items: DataFrame | None =
         F.expr(f"sum({cents_of_units_sql(f'{cost} * quantity')}) AS order_cost_c"))
 
 
+def order_margins(fct_order_items: DataFrame) -> DataFrame:
+    """Per order: margin and cost in cents, from the lines' rounded amounts."""
+    return fct_order_items.groupBy("order_id").agg(
+        F.expr(f"sum({cents_sql('line_margin')}) AS order_margin_c"),
+        F.expr(f"sum({cents_sql('line_cost')}) AS order_cost_c"))
+
+
 def fct_orders(orders: DataFrame, order_details: DataFrame, line_summary: DataFrame | None = None) -> DataFrame:
     """One row per order with line counts, calendar columns and status flags.
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import (avg_int_sql, avg_money_sql, avg_scaled_sql, cents_sql, from_cents_sql,
                                  pct_sql, sum_cents_sql, sum_money_sql)
 from ..operators.rank import quantile_table
+from .facts import order_margins
 
 
 def _agg(df: DataFrame, keys, *exprs: str) -> DataFrame:
@@ -36,10 +37,7 @@ def agg_revenue_monthly(fct_orders: DataFrame, fct_order_items: DataFrame | None
     """
     orders = fct_orders.where("is_completed")
     if "order_margin_c" not in fct_orders.columns:
-        per_order = _agg(fct_order_items, ["order_id"],
-                         f"sum({cents_sql('line_margin')}) AS order_margin_c",
-                         f"sum({cents_sql('line_cost')}) AS order_cost_c")
-        orders = orders.join(per_order, "order_id", "left")
+        orders = orders.join(order_margins(fct_order_items), "order_id", "left")
     g = _agg(orders, ["year", "month", "year_month"],
              "count(order_id) AS total_orders",
              "count(DISTINCT customer_id) AS unique_customers",
@@ -126,8 +124,9 @@ def hourly_activity(events: DataFrame, ts: str = "ts", value: str = "value") ->
 def agg_customer_cohorts(customers: DataFrame, fct_orders: DataFrame) -> DataFrame:
     """Distinct active customers per (signup month, order month); completed orders."""
     cust = customers.selectExpr("customer_id", "date_format(join_date, 'yyyy-MM') AS cohort_month")
-    orders = fct_orders.where("is_completed").selectExpr(
-        "customer_id", "date_format(order_date, 'yyyy-MM') AS order_month")
+    # one row per customer and month before the join, so it moves far fewer rows
+    orders = fct_orders.where("is_completed AND customer_id IS NOT NULL").selectExpr(
+        "customer_id", "date_format(order_date, 'yyyy-MM') AS order_month").distinct()
     g = _agg(cust.join(orders, "customer_id", "inner"), ["cohort_month", "order_month"],
              "count(DISTINCT customer_id) AS active_customers")
     return g.selectExpr(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from .oracle import ORACLE, _with, clean_ctes, CLEAN_SPEC, hu, raw_ctes
+import re
+
+from .oracle import ADAPTERS, CLEAN_SPEC, ORACLE, _with, clean_ctes, hu, raw_ctes
 
 # raw ("bronze") table schemas: (column, type) in table order
 RAW_SCHEMA = {
@@ -54,6 +56,7 @@ RAW_SCHEMA = {
                   ("stock_value", "double"), ("waste_value", "double"), ("_rescued_data", "string")],
 }
 TABLE_ORDER = list(RAW_SCHEMA)
+RECONCILED = TABLE_ORDER
 NUMERIC = {"int", "bigint", "double"}
 PKS = {
     "restaurants": ["restaurant_id"], "customers": ["customer_id"], "employees": ["employee_id"],
@@ -77,7 +80,6 @@ NEGATIVE = {
     "customer_reviews": ["rating", "sentiment_score"],
     "employees": ["salary_per_hour", "performance_rating"],
 }
-RECONCILED = ["customers", "orders", "customer_reviews", "daily_operations"]
 # cleaned-table types that differ from the raw ones
 CLEAN_TYPE_CHANGES = {
     "customers": {"avg_order_value": "double"},
@@ -86,6 +88,8 @@ CLEAN_TYPE_CHANGES = {
     "customer_reviews": {"customer_id": "bigint", "sentiment_score": "double"},
     "daily_operations": {c: "double" for c in ["total_customers_eat_in", "total_customers_delivery",
                                                "total_orders", "delivery_orders_count", "eat_in_orders_count"]},
+    "menu_items": {"preparation_time_mins": "double"},
+    "inventory": {"closing_stock": "double"},
 }
 DUCK_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
 
@@ -143,15 +147,15 @@ ORACLE["audit_nulls"] = _with(all_raw()) + union(
 
 # ------------------------------------------------------------------ duplicates
 
-def _dup_part(t: str) -> str:
-    pk = PKS[t]
+def _dup_part(t: str, src: str | None = None, pk: list[str] | None = None) -> str:
+    src, pk = src or f"raw_{t}", pk or PKS[t]
     pk_sql = ", ".join(q(c) for c in pk)
     return (
         f"SELECT '{t}' AS {q('table')}, a.n AS total_rows, a.n - b.n AS dup_rows, "
         f"(CASE WHEN a.n > 0 THEN {hu('(a.n - b.n) * 100', 'a.n', 2)} ELSE 0.0 END) AS dup_pct, "
         f"'{', '.join(pk)}' AS primary_key, a.n - c.n AS pk_dups "
-        f"FROM (SELECT count(*) AS n FROM raw_{t}) a, (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM raw_{t})) b, "
-        f"(SELECT count(*) AS n FROM (SELECT DISTINCT {pk_sql} FROM raw_{t})) c")
+        f"FROM (SELECT count(*) AS n FROM {src}) a, (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM {src})) b, "
+        f"(SELECT count(*) AS n FROM (SELECT DISTINCT {pk_sql} FROM {src})) c")
 
 
 ORACLE["audit_duplicates"] = _with(all_raw()) + union([_dup_part(t) for t in TABLE_ORDER])
@@ -169,8 +173,9 @@ FROM (SELECT count(*) AS n FROM lineitem) a,
 
 # -------------------------------------------------------------------- outliers
 
-def _outlier_part(t: str, cols: list[str]) -> str:
-    stacked = union([f"SELECT '{c}' AS {q('column')}, CAST({q(c)} AS DOUBLE) AS value FROM {t}" for c in cols])
+def _outlier_part(t: str, cols: list[str], src: str | None = None) -> str:
+    src = src or t
+    stacked = union([f"SELECT '{c}' AS {q('column')}, CAST({q(c)} AS DOUBLE) AS value FROM {src}" for c in cols])
     return f"""
 WITH s AS ({stacked}),
 d AS (SELECT {q('column')}, count(*) AS nd FROM (SELECT DISTINCT {q('column')}, value FROM s) GROUP BY 1),
@@ -178,7 +183,7 @@ qq AS (SELECT {q('column')}, quantile_disc(value, 0.25) AS q1, quantile_disc(val
 b AS (SELECT *, q1 - 1.5::DOUBLE * (q3 - q1) AS lo, q3 + 1.5::DOUBLE * (q3 - q1) AS hi FROM qq),
 c AS (SELECT s.{q('column')}, count(*) FILTER (WHERE s.value < b.lo OR s.value > b.hi) AS oc
       FROM s JOIN b ON s.{q('column')} = b.{q('column')} GROUP BY 1),
-n AS (SELECT count(*) AS total FROM {t})
+n AS (SELECT count(*) AS total FROM {src})
 SELECT '{t}' AS {q('table')}, b.{q('column')}, {spark_round('b.q1', 2)} AS q1, {spark_round('b.q3', 2)} AS q3,
        {spark_round('b.lo', 2)} AS lower_bound, {spark_round('b.hi', 2)} AS upper_bound,
        c.oc AS outlier_count,
@@ -187,9 +192,14 @@ FROM b JOIN c ON b.{q('column')} = c.{q('column')} JOIN d ON b.{q('column')} = d
 WHERE d.nd >= 5 AND d.nd <= n.total * 0.9::DOUBLE AND c.oc > 0"""
 
 
-ORACLE["audit_outliers"] = union([
+def _numeric(t: str) -> list[str]:
+    return [c for c, ty in RAW_SCHEMA[t] if ty in NUMERIC]
+
+
+ORACLE["audit_outliers"] = _with(all_raw()) + union([
     f"SELECT * FROM ({_outlier_part('events', ['event_id', 'user_id', 'value'])})",
     f"SELECT * FROM ({_outlier_part('documents', ['doc_id', 'n_chars'])})",
+    *[f"SELECT * FROM ({_outlier_part(t, _numeric(t), f'raw_{t}')})" for t in TABLE_ORDER],
 ])
 
 
@@ -216,6 +226,25 @@ _clean_all = []
 for _t in RECONCILED:
     _clean_all += clean_ctes(_t, **CLEAN_SPEC[_t])
 
+SILVER_PKS = PKS | {"daily_operations": ["restaurant_id", "date"]}
+
+ORACLE["audit_overview_silver"] = _with(_clean_all) + union([
+    f"SELECT '{t}' AS {q('table')}, count(*) AS rows, CAST({len(RAW_SCHEMA[t]) - 1} AS INTEGER) AS cols FROM clean_{t}"
+    for t in TABLE_ORDER])
+ORACLE["audit_nulls_silver"] = _with(_clean_all) + union(
+    [p for t in TABLE_ORDER for p in _null_parts(t, f"clean_{t}", [(c, clean_type(t, c, ty)) for c, ty in cols_of(t, False)])])
+ORACLE["audit_duplicates_silver"] = _with(_clean_all) + union([_dup_part(t, f"clean_{t}", SILVER_PKS[t]) for t in TABLE_ORDER])
+ORACLE["audit_outliers_silver"] = _with(_clean_all) + union(
+    [f"SELECT * FROM ({_outlier_part(t, _numeric(t), f'clean_{t}')})" for t in TABLE_ORDER])
+ORACLE["audit_value_counts_silver"] = _with(_clean_all) + union([
+    f"SELECT '{t}' AS {q('table')}, '{c}' AS {q('column')}, CAST({q(c)} AS VARCHAR) AS value, count(*) AS count "
+    f"FROM clean_{t} GROUP BY 3"
+    for t, cs in CATEGORICAL.items() for c in cs])
+ORACLE["audit_negatives_silver"] = _with(_clean_all) + union([
+    f"SELECT * FROM (SELECT '{t}' AS {q('table')}, '{c}' AS {q('column')}, "
+    f"count(*) FILTER (WHERE {q(c)} < 0) AS negative_count FROM clean_{t}) WHERE negative_count > 0"
+    for t, cs in NEGATIVE.items() for c in cs])
+
 ORACLE["audit_whitespace_silver"] = _with(_clean_all) + union(
     [p for t in RECONCILED for p in _ws_parts(t, f"clean_{t}", cols_of(t, with_rescue=False))])
 
@@ -348,9 +377,21 @@ ORACLE["csv_scan"] = "SELECT * FROM orders"
 ORACLE["csv_scan_files"] = "SELECT * FROM orders"
 ORACLE["ingest_stream"] = "SELECT * FROM events"
 ORACLE["ingest_rescue_total"] = """
-SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderkey % 29 = 0) AS rescued_rows,
+SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderkey % 29 = 0 OR o_orderkey % 31 = 0) AS rescued_rows,
        count(*) FILTER (WHERE o_orderkey % 29 = 0) AS null_totals
 FROM orders"""
+ORACLE["ingest_rescue"] = "SELECT rows, rescued_rows FROM (" + ORACLE["ingest_rescue_total"] + ")"
+ORACLE["ingest_rescue_fields"] = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 29 <> 0 THEN o_totalprice END AS o_totalprice, o_orderstatus,
+       o_orderkey % 31 = 0 AS no_date,
+       '{' || concat_ws(',', CASE WHEN o_orderkey % 29 = 0 THEN '"o_totalprice":"n/a"' END,
+                        CASE WHEN o_orderkey % 31 = 0 THEN '"o_orderdate":"soon"' END) || '}' AS _rescued_data
+FROM orders WHERE o_orderkey % 29 = 0 OR o_orderkey % 31 = 0"""
+# keys that fit 32 bits are inferred as int
+ORACLE["csv_scan_inferred"] = """SELECT * REPLACE (CAST(o_orderkey AS INTEGER) AS o_orderkey,
+    CAST(o_custkey AS INTEGER) AS o_custkey) FROM orders"""
+for _t in TABLE_ORDER:
+    ORACLE[f"ingest_{_t}"] = _with(raw_ctes(_t)) + f"SELECT * EXCLUDE (_rescued_data) FROM raw_{_t}"
 ORACLE["materialize_roundtrip"] = ORACLE["agg_revenue_by_category"]
 ORACLE["materialize_partitioned"] = ORACLE["fct_orders"]
 ORACLE["usage_monthly_trend"] = (
@@ -369,3 +410,39 @@ ORACLE["gold_refresh"] = union(
     [f"SELECT '{t}' AS {q('table')}, count(*) AS rows FROM ({ORACLE[t]})" for t in _GOLD])
 ORACLE["gold_refresh_monthly"] = ORACLE["agg_revenue_monthly"]
 ORACLE["ingest_clean_orders"] = ORACLE["clean_orders"]
+ORACLE["csv_scan_file"] = "SELECT * FROM orders"
+ORACLE["restaurant_performance_joined"] = ORACLE["agg_restaurant_performance"]
+ORACLE["file_groups_written"] = """
+SELECT 'nation' AS dataset, count(*) AS rows FROM nation UNION ALL SELECT 'customer', count(*) FROM customer
+UNION ALL SELECT 'orders', count(*) FROM orders"""
+
+
+# ------------------------------------------------- gold over the cleaned tables
+
+SILVER_OF = {"restaurants_s": "restaurants", "customers_s": "customers", "employees_s": "employees",
+             "menu_s": "menu_items", "orders_s": "orders", "details_s": "order_details",
+             "delivery_s": "delivery_performance", "inventory_s": "inventory", "daily_s": "daily_operations"}
+# capped counts are doubles; gold takes their whole part
+WHOLE = {"menu_s": ["preparation_time_mins"], "orders_s": ["delivery_time_mins"], "inventory_s": ["closing_stock"],
+         "daily_s": ["total_customers_eat_in", "total_customers_delivery", "total_orders", "delivery_orders_count",
+                     "eat_in_orders_count"]}
+
+
+def over_silver(sql: str) -> str:
+    """A gold oracle whose source CTEs are the cleaned raw tables instead of the clean adapters."""
+    for name, table in SILVER_OF.items():
+        plain = f"{name} AS ({ADAPTERS[name]})"
+        if plain not in sql:
+            continue
+        chain = []
+        for cte, body in clean_ctes(table, **CLEAN_SPEC[table]):
+            body = re.sub(rf"\b{name}\b", f"base_{name}", body)
+            chain.append(f"{f'base_{name}' if cte == name else cte} AS ({body})")
+        whole = ", ".join(f"CAST(trunc({c}) AS INTEGER) AS {c}" for c in WHOLE.get(name, []))
+        chain.append(f"{name} AS (SELECT *{f' REPLACE ({whole})' if whole else ''} FROM clean_{table})")
+        sql = sql.replace(plain, ",\n".join(chain))
+    return sql
+
+
+for _t in _GOLD:
+    ORACLE[f"gold_{_t}"] = over_silver(ORACLE[_t])

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import audit as Q
 from ..sources import adapters as A
 from ..sources.tables import Tables
-from . import silver
-from .registry import QUERIES, query
+from .registry import QUERIES, query, written_layer
 
 # Fixed values that must equal the reference's: the categorical and
 # non-negative columns its notebooks check, per raw table.
@@ -35,20 +34,23 @@ TYPE_EXPECTATIONS = {
     "events": {"props": "int", "value": "double"},
     "part": {"p_size": "int", "p_brand": "int"},
 }
-# tables compared raw (bronze) against cleaned (silver)
-RECONCILED = ("customers", "orders", "customer_reviews", "daily_operations")
+# keys of the cleaned tables, where they differ from the raw ones
+SILVER_KEYS = A.PRIMARY_KEYS | {"daily_operations": ["restaurant_id", "date"]}
 
 
 def raw_tables(t: Tables) -> dict:
     return {name: A.raw(t, name) for name in A.SOURCES}
 
 
+def silver_tables(t: Tables) -> dict:
+    """The ten written silver tables."""
+    return written_layer(t, "silver")
+
+
 def layer_pairs(t: Tables) -> dict:
-    out = {}
-    for name in RECONCILED:
-        raw = A.raw(t, name)
-        out[name] = (raw, silver.CLEANERS[name](raw))
-    return out
+    """Raw (bronze) and written silver form of each table."""
+    clean = silver_tables(t)
+    return {name: (A.raw(t, name), clean[name]) for name in A.SOURCES}
 
 
 @query("audit_overview")
@@ -79,7 +81,7 @@ def q_audit_pk_violations(spark, sf_dir):
 @query("audit_outliers")
 def q_audit_outliers(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return Q.audit_outliers({"events": t.events, "documents": t.documents})
+    return Q.audit_outliers({"events": t.events, "documents": t.documents} | raw_tables(t))
 
 
 @query("audit_value_counts")
@@ -94,8 +96,37 @@ def q_audit_whitespace(spark, sf_dir):
 
 @query("audit_whitespace_silver")
 def q_audit_whitespace_silver(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return Q.audit_whitespace({n: c for n, (_, c) in layer_pairs(t).items()})
+    return Q.audit_whitespace(silver_tables(Tables(spark, sf_dir)))
+
+
+@query("audit_overview_silver")
+def q_audit_overview_silver(spark, sf_dir):
+    return Q.audit_overview(silver_tables(Tables(spark, sf_dir)))
+
+
+@query("audit_nulls_silver")
+def q_audit_nulls_silver(spark, sf_dir):
+    return Q.audit_nulls(silver_tables(Tables(spark, sf_dir)))
+
+
+@query("audit_duplicates_silver")
+def q_audit_duplicates_silver(spark, sf_dir):
+    return Q.audit_duplicates(silver_tables(Tables(spark, sf_dir)), SILVER_KEYS)
+
+
+@query("audit_outliers_silver")
+def q_audit_outliers_silver(spark, sf_dir):
+    return Q.audit_outliers(silver_tables(Tables(spark, sf_dir)))
+
+
+@query("audit_value_counts_silver")
+def q_audit_value_counts_silver(spark, sf_dir):
+    return Q.audit_value_counts(silver_tables(Tables(spark, sf_dir)), CATEGORICAL_CHECKS)
+
+
+@query("audit_negatives_silver")
+def q_audit_negatives_silver(spark, sf_dir):
+    return Q.audit_negatives(silver_tables(Tables(spark, sf_dir)), NEGATIVE_CHECKS)
 
 
 @query("audit_casing")

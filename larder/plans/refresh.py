@@ -1,4 +1,4 @@
-"""Full gold refresh: dimensions, facts and marts written as tables in dependency order.
+"""Silver and gold refresh: cleaned tables, then dimensions, facts and marts written as tables in dependency order.
 
 Mirrors the reference's materialized-view refresh: each table is written once
 and the tables built on it read the written copy, so the order lines are joined
@@ -9,13 +9,15 @@ Facts with a month column are partitioned by it, so month filters prune files.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.files import materialize
 from . import dims, facts, marts
+from .silver import CLEANERS
 
 GOLD_TABLES = (
     "dim_date", "dim_restaurant", "dim_customer", "dim_menu_item", "dim_employee",
@@ -26,46 +28,67 @@ GOLD_TABLES = (
 )
 
 
+def _together(jobs: Mapping[str, Callable[[], DataFrame]], at_once: int = 4) -> dict[str, DataFrame]:
+    """Independent writes submitted side by side, so that a small table's job fills the gaps of a large one's."""
+    with ThreadPoolExecutor(at_once) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: r.result() for name, r in running.items()}
+
+
+def refresh_silver(raw: Mapping[str, DataFrame], target: str, exact: bool = True) -> dict[str, DataFrame]:
+    """Clean the ten raw tables, write each under ``target``/<name> and return them read back."""
+    def job(name: str) -> Callable[[], DataFrame]:
+        clean = CLEANERS[name]
+        return lambda: materialize(clean(raw[name]) if name == "restaurants" else clean(raw[name], exact), f"{target.rstrip('/')}/{name}")
+
+    return _together({name: job(name) for name in raw})
+
+
 def refresh_gold(silver: Mapping[str, DataFrame], target: str, as_of: str | None = None,
                  exact: bool = True) -> dict[str, DataFrame]:
     """Write all gold tables under ``target``/<name>; return them read back.
 
-    ``silver`` holds the ten cleaned source tables by name.
+    ``silver`` holds the ten cleaned source tables by name. The dimensions and the
+    facts that need no other fact are written side by side, then the orders, whose
+    margin comes from the written order lines, then the marts.
     """
+    s = silver
     out: dict[str, DataFrame] = {}
 
-    def put(name: str, df: DataFrame, partition_by=()) -> DataFrame:
-        out[name] = materialize(df, f"{target.rstrip('/')}/{name}", partition_by)
-        return out[name]
+    def put(tables: Mapping[str, Callable[[], DataFrame]], partitioned: Sequence[str] = ()) -> None:
+        write = lambda name, make: lambda: materialize(
+            make(), f"{target.rstrip('/')}/{name}", ["year_month"] if name in partitioned else ())
+        out.update(_together({name: write(name, make) for name, make in tables.items()}))
 
-    s = silver
-    put("dim_date", dims.dim_date_spanning(s["orders"], "order_date"))
-    put("dim_restaurant", dims.dim_restaurant(s["restaurants"], as_of))
-    put("dim_customer", dims.dim_customer(s["customers"], s["orders"], as_of))
-    put("dim_menu_item", dims.dim_menu_item(s["menu_items"]))
-    put("dim_employee", dims.dim_employee(s["employees"], as_of))
-
-    summary = facts.order_line_summary(s["order_details"], s["menu_items"])
-    put("fct_orders", facts.fct_orders(s["orders"], s["order_details"], summary), ["year_month"])
-    put("fct_order_items", facts.fct_order_items(s["order_details"], s["orders"], s["menu_items"]))
-    put("fct_delivery", facts.fct_delivery(s["delivery_performance"]))
-    put("fct_inventory_daily", facts.fct_inventory_daily(s["inventory"]), ["year_month"])
-    put("fct_daily_ops", facts.fct_daily_ops(s["daily_operations"]), ["year_month"])
-
-    put("agg_revenue_monthly", marts.agg_revenue_monthly(out["fct_orders"]))
-    put("agg_revenue_by_category", marts.agg_revenue_by_category(out["fct_order_items"]))
-    put("agg_restaurant_performance", marts.agg_restaurant_performance(out["fct_orders"]))
-    put("agg_hourly_demand", marts.agg_hourly_demand(out["fct_orders"]))
-    put("agg_customer_cohorts", marts.agg_customer_cohorts(out["dim_customer"], out["fct_orders"]))
-    put("agg_customer_lifetime", marts.agg_customer_lifetime(out["dim_customer"]))
-    put("agg_item_performance", marts.agg_item_performance(out["fct_order_items"]))
-    put("agg_menu_engineering",
-        marts.agg_menu_engineering(out["agg_item_performance"], out["dim_menu_item"], exact=exact))
-    put("agg_ops_costs", marts.agg_ops_costs(out["fct_daily_ops"]))
-    put("agg_staffing_efficiency", marts.agg_staffing_efficiency(out["dim_employee"]))
-    put("agg_delivery_by_condition", marts.agg_delivery_by_condition(out["fct_delivery"]))
-    put("agg_driver_performance", marts.agg_driver_performance(out["fct_delivery"]))
-    return out
+    put({
+        "fct_order_items": lambda: facts.fct_order_items(s["order_details"], s["orders"], s["menu_items"]),
+        "dim_customer": lambda: dims.dim_customer(s["customers"], s["orders"], as_of),
+        "dim_date": lambda: dims.dim_date_spanning(s["orders"], "order_date"),
+        "dim_restaurant": lambda: dims.dim_restaurant(s["restaurants"], as_of),
+        "dim_menu_item": lambda: dims.dim_menu_item(s["menu_items"]),
+        "dim_employee": lambda: dims.dim_employee(s["employees"], as_of),
+        "fct_delivery": lambda: facts.fct_delivery(s["delivery_performance"]),
+        "fct_inventory_daily": lambda: facts.fct_inventory_daily(s["inventory"]),
+        "fct_daily_ops": lambda: facts.fct_daily_ops(s["daily_operations"]),
+    }, ["fct_inventory_daily", "fct_daily_ops"])
+    lines = facts.order_line_summary(s["order_details"]).join(facts.order_margins(out["fct_order_items"]), "order_id", "left")
+    put({"fct_orders": lambda: facts.fct_orders(s["orders"], s["order_details"], lines)}, ["fct_orders"])
+    put({
+        "agg_item_performance": lambda: marts.agg_item_performance(out["fct_order_items"]),
+        "agg_revenue_monthly": lambda: marts.agg_revenue_monthly(out["fct_orders"]),
+        "agg_revenue_by_category": lambda: marts.agg_revenue_by_category(out["fct_order_items"]),
+        "agg_restaurant_performance": lambda: marts.agg_restaurant_performance(out["fct_orders"]),
+        "agg_hourly_demand": lambda: marts.agg_hourly_demand(out["fct_orders"]),
+        "agg_customer_cohorts": lambda: marts.agg_customer_cohorts(out["dim_customer"], out["fct_orders"]),
+        "agg_customer_lifetime": lambda: marts.agg_customer_lifetime(out["dim_customer"]),
+        "agg_ops_costs": lambda: marts.agg_ops_costs(out["fct_daily_ops"]),
+        "agg_staffing_efficiency": lambda: marts.agg_staffing_efficiency(out["dim_employee"]),
+        "agg_delivery_by_condition": lambda: marts.agg_delivery_by_condition(out["fct_delivery"]),
+        "agg_driver_performance": lambda: marts.agg_driver_performance(out["fct_delivery"]),
+    })
+    put({"agg_menu_engineering": lambda: marts.agg_menu_engineering(
+        out["agg_item_performance"], out["dim_menu_item"], exact=exact)})
+    return {name: out[name] for name in GOLD_TABLES}
 
 
 def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

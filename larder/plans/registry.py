@@ -60,6 +60,29 @@ def _customer_base(t: Tables) -> DataFrame:
     return dims.customer_recency(base, summary, AS_OF)
 
 
+# ------------------------------------------------------------ written layers
+
+_WRITTEN: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def written_layer(t: Tables, layer: str) -> dict[str, DataFrame]:
+    """The ten silver or 22 gold tables of one folder: raw -> silver -> gold, each written and read back.
+
+    Kept by application and folder, so queries over a layer read the written
+    tables like a scheduled refresh's consumers do.
+    """
+    from ..sources.files import scratch_path
+    from .refresh import refresh_gold, refresh_silver
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, layer)
+    if key not in _WRITTEN:
+        target = scratch_path(t.spark, layer)
+        if layer == "silver":
+            _WRITTEN[key] = refresh_silver({name: A.raw(t, name) for name in A.SOURCES}, target)
+        else:
+            _WRITTEN[key] = refresh_gold(written_layer(t, "silver"), target, AS_OF)
+    return _WRITTEN[key]
+
+
 # ---------------------------------------------------------------- dimensions
 
 @query("dim_date")
@@ -280,3 +303,26 @@ CLEAN_QUERY_NAMES = {
 
 for _table, _name in CLEAN_QUERY_NAMES.items():
     QUERIES[_name] = _clean_query(_table)
+
+
+# ------------------------------------------------------ gold over silver, as written
+
+from .refresh import GOLD_TABLES  # noqa: E402
+
+
+def _gold_query(name: str):
+    def run(spark, sf_dir):
+        df = written_layer(_t(spark, sf_dir), "gold")[name]
+        return df.drop("order_margin_c", "order_cost_c")
+    return run
+
+
+for _table in GOLD_TABLES:
+    QUERIES[f"gold_{_table}"] = _gold_query(_table)
+
+
+@query("restaurant_performance_joined")
+def q_restaurant_performance_joined(spark, sf_dir):
+    """Restaurant KPIs joined with the two-level margin (the margin isn't on the orders here)."""
+    t = _t(spark, sf_dir)
+    return marts.agg_restaurant_performance(fct_orders_of(t), fct_order_items_of(t))

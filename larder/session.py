@@ -2,13 +2,16 @@
 
 Library code never changes session settings; it only reads them. The one
 exception is the checkpoint directory: it is taken from the session
-(``spark.checkpoint.dir`` or the context's directory) and only set to a local
-scratch folder when the session names none, which is the local/test case.
+(``spark.checkpoint.dir`` or the context's directory). Where the session names
+none, a local session gets a scratch folder that goes with the process, and any
+other raises, since executors elsewhere couldn't see a folder of this machine.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,8 +56,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when the session names no shared folder (local runs, tests).
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="larder-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     if sc is not None:
         sc.setCheckpointDir(configured)
     return configured

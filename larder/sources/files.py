@@ -1,11 +1,13 @@
 """File sources and sinks: CSV scans, file inventory, file grouping, materialised tables.
 
 Scratch output (CSV copies, materialised tables, stream sinks) goes under the
-session's shared checkpoint folder, never a machine-local temporary path.
+session's shared checkpoint folder; a machine-local one is used by local sessions
+only (see ``session.checkpoint_dir``).
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -44,15 +46,24 @@ def csv_scan(spark: SparkSession, paths: str | Sequence[str], schema: StructType
 def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
     """Write CSV files keeping values exactly (the writer trims spaces by default)."""
     (df.write.mode("overwrite").option("header", header)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("escape", chr(34))
      .csv(path))
     return path
 
 
 # ---------------------------------------------------------- file inventory
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder and what is in it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def file_inventory(spark: SparkSession, root: str, recursive: bool = True, glob: str | None = None) -> DataFrame:
-    """name, path, size, modified for every file under ``root``.
+    """name, entry, path, size, modified for every file under ``root``.
+
+    ``entry`` is the first part of the path below ``root``: the file itself, or the
+    folder a table's part files are in.
 
     The listing is distributed by the binaryFile source; only path, length and
     modification time are selected, so file contents are never read.
@@ -61,8 +72,12 @@ def file_inventory(spark: SparkSession, root: str, recursive: bool = True, glob:
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.load(root)
+    # paths come back as URIs; the folder is told by its own path part
+    folder = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:/*(?=/)", "", root).rstrip("/").split("/")[-1]
+    below = F.substring_index(F.col("path"), f"/{folder}/", -1)
     return df.select(
         F.element_at(F.split("path", "/"), -1).alias("name"),
+        F.substring_index(below, "/", 1).alias("entry"),
         "path",
         F.col("length").alias("size"),
         F.col("modificationTime").alias("modified"),
@@ -86,12 +101,12 @@ REFERENCE_FILE_RULES = (
 )
 
 
-def classify_files(files: DataFrame, rules=REFERENCE_FILE_RULES) -> DataFrame:
-    """Add ``dataset`` from the first matching (dataset, kind, pattern) rule.
+def classify_files(files: DataFrame, rules=REFERENCE_FILE_RULES, by: str = "name") -> DataFrame:
+    """Add ``dataset`` from the first matching (dataset, kind, pattern) rule on column ``by``.
 
-    kinds: ``prefix``, ``exact`` or ``regex``; unmatched files get NULL.
+    ``by="entry"`` groups the part files of a folder-shaped table under the folder. kinds: ``prefix``, ``exact`` or ``regex``; unmatched files get NULL.
     """
-    name = F.col("name")
+    name = F.col(by)
     expr = None
     for dataset, kind, pattern in rules:
         if kind == "prefix":
@@ -106,13 +121,13 @@ def classify_files(files: DataFrame, rules=REFERENCE_FILE_RULES) -> DataFrame:
     return files.withColumn("dataset", expr if expr is not None else F.lit(None).cast("string"))
 
 
-def file_groups(files: DataFrame, rules=REFERENCE_FILE_RULES) -> DataFrame:
+def file_groups(files: DataFrame, rules=REFERENCE_FILE_RULES, by: str = "name") -> DataFrame:
     """dataset -> number of files, total bytes, first and last path (sorted).
 
     The per-dataset path list itself stays distributed (``classify_files``);
     a dataset can hold millions of files, so it is not collected into one row.
     """
-    return classify_files(files, rules).where(F.col("dataset").isNotNull()).groupBy("dataset").agg(
+    return classify_files(files, rules, by).where(F.col("dataset").isNotNull()).groupBy("dataset").agg(
         F.expr("count(1) AS files"), F.expr("sum(size) AS total_bytes"),
         F.expr("min(path) AS first_path"), F.expr("max(path) AS last_path"))
 

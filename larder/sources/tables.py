@@ -37,6 +37,3 @@ class Tables:
             raise AttributeError(name)
         return self[name]
 
-
-def load(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: table(spark, sf_dir, n) for n in names}
