@@ -140,22 +140,29 @@ def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         "pk_total", "pk_distinct", "pk_total - pk_distinct AS pk_dups")
 
 
+def table_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: total_rows, dup_rows, dup_pct, pk_dups (0 without keys).
+
+    The key's duplicates come from the counted distinct rows, so the table is
+    read and moved once.
+    """
+    rows = df.groupBy(*df.columns).agg(F.expr("count(1) AS _n"))
+    by_key = rows.groupBy(*keys).agg(F.expr("sum(_n) AS _n"), F.expr("count(1) AS _d")) if keys else rows.selectExpr("_n", "1L AS _d")
+    pk_dups = "total_rows - count(1)" if keys else "0L"
+    total = "CAST(coalesce(sum(_n), 0) AS BIGINT)"
+    return _aggs(by_key, f"{total} AS total_rows", "CAST(coalesce(sum(_d), 0) AS BIGINT) AS distinct_rows",
+                 f"{pk_dups.replace('total_rows', total)} AS pk_dups").selectExpr(
+        "total_rows", "total_rows - distinct_rows AS dup_rows",
+        f"{pct_sql('total_rows - distinct_rows', 'total_rows')} AS dup_pct", "pk_dups")
+
+
 def audit_duplicates(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
     """table, total_rows, dup_rows, dup_pct, primary_key, pk_dups."""
     frames = []
     for name, df in tables.items():
         pk = list(keys.get(name, []))
-        d = duplicate_rows(df)
-        if pk:
-            # two one-row results combined by union + aggregate (no join): both
-            # aggregations run as parallel branches of one job
-            p = pk_violations(df, pk).select("pk_dups")
-            d = d.unionByName(p, allowMissingColumns=True).agg(
-                *[F.expr(f"max({c}) AS {c}") for c in ("total_rows", "dup_rows", "dup_pct", "pk_dups")])
-        else:
-            d = d.selectExpr("*", "CAST(0 AS BIGINT) AS pk_dups")
-        frames.append(d.selectExpr(f"{_lit(name)} AS table", "total_rows", "dup_rows", "dup_pct",
-                                   f"{_lit(', '.join(pk))} AS primary_key", "pk_dups"))
+        frames.append(table_duplicates(df, pk).selectExpr(
+            f"{_lit(name)} AS table", "total_rows", "dup_rows", "dup_pct", f"{_lit(', '.join(pk))} AS primary_key", "pk_dups"))
     return _union(frames).orderBy(F.col("dup_rows").desc())
 
 
