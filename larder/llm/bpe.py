@@ -68,8 +68,8 @@ class ByteBPE:
 
     #: Longer pieces are merged one by one with a heap: a matrix would need a round per merge of the whole row.
     LONG = 256
-    #: Pieces kept with their ids in one Python worker.
-    CACHE = 1_000_000
+    #: Pieces kept with their ids in one Python worker; later ones are encoded batch by batch.
+    CACHE = 250_000
 
     def __init__(self, rank_file: str, pattern: str):
         with open(rank_file, "rb") as f:
@@ -86,9 +86,6 @@ class ByteBPE:
         pairs = [(a, b, rank) for token, rank in self.ranks.items() for i in range(1, len(token))
                  if (a := self.ranks.get(token[:i])) is not None and (b := self.ranks.get(token[i:])) is not None]
         self.pairs = PairTable(*(np.array(c, dtype=np.int32) for c in zip(*pairs)))
-        self.forget()
-
-    def forget(self) -> None:
         self.index: dict[str, int] = {}
         self.flat, self.begin, self.count = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
@@ -166,8 +163,6 @@ class ByteBPE:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, counts): the ids of all texts in a row and how many each text has."""
-        if len(self.index) > self.CACHE:
-            self.forget()
         words = [self.split(t) if t else [] for t in texts]
         fresh = list(set().union(*words) - self.index.keys())
         if fresh:
@@ -182,6 +177,12 @@ class ByteBPE:
         ends = np.cumsum(count)
         flat = self.flat[np.repeat(self.begin[number] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
         edges = np.concatenate([[0], ends])[np.cumsum([0, *map(len, words)])]
+        if len(self.index) > self.CACHE:  # new pieces are the last
+            for w in fresh[max(0, self.CACHE - len(self.index) + len(fresh)):]:
+                del self.index[w]
+            kept = len(self.index)
+            self.begin, self.count = self.begin[:kept].copy(), self.count[:kept].copy()
+            self.flat = self.flat[:int(self.begin[-1] + self.count[-1]) if kept else 0].copy()
         return flat, np.diff(edges)
 
     # ------------------------------------------------------------- decoding
@@ -212,7 +213,7 @@ def encode(df: DataFrame, doc_id: str, text: str, rank_file: str, pattern: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(rank_file, pattern)
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, 2 << 20):
             flat, count = bpe.encode(batch.column("text").to_pylist())
             ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -25,6 +26,16 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks, beside the JVM's heap."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
+_libc = ctypes.CDLL(None)
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each slice holds about ``max_bytes`` (one row at least)."""
     for batch in batches:
@@ -34,6 +45,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], max_bytes: int = 4 << 20) ->
         step = max(1, min(n, int(n * max_bytes / max(1, batch.nbytes))))
         for i in range(0, n, step):
             yield batch.slice(i, step)
+    give_back()
 
 
 def numbered(df: DataFrame, order: list[str], pos: str, total: str) -> DataFrame:
@@ -72,11 +84,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             both = both.where("v < u")
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         joined = both.join(low, "u")
-        if large:
-            out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        else:
-            out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-                low.select("u", F.col("m").alias("v")))
+        if large:  # repeated pairs go in the small star after it
+            return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+        out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         return out.where("u != v").distinct()
 
     last = None

@@ -13,9 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
+
 #: Byte classes: lower, upper, digit, space, line feed, sentence marks, other marks, beyond ASCII.
 _CLASS = np.array([7 if b >= 128 else 0 if chr(b).islower() else 1 if chr(b).isupper() else 2 if chr(b).isdigit()
                    else 3 if b == 32 else 4 if b == 10 else 5 if chr(b) in ".,;:!?" else 6 for b in range(256)])
@@ -134,10 +137,11 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 def score(text: Column, model: Model) -> Column:
     """Score of a text column, 0 to 1, higher for better text; null and empty texts are scored as empty."""
-    @F.pandas_udf("double")
-    def of(texts: pd.Series) -> pd.Series:
-        out = [model.score(feature_matrix(texts.iloc[i:i + 500])) for i in range(0, len(texts), 500)]
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+    @F.arrow_udf("double")
+    def of(texts: pa.Array) -> pa.Array:
+        out = [model.score(feature_matrix(texts.slice(i, 500).to_pylist())) for i in range(0, len(texts), 500)]
+        give_back()
+        return pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
 
     return of(text.cast("string"))
 

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -48,9 +49,10 @@ def test_long_pieces_merge_alike(reference):
         assert codec.encode([text])[0].tolist() == reference.encode_ordinary(text)
 
 
-def test_forgetting_known_pieces_changes_nothing(reference):
+@pytest.mark.parametrize("kept", [0, 3, 40])
+def test_pieces_that_are_not_kept_change_nothing(reference, kept):
     codec = bpe.ByteBPE(RANKS, P.PATTERN)
-    codec.CACHE = 3
+    codec.CACHE = kept
     for text in ODD * 2:
         assert codec.encode([text, text])[0].tolist() == reference.encode_ordinary(text) * 2
 
@@ -74,10 +76,11 @@ def test_null_ids_decode_to_nothing(spark):
 
 def test_word_pieces_equal_library():
     enc, lib = token_files.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
-    enc.CACHE = 50  # forgets now and then
-    for t in ODD + ["Word, word. WORD! word; x:y 3.5, (a) 'q'", None]:
+    enc.CACHE = 50  # later pieces aren't kept
+    for t in ODD + ["Word, word. WORD! word; x:y 3.5, (a) 'q' <|ENDOFTEXT|>. ...! é!? É. _. a_. ½! ². DON'T. it'S!", None]:
         want = lib.encode(t or "", add_special_tokens=False).ids + [1]
-        assert np.frombuffer(enc.encode([t], 1, "<u2")[0], "<u2").tolist() == want
+        flat, count = enc.encode(pa.array([t, None, t], pa.string()), 1, "<u2")
+        assert flat.tolist() == [*want, 1, *want] and count.tolist() == [len(want), 1, len(want)]
 
 
 def test_files_read_back(docs_of, tmp_path):
