@@ -85,7 +85,7 @@ def collision(similarity: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _signed(texts: DataFrame, n: int) -> DataFrame:
-    """(key, sig) of each distinct text with words."""
+    """(key, size, sig) of each distinct text with words; size counts its distinct shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
         for batch in text_batches(batches):
@@ -95,10 +95,11 @@ def _signed(texts: DataFrame, n: int) -> DataFrame:
                 continue
             sig = signatures([found[i] for i in some]).view(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, sig.size + 1, sig.shape[1], dtype=np.int32)), pa.array(sig.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(some)), lists], ["key", "sig"])
+            size = pa.array([len(np.unique(found[i])) for i in some], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(some)), size, lists], ["key", "size", "sig"])
 
-    signed = texts.select("key", "text").mapInArrow(run, "key binary, sig array<int>")
-    return signed.groupBy("key").agg(F.first("sig").alias("sig"))
+    signed = texts.select("key", "text").mapInArrow(run, "key binary, size long, sig array<int>")
+    return signed.groupBy("key").agg(F.first("size").alias("size"), F.first("sig").alias("sig"))
 
 
 def _ties(signed: DataFrame, depth: int) -> DataFrame:
@@ -190,44 +191,48 @@ def compare_blocks(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: f
     return out
 
 
-def _verified(members: DataFrame, n: int, threshold: float, block: int) -> DataFrame:
-    """(key, root, links) of linked texts: ``links`` documents linked in one comparison, ``root`` a text linked to key's part.
+def _dealt(members: DataFrame, threshold: float, block: int) -> DataFrame:
+    """``members`` (comp, key, copies, low, size) with ``tasks``, the comparisons each takes part in.
 
-    ``members``: (comp, key, copies, text). Set sizes of a link differ by the
-    factor 1 / threshold at most, so a group is cut into size classes of
-    that width, each into blocks, and each two blocks of equal or next classes
-    are compared in a run of rows of their own.
+    Set sizes of a link differ by the factor 1 / threshold at most, so a group is
+    cut into size classes of that width, each into blocks, and each two blocks
+    of equal or next classes are a task (level, block, other level, other block).
     """
     width = float(np.log(1 / threshold))
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(n)
-        for batch in text_batches(batches):
-            sets = [np.unique(s) for s in shingler(batch.column("text").to_pylist())]
-            size = np.array([len(s) for s in sets])
-            ends = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
-            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets).view(np.int64)))
-            level = np.floor(np.log(np.maximum(size, 1)) / width + 1e-9).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("comp", "key", "copies")] + [pa.array(level), lists],
-                                             ["comp", "key", "copies", "level", "shingles"])
-
-    rows = stored(members.select("comp", "key", "copies", "text").mapInArrow(
-        shingled, "comp binary, key binary, copies long, level long, shingles array<long>"))
-    count = rows.groupBy("comp", "level").agg(F.ceil(F.countDistinct("key") / F.lit(block)).alias("blocks"))
+    rows = members.withColumn("level", F.floor(F.log("size") / F.lit(width) + F.lit(1e-9)))
+    count = rows.groupBy("comp", "level").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("blocks"))
     near = lambda d, name: count.select("comp", (F.col("level") + d).alias("level"), F.col("blocks").alias(name))
-    own = F.expr("pmod(xxhash64(key), blocks)")
-    placed = (rows.dropDuplicates(["comp", "key"]).join(near(0, "blocks"), ["comp", "level"])
+    placed = (rows.join(near(0, "blocks"), ["comp", "level"])
               .join(near(-1, "above"), ["comp", "level"], "left").join(near(1, "below"), ["comp", "level"], "left")
-              .fillna(0, ["above", "below"]).withColumn("own", own))
-    # (level, block, other level, other block); side 0 is the first of the two
-    tasks = F.expr("""concat(
+              .fillna(0, ["above", "below"]).withColumn("own", F.expr("pmod(xxhash64(key), blocks)")))
+    # side 0 is the first of the two blocks
+    return placed.withColumn("tasks", F.expr("""concat(
         transform(sequence(0L, blocks - 1), x -> struct(level AS l, least(own, x) AS i, level AS m, greatest(own, x) AS j,
                   IF(own <= x, 0, 1) AS side)),
         IF(above > 0, transform(sequence(0L, above - 1), x -> struct(level AS l, own AS i, level + 1 AS m, x AS j, 0 AS side)),
            array()),
         IF(below > 0, transform(sequence(0L, below - 1), x -> struct(level - 1 AS l, x AS i, level AS m, own AS j, 1 AS side)),
-           array()))""")
-    dealt = placed.select("comp", "key", "copies", "shingles", F.explode(tasks).alias("t"))
+           array()))""")).select("comp", "key", "copies", "low", "tasks")
+
+
+def _verified(members: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(key, root, links) of linked texts: ``links`` documents linked in one task, ``root`` a text linked to key's part.
+
+    ``members``: (comp, key, copies, tasks, text). Shingle sets are moved once, to their tasks.
+    """
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(n)
+        for batch in text_batches(batches):
+            sets = [np.unique(s) for s in shingler(batch.column("text").to_pylist())]
+            ends = pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("comp", "key", "copies", "tasks")] + [lists],
+                                             ["comp", "key", "copies", "tasks", "shingles"])
+
+    kind = members.schema["tasks"].dataType.simpleString()
+    sets = members.select("comp", "key", "copies", "tasks", "text").mapInArrow(
+        shingled, f"comp binary, key binary, copies long, tasks {kind}, shingles array<long>")
+    dealt = sets.select("comp", "key", "copies", "shingles", F.explode("tasks").alias("t"))
     run = (dealt.select("comp", "t.l", "t.i", "t.m", "t.j", "t.side", "key", "copies", "shingles")
            .repartition("comp", "l", "i", "m", "j").sortWithinPartitions("comp", "l", "i", "m", "j", "side", "key"))
 
@@ -263,6 +268,8 @@ def _verified(members: DataFrame, n: int, threshold: float, block: int) -> DataF
                 if (comp, l, i, m, j) != task:
                     finish()
                     task, held = (comp, l, i, m, j), []
+                elif held and held[-1][:2] == (side, key):
+                    continue  # a repeated row
                 held.append((side, key, copies, np.array(values[ends[k]:ends[k + 1]])))
             if len(out) > 10_000:
                 yield rows_out()
@@ -290,12 +297,15 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "text IS NOT NULL AND text != ''").withColumn("key", F.unhex(F.md5(F.encode("text", "UTF-8"))))
     ids = stored(rows.groupBy("key", "id").agg(F.count(F.lit(1)).alias("repeats")))
     texts = ids.groupBy("key").agg(F.min("id").alias("low"), F.sum("repeats").alias("copies"))
-    groups, _ = candidate_groups(stored(_signed(rows, words)), threshold, target)
-    members = groups.select(F.col("node").alias("key"), F.col("component").alias("comp")).join(texts, "key").alias("m")
+    signed = stored(_signed(rows, words))
+    groups, _ = candidate_groups(signed, threshold, target)
+    members = groups.select(F.col("node").alias("key"), F.col("component").alias("comp")).join(texts, "key").join(
+        signed.select("key", "size"), "key")
+    dealt = stored(_dealt(members, threshold, block)).alias("m")
     # by key and id, so the copies of a text neither meet in one task nor are compared
-    whole = rows.alias("r").join(members, (F.col("r.key") == F.col("m.key")) & F.col("r.id").eqNullSafe(F.col("m.low"))).select(
-        "m.comp", "m.key", "m.copies", "r.text")
-    links = stored(_verified(whole, words, threshold, block))
+    whole = rows.alias("r").join(dealt, (F.col("r.key") == F.col("m.key")) & F.col("r.id").eqNullSafe(F.col("m.low"))).select(
+        "m.comp", "m.key", "m.copies", "m.tasks", "r.text")
+    links = stored(_verified(whole, words, threshold))
     classes = connected_components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("key").agg(F.sum("links").alias("links"))
     known = (texts.join(classes.select(F.col("node").alias("key"), "component"), "key", "left").join(counts, "key", "left")

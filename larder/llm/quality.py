@@ -9,15 +9,15 @@ share of it, kept from falling below zero.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back
+from .common import give_back, text_batches
 
 #: Byte classes: lower, upper, digit, space, line feed, sentence marks, other marks, beyond ASCII.
 _CLASS = np.array([7 if b >= 128 else 0 if chr(b).islower() else 1 if chr(b).isupper() else 2 if chr(b).isdigit()
@@ -124,15 +124,20 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     # bounded by the two limits
     sample = rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"])
 
-    def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"], "y": pdf["y"], "x": list(feature_matrix(pdf["text"]))})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches):
+            x = feature_matrix(batch.column("text").to_pylist())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, N_FEATURES, dtype=np.int32)), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), lists], ["id", "y", "x"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    got = sample.mapInPandas(run, f"id {kind}, y int, x array<float>").toPandas().sort_values("id")
-    x = np.stack(got["x"].to_list()) if len(got) else np.zeros((0, N_FEATURES), np.float32)
-    y = got["y"].to_numpy(dtype=int)
-    return fit(x[y == 1], x[y == 0], prior)
+    got = sample.select("id", "y", "text").mapInArrow(run, f"id {kind}, y int, x array<float>").toArrow().combine_chunks().sort_by("id")
+    x = got["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
+    y = got["y"].to_numpy()
+    model = fit(x[y == 1], x[y == 0], prior)
+    del got, x, y
+    give_back()
+    return model
 
 
 def score(text: Column, model: Model) -> Column:
