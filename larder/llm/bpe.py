@@ -69,7 +69,7 @@ class ByteBPE:
     #: Longer pieces are merged one by one with a heap: a matrix would need a round per merge of the whole row.
     LONG = 256
     #: Pieces kept with their ids in one Python worker; later ones are encoded batch by batch.
-    CACHE = 250_000
+    CACHE = 150_000
 
     def __init__(self, rank_file: str, pattern: str):
         with open(rank_file, "rb") as f:
@@ -213,7 +213,7 @@ def encode(df: DataFrame, doc_id: str, text: str, rank_file: str, pattern: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(rank_file, pattern)
-        for batch in text_batches(batches, 2 << 20):
+        for batch in text_batches(batches, 1 << 20):
             flat, count = bpe.encode(batch.column("text").to_pylist())
             ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
@@ -229,7 +229,7 @@ def decode(df: DataFrame, doc_id: str, ids: str, rank_file: str, pattern: str) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(rank_file, pattern)
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, 1 << 19):  # an index of 64 bits for each byte decoded
             lists = batch.column("ids")
             flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             count = np.diff(lists.offsets.to_numpy()) if not lists.null_count else np.array(

@@ -36,7 +36,7 @@ def give_back() -> None:
 _libc = ctypes.CDLL(None)
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def text_batches(batches: Iterator[pa.RecordBatch], max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each slice holds about ``max_bytes`` (one row at least)."""
     for batch in batches:
         n = batch.num_rows

@@ -35,7 +35,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 class Shingler:
     """Texts -> 64-bit hashes of their runs of ``n`` words (shorter texts: one run of all words)."""
 
-    LIMIT = 250_000
+    LIMIT = 150_000
 
     def __init__(self, n: int):
         self.n, self.known = n, {}

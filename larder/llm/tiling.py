@@ -29,7 +29,7 @@ _BITS = 26  # of the seed filter: 8 MB
 class _Tokens:
     """Texts -> 64-bit token hashes; hashes of known words are kept."""
 
-    LIMIT = 250_000
+    LIMIT = 150_000
 
     def __init__(self) -> None:
         self.known: dict[str, int] = {}
