@@ -18,6 +18,7 @@ from . import (
     line_dedup,
     ngram_join,
     nn_descent,
+    oracle,
     quality,
     suffix_dedup,
     tiling,
@@ -72,7 +73,7 @@ def op10(spark, sf_dir):
     return tiling.document_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op6_ngram_jaccard")
+@query("op6_ngram_jaccard", oracle.ngram_classes_sql())
 def op6(spark, sf_dir):
     return ngram_join.document_classes(table(spark, sf_dir, "documents"))
 
@@ -82,7 +83,7 @@ def op9(spark, sf_dir):
     return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
 
 
-@query("op1_nn_descent")
+@query("op1_nn_descent", oracle.near_vectors_sql())
 def op1(spark, sf_dir):
     return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
 
