@@ -103,8 +103,8 @@ def union(parts: list[str]) -> str:
 
 
 def spark_round(x: str, k: int) -> str:
-    """Spark's round() on a double: HALF_UP on its decimal form."""
-    return f"CAST(round(CAST({x} AS DECIMAL(38,12)), {k}) AS DOUBLE)"
+    """Spark's round() on a double: HALF_UP on its shortest decimal form (0.07499999999999996 gives 0.07)."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {k}) AS DOUBLE)"
 
 
 def all_raw() -> list[tuple[str, str]]:
