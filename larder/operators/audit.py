@@ -183,18 +183,18 @@ def table_outliers(df: DataFrame, name: str, factor: float = 1.5, exact: bool =
             [], "table string, column string, q1 double, q3 double, lower_bound double, "
                 "upper_bound double, outlier_count bigint, outlier_pct double")
     stacked = _stack_values(df, cols, "double")
-    distinct = stacked.select("column", "value").distinct().groupBy("column").agg(F.expr("count(1) AS _distinct"))
     qt = quantile_table(df, cols, [0.25, 0.75], ["q1", "q3"], exact=exact)
     k = repr(float(factor)) + "D"
     bounds = qt.selectExpr("column", "q1", "q3", f"q1 - {k} * (q3 - q1) AS lo", f"q3 + {k} * (q3 - q1) AS hi")
-    # one row per numeric column: bounded by the schema width
-    # every row appears once per column in ``stacked`` (NULLs included), so the
-    # same pass also yields the table's row count
-    counts = stacked.join(F.broadcast(bounds), "column").groupBy("column").agg(
-        F.expr("count_if(value < lo OR value > hi) AS outlier_count"), F.expr("count(1) AS _total"))
-    rep = (bounds.join(counts, "column").join(distinct, "column")
-           .where(f"_distinct >= {int(min_distinct)} AND _distinct <= _total * {float(max_distinct_share)!r}D "
-                  f"AND outlier_count > 0"))
+    # every row appears once per column in ``stacked`` (NULLs included), so the counted
+    # values yield the distinct values, the outliers and the table's row count at once;
+    # the bounds are one row per numeric column: bounded by the schema width
+    values = stacked.groupBy("column", "value").agg(F.expr("count(1) AS _n"))
+    counts = values.join(F.broadcast(bounds), "column").groupBy("column", "q1", "q3", "lo", "hi").agg(
+        F.expr("coalesce(sum(CASE WHEN value < lo OR value > hi THEN _n END), 0L) AS outlier_count"),
+        F.expr("sum(_n) AS _total"), F.expr("count(1) AS _distinct"))
+    rep = counts.where(f"_distinct >= {int(min_distinct)} AND _distinct <= _total * {float(max_distinct_share)!r}D "
+                       f"AND outlier_count > 0")
     return rep.selectExpr(
         f"{_lit(name)} AS table", "column", "round(q1, 2) AS q1", "round(q3, 2) AS q3",
         "round(lo, 2) AS lower_bound", "round(hi, 2) AS upper_bound", "outlier_count",
