@@ -17,7 +17,6 @@ next to each other whose common prefix has ``WINDOW`` bytes are repeats.
 
 from __future__ import annotations
 
-import hashlib
 import os
 import tempfile
 from collections.abc import Iterator
