@@ -2,10 +2,12 @@
 
 A neighbour graph starts from runs of vectors that random hyperplanes sort next
 to each other, and is refined by comparing the neighbours of each vector with
-one another. Edges at the threshold are the links. Vectors whose neighbour list
-is full of links get an enlarged list: all vectors connected with them, compared
-in blocks of bounded size. Recall is audited against brute force for a bounded
-sample of vectors; below the target another forest is added and refined.
+one another. Edges at the threshold are the links. A neighbour list full of links
+can hide further ones, so components that hold such lists are first compared with one
+another where their balls come near enough, and then all vectors of a component
+are, in blocks of bounded size. Recall is audited against brute force for a bounded
+sample of vectors; below the target another forest is added and refined, and
+when that does not reach it, all vectors of a label are compared in blocks.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
 from .common import connected_components, stored
+from .ngram_join import _spans
 
 RUN = 64  # rows of half a run
 BITS = 32  # hyperplanes of a tree
@@ -179,32 +182,39 @@ def refine(lists: DataFrame, nodes: DataFrame, dtype: str, k: int, rounds: int,
     return lists
 
 
-def _blocks(members: DataFrame, dtype: str, threshold: float, block: int) -> DataFrame:
-    """(node, links) of (comp, node, copies, vec): rows linked within the component, all compared in blocks."""
-    count = members.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("blocks"))
-    tasks = F.expr("transform(sequence(0L, blocks - 1), x -> struct(least(own, x) AS i, greatest(own, x) AS j, IF(own <= x, 0, 1) AS side))")
-    rows = (members.join(count, "comp").withColumn("own", F.expr("pmod(xxhash64(node), blocks)"))
-            .select("comp", "node", "copies", "vec", F.explode(tasks).alias("t"))
-            .select("comp", "t.i", "t.j", "t.side", "node", "copies", "vec")
-            .repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "side", "node"))
+def _compared(rows: DataFrame, dtype: str, threshold: float) -> DataFrame:
+    """(node, links, root) of the tasks (comp, i, j): ``links`` rows linked in one task, ``root`` a vector linked to node's part.
+
+    Sides 0 and 1 of a task are compared with one another; where i = j all its rows are.
+    """
+    rows = rows.select("comp", "i", "j", "side", "node", "copies", "vec").repartition("comp", "i", "j").sortWithinPartitions(
+        "comp", "i", "j", "side", "node")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at, out = [], None, [[], []]
+        held, at, out = [], None, [[], [], []]
 
         def finish():
-            if not held:
+            if len(held) < 2:
                 return
             node, copies = np.array([h[1] for h in held]), np.array([h[2] for h in held], dtype=np.int64)
             x = unit_rows([h[3] for h in held], dtype)
             side = np.array([h[0] for h in held])
-            hit = x @ x.T >= threshold
-            if at[1] == at[2]:
-                np.fill_diagonal(hit, False)
-            else:
+            hit = np.empty((len(x), len(x)), bool)
+            for c in range(0, len(x), 512):
+                hit[c:c + 512] = x[c:c + 512] @ x.T >= threshold
+            hit = np.triu(hit, 1)
+            if at[1] != at[2]:
                 hit &= side[:, None] != side[None, :]
-            links = hit @ copies
-            out[0].extend(node[links > 0].tolist())
-            out[1].extend(links[links > 0].tolist())
+            hit |= hit.T
+            some = np.flatnonzero(hit.any(axis=0))
+            if not len(some):
+                return
+            hit = hit[np.ix_(some, some)]
+            for c, v in zip(out, (node[some], hit @ copies[some], node[some[_spans(hit)]])):
+                c.append(v)
+
+        def rows_out():
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], pa.int64()) for c in out], ["node", "links", "root"])
 
         for batch in batches:
             for comp, i, j, *row in zip(*(batch.column(c).to_pylist() for c in ("comp", "i", "j", "side", "node", "copies", "vec"))):
@@ -212,10 +222,114 @@ def _blocks(members: DataFrame, dtype: str, threshold: float, block: int) -> Dat
                     finish()
                     held, at = [], (comp, i, j)
                 held.append(row)
+            if len(out[0]) > 1000:
+                yield rows_out()
+                out = [[], [], []]
+        finish()
+        yield rows_out()
+
+    return rows.mapInArrow(compared, "node long, links long, root long")
+
+
+_TASKS = "transform(sequence(0L, blocks - 1), x -> struct(least(own, x) AS i, greatest(own, x) AS j, IF(own <= x, 0, 1) AS side))"
+
+
+def _blocks(members: DataFrame, dtype: str, threshold: float, block: int) -> DataFrame:
+    """(node, links, root) of (comp, node, copies, vec): links within the component, all compared in blocks."""
+    count = members.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("blocks"))
+    rows = (members.join(count, "comp").withColumn("own", F.expr("pmod(xxhash64(node), blocks)"))
+            .select("comp", "node", "copies", "vec", F.explode(F.expr(_TASKS)).alias("t"))
+            .select("comp", "t.i", "t.j", "t.side", "node", "copies", "vec"))
+    return _compared(rows, dtype, threshold)
+
+
+def _balls(placed: DataFrame, dtype: str) -> DataFrame:
+    """(label, dim, comp, part, centre, radius): a ball of unit vectors around each part, its radius as an angle."""
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at, out = [], None, []
+
+        def finish():
+            if held:
+                x = unit_rows(held, dtype)
+                centre = x.mean(axis=0)
+                norm = np.linalg.norm(centre)
+                centre = centre / norm if norm > 1e-9 else x[0]
+                out.append((*at, centre.tobytes(), float(np.arccos(np.clip(x @ centre, -1, 1)).max())))
+
+        for batch in batches:
+            for *key, vec in zip(*(batch.column(c).to_pylist() for c in ("label", "dim", "comp", "part", "vec"))):
+                if key != at:
+                    finish()
+                    held, at = [], key
+                held.append(vec)
         finish()
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["node", "links"])
+        cols = list(zip(*out)) if out else [()] * 6
+        kinds = (*[pa.int64()] * 4, pa.binary(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["label", "dim", "comp", "part", "centre", "radius"])
+
+    key = ["label", "dim", "comp", "part"]
+    return placed.select(*key, "vec").repartition(*key).sortWithinPartitions(*key).mapInArrow(
+        around, "label long, dim long, comp long, part long, centre binary, radius double")
+
+
+def _near_balls(balls: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(comp, part, comp2, part2): balls of different components that can hold linked vectors."""
+    count = balls.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("blocks"))
+    task = ["label", "dim", "i", "j"]
+    rows = (balls.join(count, ["label", "dim"]).withColumn("own", F.expr("pmod(xxhash64(comp, part), blocks)"))
+            .select("*", F.explode(F.expr(_TASKS)).alias("t")).select("label", "dim", "t.i", "t.j", "t.side", "comp", "part", "centre", "radius")
+            .repartition(*task).sortWithinPartitions(*task, "side", "comp", "part"))
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = [], None
 
-    return rows.mapInArrow(compared, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+        def finish():
+            if len(held) < 2:
+                return
+            side, comp, part, radius = (np.array([h[c] for h in held]) for c in (0, 1, 2, 4))
+            x = np.frombuffer(b"".join(h[3] for h in held)).reshape(len(held), -1)
+            # a little wider, so that rounding can only add candidates
+            near = np.arccos(np.clip(x @ x.T, -1, 1)) <= radius[:, None] + radius[None, :] + np.arccos(threshold) + 1e-6
+            near &= comp[:, None] != comp[None, :]
+            if at[2] != at[3]:
+                near &= side[:, None] != side[None, :]
+            a, b = np.nonzero(np.triu(near, 1))
+            for i in range(0, len(a), 50_000):
+                cols = (comp[a[i:i + 50_000]], part[a[i:i + 50_000]], comp[b[i:i + 50_000]], part[b[i:i + 50_000]])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["comp", "part", "comp2", "part2"])
+
+        for batch in batches:
+            for *key, side, comp, part, centre, radius in zip(*(batch.column(c).to_pylist() for c in (
+                    *task, "side", "comp", "part", "centre", "radius"))):
+                if key != at:
+                    yield from finish()
+                    held, at = [], key
+                held.append((side, comp, part, centre, radius))
+        yield from finish()
+
+    return rows.mapInArrow(met, "comp long, part long, comp2 long, part2 long")
+
+
+def bridges(full: DataFrame, nodes: DataFrame, dtype: str, threshold: float, block: int) -> DataFrame:
+    """(a, b): links that join the components of vectors (node, comp) whose lists are full of links.
+
+    A vector whose list is not full lists all of its links, so only links
+    between two full lists can be missing between components. Their vectors are cut
+    into parts, and parts whose balls come nearer than the threshold are compared.
+    """
+    own = full.join(nodes.select("node", "label", "dim"), "node")
+    # a label with one such component has nothing to join
+    several = own.groupBy("label", "dim").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("label", "dim")
+    count = full.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("parts"))
+    placed = stored(own.join(several, ["label", "dim"]).join(count, "comp").withColumn("part", F.expr("pmod(xxhash64(node), parts)"))
+                    .select("label", "dim", "comp", "part", "node"))
+    balls = stored(_balls(placed.join(nodes.select("node", "vec"), "node"), dtype))
+    pairs = stored(_near_balls(balls, threshold, block)).withColumn("task", F.monotonically_increasing_id())
+    sides = pairs.select("task", F.lit(0).alias("side"), "comp", "part").union(
+        pairs.select("task", F.lit(1), F.col("comp2"), F.col("part2")))
+    rows = (sides.join(placed, ["comp", "part"]).join(nodes.select("node", "copies", "vec"), "node")
+            .select(F.col("task").alias("comp"), F.lit(0).alias("i"), F.lit(1).alias("j"), "side", "node", "copies", "vec"))
+    return _compared(rows, dtype, threshold).select(F.col("node").alias("a"), F.col("root").alias("b")).where("a != b").distinct()
 
 
 def audit(nodes: DataFrame, degrees: DataFrame, dtype: str, threshold: float, sample: int) -> float:
@@ -301,9 +415,13 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
             F.least("node", "near").alias("a"), F.greatest("node", "near").alias("b")).distinct())
         components = stored(connected_components(edges))
         full = lists.where((F.size("nears") >= k) & (F.col("nears")[k - 1]["sim"] >= threshold)).select("node")
+        more = stored(bridges(components.join(full, "node").select("node", F.col("component").alias("comp")), nodes, dtype, threshold, block))
+        if not more.isEmpty():
+            components = stored(connected_components(edges.union(more)))
         crowded = components.join(full, "node").select("component").distinct()
         inside = components.join(crowded, "component").select("node", F.col("component").alias("comp"))
-        many = stored(_blocks(inside.join(nodes, "node").select("comp", "node", "copies", "vec"), dtype, threshold, block))
+        many = stored(_blocks(inside.join(nodes, "node").select("comp", "node", "copies", "vec"), dtype, threshold, block)
+                      .groupBy("node").agg(F.sum("links").alias("links")))
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         few = (both.join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node"))
                .agg(F.sum("copies").alias("links")).join(inside.select("node"), "node", "left_anti"))

@@ -66,6 +66,22 @@ def test_no_vectors(spark):
     assert nn_descent.near_duplicates(vectors(spark, [])).count() == 0
 
 
+def test_full_lists_do_not_hide_links_across_groups(spark):
+    rng = np.random.default_rng(8)
+    dim, groups, size = 64, 6, 30
+    basis = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
+    x = []
+    for g in range(groups):  # cosine about 0.985 across groups, 0.9997 inside
+        centre = basis[0] + 0.1225 * basis[1 + g]
+        x += [centre + 0.002 * rng.standard_normal(dim) for _ in range(size)]
+    x = np.array(x, np.float32)
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    hit = u @ u.T >= 0.98
+    assert hit.all()
+    got = nn_descent.near_duplicates(vectors(spark, [(i, v.tolist(), 1) for i, v in enumerate(x)])).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(groups * size - 1, 0)}
+
+
 # ---------------------------------------------------------------- n-gram join
 
 def shingles(text, n=5):
