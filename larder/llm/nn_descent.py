@@ -333,8 +333,10 @@ def bridges(full: DataFrame, nodes: DataFrame, dtype: str, threshold: float, blo
 
 
 def audit(nodes: DataFrame, degrees: DataFrame, dtype: str, threshold: float, sample: int) -> float:
-    """Share of the links of ``sample`` vectors, found by brute force over all vectors, that ``degrees`` counts.
+    """Mean share of a vector's links that ``degrees`` counts, over ``sample`` vectors and against brute force over all.
 
+    Every vector with links has one vote, however many links it has. Vectors with one, with
+    up to nine and with more links are judged apart, and the least mean is returned.
     The sample is the vectors with the smallest hash; its size bounds what is
     sent to the tasks and gathered.
     """
@@ -361,8 +363,19 @@ def audit(nodes: DataFrame, degrees: DataFrame, dtype: str, threshold: float, sa
 
     true = nodes.select("node", "label", "dim", "copies", "vec").mapInArrow(counted, "node long, links long").groupBy("node").agg(
         F.sum("links").alias("true"))
-    row = true.join(degrees, "node", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("links", F.lit(0))))).first()
-    return 1.0 if not row[0] else row[1] / row[0]
+    strata = F.when(F.col("true") == 1, 0).when(F.col("true") < 10, 1).otherwise(2)
+    shares = true.where(F.col("true") > 0).join(degrees, "node", "left").groupBy(strata.alias("stratum")).agg(
+        F.avg(F.least("true", F.coalesce("links", F.lit(0))) / F.col("true")).alias("share")).collect()  # three rows at most
+    return min((r["share"] for r in shares), default=1.0)
+
+
+def trees_for(threshold: float, rows: int, target: float) -> int:
+    """Trees after which two vectors at ``threshold`` among ``rows`` have shared a run with chance ``target``.
+
+    A hyperplane parts them with chance angle / pi, and they meet when they share the planes that cut the rows down to a run.
+    """
+    met = (1 - np.arccos(min(1.0, max(-1.0, threshold))) / np.pi) ** max(0.0, np.log2(max(1, rows) / RUN))
+    return 1 if met >= target else int(np.ceil(np.log(1 - target) / np.log1p(-met)))
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
@@ -377,8 +390,9 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     other rows linked directly, equal rows and copies of a vector among them;
     ``component_id`` is the smallest id reachable, ``kept`` whether it is the row's
     own. Null ids count as rows but never are a component's id, unless it has no
-    other. ``recall`` is the audited share of links found. An empty table
-    gives an empty one.
+    other. ``recall`` is the audited mean share of a vector's links found. Forests
+    are added until it reaches ``target``; after ``attempts`` of them without that, all
+    vectors of a label are compared, and it is 1. An empty table gives an empty one.
 
     Equal vectors of a label are one node with a number of copies, so a vector
     that a third of all rows share is compared once.
@@ -405,6 +419,8 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     # numbered by place in the stored table, which stays as it is
     nodes = stored(valid).withColumn("node", F.monotonically_increasing_id())
 
+    largest = nodes.groupBy("label", "dim").count().agg(F.max("count")).first()[0]
+    trees = max(trees, trees_for(threshold, largest or 0, target))
     lists, used, recall = None, 0, 0.0
     for _ in range(attempts):
         found = _leaves(nodes, dtype, range(used, used + trees), k)
@@ -431,6 +447,13 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         recall = audit(nodes, degrees, dtype, threshold, sample)
         if recall >= target:
             break
+    else:
+        groups = nodes.groupBy("label", "dim").agg(F.min("node").alias("comp"))
+        links = stored(_blocks(nodes.join(groups, ["label", "dim"]).select("comp", "node", "copies", "vec"), dtype, threshold, 4 * block))
+        degrees = nodes.select("node").join(links.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").select(
+            "node", F.coalesce("links", F.lit(0)).alias("links"))
+        components = stored(connected_components(links.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        recall = 1.0
     known = (nodes.join(degrees, "node").join(components.select("node", "component"), "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     lows = known.groupBy("component").agg(F.min("low").alias("component_id"))

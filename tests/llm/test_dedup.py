@@ -82,6 +82,29 @@ def test_full_lists_do_not_hide_links_across_groups(spark):
     assert {(r.n_links, r.component_id) for r in got} == {(groups * size - 1, 0)}
 
 
+def test_missed_pairs_are_not_outweighed(spark, monkeypatch):
+    """A forest that only joins a large group: its links must not hide the pairs that are missed."""
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((80, 32)).astype(np.float32)
+    x[:40] = x[0] + 0.001 * rng.standard_normal((40, 32))
+    x[61:80:2] = x[60:80:2] + 0.01 * rng.standard_normal((10, 32))
+    leaves = nn_descent._leaves
+    monkeypatch.setattr(nn_descent, "_leaves", lambda nodes, dtype, trees, k: leaves(
+        nodes.join(group, ["vec"], "left_semi"), dtype, trees, k))
+    group = spark.createDataFrame([(bytearray(v.tobytes()),) for v in x[:40]], "vec binary")
+    rows = vectors(spark, [(i, v.tolist(), 1) for i, v in enumerate(x)])
+    got = {r.vec_id: r for r in nn_descent.near_duplicates(rows, attempts=1).collect()}
+    for i in range(80):
+        low = 0 if i < 40 else i - i % 2 if i >= 60 else i
+        assert (got[i].n_links, got[i].component_id) == (39 if i < 40 else 1 if i >= 60 else 0, low)
+        assert got[i].recall == 1
+
+
+def test_trees_follow_the_label_size():
+    assert nn_descent.trees_for(0.98, 50, 0.995) == 1
+    assert nn_descent.trees_for(0.98, 1_000_000, 0.995) > 6
+
+
 # ---------------------------------------------------------------- n-gram join
 
 def shingles(text, n=5):
