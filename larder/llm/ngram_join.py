@@ -2,9 +2,9 @@
 
 Every distinct text has a signature of MinHash values, read as one path in each
 of several prefix tries. Texts that share a trie prefix are candidates. The
-matched prefix starts at the full depth and is shortened until the estimated
-recall of the links reaches its target. Candidates are then compared by their
-whole shingle sets.
+matched prefix is short enough for links right at the threshold to be found with the
+target's chance; a longer one serves only where no candidates are that far
+apart. Candidates are then compared by their whole shingle sets.
 
 Candidates are never written as pairs. The texts of a trie node are tied to
 the node's smallest text, ties are joined to groups, and a group is compared in
@@ -111,33 +111,31 @@ def _ties(signed: DataFrame, depth: int) -> DataFrame:
     return nodes.join(first, "node").where("key != b").select(F.col("key").alias("a"), "b").distinct()
 
 
-def _recall(ties: DataFrame, signed: DataFrame, depth: int, threshold: float) -> float:
-    """Estimated share of links found at ``depth``: ties counted once and weighted by their chance to be found.
-
-    The similarity of a tie is estimated from all signature values.
-    """
+def _farthest(ties: DataFrame, signed: DataFrame) -> float:
+    """Least similarity of a tie, estimated from all signature values (1 without ties)."""
     a, b = signed.select(F.col("key").alias("a"), F.col("sig").alias("s")), signed.select(F.col("key").alias("b"), F.col("sig").alias("t"))
     same = F.aggregate(F.zip_with("s", "t", lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y)
-    hist = ties.join(a, "a").join(b, "b").select(same.alias("same")).groupBy("same").count().collect()  # TREES * DEPTH + 1 rows
-    sim = np.array([r["same"] / (TREES * DEPTH) for r in hist])
-    n = np.array([r["count"] for r in hist], float)[sim >= threshold]
-    sim = sim[sim >= threshold]
-    return float(n.sum() / (n / collision(sim, depth)).sum()) if n.sum() else 1.0
+    least = ties.join(a, "a").join(b, "b").agg(F.min(same)).first()[0]
+    return 1.0 if least is None else least / (TREES * DEPTH)
 
 
 def candidate_groups(signed: DataFrame, threshold: float, target: float) -> tuple[DataFrame, int]:
     """(node, component) of texts with candidates, and the depth used.
 
-    The prefix is shortened while the estimated recall is below ``target``; at
-    the depth where links right at the threshold reach the target by
-    themselves no estimate is needed.
+    Links right at the threshold reach the target at the safe depth, so its ties show
+    how far apart candidates are. A deeper prefix is used only if even the
+    farthest of them is found there with the target's chance, so the number of
+    close texts has no say in it.
     """
-    depth = DEPTH
-    while True:
+    deepest = lambda s: max((d for d in range(1, DEPTH + 1) if collision(s, d) >= target), default=1)
+    safe = deepest(threshold)
+    ties = stored(_ties(signed, safe))
+    if safe == DEPTH:
+        return connected_components(ties), safe
+    depth = deepest(max(threshold, _farthest(ties, signed)))
+    if depth > safe:
         ties = stored(_ties(signed, depth))
-        if depth == 1 or collision(threshold, depth) >= target or _recall(ties, signed, depth, threshold) >= target:
-            return connected_components(ties), depth
-        depth -= 1
+    return connected_components(ties), depth
 
 
 def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:

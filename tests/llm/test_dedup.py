@@ -170,6 +170,25 @@ def test_prefixes_shorten_until_the_recall_is_met(spark, docs_of):
     assert depth["near"] > depth["far"] >= 4
 
 
+def test_close_texts_do_not_lengthen_the_prefix_of_far_ones(docs_of):
+    rng = np.random.default_rng(0)
+    vocab = [f"w{i}" for i in range(500)]
+    base = list(rng.choice(vocab, 200))
+    texts = []
+    for i in range(2000):
+        c = list(base)
+        c[i % 200] = f"x{i}"
+        texts.append(" ".join(c))
+    for i in range(10):
+        b = list(rng.choice(vocab, 100))
+        d = list(b)
+        d[20] = d[50] = "y"
+        texts += [" ".join(b), " ".join(d)]
+    rows = docs_of(list(enumerate(texts)), False).selectExpr("text", "unhex(md5(text)) AS key")
+    depth = ngram_join.candidate_groups(ngram_join._signed(rows, 5), 0.8, 0.999)[1]
+    assert ngram_join.collision(0.8, depth) >= 0.999
+
+
 # ---------------------------------------------------------------- lines
 
 def test_lines_equal_sql(spark, docs_of, tmp_path):
