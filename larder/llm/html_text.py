@@ -29,7 +29,8 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 #: Their content is no text of the page.
 SILENT = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video", "head", "title"}
-#: Their content runs to the closing tag, whatever stands in between.
+#: Their content runs to the closing tag, whatever stands in between. But for scripts and styles, one that is
+#: self-closed has none, and of one without a closing tag only the tag is skipped.
 RAW = {"script", "style", "noscript", "template", "svg", "iframe", "title", "textarea"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
           "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub",
@@ -89,6 +90,7 @@ def blocks(page: str | None) -> list[Block]:
     stack: list[tuple] = []  # (tag, around, talk, content, heading, item, silent)
     parts: list[tuple[str, bool]] = []
     links = 0
+    unclosed: set[str] = set()  # elements of RAW without a closing tag in the rest of the page
 
     def flush() -> None:
         if not parts:
@@ -130,10 +132,18 @@ def blocks(page: str | None) -> list[Block]:
                 links = 0
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             if tag not in SILENT:
                 flush()
-            at = end.end() if end else n
+            code = tag in ("script", "style")
+            if tag in unclosed or (m[3].endswith("/") and not code):
+                continue
+            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+            elif code:
+                at = n
+            else:
+                unclosed.add(tag)
             continue
         if tag == "a":
             links += 1

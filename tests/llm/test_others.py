@@ -76,6 +76,16 @@ def test_odd_pages(page, text):
     assert html_text.main_texts([page]) == [text]
 
 
+def test_raw_elements_without_an_end_keep_the_page():
+    rest = "The river rose in the night and the fields stood under water until noon that day."
+    for odd in ('<svg class="i" viewBox="0 0 1 1"/>', "<svg />", "<noscript>", "<template>", "<iframe src='x'/>", "<iframe src='x'>"):
+        page = f"<body><article><p>{rest}</p>{odd}<p>{rest} Again.</p><p>{rest} End.</p></article></body>"
+        assert html_text.main_texts([page]) == [f"{rest}\n{rest} Again.\n{rest} End."], odd
+    page = f"<body><article><p>{rest}</p><svg/><p>{rest} Again.</p><svg><text>No</text></svg><p>{rest} End.</p></article></body>"
+    assert html_text.main_texts([page]) == [f"{rest}\n{rest} Again.\n{rest} End."]
+    assert html_text.main_texts([f"<article><p>{rest}</p><script>var x = 1;"]) == [rest]
+
+
 def test_tree_fits_its_table():
     for page in html_text.LABELLED:
         found = html_text.blocks(page)
