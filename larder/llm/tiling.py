@@ -104,21 +104,22 @@ def coverage(item: np.ndarray, doc: np.ndarray, min_match: int) -> float:
 
 
 def _item_seeds(items: DataFrame, min_match: int) -> DataFrame:
-    """(seed, k, item, n, n_tokens): the seeds of each item, how often it holds each, and its length."""
+    """(seed, k, item, item_key, n, n_tokens): the seeds of each item, how often it holds each, and its length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _Tokens()
         for batch in text_batches(batches):
-            out = {"seed": [], "k": [], "item": [], "n": [], "n_tokens": []}
-            for i, t in zip(batch.column("item").to_pylist(), tokens(batch.column("text").to_pylist())):
+            out = {"seed": [], "k": [], "item": [], "item_key": [], "n": [], "n_tokens": []}
+            ids, keys = batch.column("item").to_pylist(), batch.column("item_key").to_pylist()
+            for i, key, t in zip(ids, keys, tokens(batch.column("text").to_pylist())):
                 k = min(min_match, len(t))
                 if not k:
                     continue
                 seeds, n = np.unique(gram_hashes(t, k).view(np.int64), return_counts=True)
-                for c, v in zip(out.values(), (seeds.tolist(), [k] * len(n), [i] * len(n), n.tolist(), [len(t)] * len(n))):
+                for c, v in zip(out.values(), (seeds.tolist(), [k] * len(n), [i] * len(n), [key] * len(n), n.tolist(), [len(t)] * len(n))):
                     c.extend(v)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int64()) for c in out]))
 
-    return items.select("item", "text").mapInArrow(run, "seed long, k long, item long, n long, n_tokens long")
+    return items.select("item", "item_key", "text").mapInArrow(run, "seed long, k long, item long, item_key long, n long, n_tokens long")
 
 
 def _seed_filter(seeds: DataFrame, max_slots: int) -> np.ndarray | None:
@@ -140,7 +141,7 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     Tokens are lower-case word runs. Items with less than ``min_match`` tokens
     must occur whole; items without tokens, null and empty texts match nothing.
     A document is its id and text: repeated rows count once, null ids are
-    ids like others. Repeated benchmark rows are taken once. Empty tables give no
+    ids like others, of documents and of items. Repeated benchmark rows are taken once. Empty tables give no
     pair.
 
     Documents' grams pass a filter of the benchmark's seeds (a bitmap of fixed size
@@ -153,8 +154,9 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).where(
         "text IS NOT NULL").withColumn("key", F.xxhash64("text"))
-    bench = items.select(F.col(f"`{item_id}`").cast("long").alias("item"), F.col(f"`{item_text}`").cast("string").alias("text")).distinct()
-    seeds = _item_seeds(bench, min_match).groupBy("seed", "k", "item", "n_tokens").agg(F.max("n").alias("n"))
+    bench = items.select(F.col(f"`{item_id}`").cast("long").alias("item"), F.col(f"`{item_text}`").cast("string").alias("text")).distinct().withColumn(
+        "item_key", F.xxhash64("text"))
+    seeds = _item_seeds(bench, min_match).groupBy("seed", "k", "item", "item_key", "n_tokens").agg(F.max("n").alias("n"))
     lengths = sorted(r.k for r in seeds.select("k").distinct().collect())  # min_match values at most
     bits = _seed_filter(seeds, max_filter_slots)
     sent = spark.sparkContext.broadcast(bits)
@@ -181,13 +183,14 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
     hits = rows.mapInArrow(grams, "id long, key long, seed long")
     # repeated rows give a seed twice; a seed's n counts once per document
-    pairs = (hits.join(seeds, "seed").groupBy("id", "key", "item", "n_tokens", "seed").agg(F.max("n").alias("n"))
-             .groupBy("id", "key", "item", "n_tokens").agg(F.sum("n").alias("n"))
+    pairs = (hits.join(seeds, "seed").groupBy("id", "key", "item", "item_key", "n_tokens", "seed").agg(F.max("n").alias("n"))
+             .groupBy("id", "key", "item", "item_key", "n_tokens").agg(F.sum("n").alias("n"))
              .where(F.col("n") * F.lit(min_match) >= F.lit(float(threshold)) * F.col("n_tokens"))
-             .groupBy("id", "key").agg(F.collect_set("item").alias("items")))
+             .groupBy("id", "key").agg(F.collect_set(F.struct("item", "item_key")).alias("items")))
     texts = (rows.alias("r").join(pairs.alias("p"), F.col("r.id").eqNullSafe(F.col("p.id")) & (F.col("r.key") == F.col("p.key")))
-             .select("r.id", "r.key", "r.text", F.explode("p.items").alias("item")))
-    both = texts.join(bench.withColumnRenamed("text", "item_text"), "item").select("id", "key", "item", "text", "item_text")
+             .select("r.id", "r.key", "r.text", F.explode("p.items").alias("i"))).alias("t")
+    both = texts.join(bench.alias("b"), F.col("t.i.item").eqNullSafe(F.col("b.item")) & (F.col("t.i.item_key") == F.col("b.item_key"))).select(
+        "t.id", "t.key", "b.item", "t.text", F.col("b.text").alias("item_text"))
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _Tokens()
@@ -206,7 +209,7 @@ def document_report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """(doc_id, contaminated, n_items, max_coverage, item_ids) of every row of ``docs``."""
     found = contamination(docs, items, **options).groupBy("doc_id", "text_key").agg(
         F.count(F.lit(1)).alias("n_items"), F.max("coverage").alias("max_coverage"),
-        F.sort_array(F.collect_list("item_id")).alias("item_ids")).alias("f")
+        F.sort_array(F.collect_list(F.struct("item_id")))["item_id"].alias("item_ids")).alias("f")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key")).alias("d")
     return d.join(found, F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.text_key") == F.col("f.text_key")), "left").select(
         "d.doc_id", F.col("f.n_items").isNotNull().alias("contaminated"), F.coalesce("f.n_items", F.lit(0)).alias("n_items"),

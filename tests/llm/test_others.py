@@ -201,6 +201,15 @@ def test_no_documents_or_items(spark, docs_of):
     assert tiling.document_report(docs_of([]), none).count() == 0
 
 
+def test_benchmark_items_without_an_id_count(spark, docs_of):
+    passage, other = "the cat sat on the mat and looked at the moon", "one two three four five six seven eight nine ten"
+    bench = spark.createDataFrame([(None, passage), (None, other), (4, passage), (None, None)], "item_id long, text string")
+    docs = docs_of([(1, f"so {passage} again"), (2, f"count {other}"), (3, "nothing of it in here at all"), (None, other)])
+    got = {r.doc_id: (r.contaminated, r.n_items, r.max_coverage, r.item_ids) for r in tiling.document_report(docs, bench).collect()}
+    assert got == {1: (True, 2, 1.0, [None, 4]), 2: (True, 1, 1.0, [None]), 3: (False, 0, 0.0, []), None: (True, 1, 1.0, [None])}
+    assert [r.doc_id for r in tiling.drop_contaminated(docs, bench).collect()] == [3]
+
+
 def test_leaks_in_the_documents(spark, sf_dir):
     d = sf_dir.replace("sf0.001", "sf0.01")
     plain = lambda t: f" {' '.join(re.findall(r'\w+', (t or '').lower()))} "
