@@ -392,6 +392,15 @@ ORACLE["csv_scan_inferred"] = """SELECT * REPLACE (CAST(o_orderkey AS INTEGER) A
     CAST(o_custkey AS INTEGER) AS o_custkey) FROM orders"""
 for _t in TABLE_ORDER:
     ORACLE[f"ingest_{_t}"] = _with(raw_ctes(_t)) + f"SELECT * EXCLUDE (_rescued_data) FROM raw_{_t}"
+# inferred: whole numbers are bigint, fractions double; a column without a value is text
+INFERRED = {"int": "BIGINT", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+for _t in TABLE_ORDER:
+    _key = PKS[_t][0]
+    _typed = ", ".join(f"CAST({c} AS {INFERRED[lt]}) AS {c}" for c, lt in cols_of(_t, with_rescue=False) if lt in INFERRED)
+    ORACLE[f"ingest_inferred_{_t}"] = _with(raw_ctes(_t)) + (
+        f"SELECT * EXCLUDE (_rescued_data) REPLACE ({_typed}), CASE WHEN {_key} % 2 = 1 THEN 'till' END AS landed_by FROM raw_{_t}")
+ORACLE["ingest_by_name"] = _with(raw_ctes("orders")) + """SELECT order_id, total_amount, order_status,
+    CASE WHEN order_id % 2 = 1 THEN '{"landed_by":"till"}' END AS _rescued_data FROM raw_orders"""
 ORACLE["materialize_roundtrip"] = ORACLE["agg_revenue_by_category"]
 ORACLE["materialize_partitioned"] = ORACLE["fct_orders"]
 ORACLE["usage_monthly_trend"] = (

@@ -15,7 +15,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.calendar import year_month_sql
 from ..sources.files import materialize
+from ..sources.warehouse import publish, replace_partitions, within
 from . import dims, facts, marts
 from .silver import CLEANERS
 
@@ -91,6 +93,40 @@ def refresh_gold(silver: Mapping[str, DataFrame], target: str, as_of: str | None
     return {name: out[name] for name in GOLD_TABLES}
 
 
+def publish_gold(silver: Mapping[str, DataFrame], root: str, as_of: str | None = None, exact: bool = True) -> dict[str, DataFrame]:
+    """``refresh_gold`` as a new version under ``root``, current once all 22 tables are written; returns its tables."""
+    spark = next(iter(silver.values())).sparkSession
+    path = publish(spark, root, lambda version: refresh_gold(silver, version, as_of, exact))
+    return {name: spark.read.parquet(f"{path}/{name}") for name in GOLD_TABLES}
+
+
+def touched_months(new_orders: DataFrame, new_details: DataFrame, orders: DataFrame) -> DataFrame:
+    """year_month of every order that is new or has a new line (one row a calendar month).
+
+    ``orders`` are all orders: a late line counts for the month of its order.
+    """
+    month = F.expr(year_month_sql("to_date(order_date)")).alias("year_month")
+    late = orders.join(new_details.select("order_id").distinct(), "order_id", "left_semi")
+    return new_orders.select(month).union(late.select(month)).distinct()
+
+
+def refresh_months(orders: DataFrame, order_details: DataFrame, menu_items: DataFrame, months: DataFrame, target: str) -> dict[str, DataFrame]:
+    """Rebuild ``fct_orders`` and ``agg_revenue_monthly`` under ``target`` for ``months`` alone.
+
+    Both tables are partitioned by year_month; only the given months' partitions are
+    replaced. Orders, and the lines of those orders, of other months aren't joined or
+    written. Where a month's rows are local to it, as here, the result is that of a full refresh.
+    """
+    month = F.expr(year_month_sql("to_date(order_date)"))
+    some = within(orders.withColumn("_month", month), months, "_month").drop("_month")
+    lines = order_details.join(some.select("order_id").distinct(), "order_id", "left_semi")
+    base = target.rstrip("/")
+    fct = facts.fct_orders(some, lines, facts.order_line_summary(lines, menu_items))
+    written = replace_partitions(fct, f"{base}/fct_orders", ["year_month"])
+    mart = marts.agg_revenue_monthly(within(written, months, "year_month"))
+    return {"fct_orders": written, "agg_revenue_monthly": replace_partitions(mart, f"{base}/agg_revenue_monthly", ["year_month"])}
+
+
 def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """table, rows for a set of (written) tables."""
     frames = [df.agg(F.expr("count(1) AS rows")).selectExpr(f"'{name}' AS table", "rows")

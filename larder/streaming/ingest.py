@@ -3,49 +3,39 @@
 ``readStream`` over a folder of files -> append to a table folder, with a
 checkpoint that records which files were taken, so a rerun only picks up new
 files (exactly-once into the file sink). ``availableNow`` processes what is
-there and stops, which is how a scheduled raw-to-table job runs.
+there and stops, which is how a scheduled raw-to-table job runs. CSV files are
+taken by their headers (``by_name``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-RESCUE_COL = "_rescued_data"
+from .by_name import RESCUE_COL, ingest_csv, stream_source
 
 
-def _stream_source(spark: SparkSession, path: str) -> tuple[str, str | None]:
-    """(folder, glob) for a path: a folder as it is, a single file as its folder and its name."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.getFileStatus(where).isFile():
-        return where.getParent().toString(), where.getName()
-    return path, None
-
-
-def ingest_stream(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str,
+def ingest_stream(spark: SparkSession, source: str, schema: StructType | None, target: str, checkpoint: str,
                   fmt: str = "csv", options: dict | None = None, glob: str | None = None,
                   rescue: bool = False, with_file_name: bool = False) -> DataFrame:
     """Append every not-yet-seen file under ``source`` (a folder, or one file) to the table at ``target``.
 
-    ``rescue=True`` (CSV with a declared schema): rows whose fields do not parse
-    are kept, the bad fields are NULL, and ``_rescued_data`` holds them alone as
-    a JSON object of column and text; it is NULL for rows that parse.
-    ``with_file_name`` adds ``source_file`` (the input file name).
-    Returns the target table read back (batch).
+    CSV fields go to the column that their file's header names; without a ``schema``
+    its types are inferred (``ingest_csv``). ``rescue=True`` (CSV) adds
+    ``_rescued_data``: the fields that don't parse or have no column, as a JSON
+    object of name and text; NULL for rows without any. ``with_file_name`` adds
+    ``source_file`` (the input file name). Returns the target table read back (batch).
     """
-    folder, name = _stream_source(spark, source)
-    reader = spark.readStream.format(fmt).options(**(options or {}))
     if fmt == "csv":
-        reader = reader.option("header", True)
+        return ingest_csv(spark, source, target, checkpoint, schema, options, glob, rescue=rescue, with_file_name=with_file_name)
+    folder, name = stream_source(spark, source)
+    reader = spark.readStream.format(fmt).options(**(options or {}))
     if glob or name:
         reader = reader.option("pathGlobFilter", glob or name)
-    stream = reader.schema(_as_text(schema) if rescue else schema).load(folder)
+    stream = reader.schema(schema).load(folder)
     if with_file_name:
         stream = stream.withColumn("source_file", F.col("_metadata.file_name"))
-    if rescue:
-        stream = parse_fields(stream, schema)
     query = (
         stream.writeStream.format("parquet")
         .option("path", target)
@@ -58,24 +48,6 @@ def ingest_stream(spark: SparkSession, source: str, schema: StructType, target:
     return spark.read.parquet(target)
 
 
-def _as_text(schema: StructType) -> StructType:
-    return StructType([StructField(f.name, StringType(), True) for f in schema.fields])
-
-
-def parse_fields(df: DataFrame, schema: StructType) -> DataFrame:
-    """Text columns cast to ``schema``; fields that don't parse are NULL and kept in ``_rescued_data``.
-
-    Columns outside the schema stay as they are. An empty field is a NULL, not a bad one.
-    """
-    parsed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
-    bad = [F.when(F.col(f"`{f.name}`").isNotNull() & parsed[f.name].isNull(), F.struct(F.lit(f.name).alias("key"), F.col(f"`{f.name}`").alias("value")))
-           for f in schema.fields]
-    held = F.map_from_entries(F.array_compact(F.array(*bad)))
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in parsed]
-    return df.select(*[parsed[f.name].alias(f.name) for f in schema.fields], *rest,
-                     F.when(F.size(held) > 0, F.to_json(held)).alias(RESCUE_COL))
-
-
 def rescued_by_file(table: DataFrame, file_col: str = "source_file") -> DataFrame:
     """Rows carrying a rescued record, per source file."""
     return table.groupBy(file_col).agg(
