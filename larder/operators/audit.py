@@ -9,7 +9,9 @@ Column lists and types are schema metadata and are read on the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -18,7 +20,8 @@ from pyspark.sql.types import (DecimalType, DoubleType, FloatType, IntegerType,
                                StringType)
 
 from ..functions.numeric import pct_sql
-from .rank import quantile_table
+from ..sources.files import discard, materialize, scratch_path
+from .rank import ACCURACY, order_statistics, ranked_values
 
 OUTLIER_TYPES = (IntegerType, LongType, DoubleType, FloatType, DecimalType)
 
@@ -121,13 +124,21 @@ def audit_nulls(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 # ------------------------------------------------------------------ duplicates
 
+def row_hash_sql(columns: Sequence[str]) -> list[str]:
+    """Two 64-bit hashes of the columns' values; equal rows have equal ones, NULLs and their places included."""
+    cells, nulls = [q(c) for c in columns], [f"{q(c)} IS NULL" for c in columns]
+    return [f"xxhash64({', '.join(cells + nulls)})", f"xxhash64({', '.join(['1', *nulls, *reversed(cells)])})"]
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row: total_rows, distinct_rows, dup_rows, dup_pct (NULLs compare equal).
 
-    ``groupBy(all columns)`` pre-aggregates map-side, so many copies of one
-    row are counted inside each map task before the shuffle.
+    Rows are told apart by 128 bits, so texts aren't shuffled; the group is
+    pre-aggregated map-side, so many copies of one row are counted inside each
+    map task first.
     """
-    g = df.groupBy(*df.columns).agg(F.expr("count(1) AS _n"))
+    a, b = row_hash_sql(df.columns)
+    g = df.groupBy(F.expr(a).alias("_a"), F.expr(b).alias("_b")).agg(F.expr("count(1) AS _n"))
     return _aggs(g, "CAST(coalesce(sum(_n), 0) AS BIGINT) AS total_rows", "count(1) AS distinct_rows").selectExpr(
         "total_rows", "distinct_rows", "total_rows - distinct_rows AS dup_rows",
         f"{pct_sql('total_rows - distinct_rows', 'total_rows')} AS dup_pct")
@@ -146,7 +157,8 @@ def table_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     The key's duplicates come from the counted distinct rows, so the table is
     read and moved once.
     """
-    rows = df.groupBy(*df.columns).agg(F.expr("count(1) AS _n"))
+    a, b = row_hash_sql(df.columns)
+    rows = df.groupBy(*keys, F.expr(a).alias("_a"), F.expr(b).alias("_b")).agg(F.expr("count(1) AS _n"))
     by_key = rows.groupBy(*keys).agg(F.expr("sum(_n) AS _n"), F.expr("count(1) AS _d")) if keys else rows.selectExpr("_n", "1L AS _d")
     pk_dups = "total_rows - count(1)" if keys else "0L"
     total = "CAST(coalesce(sum(_n), 0) AS BIGINT)"
@@ -168,42 +180,119 @@ def audit_duplicates(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequenc
 
 # -------------------------------------------------------------------- outliers
 
+_OUTLIERS = "table string, column string, q1 double, q3 double, lo double, hi double, total bigint, outlier_count bigint"
+_AT_ONCE = 20_000_000  # values of a column up to which a bracket of a few thousandths is counted in one step
+
+
 def table_outliers(df: DataFrame, name: str, factor: float = 1.5, exact: bool = True,
                    min_distinct: int = 5, max_distinct_share: float = 0.9) -> DataFrame:
-    """IQR outlier report of the numeric columns of one table.
+    """``audit_outliers`` of one table."""
+    return audit_outliers({name: df}, exact, factor, min_distinct, max_distinct_share)
+
+
+def audit_outliers(tables: Mapping[str, DataFrame], exact: bool = True, factor: float = 1.5,
+                   min_distinct: int = 5, max_distinct_share: float = 0.9) -> DataFrame:
+    """IQR outlier report of the numeric columns of several tables.
 
     Columns with fewer than ``min_distinct`` distinct values (NULL counted as
-    one) or more than ``max_distinct_share`` x rows (id-like) are skipped.
-    The skip rule, quartiles and counts are all computed as DataFrames: no
-    per-column jobs and nothing collected.
+    one) or more than ``max_distinct_share`` x rows (id-like) are skipped. The
+    numeric columns are written once as doubles; from there three aggregates over all tables
+    together give sketches of every column, its exact quartiles (from the values that the
+    sketches bracket) and the outliers. What comes back between them is a few rows per
+    column. Distinct values are estimated, and counted only for columns whose estimate doesn't decide the rule.
     """
-    cols = numeric_columns(df, OUTLIER_TYPES)
-    if not cols:
-        return df.sparkSession.createDataFrame(
-            [], "table string, column string, q1 double, q3 double, lower_bound double, "
-                "upper_bound double, outlier_count bigint, outlier_pct double")
-    stacked = _stack_values(df, cols, "double")
-    qt = quantile_table(df, cols, [0.25, 0.75], ["q1", "q3"], exact=exact)
-    k = repr(float(factor)) + "D"
-    bounds = qt.selectExpr("column", "q1", "q3", f"q1 - {k} * (q3 - q1) AS lo", f"q3 + {k} * (q3 - q1) AS hi")
-    # every row appears once per column in ``stacked`` (NULLs included), so the counted
-    # values yield the distinct values, the outliers and the table's row count at once;
-    # the bounds are one row per numeric column: bounded by the schema width
-    values = stacked.groupBy("column", "value").agg(F.expr("count(1) AS _n"))
-    counts = values.join(F.broadcast(bounds), "column").groupBy("column", "q1", "q3", "lo", "hi").agg(
-        F.expr("coalesce(sum(CASE WHEN value < lo OR value > hi THEN _n END), 0L) AS outlier_count"),
-        F.expr("sum(_n) AS _total"), F.expr("count(1) AS _distinct"))
-    rep = counts.where(f"_distinct >= {int(min_distinct)} AND _distinct <= _total * {float(max_distinct_share)!r}D "
-                       f"AND outlier_count > 0")
-    return rep.selectExpr(
-        f"{_lit(name)} AS table", "column", "round(q1, 2) AS q1", "round(q3, 2) AS q3",
-        "round(lo, 2) AS lower_bound", "round(hi, 2) AS upper_bound", "outlier_count",
-        f"{pct_sql('outlier_count', '_total')} AS outlier_pct")
-
-
-def audit_outliers(tables: Mapping[str, DataFrame], exact: bool = True) -> DataFrame:
-    return _union([table_outliers(df, n, exact=exact) for n, df in tables.items()]).orderBy(
-        F.col("outlier_count").desc())
+    spark = next(iter(tables.values())).sparkSession
+    path = scratch_path(spark, "outliers")
+    columns = {n: numeric_columns(df, OUTLIER_TYPES) for n, df in tables.items()}
+    columns = {n: cols for n, cols in columns.items() if cols}
+
+    def keep(n: str) -> DataFrame:
+        narrow = tables[n].select(*[F.col(q(c)).cast("double").alias(f"_{i}") for i, c in enumerate(columns[n])])
+        # small row groups: a table that came as one split is read in several
+        narrow.write.option("parquet.block.size", 8 << 20).parquet(f"{path}/{n}")
+        return spark.read.parquet(f"{path}/{n}")
+
+    with ThreadPoolExecutor(4) as pool:
+        kept = dict(zip(columns, pool.map(keep, columns)))
+    rows = _outlier_rows(spark, kept, columns, factor, exact, min_distinct, max_distinct_share) if kept else []
+    counts = {}
+    if rows:
+        beyond = []
+        for n, df in kept.items():
+            mine = [r for r in rows if r[0] == n]
+            tests = [f"{_lit(r[1])}, count_if(_{columns[n].index(r[1])} < {r[4]!r}D OR _{columns[n].index(r[1])} > {r[5]!r}D)".replace("nanD", "double('NaN')").replace(
+                "infD", "double('Infinity')") for r in mine]
+            if mine:
+                wide = df.agg(*[F.expr(f"struct({t})").alias(f"o{i}") for i, t in enumerate(tests)])
+                beyond.append(wide.selectExpr(f"{_lit(n)} AS table", f"inline(array({', '.join(f'o{i}' for i in range(len(mine)))})) AS (column, beyond)"))
+        counts = {(r.table, r.column): r.beyond for r in _union(beyond).collect()}  # a row per numeric column
+    discard(spark, path)
+    return _outlier_report(spark.createDataFrame([(*r, counts[r[0], r[1]]) for r in rows], _OUTLIERS))
+
+
+def _outlier_report(found: DataFrame) -> DataFrame:
+    return found.where("outlier_count > 0").selectExpr(
+        "table", "column", "round(q1, 2) AS q1", "round(q3, 2) AS q3", "round(lo, 2) AS lower_bound", "round(hi, 2) AS upper_bound",
+        "outlier_count", f"{pct_sql('outlier_count', 'total')} AS outlier_pct").orderBy(F.col("outlier_count").desc())
+
+
+def _stacked_tables(kept: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]], ids: Mapping[tuple[str, str], int]) -> DataFrame:
+    """(id, value) of all rows of the columns that have an id."""
+    frames = []
+    for n, df in kept.items():
+        args = [f"{ids[n, c]}, _{i}" for i, c in enumerate(columns[n]) if (n, c) in ids]
+        if args:
+            frames.append(df.selectExpr(f"stack({len(args)}, {', '.join(args)}) AS (id, value)"))
+    return _union(frames)
+
+
+def _outlier_rows(spark, kept: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]], factor: float, exact: bool,
+                  min_distinct: int, max_distinct_share: float) -> list[tuple]:
+    """Quartiles and bounds of the columns that the skip rule leaves."""
+    error = 0.01  # of 2 ** 14 registers
+    ends = ", ".join(f"{p + d!r}D" for p in (0.25, 0.75) for d in (-0.004, 0.004))  # a sketch of 4,000 items is off by far less
+    ids = {k: i for i, k in enumerate((n, c) for n in kept for c in columns[n])}
+    names = list(ids)
+    stats = _stacked_tables(kept, columns, ids).groupBy("id").agg(
+        F.expr("count(1) AS total"), F.expr("count(value) AS n"),
+        F.expr("hll_sketch_estimate(hll_sketch_agg(CASE WHEN value IS NOT NULL THEN xxhash64(value) END, 14)) AS d"),
+        F.expr(f"CASE WHEN count(value) > 0 THEN kll_sketch_get_quantile_double(kll_sketch_agg_double(value, 4000), array({ends})) END AS e"))
+    stats = {names[r.id]: r for r in stats.collect()}
+    distinct = {k: (r.d or 0) + (r.n < r.total) for k, r in stats.items()}
+    most = {k: r.total * max_distinct_share for k, r in stats.items()}
+    # a sketch of few values can only have too few of them, and that if two share one of 2 ** 26 places
+    unsure = {k for k, d in distinct.items() if abs(d - min_distinct) <= 2 or abs(d - most[k]) <= 6 * error * most[k]}
+    if unsure:
+        counted = _stacked_tables(kept, columns, {k: ids[k] for k in unsure}).distinct().groupBy("id").agg(F.count(F.lit(1)).alias("d"))
+        distinct |= {names[r.id]: r.d for r in counted.collect()}
+    asked = [k for k, r in stats.items() if min_distinct <= distinct[k] <= most[k] and r.n]
+    if not asked:
+        return []
+    probs = (0.25, 0.75)
+    rank = lambda k, p: max(1, math.ceil(p * stats[k].n))
+    quartiles: dict[tuple[str, str], dict[float, float]] = {k: {} for k in asked}
+    small = {k for k in asked if stats[k].n <= _AT_ONCE} if exact else set()
+    if small:
+        targets = [(ids[k], p, rank(k, p), stats[k].e[2 * i], stats[k].e[2 * i + 1]) for k in small for i, p in enumerate(probs)]
+        values = _stacked_tables(kept, columns, {k: ids[k] for k in small}).where("value IS NOT NULL").withColumnRenamed("id", "cell")
+        hits = ranked_values(values, ["cell"], spark.createDataFrame(targets, "cell int, id double, rank long, lo double, hi double"), True)
+        for r in hits.collect():
+            quartiles[names[r.cell]][r.id] = r.value
+    for n, df in kept.items():
+        large = [(k, f"_{i}") for i, k in enumerate((n, c) for c in columns[n]) if k in quartiles and k not in small]
+        if large and exact:
+            found = order_statistics(df, [(x, rank(k, p)) for k, x in large for p in probs])
+            for j, (k, _) in enumerate(large):
+                quartiles[k] = {p: found[2 * j + i][0] for i, p in enumerate(probs)}
+        elif large:
+            near = df.agg(*[F.percentile_approx(x, list(probs), ACCURACY).alias(x) for _, x in large]).first()
+            for k, x in large:
+                quartiles[k] = dict(zip(probs, near[x]))
+    out = []
+    for k in asked:
+        q1, q3 = (quartiles[k][p] for p in probs)
+        out.append((*k, q1, q3, q1 - factor * (q3 - q1), q3 + factor * (q3 - q1), stats[k].total))
+    return out
 
 
 # -------------------------------------------------------------- standardising
@@ -391,9 +480,15 @@ def reconcile_profile(pairs: Pairs) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """column -> distinct values (NULL counted once), by unpivot + two-step group."""
-    return _stack_values(df, cols, "string").select("column", "value").distinct() \
-        .groupBy("column").agg(F.expr("count(1) AS distinct"))
+    """column -> distinct values (NULL counted once), by unpivot + two-step group over 128 bits of each value."""
+    types = _types(df)
+
+    def hashes(c: str) -> list[str]:
+        x = f"({q(c)} + 0.0D)" if isinstance(types[c], (DoubleType, FloatType)) else q(c)
+        text = f"CAST({x} AS STRING)"
+        return [f"xxhash64({text}, {text} IS NULL)", f"xxhash64(1, {text} IS NULL, {text})"]
+
+    return _long(df, [], [(c, hashes(c)) for c in cols], ["a", "b"]).distinct().groupBy("column").agg(F.expr("count(1) AS distinct"))
 
 
 def reconcile_distinct(pairs: Pairs) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import (avg_int_sql, avg_money_sql, avg_scaled_sql, cents_sql, from_cents_sql,
                                  pct_sql, sum_cents_sql, sum_money_sql)
 from ..operators.rank import quantile_table
+from ..session import stored
 from .facts import order_margins
 
 
@@ -163,8 +164,9 @@ def quadrant_by_group_median(df: DataFrame, group: str, x: str, y: str,
 
     Medians are exact (``percentile_disc(0.5)``, by counting) by default, or ``percentile_approx`` with ``exact=False``. The per-group medians are
     one row per group, joined back without a hint (AQE picks broadcast when
-    the group count is small).
+    the group count is small). ``df`` is stored: the medians read it a few times.
     """
+    df = stored(df)
     med = quantile_table(df, [x, y], [0.5], ["median"], [group], exact=exact, accuracy=accuracy)
     wide = _agg(med, [group],
                 f"max(CASE WHEN column = '{x}' THEN median END) AS med_{x}",

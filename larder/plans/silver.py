@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.clean import RESCUE_COL, cap_outliers, dedup_by_key, fill_nulls, trim_columns
+from ..session import stored
 
 
 def _drop_rescue(df: DataFrame) -> DataFrame:
@@ -64,7 +65,8 @@ DAILY_COUNTS = ["total_customers_eat_in", "total_customers_delivery", "total_ord
 
 
 def clean_daily_ops(raw: DataFrame, exact: bool = True) -> DataFrame:
-    df = dedup_by_key(_drop_rescue(raw), ["restaurant_id", "date"])
+    # stored: the quartiles read the survivors again
+    df = stored(dedup_by_key(_drop_rescue(raw), ["restaurant_id", "date"]))
     return cap_outliers(df, DAILY_COUNTS, exact=exact)
 
 

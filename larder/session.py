@@ -14,7 +14,7 @@ import os
 import shutil
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "larder") -> SparkSession:
@@ -64,3 +64,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None:
         sc.setCheckpointDir(configured)
     return configured
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder: what follows reads it from there."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -158,7 +158,7 @@ def test_a_rank_outside_its_bracket_raises(spark):
     values = spark.range(1, 11).selectExpr("'v' AS k", "CAST(id AS DOUBLE) AS value")
     targets = spark.createDataFrame([("v", 0, 2, 5.0, 8.0)], "k string, id int, rank long, lo double, hi double")
     with pytest.raises(Exception, match="outside its bracket"):
-        rank._ranked_values(values, ["k"], targets, True).collect()
+        rank.ranked_values(values, ["k"], targets, True).collect()
 
 
 # --------------------------------------------------------------------- money
