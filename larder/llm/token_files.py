@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import functools
 import os
+import sys
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -27,12 +29,20 @@ from pyspark.sql import functions as F
 from .common import shared_path, stored, text_batches
 
 
+@functools.cache
+def letters_that_end_in_marks() -> tuple[str, ...]:
+    """Letters whose composed lower-case form ends in a combining mark, which the library joins with the sentence mark after it."""
+    letters = (c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum())
+    return tuple(c for c in letters if unicodedata.category(unicodedata.normalize("NFC", c).lower()[-1])[0] not in "LN")
+
+
 class WordEncoder:
     """The tokenizers library with the ids of words kept.
 
     The vocabulary's normaliser turns white space into one space and lowers case
     letter by letter, its pre-tokenizer never joins characters across white space,
-    nor a letter or digit with a sentence mark after it, and spaces give no ids. So
+    nor a letter or digit with a sentence mark after it (normalised: a few letters become a
+    letter and a combining mark, which isn't one), and spaces give no ids. So
     the ids of a text are those of its pieces between spaces and line feeds, and
     those of a piece are its word's and its closing marks'.
     """
@@ -51,6 +61,7 @@ class WordEncoder:
         self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.word_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.ids: dict[str, bytes] = {"": b""}
+        self.unsure = f"[{''.join(letters_that_end_in_marks())}]$"
 
     def _learn(self, pieces: list[str], dtype: str) -> None:
         """Encode new pieces, many in one text.
@@ -90,7 +101,8 @@ class WordEncoder:
     def _parts(self, pieces: pa.Array) -> tuple[pa.Array, list[str]]:
         """(words, closing marks) of pieces; a piece that doesn't end in a word and marks is a word as it is."""
         word = pc.utf8_rtrim(pieces, self.MARKS)
-        word = pc.if_else(pc.match_substring_regex(word, r"[\p{L}\p{N}]$"), word, pieces)
+        ends = pc.and_(pc.match_substring_regex(word, r"[\p{L}\p{N}]$"), pc.invert(pc.match_substring_regex(word, self.unsure)))
+        word = pc.if_else(ends, word, pieces)
         size = pc.subtract(pc.binary_length(pieces), pc.binary_length(word)).to_numpy()
         marks = [""] * len(pieces)
         ended = np.flatnonzero(size)

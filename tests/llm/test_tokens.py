@@ -108,3 +108,15 @@ def test_registered(spark, sf_dir):
     n = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert queries.QUERIES["op4_byte_bpe"](spark, sf_dir).count() == n
     assert queries.QUERIES["op5_token_files"](spark, sf_dir).count() == n
+
+
+def test_letters_that_normalise_to_a_mark_stay_with_the_sentence_mark():
+    """Every letter, digit and mark before a sentence mark, against the library; 60 letters end in a mark once normalised."""
+    import unicodedata
+    assert len(token_files.letters_that_end_in_marks()) == 60
+    encoder, library = token_files.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
+    chars = [c for c in map(chr, range(0x110000)) if unicodedata.category(c)[0] in "LNM"]
+    texts = [f"a{c}." for c in chars] + [f"{c}{m}" for c in token_files.letters_that_end_in_marks() for m in ".,;:!?"] + ["İKİ.", "BELEDİYESİ:", "হয়,", "क़."]
+    ids, counts = encoder.encode(pa.array(texts), 1, "uint32")
+    got = [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])]
+    assert got == [e.ids + [1] for e in library.encode_batch(texts, add_special_tokens=False)]
