@@ -8,13 +8,15 @@ reader skip most shards.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import numbered
+from .common import numbered, stored
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -48,35 +50,55 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    """An order-preserving number for a value: strings by their first six UTF-8 bytes."""
-    c = F.col(f"`{name}`")
-    if isinstance(df.schema[name].dataType, StringType):
-        six = F.substring(F.rpad(F.hex(F.encode(c, "UTF-8")), 12, "0"), 1, 12)
-        return F.conv(six, 16, 10).cast("double")
-    return c.cast("double")
+def _is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, StringType)
+
+
+def string_cuts(df: DataFrame, name: str, cells: int) -> list[str]:
+    """Whole strings at which each cell but the last ends, by row counts; a string with many rows ends several.
+
+    Distinct strings are counted map-side, sorted once over range partitions, and summed up
+    in each; at most ``cells`` strings come to the driver.
+    """
+    counts = df.where(F.col(f"`{name}`").isNotNull()).groupBy(F.col(f"`{name}`").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    kept = stored(counts.repartitionByRange("v").withColumn("_pid", F.spark_partition_id()))
+    sums = kept.groupBy("_pid").agg(F.sum("n").alias("_n"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_pid", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    within = Window.partitionBy("_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = kept.join(F.broadcast(offsets), "_pid").withColumn("_upto", F.sum("n").over(within) + F.col("_before"))
+    ends = upto.select("v", F.expr(f"least((_upto * {cells}) div _total, {cells - 1}) - ((_upto - n) * {cells}) div _total").alias("k"))
+    return [r.v for r in ends.where("k > 0").orderBy("v").collect() for _ in range(r.k)]
 
 
 def with_hilbert(df: DataFrame, dims: list[str], bits: int = 8, out: str = "hilbert") -> DataFrame:
     """Add the Hilbert index of ``dims``.
 
-    Cell borders are approximate quantiles from one aggregate (at most 2**bits
-    per dimension), so a skewed dimension still spreads over the cells; null
-    values take the first cell.
+    Cell borders are quantiles: of numbers approximate ones from one aggregate, of strings
+    those of their whole values by row counts (at most 2**bits per dimension), so a
+    skewed dimension still spreads over the cells; null values take the first cell.
     """
-    nums = df.select([_number(df, d).alias(f"d{i}") for i, d in enumerate(dims)])
-    steps = [k / (1 << bits) for k in range(1, 1 << bits)]
-    row = nums.agg(*[F.percentile_approx(f"d{i}", steps, 2000).alias(f"d{i}") for i in range(len(dims))]).first()
+    size = 1 << bits
+    steps = [k / size for k in range(1, size)]
+    numbers = [d for d in dims if not _is_text(df, d)]
+    row = df.agg(*[F.percentile_approx(F.col(f"`{d}`").cast("double"), steps, 2000).alias(f"d{i}") for i, d in enumerate(numbers)]).first() if numbers else []
     # repeated borders stay: a value with many rows skips as many cells, so few values still spread over all cells
-    cuts = [np.array(row[i] if row[i] is not None else [], dtype=float) for i in range(len(dims))]
+    cuts = {d: np.array(row[i] if row[i] is not None else [], dtype=float) for i, d in enumerate(numbers)}
+    cuts |= {d: string_cuts(df, d, size) for d in dims if d not in cuts}
+
+    def cells(d: str, v: pd.Series) -> np.ndarray:
+        if d in numbers:
+            x = v.to_numpy(dtype=float, na_value=np.nan)
+            return np.where(np.isnan(x), 0, np.searchsorted(cuts[d], x, side="left"))
+        codes, values = pd.factorize(v)
+        found = np.array([bisect_left(cuts[d], x) for x in values] + [0], dtype=np.int64)
+        return found[codes]  # code -1, null, takes the last
 
     @F.pandas_udf("long")
     def index(*cols: pd.Series) -> pd.Series:
-        cells = [np.where(np.isnan(v), 0, np.searchsorted(b, v, side="left"))
-                 for v, b in ((c.to_numpy(dtype=float, na_value=np.nan), b) for c, b in zip(cols, cuts))]
-        return pd.Series(hilbert_index(np.stack(cells, axis=1), bits))
+        return pd.Series(hilbert_index(np.stack([cells(d, c) for d, c in zip(dims, cols)], axis=1), bits))
 
-    return df.withColumn(out, index(*[_number(df, d) for d in dims]))
+    return df.withColumn(out, index(*[F.col(f"`{d}`") if _is_text(df, d) else F.col(f"`{d}`").cast("double") for d in dims]))
 
 
 def shard_rows(df: DataFrame, dims: list[str], ties: list[str], shards: int, bits: int = 8) -> DataFrame:
