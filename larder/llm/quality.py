@@ -105,7 +105,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     Both samples are the rows with the smallest hash of their id, so they are the
     same at every run; their features (a few kB a row) are all the driver gets.
     Positives are ids labelled 1 outside the held-out fold; ids with
-    contradicting labels are left out. Labels of 0 serve for the class prior
+    contradicting labels are left out. An id with several texts is learnt by its least one. Labels of 0 serve for the class prior
     alone, estimated as the share of 1 among the learnt labels less one
     standard error (an estimate above the truth makes the risk go negative); it is
     a half without labels.
@@ -122,7 +122,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     unl = take(rows.select("id").distinct().join(lab, "id", "left_anti"), max_unlabelled, 2)
     chosen = pos.withColumn("y", F.lit(1)).union(unl.withColumn("y", F.lit(0)))
     # bounded by the two limits
-    sample = rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"])
+    sample = rows.join(F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
