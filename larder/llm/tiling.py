@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import text_batches
 
@@ -117,9 +118,11 @@ def _item_seeds(items: DataFrame, min_match: int) -> DataFrame:
                 seeds, n = np.unique(gram_hashes(t, k).view(np.int64), return_counts=True)
                 for c, v in zip(out.values(), (seeds.tolist(), [k] * len(n), [i] * len(n), [key] * len(n), n.tolist(), [len(t)] * len(n))):
                     c.extend(v)
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int64()) for c in out]))
+            kinds = dict.fromkeys(out, pa.int64()) | {"item": batch.schema.field("item").type}
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema(list(kinds.items())))
 
-    return items.select("item", "item_key", "text").mapInArrow(run, "seed long, k long, item long, item_key long, n long, n_tokens long")
+    return items.select("item", "item_key", "text").mapInArrow(
+        run, f"seed long, k long, item {id_kind(items, 'item')}, item_key long, n long, n_tokens long")
 
 
 def _seed_filter(seeds: DataFrame, max_slots: int) -> np.ndarray | None:
@@ -133,6 +136,12 @@ def _seed_filter(seeds: DataFrame, max_slots: int) -> np.ndarray | None:
     return bits
 
 
+def id_kind(df: DataFrame, name: str) -> str:
+    """The type that ids are compared in: whole numbers as longs, others as they are."""
+    kind = df.schema[name].dataType
+    return "long" if isinstance(kind, IntegralType) else kind.simpleString()
+
+
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text", min_match: int = 5, threshold: float = 0.6,
                   max_filter_slots: int = 4_000_000) -> DataFrame:
@@ -141,7 +150,7 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     Tokens are lower-case word runs. Items with less than ``min_match`` tokens
     must occur whole; items without tokens, null and empty texts match nothing.
     A document is its id and text: repeated rows count once, null ids are
-    ids like others, of documents and of items. Repeated benchmark rows are taken once. Empty tables give no
+    ids like others, of documents and of items; ids may be numbers or text. Repeated benchmark rows are taken once. Empty tables give no
     pair.
 
     Documents' grams pass a filter of the benchmark's seeds (a bitmap of fixed size
@@ -152,9 +161,10 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     remaining pair are shuffled.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).where(
+    id_type, item_type = id_kind(docs, doc_id), id_kind(items, item_id)
+    rows = docs.select(F.col(f"`{doc_id}`").cast(id_type).alias("id"), F.col(f"`{text}`").cast("string").alias("text")).where(
         "text IS NOT NULL").withColumn("key", F.xxhash64("text"))
-    bench = items.select(F.col(f"`{item_id}`").cast("long").alias("item"), F.col(f"`{item_text}`").cast("string").alias("text")).distinct().withColumn(
+    bench = items.select(F.col(f"`{item_id}`").cast(item_type).alias("item"), F.col(f"`{item_text}`").cast("string").alias("text")).distinct().withColumn(
         "item_key", F.xxhash64("text"))
     seeds = _item_seeds(bench, min_match).groupBy("seed", "k", "item", "item_key", "n_tokens").agg(F.max("n").alias("n"))
     lengths = sorted(r.k for r in seeds.select("k").distinct().collect())  # min_match values at most
@@ -181,7 +191,7 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("key").take(at),
                                               pa.array(np.concatenate(out).view(np.int64))], ["id", "key", "seed"])
 
-    hits = rows.mapInArrow(grams, "id long, key long, seed long")
+    hits = rows.mapInArrow(grams, f"id {id_type}, key long, seed long")
     # repeated rows give a seed twice; a seed's n counts once per document
     pairs = (hits.join(seeds, "seed").groupBy("id", "key", "item", "item_key", "n_tokens", "seed").agg(F.max("n").alias("n"))
              .groupBy("id", "key", "item", "item_key", "n_tokens").agg(F.sum("n").alias("n"))
@@ -200,7 +210,7 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), batch.column("item"), share],
                                              ["id", "key", "item", "coverage"])
 
-    found = both.mapInArrow(tiles, "id long, key long, item long, coverage double").where(F.col("coverage") >= threshold)
+    found = both.mapInArrow(tiles, f"id {id_type}, key long, item {item_type}, coverage double").where(F.col("coverage") >= threshold)
     return found.groupBy("id", "key", "item").agg(F.max("coverage").alias("coverage")).select(
         F.col("id").alias("doc_id"), F.col("key").alias("text_key"), F.col("item").alias("item_id"), "coverage")
 
@@ -210,11 +220,11 @@ def document_report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     found = contamination(docs, items, **options).groupBy("doc_id", "text_key").agg(
         F.count(F.lit(1)).alias("n_items"), F.max("coverage").alias("max_coverage"),
         F.sort_array(F.collect_list(F.struct("item_id")))["item_id"].alias("item_ids")).alias("f")
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key")).alias("d")
+    d = docs.select(F.col("doc_id").cast(id_kind(docs, "doc_id")).alias("doc_id"), F.xxhash64("text").alias("text_key")).alias("d")
     return d.join(found, F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.text_key") == F.col("f.text_key")), "left").select(
         "d.doc_id", F.col("f.n_items").isNotNull().alias("contaminated"), F.coalesce("f.n_items", F.lit(0)).alias("n_items"),
         F.coalesce("f.max_coverage", F.lit(0.0)).alias("max_coverage"),
-        F.coalesce("f.item_ids", F.array().cast("array<long>")).alias("item_ids"))
+        F.coalesce("f.item_ids", F.array().cast(found.schema["item_ids"].dataType)).alias("item_ids"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -222,5 +232,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     found = contamination(docs, items, doc_id=doc_id, text=text, **options).select(
         F.struct(F.col("doc_id").alias("i"), F.col("text_key").alias("k")).alias("__leak")).distinct()
     page = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"))
-    own = F.struct(F.col("__doc")[doc_id].cast("long").alias("i"), F.xxhash64(F.col("__doc")[text].cast("string")).alias("k"))
+    own = F.struct(F.col("__doc")[doc_id].cast(id_kind(docs, doc_id)).alias("i"), F.xxhash64(F.col("__doc")[text].cast("string")).alias("k"))
     return page.join(found, own.eqNullSafe(F.col("__leak")), "left_anti").select("__doc.*")

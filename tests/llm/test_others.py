@@ -42,6 +42,63 @@ def test_shards(docs_of):
     assert hilbert.document_shards(docs_of([])).count() == 0
 
 
+def slow_index(point, bits):
+    """Hilbert index of one point, by walking the curve's quadrants (two dimensions at a time can't do three: bit by bit)."""
+    x, n = list(point), len(point)
+    for q in (1 << b for b in range(bits - 1, 0, -1)):
+        for i in range(n):
+            if x[i] & q:
+                x[0] ^= q - 1
+            else:
+                t = (x[0] ^ x[i]) & (q - 1)
+                x[0], x[i] = x[0] ^ t, x[i] ^ t
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    t = 0
+    for q in (1 << b for b in range(bits - 1, 0, -1)):
+        if x[-1] & q:
+            t ^= q - 1
+    x = [v ^ t for v in x]
+    return int("".join(str(v >> b & 1) for b in range(bits - 1, -1, -1) for v in x), 2)
+
+
+def slow_shards(rows, shards):
+    """(doc_id, shard, slot) from sorting all rows by the index of exact cells."""
+    def cells(values):
+        ordered = sorted(v for v in values if v is not None)
+        first = {}
+        for i, v in enumerate(ordered):
+            first.setdefault(v, i)
+        return lambda v: 0 if v is None else first[v] * 256 // len(ordered)
+
+    lang, source = cells([r[1] for r in rows]), cells([r[2] for r in rows])
+    order = sorted((slow_index((lang(r[1]), source(r[2])), 8), r[0]) for r in rows)
+    out, total = set(), len(order)
+    for pos, (_, doc) in enumerate(order):
+        s = pos * shards // total
+        out.add((doc, s, pos - -(-s * total // shards)))
+    return out
+
+
+def test_shards_equal_a_slow_sort(spark):
+    rows = [(i, f"lang{(i * i) % 5}" if i % 9 else None, f"https://site{(i * 7) % 16}.org") for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, lang string, source string").repartition(3)
+    got = hilbert.shard_rows(df, ["lang", "source"], ["id"], 8).collect()
+    assert {(r.id, r.shard, r.slot) for r in got} == slow_shards(rows, 8)
+
+
+def test_strings_with_a_common_start_shard_like_short_ones(spark):
+    """Sources are told apart by their whole names: a shard holds few of them, whatever the names begin with."""
+    of = {}
+    for form in ("{:02d}", "https://www.a-very-long-common-name.example.org/site{:02d}"):
+        rows = [(i, form.format(i % 16), i * 37 % 1600) for i in range(1600)]
+        df = spark.createDataFrame(rows, "id long, source string, n long")
+        of[form] = {(r.id, r.shard) for r in hilbert.shard_rows(df, ["source", "n"], ["id"], 8).select("id", "shard").collect()}
+        held = Counter(s for s, _ in {(s, i % 16) for i, s in of[form]})
+        assert max(held.values()) <= 8
+    assert len(set(map(frozenset, of.values()))) == 1
+
+
 def test_shards_prune(spark, sf_dir):
     placed = queries.QUERIES["op2_hilbert_shards"](spark, sf_dir)
     ranges = hilbert.shard_ranges(placed, ["lang", "n_chars"]).collect()
@@ -238,3 +295,24 @@ def test_pipeline_stages_take_empty_tables(spark, tmp_path, docs_of):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_contamination_with_text_ids(spark):
+    passage = "the quick brown fox jumps over the lazy dog near the quiet river bank"
+    docs = spark.createDataFrame([("doc-1", f"intro {passage} outro"), ("doc-2", "nothing of the kind here"), (None, passage)], "doc_id string, text string")
+    items = spark.createDataFrame([("gsm8k-1", passage), ("gsm8k-2", "another text that no document has in it")], "item_id string, text string")
+    got = {r.doc_id: (r.contaminated, r.item_ids) for r in tiling.document_report(docs, items).collect()}
+    assert got == {"doc-1": (True, ["gsm8k-1"]), "doc-2": (False, []), None: (True, ["gsm8k-1"])}
+    assert [r.doc_id for r in tiling.drop_contaminated(docs, items).collect()] == ["doc-2"]
+
+
+def test_quality_of_repeated_ids_does_not_depend_on_partitions(spark):
+    rows = [(i, f"{'good clean prose with many different words' if i % 2 else 'zz zz zz ## ## zz'} {i} " * 5) for i in range(300)]
+    rows += [(7, "zz"), (8, "another text of the same id with words")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 300, 3)], "doc_id long, quality int")
+    scores = []
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts, "text")
+        model = quality.train(docs, labels)
+        scores.append(model.score(quality.feature_matrix(["good clean prose", "zz ##", ""])))
+    assert np.allclose(*scores, atol=1e-12)
