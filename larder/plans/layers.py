@@ -13,7 +13,7 @@ from ..streaming.by_name import read_ingested
 from ..streaming.ingest import ingest_stream
 from . import facts, marts
 from .quality import NEGATIVE_CHECKS, layer_pairs, raw_tables
-from .refresh import refresh_gold, refresh_months, touched_months
+from .refresh import refresh_gold, refresh_months, refresh_silver, table_row_counts, touched_months
 from .registry import AS_OF, query
 from .silver import CLEANERS
 
@@ -65,6 +65,12 @@ def q_catalog_revenue_monthly(spark, sf_dir):
     return marts.agg_revenue_monthly(tables["fct_orders"], tables["fct_order_items"])
 
 
+@query("silver_refresh")
+def q_silver_refresh(spark, sf_dir):
+    """All ten silver tables cleaned and written; rows per written table."""
+    return table_row_counts(refresh_silver(raw_tables(Tables(spark, sf_dir)), io.scratch_path(spark, "silver")))
+
+
 # ------------------------------------------------------------- published versions
 
 @query("published_gold")

@@ -16,6 +16,8 @@ for _name, _same in {
         "observed_overview": "audit_overview_silver", "observed_nulls": "audit_nulls_silver", "observed_negatives": "audit_negatives_silver"}.items():
     ORACLE[_name] = ORACLE[_same]
 
+ORACLE["silver_refresh"] = f"SELECT {q('table')}, rows FROM ({ORACLE['audit_overview_silver']})"
+
 ORACLE["order_items_hot_item"] = f"""
 WITH details_s AS ({ADAPTERS['details_s']}), menu_s AS ({ADAPTERS['menu_s']})
 SELECT d.* REPLACE (CASE WHEN order_id % 3 = 0 THEN 1 ELSE d.item_id END AS item_id), category, sub_category, cost_to_make

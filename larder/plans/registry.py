@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import adapters as A
 from ..sources.tables import Tables
@@ -67,12 +68,14 @@ _WRITTEN: dict[tuple, dict[str, DataFrame]] = {}
 def written_layer(t: Tables, layer: str) -> dict[str, DataFrame]:
     """The ten silver or 22 gold tables of one folder: raw -> silver -> gold, each written and read back.
 
-    Kept by application and folder, so queries over a layer read the written
-    tables like a scheduled refresh's consumers do.
+    Kept by application, folder and its files (paths, sizes and times), so queries
+    over a layer read the written tables like a scheduled refresh's consumers do, and
+    changed files are refreshed. ``silver_refresh`` and ``gold_refresh`` time the layers.
     """
-    from ..sources.files import scratch_path
+    from ..sources.files import file_inventory, scratch_path
     from .refresh import refresh_gold, refresh_silver
-    key = (t.spark.sparkContext.applicationId, t.sf_dir, layer)
+    files = file_inventory(t.spark, t.sf_dir).agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("path", "size", "modified"))).first()
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, layer, tuple(files))
     if key not in _WRITTEN:
         target = scratch_path(t.spark, layer)
         if layer == "silver":
