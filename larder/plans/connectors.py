@@ -205,7 +205,7 @@ def q_gold_refresh(spark, sf_dir):
     from .registry import AS_OF
     t = Tables(spark, sf_dir)
     silver = {name: A.source(t, name) for name in A.SOURCES}
-    written = refresh_gold(silver, io.scratch_path(spark, "gold"), AS_OF)
+    written = refresh_gold(silver, io.scratch_path(spark, "gold"), AS_OF, by_month=A.BY_MONTH)
     return table_row_counts(written)
 
 
