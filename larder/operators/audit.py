@@ -16,8 +16,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DecimalType, DoubleType, FloatType, IntegerType, LongType, NumericType,
-                               StringType)
+from pyspark.sql.types import (BooleanType, ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType,
+                               NumericType, ShortType, StringType, TimestampType)
 
 from ..functions.numeric import pct_sql
 from ..sources.files import discard, materialize, scratch_path
@@ -480,15 +480,32 @@ def reconcile_profile(pairs: Pairs) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """column -> distinct values (NULL counted once), by unpivot + two-step group over 128 bits of each value."""
-    types = _types(df)
+    """column -> distinct values (NULL counted once), by unpivot + two-step group over the column's place and at most 128 bits of each value.
 
-    def hashes(c: str) -> list[str]:
-        x = f"({q(c)} + 0.0D)" if isinstance(types[c], (DoubleType, FloatType)) else q(c)
-        text = f"CAST({x} AS STRING)"
-        return [f"xxhash64({text}, {text} IS NULL)", f"xxhash64(1, {text} IS NULL, {text})"]
+    Values of up to eight bytes are told apart by themselves (floating ones by the 64-bit
+    hash, which is one-to-one on eight bytes), never as text; other values by 128 bits of their text.
+    """
+    types = _types(df)
 
-    return _long(df, [], [(c, hashes(c)) for c in cols], ["a", "b"]).distinct().groupBy("column").agg(F.expr("count(1) AS distinct"))
+    def bits(c: str) -> list[str]:
+        x, kind = q(c), types[c]
+        none = "CAST(NULL AS BIGINT)"
+        if isinstance(kind, (ByteType, ShortType, IntegerType, LongType)):
+            return [f"CAST({x} AS BIGINT)", none]
+        if isinstance(kind, (DoubleType, FloatType)):
+            return [f"CASE WHEN {x} IS NOT NULL THEN xxhash64(CAST({x} AS DOUBLE) + 0.0D) END", none]
+        if isinstance(kind, BooleanType):
+            return [f"CAST(CAST({x} AS INT) AS BIGINT)", none]
+        if isinstance(kind, DateType):
+            return [f"CAST(unix_date({x}) AS BIGINT)", none]
+        if isinstance(kind, TimestampType):
+            return [f"unix_micros({x})", none]
+        text = x if isinstance(kind, StringType) else f"CAST({x} AS STRING)"
+        return [f"CASE WHEN {text} IS NOT NULL THEN xxhash64({text}) END", f"CASE WHEN {text} IS NOT NULL THEN xxhash64(1, {text}) END"]
+
+    cells = ", ".join(f"{i}, {', '.join(bits(c))}" for i, c in enumerate(cols))
+    counts = df.selectExpr(f"stack({len(cols)}, {cells}) AS (place, a, b)").distinct().groupBy("place").agg(F.expr("count(1) AS distinct"))
+    return counts.selectExpr(f"element_at(array({', '.join(_lit(c) for c in cols)}), place + 1) AS column", "distinct")
 
 
 def reconcile_distinct(pairs: Pairs) -> DataFrame:

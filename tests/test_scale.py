@@ -3,11 +3,10 @@
 import glob
 import threading
 
-import pytest
 from pyspark.sql import functions as F
 
 from larder.operators import audit, locate, observe
-from larder.plans import facts, layers, marts, refresh
+from larder.plans import facts, layers, marts
 from larder.plans.silver import clean_inventory
 from larder.sources import adapters as A
 from larder.sources import files as io
@@ -57,3 +56,19 @@ def test_medians_leave_the_rows_where_they_are(spark):
 def test_tables_are_written_by_zstd(spark, tmp_path):
     io.materialize(spark.range(10), str(tmp_path / "t"))
     assert glob.glob(str(tmp_path / "t" / "*.zstd.parquet"))
+
+
+# ----------------------------------------------------------------- audits
+
+def test_distinct_counts_take_values_as_they_are(spark):
+    df = spark.sql("""SELECT * FROM VALUES
+        (1L, 1, 0.0D, 'a', DATE'2020-01-01', TIMESTAMP'2020-01-01 00:00:00', true, 1.50BD),
+        (-9223372036854775808L, 42, -0.0D, '', DATE'1969-12-31', TIMESTAMP'2020-01-01 00:00:00.000001', false, 1.51BD),
+        (42L, NULL, double('NaN'), NULL, NULL, NULL, NULL, NULL),
+        (NULL, 42, NULL, 'A', DATE'2020-01-01', NULL, true, 1.50BD),
+        (NULL, 42, double('NaN'), 'a', DATE'2020-01-01', NULL, true, 1.5BD) AS (l, i, d, s, day, at, b, m)""")
+    got = {r.column: r.distinct for r in audit.distinct_counts(df, df.columns).collect()}
+    # NULL counts once, both zeros and all NaN are one value
+    assert got == {"l": 4, "i": 3, "d": 3, "s": 4, "day": 3, "at": 3, "b": 3, "m": 3}
+    plan = plan_of(audit.distinct_counts(df, ["l", "i", "d", "day", "at", "b"]))
+    assert "as string)" not in plan
