@@ -72,3 +72,11 @@ def test_distinct_counts_take_values_as_they_are(spark):
     assert got == {"l": 4, "i": 3, "d": 3, "s": 4, "day": 3, "at": 3, "b": 3, "m": 3}
     plan = plan_of(audit.distinct_counts(df, ["l", "i", "d", "day", "at", "b"]))
     assert "as string)" not in plan
+
+
+def test_located_rows_move_once(spark, sf_dir):
+    orders = A.raw(Tables(spark, sf_dir), "orders").drop("_rescued_data")
+    found = locate.differences(orders, orders.withColumn("order_type", F.lower("order_type")), ["order_id"])
+    plan = plan_of(found)
+    assert plan.count("Exchange hashpartitioning(order_id") == 1 and "FullOuter" not in plan.split("BroadcastExchange")[0]
+    assert {r.column for r in found.select("column").distinct().collect()} == {"order_type"}
