@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -66,9 +67,11 @@ def negatives(metrics: DataFrame) -> DataFrame:
 
 
 def write_all_observed(tables: Mapping[str, DataFrame], target: str, checked: Mapping[str, Sequence[str]]) -> tuple[dict[str, DataFrame], DataFrame]:
-    """``write_observed`` of several tables under ``target``; their metrics in one table."""
+    """``write_observed`` of several tables under ``target``, side by side; their metrics in one table."""
+    with ThreadPoolExecutor(4) as pool:
+        running = {name: pool.submit(write_observed, df, name, f"{target.rstrip('/')}/{name}", checked.get(name, ())) for name, df in tables.items()}
     written, metrics = {}, None
-    for name, df in tables.items():
-        written[name], found = write_observed(df, name, f"{target.rstrip('/')}/{name}", checked.get(name, ()))
+    for name, done in running.items():
+        written[name], found = done.result()
         metrics = found if metrics is None else metrics.unionByName(found)
     return written, metrics

@@ -80,3 +80,17 @@ def test_located_rows_move_once(spark, sf_dir):
     plan = plan_of(found)
     assert plan.count("Exchange hashpartitioning(order_id") == 1 and "FullOuter" not in plan.split("BroadcastExchange")[0]
     assert {r.column for r in found.select("column").distinct().collect()} == {"order_type"}
+
+
+def test_observed_tables_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    both, plain = threading.Barrier(2), observe.write_observed
+
+    def meet(*args):
+        both.wait(timeout=60)
+        return plain(*args)
+
+    monkeypatch.setattr(observe, "write_observed", meet)
+    tables = {"a": spark.range(3), "b": spark.range(5)}
+    written, metrics = observe.write_all_observed(tables, str(tmp_path), {})
+    assert list(written) == ["a", "b"]
+    assert {r.table: r.rows for r in observe.overview(metrics).collect()} == {"a": 3, "b": 5}
