@@ -184,7 +184,7 @@ def ingest_csv(spark: SparkSession, source: str, target: str, checkpoint: str, s
             part = by_name(rows, header, types, options)
             out = part if out is None else out.unionByName(part)
         drop = [c for c, keep in (("source_file", with_file_name), (RESCUE_COL, rescue)) if not keep]
-        out.drop(*drop).write.mode("overwrite").parquet(f"{target.rstrip('/')}/{BATCH_COL}={number}")
+        out.drop(*drop).write.mode("overwrite").option("compression", "zstd").parquet(f"{target.rstrip('/')}/{BATCH_COL}={number}")
 
     query = (reader.load(folder).writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())

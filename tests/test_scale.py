@@ -94,3 +94,24 @@ def test_observed_tables_are_written_side_by_side(spark, tmp_path, monkeypatch):
     written, metrics = observe.write_all_observed(tables, str(tmp_path), {})
     assert list(written) == ["a", "b"]
     assert {r.table: r.rows for r in observe.overview(metrics).collect()} == {"a": 3, "b": 5}
+
+
+# --------------------------------------------------------- touched months
+
+def test_lines_of_both_batches_meet_their_orders_once(spark, sf_dir, monkeypatch):
+    parts, plain = [], io.write_csv
+
+    def seen(df, path, **how):
+        parts.append((path.rsplit("/", 1)[-1], plan_of(df), df.count(), how["compression"]))
+        return plain(df, path, **how)
+
+    monkeypatch.setattr(layers.io, "write_csv", seen)
+    _, _, take = layers._two_batches(spark, sf_dir)
+    for batch in (0, 1):
+        take(batch)
+    t = Tables(spark, sf_dir)
+    lines = [p for p in parts if p[0] == "order_details"]
+    assert len(lines) == 2 and all("Join" not in plan and how == "gzip" for _, plan, _, how in lines)
+    late = t.orders.withColumnRenamed("o_orderdate", "order_date").where(layers.late_order("o_orderkey"))
+    n = t.lineitem.join(late, t.lineitem.l_orderkey == late.o_orderkey, "left_semi").count()
+    assert [p[2] for p in lines] == [t.lineitem.count() - n, n] and n > 0
