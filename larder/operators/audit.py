@@ -209,7 +209,7 @@ def audit_outliers(tables: Mapping[str, DataFrame], exact: bool = True, factor:
     def keep(n: str) -> DataFrame:
         narrow = tables[n].select(*[F.col(q(c)).cast("double").alias(f"_{i}") for i, c in enumerate(columns[n])])
         # small row groups: a table that came as one split is read in several
-        narrow.write.option("parquet.block.size", 8 << 20).parquet(f"{path}/{n}")
+        narrow.write.option("parquet.block.size", 8 << 20).option("compression", "zstd").parquet(f"{path}/{n}")
         return spark.read.parquet(f"{path}/{n}")
 
     with ThreadPoolExecutor(4) as pool:
