@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from larder.operators import locate, observe, sketch, skew
 from larder.plans import facts, layers, marts, refresh
+from larder.plans.quality import layer_pairs
 from larder.sources import adapters as A
 from larder.sources import warehouse as W
 from larder.sources.tables import Tables
@@ -282,3 +283,32 @@ def test_repeated_and_null_keys(spark):
     right = spark.createDataFrame([(1, "a", 2), (1, "a", 1), (None, "a", 5), (2, None, 4), (2, None, 4)], schema)
     got = {tuple(r) for r in locate.differences(left, right, ["k", "j"]).collect()}
     assert got == {(None, "a", "v", "changed", "3", "5"), (2, None, "v", "changed", "4", "4"), (2, None, None, "rows", "1", "2")}
+
+
+def test_differences_of_every_table_are_located(spark, sf_dir):
+    found = layers.q_located_differences(spark, sf_dir).collect()
+    assert {r.table for r in found} == set(A.SOURCES)
+    # a cell that cleaning changed counts once, also where the declared key repeats
+    raw, clean = layer_pairs(Tables(spark, sf_dir))["inventory"]
+    keys = ["restaurant_id", "item_id", "date"]
+    assert raw.select(*keys).distinct().count() == raw.count() > raw.select("inventory_id").distinct().count()
+    filled = raw.where("waste_stock IS NULL").count()
+    assert [r.cells for r in found if (r.table, r.column) == ("inventory", "waste_stock")] == [filled]
+
+
+def test_counts_are_those_of_the_differences(spark):
+    left = spark.range(4000).selectExpr("id % 3000 AS k", "CASE WHEN id % 9 > 0 THEN concat('v', id) END AS s", "id % 7 AS same", "CAST(id % 50 AS INT) AS n", "id * 0.5D AS d")
+    right = left.where("k <> 11").selectExpr("CASE WHEN k = 5 THEN 9999 ELSE k END AS k", "CASE WHEN k % 10 = 1 THEN concat(s, ' ') WHEN k % 10 = 2 THEN NULL ELSE s END AS s",
+                                             "same", "CAST(CASE WHEN k % 100 = 3 THEN NULL ELSE n END AS DOUBLE) AS n", "d").union(
+        spark.createDataFrame([(17, "more", 1, 2.0, 3.0)], "k long, s string, same long, n double, d double"))
+    counted = locate.differences(left, right, ["k"]).groupBy("column", "kind").count()
+    got = {tuple(r) for r in locate.difference_counts(left, right, ["k"]).collect()}
+    assert got == {tuple(r) for r in counted.collect()} and {k for _, k, _ in got} == {"changed", "left_only", "right_only", "rows"}
+    assert locate.difference_counts(left, left, ["k"]).count() == 0
+
+
+def test_columns_that_differ_nowhere_do_not_move(spark):
+    left = spark.range(500).selectExpr("id AS k", "concat('untouched ', id) AS same", "id % 3 AS v")
+    right = left.withColumn("v", F.expr("CASE WHEN k % 2 = 0 THEN v END"))
+    for df in (locate.differences(left, right, ["k"]), locate.difference_counts(left, right, ["k"])):
+        assert "untouched" not in plan_of(df)
