@@ -74,6 +74,25 @@ def test_distinct_counts_take_values_as_they_are(spark):
     assert "as string)" not in plan
 
 
+def test_values_are_counted_where_columns_differ_alone(spark):
+    left = spark.range(600).selectExpr("id AS k", "concat('untouched ', id) AS same", "TIMESTAMP_NTZ'2020-01-01 00:00:00' + make_dt_interval(0, CAST(id % 40 AS INT)) AS at",
+                                       "id % 9 AS n", "CAST(id % 8 AS INT) AS i", "CASE WHEN id % 3 > 0 THEN 'x' END AS s", "id % 5 AS swapped", "id * -0.0D AS z")
+    right = left.repartition(3).selectExpr("k", "same", "at", "n + 0.5D AS n", "CAST(i AS DOUBLE) AS i", "coalesce(s, 'y') AS s", "4 - swapped AS swapped", "0.0D AS z")
+    right = right.union(spark.sql("SELECT 600L, 'untouched 0', TIMESTAMP_NTZ'2020-01-01 00:00:00', -1.0D, 0.0D, 'z', 0L, NULL"))
+    # one row more: every column is counted
+    got = {tuple(r) for r in audit.reconcile_distinct({"t": (left, right)}).collect()}
+    assert got == {("t", "k", 600, 601), ("t", "n", 9, 10), ("t", "s", 2, 3), ("t", "z", 1, 2)}
+    same = right.where("k < 600")
+    plan = plan_of(audit.reconcile_distinct({"t": (left, same)}))
+    assert "untouched" not in plan and "make_dt_interval" not in plan
+    assert {tuple(r) for r in audit.reconcile_distinct({"t": (left, same), "u": (left, left)}).collect()} == set()
+    prints = audit.bag_prints(left, left.columns), audit.bag_prints(same, left.columns)
+    assert [c for c in left.columns if prints[0][c] != prints[1][c]] == ["n", "i", "s"]
+    assert audit.reconcile_distinct({"t": (left.limit(0), left.limit(0))}).count() == 0
+    times = left.selectExpr("at")
+    assert "as string)" not in plan_of(audit.distinct_counts(times, ["at"]))
+
+
 def test_located_rows_move_once(spark, sf_dir):
     orders = A.raw(Tables(spark, sf_dir), "orders").drop("_rescued_data")
     found = locate.differences(orders, orders.withColumn("order_type", F.lower("order_type")), ["order_id"])
