@@ -6,10 +6,11 @@ import threading
 from pyspark.sql import functions as F
 
 from larder.operators import audit, locate, observe
-from larder.plans import facts, layers, marts
+from larder.plans import facts, layers, marts, refresh
 from larder.plans.silver import clean_inventory
 from larder.sources import adapters as A
 from larder.sources import files as io
+from larder.sources import warehouse
 from larder.sources.tables import Tables
 
 
@@ -46,6 +47,51 @@ def test_facts_by_month_move_before_they_are_derived(spark, sf_dir):
     assert "REBALANCE" in plan_of(by_month).split("is_completed")[1]
 
 
+def test_marts_of_items_are_built_where_the_lines_lie(spark, sf_dir, tmp_path, monkeypatch):
+    t = Tables(spark, sf_dir)
+    silver = {name: A.source(t, name) for name in A.SOURCES}
+    plans, plain = {}, {name: getattr(marts, name) for name in ("agg_item_performance", "agg_menu_engineering", "agg_revenue_monthly")}
+
+    def seen(name):
+        def run(*args, **how):
+            df = plain[name](*args, **how)
+            plans[name] = plan_of(df)
+            return df
+        return run
+
+    for name in plain:
+        monkeypatch.setattr(marts, name, seen(name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        gold = refresh.refresh_gold(silver, str(tmp_path / "even"), "2001-12-31", by_month=A.BY_MONTH)
+        assert "Exchange" not in plans["agg_item_performance"] and "order_id" not in "".join(
+            x for x in plans["agg_revenue_monthly"].splitlines() if "Exchange" in x)
+        monkeypatch.setattr(refresh, "deals_evenly", lambda *_: False)                 # a hot item: no buckets
+        monkeypatch.setattr(facts, "unique_orders", lambda *_: False)                  # orders that share an id
+        other = refresh.refresh_gold(silver, str(tmp_path / "hot"), "2001-12-31", by_month=A.BY_MONTH)
+        assert "Exchange" in plans["agg_item_performance"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not [x.name for x in spark.catalog.listTables() if x.name.endswith(("fct_order_items", "agg_item_performance"))]
+    for name in ("fct_orders", "fct_order_items", "agg_item_performance", "agg_menu_engineering", "agg_revenue_monthly", "agg_restaurant_performance"):
+        columns = gold[name].columns
+        assert gold[name].count() > 0 and sorted(columns) == sorted(other[name].columns) and same(gold[name], other[name].select(columns)), name
+
+
+def test_a_hot_item_is_not_put_into_one_bucket(spark):
+    even = spark.range(4000).selectExpr("id % 997 AS k")
+    hot = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN 1 ELSE id % 997 END AS k")
+    empty = spark.range(4000).selectExpr("CASE WHEN id % 3 > 0 THEN id % 997 END AS k")
+    assert [warehouse.deals_evenly(df, "k", 32, few=100) for df in (even, hot, empty, even.limit(0))] == [True, False, False, True]
+    assert warehouse.deals_evenly(hot, "k", 32)                                        # few rows: a bucket can't be large
+
+
+def test_orders_that_share_an_id_have_their_margins_by_order(spark):
+    orders = spark.createDataFrame([(1, 5), (1, 5), (2, 5), (None, 5), (None, 5)], "order_id long, x int")
+    assert not facts.unique_orders(orders) and facts.unique_orders(orders.where("coalesce(order_id, 2) = 2"))
+
+
 def test_medians_leave_the_rows_where_they_are(spark):
     df = spark.range(1000).selectExpr("id % 5 AS g", "id AS x", "CAST(id % 7 AS DOUBLE) AS y")
     out = marts.quadrant_by_group_median(df, "g", "x", "y")
