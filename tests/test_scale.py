@@ -47,6 +47,24 @@ def test_facts_by_month_move_before_they_are_derived(spark, sf_dir):
     assert "REBALANCE" in plan_of(by_month).split("is_completed")[1]
 
 
+def test_dealt_orders_move_once(spark, sf_dir, tmp_path):
+    t = Tables(spark, sf_dir)
+    orders, details = A.orders(t), A.order_details(t)
+    # ids that repeat (in one month and over two), are missing, or have no lines or no date
+    odd = orders.limit(60).withColumn("order_date", F.expr("CASE WHEN order_id % 3 = 0 THEN order_date WHEN order_id % 3 = 1 THEN add_months(order_date, 5) END"))
+    orders = orders.union(odd).union(orders.limit(5).withColumn("order_id", F.expr("CAST(NULL AS BIGINT)"))).union(
+        orders.limit(5).withColumn("order_id", F.expr("order_id + 10000000")))
+    details = details.union(details.limit(3).withColumn("order_id", F.expr("CAST(NULL AS BIGINT)")))
+    plain, dealt = facts.fct_orders(orders, details), facts.fct_orders_dealt(orders, details)
+    assert plain.dtypes == dealt.dtypes and same(plain, dealt)
+    # orders with their columns cross one exchange, by month
+    moved = [x for x in plan_of(facts.fct_orders_dealt(A.orders(t), A.order_details(t))).splitlines() if "Exchange hashpartitioning" in x]
+    assert len(moved) == 3 and sum("hashpartitioning(_month_part" in x for x in moved) == 1
+    written = io.materialize(dealt, str(tmp_path / "dealt"), ["year_month"], gather=False)
+    assert same(written.select(plain.columns), plain)
+    assert max(len(glob.glob(f"{m}/*.parquet")) for m in glob.glob(str(tmp_path / "dealt" / "year_month=*"))) <= 4
+
+
 def test_marts_of_items_are_built_where_the_lines_lie(spark, sf_dir, tmp_path, monkeypatch):
     t = Tables(spark, sf_dir)
     silver = {name: A.source(t, name) for name in A.SOURCES}
